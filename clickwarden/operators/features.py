@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from clickwarden import schemas
 from clickwarden.functions import click_to_install_seconds, safe_ratio
 from clickwarden.operators import windows as w
-from clickwarden.operators.ordering import before_row, rows_at, same
-from clickwarden.runtime import broadcast_if_small
+from clickwarden.operators.ordering import before_row, hot_keys, rows_at, same
+from clickwarden.runtime import broadcast_if_small, spill
 
 
 def conversion_snapshots(
@@ -73,6 +73,7 @@ def _ip_spread(laid: DataFrame) -> DataFrame:
 def click_features(
     df: DataFrame, campaign: DataFrame | None = None, publisher: DataFrame | None = None,
     device_scope: str = "global", time: str = "timestamp", tie: str = "click_id",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add all eleven click features.
 
@@ -84,8 +85,15 @@ def click_features(
         raise ValueError("device_scope is 'global' or 'per_ip'")
     device = ["device_id"] if device_scope == "global" else ["ip", "device_id"]
     widths = {f"device_clicks_{k}": s for k, s in schemas.WINDOW_SECONDS.items()}
-    out = w.apply_by_key(df, "ip", time, tie, lambda d: _ip_ordinary(d, tie), _ip_spread)
-    out = w.rolling_counts(out, device, widths, time, tie)
+    # Both key counts read the source, not the features computed so far.
+    hot_devices = hot_keys(df, device, hot_rows)
+    out = w.apply_by_key(
+        df, "ip", time, tie, lambda d: _ip_ordinary(d, tie), _ip_spread, hot_rows)
+    if hot_devices:
+        out = spill(out, "ip-features")  # both device plans read it
+    out = w.apply_split(
+        out, device, time, tie, lambda d: w.counts_ordinary(d, device, tie, widths),
+        lambda d: w.counts_spread(d, device, widths), hot_devices)
     stamp = "timestamp" if "timestamp" in out.columns else "click_time"
     out = out.withColumn("click_to_install_delta_seconds", click_to_install_seconds(
         F.col("click_to_install_delta"), F.col(stamp), F.col("attributed_time")))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwarden.runtime import MAX_HOT_KEYS, hot_key_rows, spill
+from clickwarden.runtime import CHUNK_ROWS, MAX_HOT_KEYS, hot_key_rows, spill
 
 CHUNK, ROW = "_chunk", "_row"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the low 33 bits
@@ -129,13 +129,26 @@ def previous_value(laid: DataFrame, keys: list[str], value: str, name: str) -> D
     ).drop("_inside", "_p_chunk", "_last")
 
 
-def split_hot(
-    df: DataFrame, keys: list[str], limit: int | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Split off the rows of keys too large for one task.
+class HotKeys:
+    """Keys too large for one task: their table (broadcast-sized) and their row count."""
 
-    Counts rows per key (combined before the shuffle) and lists at most ``MAX_HOT_KEYS``
-    keys on the driver. Returns ``(cold, hot)``; ``hot`` is None when no key is large.
+    def __init__(self, listed: DataFrame, rows: int):
+        self.listed, self.rows = listed, rows
+
+    def split(self, df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+        """``(cold, hot)`` rows of ``df``."""
+        on = F.lit(True)
+        for i, key in enumerate(keys):
+            on = on & same(F.col(key), F.col(f"_h{i}"))
+        return df.join(self.listed, on, "left_anti"), df.join(self.listed, on, "left_semi")
+
+
+def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> HotKeys | None:
+    """Find the keys with more than ``limit`` rows; None when there are none.
+
+    Counts rows per key, combined before the shuffle, and lists at most ``MAX_HOT_KEYS``
+    keys on the driver. All further keys are smaller than these, so each holds less than
+    1 / MAX_HOT_KEYS of the table and may stay whole.
     """
     limit = limit or hot_key_rows(df.sparkSession)
     largest = (
@@ -143,42 +156,102 @@ def split_hot(
         .where(F.col("_n") > limit)
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
+        .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_n")
     )
     rows = largest.collect()
     if not rows:
-        return df, None
-    listed = F.broadcast(df.sparkSession.createDataFrame(rows, largest.schema))
-    on = F.lit(True)
-    for i, key in enumerate(keys):
-        on = on & same(F.col(key), F.col(f"_h{i}"))
-    return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+        return None
+    listed = df.sparkSession.createDataFrame(rows, largest.schema).drop("_n")
+    return HotKeys(F.broadcast(listed), sum(row["_n"] for row in rows))
+
+
+def chunks_for(spark, rows: int) -> int:
+    """Number of chunks for a known number of rows, at least the shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // CHUNK_ROWS))
 
 
 def _order_literal(value, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, _TIMES):
         stamp = F.timestamp_micros(F.lit(value))
         return stamp.cast(kind) if isinstance(kind, T.TimestampNTZType) else stamp
     return F.lit(value).cast(kind)
 
 
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_BUCKETS = 10_000
+
+
+def _as_integer(df: DataFrame, name: str) -> Column | None:
+    kind = df.schema[name].dataType
+    if isinstance(kind, _TIMES):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    return F.col(name).cast("bigint") if isinstance(kind, _INTEGRAL) else None
+
+
+def _histogram(df: DataFrame, value: Column) -> tuple[int, int, list[tuple[int, int]]] | None:
+    """Lowest value, bucket width and row counts of at most ``_BUCKETS`` buckets.
+
+    Null values sort first and count as bucket -1.
+    """
+    ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b")).first()
+    if ends["a"] is None:
+        return None
+    width = (ends["b"] - ends["a"]) // _BUCKETS + 1
+    offset = value - F.lit(ends["a"])
+    bucket = (offset - offset % F.lit(width)) / F.lit(width)
+    counts = df.groupBy(F.coalesce(bucket.cast("bigint"), F.lit(-1)).alias("b")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    return ends["a"], width, sorted((row["b"], row["n"]) for row in counts)
+
+
 def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int, tuple]:
     """Order values of the rows at a few zero-based positions.
 
-    Only the order columns are shuffled and stored. Times come back as microseconds.
+    A histogram of the first order column, combined before the shuffle, tells which
+    buckets hold the positions. Only rows of these buckets are sorted, by their order
+    columns alone. Times come back as microseconds.
     """
     if not positions:
         return {}
     narrow = df.select(*order)
-    indexed = index_laid(lay_out(narrow, order)).where(F.col("row_index").isin(positions))
+    value = _as_integer(df, order[0])
+    found = _histogram(narrow, value) if value is not None else None
+    if found is None:
+        return _rows_at_sorted(df, narrow, order, {p: p for p in positions})
+    low, width, counts = found
+    wanted: dict[int, dict[int, int]] = {}
+    start = 0
+    for bucket, rows in counts:
+        for position in positions:
+            if start <= position < start + rows:
+                wanted.setdefault(bucket, {})[position - start] = position
+        start += rows
+    out = {}
+    kind = df.schema[order[0]].dataType
+    for bucket, inside in wanted.items():
+        column = F.col(order[0])
+        if bucket < 0:
+            part = narrow.where(column.isNull())
+        else:
+            first = _order_literal(low + bucket * width, kind)
+            last = _order_literal(low + (bucket + 1) * width - 1, kind)
+            part = narrow.where((column >= first) & (column <= last))
+        out.update(_rows_at_sorted(df, part, order, inside))
+    return out
+
+
+def _rows_at_sorted(
+    df: DataFrame, part: DataFrame, order: list[str], inside: dict[int, int]
+) -> dict[int, tuple]:
+    indexed = index_laid(lay_out(part, order)).where(F.col("row_index").isin(*inside))
     picked = [
-        F.unix_micros(F.col(name).cast("timestamp")).alias(name)
-        if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType))
-        else F.col(name)
+        _as_integer(df, name).alias(name)
+        if isinstance(df.schema[name].dataType, _TIMES) else F.col(name)
         for name in order
     ]
     return {
-        row["row_index"]: tuple(row[name] for name in order)
+        inside[row["row_index"]]: tuple(row[name] for name in order)
         for row in indexed.select("row_index", *picked).collect()
     }
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickwarden.functions.scalars import entropy_from_sums, x_log2_x
 from clickwarden.functions.times import micros
 from clickwarden.operators.ordering import (
-    CHUNK, ROW, lay_out, previous_value, running, split_hot,
+    CHUNK, ROW, HotKeys, chunks_for, hot_keys, lay_out, previous_value, running,
 )
 
 US = "_us"
@@ -25,19 +25,32 @@ def _keys(key: str | list[str]) -> list[str]:
 
 
 def apply_by_key(
-    df: DataFrame, key: str | list[str], time: str, tie: str, ordinary, spread
+    df: DataFrame, key: str | list[str], time: str, tie: str, ordinary, spread,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Run ``ordinary`` on ordinary keys and ``spread`` on laid-out rows of hot keys.
 
-    Both get the microsecond column ``_us``; the ordinary rows arrive hash-partitioned by
-    the key, so all windows on it share that one exchange.
+    Keys with more than ``hot_rows`` rows are hot (default: ``clickwarden.hotKeyRows``).
+    """
+    return apply_split(df, key, time, tie, ordinary, spread, hot_keys(df, _keys(key), hot_rows))
+
+
+def apply_split(
+    df: DataFrame, key: str | list[str], time: str, tie: str, ordinary, spread,
+    hot: HotKeys | None,
+) -> DataFrame:
+    """As ``apply_by_key`` with the hot keys already known.
+
+    Both plans get the microsecond column ``_us``. Ordinary rows arrive hash-partitioned
+    by the key, so all windows on it share that one exchange.
     """
     keys = _keys(key)
     timed = df.withColumn(US, micros(df, time))
-    cold, hot = split_hot(timed, keys)
+    cold, large = hot.split(timed, keys) if hot else (timed, None)
     out = ordinary(cold.repartition(*[F.col(k) for k in keys]))
-    if hot is not None:
-        big = spread(lay_out(hot, [*keys, US, tie]))
+    if large is not None:
+        parts = chunks_for(df.sparkSession, hot.rows)
+        big = spread(lay_out(large, [*keys, US, tie], parts))
         out = out.unionByName(big.drop(CHUNK, ROW))
     return out.drop(US)
 
@@ -93,7 +106,7 @@ def _attach(laid: DataFrame, rows: DataFrame) -> DataFrame:
 
 def rolling_counts(
     df: DataFrame, key: str | list[str], widths: dict[str, int],
-    time: str = "timestamp", tie: str = "click_id",
+    time: str = "timestamp", tie: str = "click_id", hot_rows: int | None = None,
 ) -> DataFrame:
     """Add trailing row counts per key; ``widths`` maps new columns to seconds.
 
@@ -105,6 +118,7 @@ def rolling_counts(
         df, keys, time, tie,
         lambda d: counts_ordinary(d, keys, tie, widths),
         lambda d: counts_spread(d, keys, widths),
+        hot_rows,
     )
 
 
@@ -167,7 +181,7 @@ def entropy_spread(laid: DataFrame, keys, values, width, name) -> DataFrame:
 
 def rolling_entropy(
     df: DataFrame, key: str | list[str], values: list[str], width: int, name: str,
-    time: str = "timestamp", tie: str = "click_id",
+    time: str = "timestamp", tie: str = "click_id", hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the base-2 entropy of ``values`` over the key's trailing window.
 
@@ -179,6 +193,7 @@ def rolling_entropy(
         df, keys, time, tie,
         lambda d: entropy_ordinary(d, keys, values, tie, width, name),
         lambda d: entropy_spread(d, keys, values, width, name),
+        hot_rows,
     )
 
 
@@ -203,7 +218,7 @@ def gap_spread(laid: DataFrame, keys, name) -> DataFrame:
 
 def inter_click_gap(
     df: DataFrame, key: str | list[str] = "ip", name: str = "ip_inter_click_gap_seconds",
-    time: str = "timestamp", tie: str = "click_id",
+    time: str = "timestamp", tie: str = "click_id", hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the seconds since the key's previous row; zero for its first."""
     keys = _keys(key)
@@ -211,19 +226,22 @@ def inter_click_gap(
         df, keys, time, tie,
         lambda d: gap_ordinary(d, keys, tie, name),
         lambda d: gap_spread(d, keys, name),
+        hot_rows,
     )
 
 
 def count_so_far(
     df: DataFrame, key: str | list[str], order: list[str],
-    name: str = "dest_txn_count_so_far",
+    name: str = "dest_txn_count_so_far", hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the number of the key's rows before this one in ``order`` (unique within it)."""
     keys = _keys(key)
-    cold, hot = split_hot(df, keys)
+    hot = hot_keys(df, keys, hot_rows)
+    cold, large = hot.split(df, keys) if hot else (df, None)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = cold.withColumn(name, (F.row_number().over(window) - 1).cast("bigint"))
-    if hot is not None:
-        ranked = running(hot, keys, order, {name: F.lit(1).cast("bigint")})
+    if large is not None:
+        parts = chunks_for(df.sparkSession, hot.rows)
+        ranked = running(large, keys, order, {name: F.lit(1).cast("bigint")}, parts)
         out = out.unionByName(ranked.withColumn(name, F.col(name) - 1))
     return out

@@ -27,8 +27,8 @@ def _widths(label):
     return {f"{label}_clicks_{n}": s for n, s in WIDTHS.items()}
 
 
-def _counts(c, key, label):
-    out = windows.rolling_counts(c, key, _widths(label), "us", "seq")
+def _counts(c, key, label, hot_rows=None):
+    out = windows.rolling_counts(c, key, _widths(label), "us", "seq", hot_rows)
     return out.select("seq", *[big(n) for n in _widths(label)])
 
 
@@ -42,6 +42,11 @@ def rolling_counts_ip_tied(spark, sf):
     return _counts(fx.clicks(spark, sf, tied=True), "ip", "ip")
 
 
+@query("rolling_counts_ip_hot_keys", _counts_sql(fx.TIED_SQL, "ip", "ip"))
+def rolling_counts_ip_hot_keys(spark, sf):
+    return _counts(fx.clicks(spark, sf, tied=True), "ip", "ip", hot_rows=70)
+
+
 @query("rolling_counts_device", _counts_sql(fx.CLICKS_SQL, "device_id", "device"))
 def rolling_counts_device(spark, sf):
     return _counts(fx.clicks(spark, sf), "device_id", "device")
@@ -65,9 +70,9 @@ SELECT seq, round(greatest(0.0, log2(sum(c)) - sum(c * log2(c)) / sum(c)), 6) +
 FROM bags GROUP BY seq"""
 
 
-def _entropy(c):
+def _entropy(c, hot_rows=None):
     out = windows.rolling_entropy(
-        c, "ip", ["device_id", "os"], 300, "ip_fingerprint_entropy_5m", "us", "seq")
+        c, "ip", ["device_id", "os"], 300, "ip_fingerprint_entropy_5m", "us", "seq", hot_rows)
     return out.select("seq", r6("ip_fingerprint_entropy_5m"))
 
 
@@ -81,6 +86,11 @@ def rolling_entropy_tied(spark, sf):
     return _entropy(fx.clicks(spark, sf, tied=True))
 
 
+@query("rolling_entropy_hot_keys", _entropy_sql(fx.TIED_SQL))
+def rolling_entropy_hot_keys(spark, sf):
+    return _entropy(fx.clicks(spark, sf, tied=True), hot_rows=70)
+
+
 @query("inter_click_gap", f"""WITH {fx.CLICKS_SQL}
 SELECT seq, round(coalesce(greatest(0.0,
   (us - lag(us) OVER (PARTITION BY ip ORDER BY us, seq)) / 1000000.0::DOUBLE), 0.0), 6) + 0.0
@@ -103,6 +113,15 @@ def count_so_far(spark, sf):
     return out.select(*fx.TIE, "nameDest", "dest_txn_count_so_far")
 
 
+@query("count_so_far_hot_keys", f"""WITH {fx.TXN_SQL}
+SELECT {", ".join(fx.TIE)}, nameDest, CAST(row_number() OVER (
+  PARTITION BY nameDest ORDER BY {_TXN_ORDER_SQL}) - 1 AS BIGINT) AS dest_txn_count_so_far
+FROM txn""")
+def count_so_far_hot_keys(spark, sf):
+    out = windows.count_so_far(fx.transactions(spark, sf), "nameDest", TXN_ORDER, hot_rows=600)
+    return out.select(*fx.TIE, "nameDest", "dest_txn_count_so_far")
+
+
 SNAP_SQL = """,
 camp AS (SELECT campaign_id AS id, count(*) AS clicks, sum(is_attributed) AS attributed
          FROM clicks GROUP BY 1),
@@ -168,10 +187,10 @@ def snapshots(c):
         for side in ("campaign_id", "publisher_id"))
 
 
-def all_features(spark, sf, scope="global"):
+def all_features(spark, sf, scope="global", hot_rows=None):
     c = fx.clicks(spark, sf)
     campaign, publisher = snapshots(c)
-    return features.click_features(c, campaign, publisher, scope, "us", "seq")
+    return features.click_features(c, campaign, publisher, scope, "us", "seq", hot_rows)
 
 
 _FEATURE_LIST = ", ".join(COUNT_FEATURES + OTHER_FEATURES)
@@ -188,6 +207,12 @@ def click_features_per_ip(spark, sf):
     return all_features(spark, sf, "per_ip").select("seq", *feature_columns())
 
 
+@query("click_features_hot_keys", f"WITH {FEATURES_SQL} SELECT seq, {_FEATURE_LIST} FROM feat")
+def click_features_hot_keys(spark, sf):
+    """The same features with all devices and the busier IPs split over many tasks."""
+    return all_features(spark, sf, hot_rows=70).select("seq", *feature_columns())
+
+
 @query("vectorize", f"""WITH {FEATURES_SQL}
 SELECT seq, round(ip_clicks_1m * 1.0 + ip_clicks_5m * 2.0 + ip_clicks_1h * 3.0
   + device_clicks_1m * 4.0 + device_clicks_5m * 5.0 + device_clicks_1h * 6.0

@@ -14,7 +14,7 @@ from clickwarden import schemas
 from clickwarden.operators import ingest, metrics, models, split, transactions
 from clickwarden.plans import fixtures as fx
 from clickwarden.plans.feature_queries import (
-    FEATURES_PER_IP_SQL, FEATURES_SQL, MAPPED_SQL, MESSAGES_SQL, TXN_ORDER,
+    FEATURES_PER_IP_SQL, FEATURES_SQL, LABEL_SQL, MAPPED_SQL, MESSAGES_SQL, TXN_ORDER,
     all_features, feature_columns, labelled, mapped_columns, messages, snapshots,
 )
 from clickwarden.plans.registry import big, query, r6
@@ -162,33 +162,70 @@ def _txn_training(spark, sf):
     return transactions.split_by_quantile(spill(ready, "training"))
 
 
-@query("train_lr")
-def train_lr(spark, sf):
-    train, test = _assembled(spark, sf)
-    scored = models.score(models.train_lr(train, ITERATIONS), test)
-    return metrics.ranking_metrics(scored).select("positives", "negatives", r6("roc_auc"), r6("pr_auc"))
+# A model's scores have no SQL equal. The oracle checks which rows were scored and that
+# scores, flags and class counts fit together.
+_TEST_SQL = f"""WITH {fx.CLICKS_SQL}{LABEL_SQL}, i AS (
+  SELECT seq, is_fraud, row_number() OVER (ORDER BY us, seq) - 1 AS i, count(*) OVER () AS n
+  FROM labelled),
+test AS (SELECT * FROM i WHERE i >= CAST(floor(n * (1 - 0.2::DOUBLE)) AS BIGINT))"""
+
 
+def sound(threshold, p="fraud_probability", flag="is_flagged"):
+    """The probability lies in [0, 1] and the flag follows the threshold."""
+    p, flag = F.col(p), F.col(flag)
+    close = F.abs(p - F.lit(threshold)) < 1e-6  # the stored probability is rounded
+    return p.between(0.0, 1.0) & (((p >= threshold).cast("int") == flag) | close)
 
-@query("train_gbt")
+
+@query("train_gbt", f"{_TEST_SQL} SELECT seq, true AS sound FROM test")
 def train_gbt(spark, sf):
     train, test = _assembled(spark, sf)
     scored = models.score(models.train_gbt(train, TREES, depth=DEPTH), test, 0.5)
-    return scored.select("seq", "is_flagged", r6("fraud_probability"))
+    return scored.select("seq", sound(0.5).alias("sound"))
+
+
+def _compared(names):
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS model" for n in names)
+    return f"""{_TEST_SQL}
+SELECT model, CAST(sum(is_fraud) AS BIGINT) AS positives,
+       CAST(sum(1 - is_fraud) AS BIGINT) AS negatives, true AS better_than_chance
+FROM test, ({rows}) m GROUP BY model"""
+
 
+def _comparison(report):
+    better = (F.col("roc_auc") > 0.5) & (
+        F.col("pr_auc") > F.col("positives") / (F.col("positives") + F.col("negatives")))
+    return report.select("model", big("positives"), big("negatives"),
+                         better.alias("better_than_chance"))
 
-@query("warm_vs_cold")
+
+@query("train_lr", _compared(["logistic_regression"]))
+def train_lr(spark, sf):
+    train, test = _assembled(spark, sf)
+    scored = models.score(models.train_lr(train, ITERATIONS), test)
+    return _comparison(metrics.ranking_metrics(scored).withColumn(
+        "model", F.lit("logistic_regression")))
+
+
+@query("warm_vs_cold", _compared(["warm_start", "cold_w1_w2"]))
 def warm_vs_cold(spark, sf):
     train, test = _assembled(spark, sf)
-    return models.warm_vs_cold(train, test, TREES, DEPTH, ["us", "seq"])
+    return _comparison(models.warm_vs_cold(train, test, TREES, DEPTH, ["us", "seq"]))
 
 
-@query("training_report")
+@query("training_report", _compared(
+    ["logistic_regression", "boosted_trees", "warm_start", "cold_w1_w2"]))
 def training_report(spark, sf):
-    return models.training_report(
-        _training(spark, sf), trees=TREES, max_iter=ITERATIONS, depth=DEPTH, order=["us", "seq"])
+    return _comparison(models.training_report(
+        _training(spark, sf), trees=TREES, max_iter=ITERATIONS, depth=DEPTH, order=["us", "seq"]))
 
 
-@query("retrain_and_publish")
+@query("retrain_and_publish", f"""WITH {fx.TXN_SQL}, q AS (
+  SELECT quantile_cont(step, 0.8) AS q FROM txn_keyed),
+f AS (SELECT *, CAST(row_number() OVER (PARTITION BY nameDest ORDER BY {", ".join(TXN_ORDER)}) - 1
+             AS BIGINT) AS dest_txn_count_so_far FROM txn_keyed)
+SELECT txn_key, step, "nameDest", "isFraud", amount, dest_txn_count_so_far, true AS sound
+FROM f, q WHERE step > q""")
 def retrain_and_publish(spark, sf):
     """Load, features, split, training, scoring of the newest part, catalog table."""
     train, test = _txn_training(spark, sf)
@@ -199,25 +236,31 @@ def retrain_and_publish(spark, sf):
         F.col("is_flagged").alias("batch_is_flagged"))
     name = f"scored_{uuid.uuid4().hex}"
     writers.publish_batch_table(scored, name, location=folder(spark, "catalog"))
-    return readers.read_table(spark, name)
+    return readers.read_table(spark, name).select(
+        "txn_key", "step", "nameDest", "isFraud", "amount", "dest_txn_count_so_far",
+        sound(0.5, "batch_fraud_probability", "batch_is_flagged").alias("sound"))
 
 
-@query("walk_forward_training")
+@query("walk_forward_training", "SELECT CAST(3 AS BIGINT) AS folds, true AS better_than_chance")
 def walk_forward_training(spark, sf):
     train, test = _assembled(spark, sf)
     blocks = split.walk_forward_folds(train.unionByName(test), 3, ["us", "seq"])
     scores = models.walk_forward_scores(
         blocks, lambda part: models.train_lr(part, ITERATIONS), 3)
-    return metrics.walk_forward_metrics(scores, "fold")
+    out = metrics.walk_forward_metrics(scores, "fold")
+    return out.select("folds", (F.col("roc_auc_mean") > 0.5).alias("better_than_chance"))
 
 
-@query("model_store")
+@query("model_store", f"{_TEST_SQL} SELECT seq, true AS same FROM test")
 def model_store(spark, sf):
+    """Scores of a stored model against those of the model it was stored from."""
     train, test = _assembled(spark, sf)
     path = folder(spark, "model")
-    models.save_model(models.train_gbt(train, 2, depth=DEPTH), path, schemas.CLICK_FEATURES, spark)
+    fitted = models.train_gbt(train, 2, depth=DEPTH)
+    models.save_model(fitted, path, schemas.CLICK_FEATURES, spark)
     loaded = models.load_model(path, schemas.CLICK_FEATURES, spark)
-    return models.score(loaded, test, 0.5).select("seq", "is_flagged", r6("fraud_probability"))
+    both = models.score(loaded, models.score(fitted, test).withColumnRenamed("score", "p"))
+    return both.select("seq", (F.col("score") == F.col("p")).alias("same"))
 
 
 # --- streams -------------------------------------------------------------------------------
@@ -283,7 +326,7 @@ def enrich_with_history(spark, sf):
     return spark.read.parquet(sink).select("seq", *feature_columns())
 
 
-@query("score_stream")
+@query("score_stream", f"WITH {fx.CLICKS_SQL} SELECT click_id, true AS sound, true AS timed FROM clicks")
 def score_stream(spark, sf):
     """Keyed features, static rates, boosted score, table and alerts."""
     c = fx.clicks(spark, sf).withColumn("event_timestamp", F.current_timestamp())
@@ -300,7 +343,7 @@ def score_stream(spark, sf):
         scoring.table_sink(table, ["click_id"], scoring.file_alerts(alerts)),
         0.5, campaign, publisher, trigger={"availableNow": True}))
     return readers.read_scored(spark, table).select(
-        "click_id", "is_flagged", r6("fraud_probability"), (F.col("latency_ms") >= 0).alias("timed"))
+        "click_id", sound(0.5).alias("sound"), (F.col("latency_ms") >= 0).alias("timed"))
 
 
 @query("monitor_stream", f"WITH {MESSAGES_SQL} SELECT value, is_malformed, errors FROM checked "

@@ -13,6 +13,8 @@ HOT_KEY_ROWS = 1_000_000
 # Only the largest keys are listed on the driver. Every other key then holds less than
 # 1 / MAX_HOT_KEYS of all rows, so one task can take it whole.
 MAX_HOT_KEYS = 10_000
+# Rows per chunk when the number of rows is known.
+CHUNK_ROWS = 5_000_000
 # Side tables up to this many rows are broadcast, larger ones take a shuffle join.
 BROADCAST_ROWS = 200_000
 

@@ -74,13 +74,14 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def distinct_on(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, the smallest by its JSON text, so that the choice repeats.
+    """One row per key, the smallest by its plain columns, so that the choice repeats.
 
     An aggregate, combined before the shuffle: many copies of one key stay cheap.
     """
-    row = F.struct(*df.columns)
+    plain = [f.name for f in df.schema.fields
+             if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
     picked = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(
-        F.min_by(row, F.to_json(row)).alias("_row"))
+        F.min_by(F.struct(*df.columns), F.struct(*plain)).alias("_row"))
     return picked.select("_row.*")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache
 from math import log2
 
 from pyspark.sql import DataFrame, Row
@@ -17,6 +18,12 @@ US = "_us"
 STATE_FEATURES = [name for name in schemas.CLICK_FEATURES if name.startswith(("ip_", "device_"))]
 
 
+@lru_cache(maxsize=65536)
+def _weight(count: int) -> int:
+    """``count * log2(count)`` in the whole-number scale of the batch operators."""
+    return round(count * log2(count) * 1e8) if count > 1 else 0
+
+
 class Trail:
     """Times of one key's clicks in arrival order, with one head per window.
 
@@ -48,6 +55,7 @@ class IpState:
         self.ip = Trail(self.widths)
         self.devices: dict[str, Trail] = {}
         self.prints: Counter = Counter()
+        self.weight = 0
         self.oldest_print = 0
         self.last = last
         for click in recent:
@@ -57,24 +65,27 @@ class IpState:
         self.recent.append((now, device, os))
         trail = self.devices.setdefault(device, Trail(self.widths))
         sizes = self.ip.add(now), trail.add(now)
-        self.prints[(device, os)] += 1
+        self._count((device, os), 1)
         edge = now - schemas.ENTROPY_SECONDS * MICROS
         while self.recent[self.oldest_print][0] < edge:
-            gone = self.recent[self.oldest_print][1:]
-            self.prints[gone] -= 1
-            if not self.prints[gone]:
-                del self.prints[gone]
+            self._count(self.recent[self.oldest_print][1:], -1)
             self.oldest_print += 1
         return sizes
 
+    def _count(self, fingerprint: tuple[str, str], change: int) -> None:
+        before = self.prints[fingerprint]
+        self.prints[fingerprint] = before + change
+        self.weight += _weight(before + change) - _weight(before)
+        if before + change == 0:
+            del self.prints[fingerprint]
+
     def click(self, now: int, device: str, os: str) -> dict[str, float]:
         gap = 0.0 if self.last is None else max(0.0, (now - self.last) / MICROS)
         self.last = now
         ip_sizes, device_sizes = self._take(now, device, os)
-        total = sum(self.prints.values())
-        spread = sum(c * log2(c) for c in self.prints.values())
+        total = len(self.recent) - self.oldest_print
         out = {"ip_inter_click_gap_seconds": gap,
-               "ip_fingerprint_entropy_5m": max(0.0, log2(total) - spread / total)}
+               "ip_fingerprint_entropy_5m": max(0.0, log2(total) - self.weight / (total * 1e8))}
         for name, width in schemas.WINDOW_SECONDS.items():
             out[f"ip_clicks_{name}"] = ip_sizes[width]
             out[f"device_clicks_{name}"] = device_sizes[width]
