@@ -58,6 +58,9 @@ def x_log2_x(count: Column, scale: int = 100_000_000) -> Column:
 
 
 def entropy_from_sums(total: Column, weighted: Column, scale: int = 100_000_000) -> Column:
-    """Base-2 entropy from a bag's size and its summed ``x_log2_x`` counts."""
-    bits = F.log2(total.cast("double")) - weighted / (total * F.lit(float(scale)))
+    """Base-2 entropy from a bag's size and its summed ``x_log2_x`` counts.
+
+    Both terms carry the same rounding, so a bag of one value has exactly no entropy.
+    """
+    bits = (x_log2_x(total, scale) - weighted) / (total * F.lit(float(scale)))
     return F.when(total > 0, F.greatest(F.lit(0.0), bits)).otherwise(F.lit(0.0))

@@ -8,54 +8,74 @@ from pyspark.sql import functions as F
 from clickwarden import schemas
 from clickwarden.functions import is_blank, is_integer_like, is_zero_or_one, parse_timestamp
 
-_TEXT_MAP = "map<string,string>"
+_RECORDS = "array<map<string,string>>"
 
 
-def violations(present: list[Column] | Column, values: dict[str, Column]) -> Column:
+def read_record(value: Column | str) -> Column:
+    """JSON object text as a map of texts; null when the text is no single object.
+
+    The text is read as the only element of an array, so that anything after the object
+    spoils it. Values stay text: one badly typed field does not spoil the others.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    wrapped = F.concat(F.lit("["), value, F.lit("]"))
+    return F.from_json(wrapped, _RECORDS, {"allowSingleQuotes": "false"})
+
+
+def _single(records: Column) -> Column:
+    return F.when(F.size(records) == 1, F.try_element_at(records, F.lit(1)))
+
+
+def violations(present: Column | list[str], values: dict[str, Column]) -> Column:
     """Array of contract violations, empty when the record is valid.
 
-    ``present`` holds the names of the record's keys and ``values`` the checked values as
-    text. Missing keys come first, sorted, then empty values, then bad flags.
+    ``present`` holds the names of the record's keys (an array column or a fixed list) and
+    ``values`` the checked values as text. Missing keys come first, sorted, then empty
+    values, then bad flags. All parts are plain expressions, which keeps them in
+    generated code.
     """
-    keys = present if isinstance(present, Column) else F.array(*present)
-    required = F.array(*[F.lit(name) for name in sorted(schemas.REQUIRED_EVENT_FIELDS)])
-    missing = F.transform(
-        F.array_sort(F.array_except(required, keys)),
-        lambda name: F.concat(F.lit("missing required key: "), name),
-    )
     nothing = F.lit(None).cast("string")
-    found = []
+
+    def has(name: str) -> Column:
+        if isinstance(present, list):
+            return F.lit(name in present)
+        return F.array_contains(present, name)
+
+    found = [
+        F.when(~has(name), F.lit(f"missing required key: {name}")).otherwise(nothing)
+        for name in sorted(schemas.REQUIRED_EVENT_FIELDS)
+    ]
     for name in schemas.NON_EMPTY_EVENT_FIELDS:
         if name in values:
-            bad = F.array_contains(keys, name) & is_blank(values[name])
+            bad = has(name) & is_blank(values[name])
             found.append(F.when(bad, F.lit(f"empty required value: {name}")).otherwise(nothing))
     for name in schemas.FLAG_EVENT_FIELDS:
         if name in values:
-            has = F.array_contains(keys, name)
+            value = values[name]
             found.append(
-                F.when(has & ~is_integer_like(values[name]), F.lit(f"{name} must be integer-like"))
-                .when(has & ~is_zero_or_one(values[name]), F.lit(f"{name} must be 0 or 1"))
+                F.when(~has(name) | F.coalesce(value.isin("0", "1"), F.lit(False)), nothing)
+                .when(~is_integer_like(value), F.lit(f"{name} must be integer-like"))
+                .when(~is_zero_or_one(value), F.lit(f"{name} must be 0 or 1"))
                 .otherwise(nothing)
             )
-    return F.concat(missing, F.array_compact(F.array(*found)))
+    return F.array_except(F.array(*found), F.array(nothing))
 
 
 def validate_clicks(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``is_malformed`` and ``errors`` to rows of raw JSON text.
 
-    Text that is no JSON object is malformed and has no ``errors``. Values are read as
-    text, so one badly typed field does not spoil the others.
+    Text that is no JSON object is malformed and has no ``errors``.
     """
-    keys = F.json_object_keys(value)
-    fields = F.from_json(value, _TEXT_MAP)
+    staged = df.withColumn("_records", read_record(value))
+    staged = staged.withColumn("_fields", _single(F.col("_records")))
+    staged = staged.withColumn("_keys", F.map_keys("_fields"))
     checked = (*schemas.NON_EMPTY_EVENT_FIELDS, *schemas.FLAG_EVENT_FIELDS)
-    parsed = df.withColumns({"_keys": keys, "_fields": fields})
     values = {name: F.col("_fields").getItem(name) for name in checked}
-    malformed = F.col("_keys").isNull() | F.col("_fields").isNull()
-    return parsed.withColumns({
+    malformed = F.col("_fields").isNull()
+    return staged.withColumns({
         "is_malformed": malformed,
         "errors": F.when(~malformed, violations(F.col("_keys"), values)),
-    }).drop("_keys", "_fields")
+    }).drop("_records", "_keys", "_fields")
 
 
 def parse_clicks(df: DataFrame, value: str = "value", quarantine: bool = False) -> DataFrame:
@@ -64,11 +84,13 @@ def parse_clicks(df: DataFrame, value: str = "value", quarantine: bool = False)
     Text that is no JSON object is dropped. With ``quarantine`` it is kept instead, with
     null fields and the text in ``parse_error``.
     """
-    fields = F.from_json(value, _TEXT_MAP)
-    bad = F.json_object_keys(value).isNull() | fields.isNull()
-    staged = df.select(F.col(value).alias("_raw"), fields.alias("_f"), bad.alias("_bad"))
-    if not quarantine:
-        staged = staged.where(~F.col("_bad"))
+    staged = df.select(F.col(value).alias("_raw"), read_record(value).alias("_records"))
+    if quarantine:
+        staged = staged.select("_raw", _single(F.col("_records")).alias("_f"))
+    else:
+        # Exploding drops malformed rows without a filter that would read the text twice.
+        one = F.when(F.size("_records") == 1, F.col("_records"))
+        staged = staged.select(F.explode(one).alias("_f")).where(F.col("_f").isNotNull())
     typed = []
     for field in schemas.CLICK_EVENT.fields:
         text = F.col("_f").getItem(field.name)
@@ -78,9 +100,9 @@ def parse_clicks(df: DataFrame, value: str = "value", quarantine: bool = False)
         elif kind == "string":
             typed.append(text.alias(field.name))
         else:
-            typed.append(F.nullif(F.trim(text), F.lit("")).try_cast(kind).alias(field.name))
+            typed.append(F.trim(text).try_cast(kind).alias(field.name))
     if quarantine:
-        typed.append(F.when(F.col("_bad"), F.col("_raw")).alias("parse_error"))
+        typed.append(F.when(F.col("_f").isNull(), F.col("_raw")).alias("parse_error"))
     return staged.select(*typed)
 
 

@@ -54,7 +54,7 @@ def normalize_clicks(df: DataFrame, on_error: str = "fail") -> DataFrame:
         events = events.withColumn("is_synthetic", F.lit(0))
     events = events.withColumn("event_timestamp", F.current_timestamp())
     errors = violations(
-        [F.lit(name) for name in events.columns],
+        list(events.columns),
         {name: F.col(name).cast("string")
          for name in (*schemas.NON_EMPTY_EVENT_FIELDS, *schemas.FLAG_EVENT_FIELDS)
          if name in events.columns},

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickwarden import schemas
 from clickwarden.functions import click_to_install_seconds, latency_ms
-from clickwarden.operators.contract import validate_clicks
+from clickwarden.operators.contract import read_record, validate_clicks
 from clickwarden.operators.eda import flagged
 from clickwarden.operators.features import attach_rates, click_features
 from clickwarden.operators.models import score
@@ -139,10 +139,10 @@ def transaction_stream(messages: DataFrame, schema=schemas.TRANSACTION, value: s
                        ) -> tuple[DataFrame, DataFrame]:
     """Scorable transactions of a JSON stream, and the texts that do not parse."""
     parsed = messages.select(F.from_json(value, schema).alias("_t"), F.col(value).alias("_raw"),
-                             F.json_object_keys(value).isNull().alias("_bad"))
+                             read_record(value).isNull().alias("_bad"))
     bad = parsed.where(F.col("_bad")).select(
         F.concat(F.lit("PARSE ERROR: "), F.coalesce("_raw", F.lit(""))).alias("value"))
-    return filter_types(parsed.where(~F.col("_bad")).select("_t.*")), bad
+    return filter_types(parsed.select("_t.*")), bad
 
 
 def monitored(messages: DataFrame, name: str = "contract", value: str = "value") -> DataFrame:

@@ -85,7 +85,8 @@ class IpState:
         ip_sizes, device_sizes = self._take(now, device, os)
         total = len(self.recent) - self.oldest_print
         out = {"ip_inter_click_gap_seconds": gap,
-               "ip_fingerprint_entropy_5m": max(0.0, log2(total) - self.weight / (total * 1e8))}
+               "ip_fingerprint_entropy_5m": max(
+                   0.0, (_weight(total) - self.weight) / (total * 1e8))}
         for name, width in schemas.WINDOW_SECONDS.items():
             out[f"ip_clicks_{name}"] = ip_sizes[width]
             out[f"device_clicks_{name}"] = device_sizes[width]
