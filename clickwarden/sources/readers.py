@@ -73,11 +73,11 @@ def read_table(spark: SparkSession, name: str = schemas.BATCH_TABLE,
 
 
 def read_snapshots(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Conversion snapshot JSON as ``campaign`` and ``publisher`` tables.
+    """Conversion snapshot JSON file (one object) as ``campaign`` and ``publisher`` tables.
 
     An entry is an object with counts, or a bare number that is the rate itself.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     tables = {}
     for side in ("campaign", "publisher"):
         outer = F.from_json("value", "map<string,map<string,string>>").getItem(side)
