@@ -220,25 +220,19 @@ def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int,
     if found is None:
         return _rows_at_sorted(df, narrow, order, {p: p for p in positions})
     low, width, counts = found
-    wanted: dict[int, dict[int, int]] = {}
-    start = 0
+    kind, column = df.schema[order[0]].dataType, F.col(order[0])
+    keep, inside, start, kept = F.lit(False), {}, 0, 0
     for bucket, rows in counts:
-        for position in positions:
-            if start <= position < start + rows:
-                wanted.setdefault(bucket, {})[position - start] = position
-        start += rows
-    out = {}
-    kind = df.schema[order[0]].dataType
-    for bucket, inside in wanted.items():
-        column = F.col(order[0])
-        if bucket < 0:
-            part = narrow.where(column.isNull())
-        else:
+        hits = [p for p in positions if start <= p < start + rows]
+        if hits:
             first = _order_literal(low + bucket * width, kind)
             last = _order_literal(low + (bucket + 1) * width - 1, kind)
-            part = narrow.where((column >= first) & (column <= last))
-        out.update(_rows_at_sorted(df, part, order, inside))
-    return out
+            keep = keep | (column.isNull() if bucket < 0 else (column >= first) & (column <= last))
+            # The kept buckets are sorted together, one after the other.
+            inside.update({p - start + kept: p for p in hits})
+            kept += rows
+        start += rows
+    return _rows_at_sorted(df, narrow.where(keep), order, inside) if inside else {}
 
 
 def _rows_at_sorted(

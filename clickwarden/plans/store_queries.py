@@ -37,6 +37,19 @@ def scan_raw_clicks(spark, sf):
     return ingest.map_clicks(readers.read_raw_clicks(spark, path)).select(*mapped_columns())
 
 
+@query("number_source_rows", f"""WITH {fx.RAW_SQL}
+SELECT raw.ip, raw.click_time, row_number() OVER (ORDER BY us, seq) - 1 AS source_row
+FROM raw JOIN clicks USING (seq)""")
+def number_source_rows(spark, sf):
+    """Row numbers of a CSV source that was written in time order."""
+    path = folder(spark, "raw-csv")
+    times = fx.clicks(spark, sf).select("seq", "us")
+    fx.raw_clicks(spark, sf).join(times, "seq").orderBy("us", "seq").drop("seq", "us").write.option(
+        "header", True).option("emptyValue", "").csv(path)
+    out = readers.read_raw_clicks(spark, path, "source_row")
+    return out.select("ip", "click_time", big("source_row"))
+
+
 @query("scan_clicks", MAPPED_SQL)
 def scan_clicks(spark, sf):
     path = folder(spark, "clicks-csv")
@@ -241,6 +254,19 @@ def retrain_and_publish(spark, sf):
         sound(0.5, "batch_fraud_probability", "batch_is_flagged").alias("sound"))
 
 
+@query("publish_features", f"""WITH {fx.TXN_SQL}
+SELECT txn_key, step, "nameDest", "isFraud", amount,
+       CAST(row_number() OVER (PARTITION BY nameDest ORDER BY {", ".join(TXN_ORDER)}) - 1 AS BIGINT)
+         AS dest_txn_count_so_far FROM txn_keyed""")
+def publish_features(spark, sf):
+    """The batch job without training: load, filter, features, catalog table."""
+    feats = transactions.transaction_features(fx.transactions(spark, sf), TXN_ORDER)
+    name = f"features_{uuid.uuid4().hex}"
+    writers.publish_batch_table(feats, name, location=folder(spark, "catalog"))
+    return readers.read_table(spark, name).select(
+        "txn_key", "step", "nameDest", "isFraud", "amount", "dest_txn_count_so_far")
+
+
 @query("walk_forward_training", "SELECT CAST(3 AS BIGINT) AS folds, true AS better_than_chance")
 def walk_forward_training(spark, sf):
     train, test = _assembled(spark, sf)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from clickwarden import schemas
 from clickwarden.functions import blank_to_null, parse_timestamp
+from clickwarden.operators.ordering import global_index
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -33,13 +34,28 @@ def _require(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
-def read_raw_clicks(spark: SparkSession, path: str) -> DataFrame:
-    """Raw click CSV with a header, all columns as text; fails on missing columns."""
+def read_raw_clicks(
+    spark: SparkSession, path: str, numbered: str | None = None
+) -> DataFrame:
+    """Raw click CSV with a header, all columns as text; fails on missing columns.
+
+    ``numbered`` names a column for the zero-based row number in the source: files by
+    path, and within a file the order of its lines. Every split of a file is read by one
+    task from its start, so split offset and row id give the line order.
+    """
     df = spark.read.option("header", True).csv(path)
     text = [
         F.coalesce(F.col(c), F.lit("")).alias(c) for c in schemas.RAW_CLICK_COLUMNS
     ]
-    return _require(df, schemas.RAW_CLICK_COLUMNS).select(*text)
+    df = _require(df, schemas.RAW_CLICK_COLUMNS)
+    if numbered is None:
+        return df.select(*text)
+    placed = df.select(
+        *text, F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"))
+    return global_index(placed, ["_file", "_block", "_line"], numbered).drop(
+        "_file", "_block", "_line")
 
 
 def read_clicks(spark: SparkSession, path: str) -> DataFrame:
