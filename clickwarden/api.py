@@ -21,7 +21,7 @@ from clickwarden.operators.metrics import (
     walk_forward_metrics,
 )
 from clickwarden.operators.models import (
-    continue_gbt, load_model, retrain, save_model, score, train_gbt, train_lr,
+    continue_gbt, fit_and_compare, load_model, retrain, save_model, score, train_gbt, train_lr,
     training_report, walk_forward_scores, warm_vs_cold,
 )
 from clickwarden.operators.ordering import global_index, quantiles, running

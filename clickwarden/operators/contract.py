@@ -34,6 +34,7 @@ def violations(present: Column | list[str], values: dict[str, Column]) -> Column
     values, then bad flags. All parts are plain expressions, which keeps them in
     generated code.
     """
+    # The texts of the violations.
     nothing = F.lit(None).cast("string")
 
     def has(name: str) -> Column:

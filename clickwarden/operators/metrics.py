@@ -6,7 +6,7 @@ ranges (ordering.running), so many distinct scores do not meet in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickwarden.operators.ordering import quantiles, running
@@ -67,7 +67,7 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision, recall and F1 at every distinct score as threshold."""
     curve = _cumulative(df, label, score, [])
-    positives = df.where(F.col(score).isNotNull()).agg(F.count_if(F.col(label) == 1)).first()[0]
+    positives = curve.agg(F.max("tp")).first()[0] or 0  # reads the stored counts only
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     recall = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.lit(float(positives))),
                         F.lit(0.0))
@@ -173,7 +173,3 @@ def latency_report(df: DataFrame, column: str = "latency_ms") -> DataFrame:
         *[F.lit(cuts[n]).cast("double").alias(n) for n in names.values()],
         F.max(value).alias("max"), F.avg(value).alias("mean"),
     )
-
-
-def rate_of(condition: Column) -> Column:
-    return F.avg(condition.cast("int"))

@@ -139,22 +139,26 @@ def _evaluated(name: str, model, test: DataFrame) -> DataFrame:
 
 def warm_vs_cold(
     train: DataFrame, test: DataFrame, trees: int = 120, depth: int = DEPTH,
-    order: list[str] = ("timestamp", "click_id"),
+    order: list[str] = ("timestamp", "click_id"), cold: Model | None = None,
 ) -> DataFrame:
-    """Half the trees on the older half plus half on the newer, against all trees on both."""
+    """Half the trees on the older half plus half on the newer, against all trees on both.
+
+    ``cold`` may be given when the same model has been trained already.
+    """
     older, newer = split_history(train, order)
     warm = continue_gbt(train_gbt(older, trees // 2, depth=depth), newer, trees // 2, depth=depth)
-    cold = train_gbt(train, trees, depth=depth)
+    cold = cold or train_gbt(train, trees, depth=depth)
     return _evaluated("warm_start", warm, test).unionByName(_evaluated("cold_w1_w2", cold, test))
 
 
-def training_report(
+def fit_and_compare(
     df: DataFrame, names: list[str] = tuple(schemas.CLICK_FEATURES), label: str = "is_fraud",
     test_fraction: float = 0.2, trees: int = 120, max_iter: int = 500, depth: int = DEPTH,
     order: list[str] = ("timestamp", "click_id"),
-) -> DataFrame:
-    """One row per model: logistic, boosted, warm start and cold, on one time split.
+) -> tuple[DataFrame, Model]:
+    """The training report and the boosted model it describes.
 
+    One row per model: logistic, boosted, warm start and cold, on one time split.
     ``threshold`` and ``f1`` are the best F1 operating point of the boosted model.
     """
     ready = spill(assemble(df.select(*names, label, *order), list(names), label), "training")
@@ -163,12 +167,19 @@ def training_report(
     best = best_f1_threshold(score(boosted, test).select("label", "score")).first()
     rows = _evaluated("logistic_regression", train_lr(train, max_iter), test)
     rows = rows.unionByName(_evaluated("boosted_trees", boosted, test))
-    rows = rows.unionByName(warm_vs_cold(train, test, trees, depth, order))
+    # Same rows, trees and seed: the boosted model is the cold one.
+    rows = rows.unionByName(warm_vs_cold(train, test, trees, depth, order, boosted))
     mine = F.col("model") == "boosted_trees"
-    return rows.withColumns({
+    report = rows.withColumns({
         "threshold": F.when(mine, F.lit(round(best["threshold"], 6))),
         "f1": F.when(mine, F.lit(round(best["f1"], 6))),
     })
+    return report, boosted
+
+
+def training_report(df: DataFrame, *args, **kwargs) -> DataFrame:
+    """The report of ``fit_and_compare`` with the same arguments."""
+    return fit_and_compare(df, *args, **kwargs)[0]
 
 
 def walk_forward_scores(

@@ -7,7 +7,7 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.operators.metrics import ranking_metrics, rate_of
+from clickwarden.operators.metrics import ranking_metrics
 
 LAYERS = ("speed", "batch")
 
@@ -44,7 +44,7 @@ def _agree() -> Column:
 
 
 def agreement_rate(df: DataFrame) -> DataFrame:
-    return df.agg(rate_of(_agree()).alias("agreement_rate"))
+    return df.agg(F.avg(_agree().cast("int")).alias("agreement_rate"))
 
 
 def flag_breakdown(df: DataFrame) -> DataFrame:

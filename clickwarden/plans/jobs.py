@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickwarden import schemas
 from clickwarden.operators import (
-    eda, features, ingest, metrics, models, reconcile, split, transactions,
+    eda, features, ingest, metrics, models, reconcile, transactions,
 )
 from clickwarden.runtime import spill
 from clickwarden.sources import readers, writers
@@ -75,14 +75,11 @@ def train_clicks(
     enriched = spill(
         features.click_features(clicks, snaps["campaign"], snaps["publisher"]).select(
             *ORDER, *schemas.CLICK_FEATURES, "is_fraud"), "features")
-    report = models.training_report(
+    report, boosted = models.fit_and_compare(
         enriched, test_fraction=test_fraction, trees=trees, max_iter=max_iter, depth=depth,
         order=ORDER)
     report = spill(report, "report")
-    train, _ = split.chronological_split(
-        models.assemble(enriched, schemas.CLICK_FEATURES, "is_fraud"), test_fraction, ORDER)
-    models.save_model(
-        models.train_gbt(train, trees, depth=depth), f"{target}/model", schemas.CLICK_FEATURES, spark)
+    models.save_model(boosted, f"{target}/model", schemas.CLICK_FEATURES, spark)
     writers.write_report(report, f"{target}/metrics")
     return report
 

@@ -135,18 +135,16 @@ SELECT side, id, CASE WHEN side = 'campaign' THEN c ELSE 0 END AS clicks,
        CAST(CASE WHEN side = 'campaign' THEN a ELSE 0 END AS BIGINT) AS attributed,
        CASE WHEN side = 'publisher' THEN round(a / c::DOUBLE, 6) + 0.0 END AS rate FROM s""")
 def snapshot_json(spark, sf):
-    """Counts for campaigns, bare rates for publishers, stored as one JSON object."""
+    """Counts for campaigns, bare rates for publishers, one line of JSON per id."""
     campaign, publisher = snapshots(fx.clicks(spark, sf))
     path = folder(spark, "snapshot-json")
-    # The file is one object keyed by id; the snapshots hold one row per id.
-    counts = campaign.agg(F.map_from_entries(F.collect_list(F.struct(
-        "id", F.struct("clicks", "attributed")))).alias("campaign"))
-    rates = publisher.agg(F.map_from_entries(F.collect_list(F.struct(
-        "id", F.round(F.col("attributed") / F.col("clicks"), 6)))).alias("publisher"))
-    counts.select(F.lit(1).alias("one"), "campaign").join(
-        rates.select(F.lit(1).alias("one"), "publisher"), "one").drop("one").select(
-        F.to_json(F.struct("campaign", "publisher")).alias("value")).write.text(path)
-    tables = readers.read_snapshots(spark, path)
+    counts = F.create_map("id", F.struct("clicks", "attributed"))
+    rates = F.create_map("id", F.round(F.col("attributed") / F.col("clicks"), 6))
+    lines = campaign.select(F.to_json(F.struct(counts.alias("campaign"))).alias("value"))
+    lines.unionByName(
+        publisher.select(F.to_json(F.struct(rates.alias("publisher"))).alias("value"))
+    ).write.text(path)
+    tables = readers.read_snapshots(spark, path, lines=True)
     out = [t.select(F.lit(side).alias("side"), "id", "clicks", "attributed", r6("rate"))
            for side, t in tables.items()]
     return out[0].unionByName(out[1])

@@ -88,12 +88,14 @@ def read_table(spark: SparkSession, name: str = schemas.BATCH_TABLE,
     return spark.table(f"{database}.{name}")
 
 
-def read_snapshots(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Conversion snapshot JSON file (one object) as ``campaign`` and ``publisher`` tables.
+def read_snapshots(spark: SparkSession, path: str, lines: bool = False) -> dict[str, DataFrame]:
+    """Conversion snapshot JSON as ``campaign`` and ``publisher`` tables.
 
-    An entry is an object with counts, or a bare number that is the rate itself.
+    A file is one object with both sides keyed by id; with ``lines`` every line is such an
+    object with some of the ids, which suits many ids. An entry is an object with counts,
+    or a bare number that is the rate itself.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=not lines)
     tables = {}
     for side in ("campaign", "publisher"):
         outer = F.from_json("value", "map<string,map<string,string>>").getItem(side)
