@@ -38,7 +38,7 @@ from clickwarden.operators.transactions import (
 from clickwarden.operators.windows import (
     count_so_far, inter_click_gap, rolling_counts, rolling_entropy,
 )
-from clickwarden.runtime import configure
+from clickwarden.runtime import configure, release
 from clickwarden.sources.readers import (
     read_click_stream, read_clicks, read_raw_clicks, read_scored, read_snapshots,
     read_staging, read_table, read_transactions,
@@ -48,7 +48,7 @@ from clickwarden.sources.writers import (
     write_click_stream, write_clicks, write_head, write_report, write_snapshots,
 )
 from clickwarden.streaming.scoring import (
-    enrich_with_history, monitored, score_stream, table_sink, transaction_stream,
+    check_contract_stream, enrich_with_history, monitored, score_stream, table_sink, transaction_stream,
 )
 from clickwarden.streaming.state import count_so_far_stream, enrich_stream
 

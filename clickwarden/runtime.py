@@ -55,6 +55,9 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_stored: list[str] = []
+
+
 def spill(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to a scratch Parquet table and read it back.
 
@@ -64,9 +67,24 @@ def spill(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process stored with ``spill``; returns how many there were.
+
+    Call it when a job's results are written: results that still read a stored stage can
+    no longer be computed afterwards.
+    """
+    count = len(_stored)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
+
+
 def hot_key_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("clickwarden.hotKeyRows", str(HOT_KEY_ROWS)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickwarden import schemas
 from clickwarden.functions import click_to_install_seconds, latency_ms
-from clickwarden.operators.contract import read_record, validate_clicks
+from clickwarden.operators.contract import check_contract_batch, read_record, validate_clicks
 from clickwarden.operators.eda import flagged
 from clickwarden.operators.features import attach_rates, click_features
 from clickwarden.operators.models import score
@@ -155,6 +157,32 @@ def monitored(messages: DataFrame, name: str = "contract", value: str = "value")
         F.count_if(F.col("is_malformed")).alias("malformed_json"))
 
 
+def check_contract_stream(
+    messages: DataFrame, checkpoint: str, max_rows: int = 100, seconds: float = 20.0,
+    value: str = "value",
+) -> DataFrame:
+    """Contract totals of a stream until ``max_rows`` messages or ``seconds`` have passed."""
+    totals, started = Counter(), time.monotonic()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        room = max_rows - totals["total"]
+        if room > 0:
+            totals.update(check_contract_batch(batch, room, value).first().asDict())
+
+    query = messages.writeStream.foreachBatch(handle).option(
+        "checkpointLocation", checkpoint).start()
+    try:
+        while totals["total"] < max_rows and time.monotonic() - started < seconds:
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+    spent = max(time.monotonic() - started, 1e-9)
+    names = ["valid", "invalid", "malformed_json", "total"]
+    row = (*[totals[n] for n in names], round(totals["total"] / spent, 2))
+    return messages.sparkSession.createDataFrame(
+        [row], ", ".join(f"{n} long" for n in names) + ", messages_per_second double")
+
+
 def drain(query: StreamingQuery, seconds: int = 300) -> None:
     """Wait for a bounded stream to end; fails when it does not in time."""
     if not query.awaitTermination(seconds):

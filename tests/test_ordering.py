@@ -109,10 +109,20 @@ def test_order_violations(spark):
     assert [(r["seq"], r["t"], r["previous_time"]) for r in out] == [(3, 1, 2), (5, 4, 5)]
 
 
-def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+def test_stages_live_in_the_shared_folder(spark):
     from clickwarden import runtime
 
     assert runtime.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    before, runtime._stored[:] = list(runtime._stored), []
+    stored = runtime.spill(spark.range(3))
+    assert stored.count() == 3
+    path = stored.inputFiles()[0]
+    assert path.removeprefix("file:").lstrip("/").startswith(
+        runtime.scratch_root(spark).lstrip("/"))
+    assert runtime.release(spark) == 1
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    runtime._stored[:] = before
 
 
 def test_broadcast_only_when_small(spark):

@@ -163,3 +163,13 @@ def test_monitor_reports_totals(spark, tmp_path):
     seen = [p.observedMetrics["contract"] for p in query.recentProgress
             if "contract" in p.observedMetrics]
     assert (seen[0]["invalid"], seen[0]["malformed_json"], seen[0]["valid"]) == (1, 1, 0)
+
+
+def test_bounded_contract_check(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"ip":"1"}\nnot json\n{}\n')
+    stream = readers.read_click_stream(spark, "text", path=str(tmp_path / "in"))
+    row = scoring.check_contract_stream(stream, str(tmp_path / "cp"), 2, 60.0).first()
+    assert (row["total"], row["valid"]) == (2, 0) and row["messages_per_second"] > 0
+    row = scoring.check_contract_stream(stream, str(tmp_path / "cp2"), 100, 4.0).first()
+    assert (row["invalid"], row["malformed_json"]) == (2, 1)
