@@ -225,8 +225,10 @@ def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int,
     for bucket, rows in counts:
         hits = [p for p in positions if start <= p < start + rows]
         if hits:
-            first = _order_literal(low + bucket * width, kind)
-            last = _order_literal(low + (bucket + 1) * width - 1, kind)
+            # Bucket edges may lie beyond a narrow integer type.
+            edge = kind if isinstance(kind, _TIMES) else T.LongType()
+            first = _order_literal(low + bucket * width, edge)
+            last = _order_literal(low + (bucket + 1) * width - 1, edge)
             keep = keep | (column.isNull() if bucket < 0 else (column >= first) & (column <= last))
             # The kept buckets are sorted together, one after the other.
             inside.update({p - start + kept: p for p in hits})

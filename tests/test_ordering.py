@@ -63,6 +63,13 @@ def test_split_by_text_and_nulls(spark):
     assert {r["id"] for r in early.collect()} == {2}
 
 
+def test_split_at_the_edge_of_a_narrow_type(spark):
+    df = spark.createDataFrame([(2**31 - 1, 1), (-(2**31), 2), (0, 3)], "k int, id int")
+    early, late = split.split_at(df, ["k", "id"], 2)
+    assert {r["id"] for r in early.collect()} == {2, 3}
+    assert {r["id"] for r in late.collect()} == {1}
+
+
 def test_split_filters_are_pushed_down(spark, table, tmp_path):
     table.write.parquet(str(tmp_path / "t"))
     early, _ = split.split_at(spark.read.parquet(str(tmp_path / "t")), ["t", "id"], 900)
