@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickwarden.llm.common import read_table
+from clickwarden.llm.common import held_out, read_table
 from clickwarden.llm.kd_shards import kd_shards
+from clickwarden.llm.minhash import near_duplicates
 from clickwarden.llm.packing import pack
+from clickwarden.llm.quality import quality_scores
 from clickwarden.llm.repair import token_documents
+from clickwarden.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,11 +31,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op4_quality_trees")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")), 0.3)
+
+
+@query("op5_toxicity_grammar")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")), 0.5)
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+@query("op7_circulant_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_documents(read_table(spark, sf_dir, "documents"))
+    return token_documents(read_table(spark, sf_dir, "documents")).drop("shard", "place")
