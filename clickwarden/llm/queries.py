@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwarden.llm.common import held_out, read_table
+from clickwarden.llm.decontamination import benchmark_leaks
 from clickwarden.llm.kd_shards import kd_shards
+from clickwarden.llm.license_scan import scan_licenses
 from clickwarden.llm.minhash import near_duplicates
 from clickwarden.llm.packing import pack
 from clickwarden.llm.quality import quality_scores
@@ -31,6 +33,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_benchmark_leaks")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
