@@ -37,25 +37,37 @@ from clickwarden.llm.tokens import default_path, encoder
 HEAD = struct.Struct("<4sIIIQQQ")
 BASE = np.uint32(1 << 31)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BITS = 18
+_BITS = 19
 MANIFEST = "shard string, partition int, part int, n_docs long, n_ids long, n_symbols long, n_rules long"
-DECODED = "shard string, place int, doc_id long, start_in_shard long, n_tokens long, ids_crc32 long"
+DECODED = "shard string, place int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def frequent_pairs(seq: np.ndarray, whole: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Codes of the up to ``most`` commonest pairs, each seen ``least`` times or more, sorted.
+def frequent_pairs(seq: np.ndarray, end_id: int, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The commonest pairs (codes), the places where they stand, and which pair stands there.
 
-    Pairs are counted in hashed bins first; only pairs in the fullest bins are counted exactly.
+    Pairs are counted in hashed bins. One pair stands for each of the fullest bins and is then
+    counted exactly; another pair in its bin has its turn in a later round.
     """
     code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-    bins = (code * _MIX >> np.uint64(64 - _BITS)).astype(np.int32)
-    full = np.bincount(bins[whole], minlength=1 << _BITS)
-    edge = max(least, np.partition(full, -2 * most)[-2 * most])
-    found, count = np.unique(code[whole & (full >= edge)[bins]], return_counts=True)
-    found, count = found[count >= least], count[count >= least]
-    if len(found) > most:
-        found = found[np.argsort(-count, kind="stable")[:most]]
-    return np.sort(found)
+    bins = (code * _MIX >> np.uint64(64 - _BITS)).view(np.int64)
+    ends = seq == end_id
+    bins[ends[:-1] | ends[1:]] = 1 << _BITS  # no pair reaches over a document's end
+    full = np.bincount(bins, minlength=(1 << _BITS) + 1)
+    full[-1] = 0
+    at = np.flatnonzero((full >= max(least, np.partition(full, -2 * most)[-2 * most]))[bins])
+    stands = np.zeros(1 << _BITS, np.uint64)
+    own, code = bins[at], code[at]
+    stands[own] = code
+    same = stands[own] == code
+    at, own = at[same], own[same]
+    count = np.bincount(own, minlength=1 << _BITS)
+    chosen = np.flatnonzero(count >= least)
+    if len(chosen) > most:
+        chosen = np.sort(chosen[np.argsort(-count[chosen], kind="stable")[:most]])
+    number = np.full(1 << _BITS, -1, np.int64)
+    number[chosen] = np.arange(len(chosen))
+    which = number[own]
+    return stands[chosen], at[which >= 0], which[which >= 0]
 
 
 def repair(ids: np.ndarray, end_id: int, rounds: int = 4, pairs_per_round: int = 1024,
@@ -65,18 +77,9 @@ def repair(ids: np.ndarray, end_id: int, rounds: int = 4, pairs_per_round: int =
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        whole = (seq[:-1] != end_id) & (seq[1:] != end_id)
-        pairs = frequent_pairs(seq, whole, pairs_per_round, least)
+        pairs, at, rule = frequent_pairs(seq, end_id, pairs_per_round, least)
         if not len(pairs):
             break
-        code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        bins = (code * _MIX >> np.uint64(64 - _BITS)).astype(np.int32)
-        marked = np.zeros(1 << _BITS, bool)
-        marked[(pairs * _MIX >> np.uint64(64 - _BITS)).astype(np.int32)] = True
-        at = np.flatnonzero(whole & marked[bins])
-        rule = np.searchsorted(pairs, code[at])
-        hit = pairs[np.minimum(rule, len(pairs) - 1)] == code[at]
-        at, rule = at[hit], rule[hit]
         # of pairs that overlap, every second one counted from the left of its run is kept
         first = np.flatnonzero(np.r_[True, np.diff(at) != 1])
         in_run = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
@@ -210,24 +213,28 @@ def write_token_shards(docs: DataFrame, folder: str, end_id: int = 2, shard_ids:
 
 
 def read_token_shards(manifest: DataFrame, folder: str) -> DataFrame:
-    """Every document of the shards: id, place, length and checksum of the decoded ids."""
+    """Every document of the shards (shard, shard_start): id, start, length and checksum of the decoded ids."""
 
     def read(batches):
         files, _ = arrow_fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with files.open_input_file(name) as source:
                     shard = Shard(source.read())
-                sums = [zlib.crc32(shard.document(k).astype("<u4", copy=False).tobytes()) for k in range(len(shard.doc_ids))]
+                data = memoryview(expand(shard.symbols, shard.rules).astype("<u4", copy=False).tobytes())
+                edges = (4 * shard.starts).astype(np.int64).tolist()
+                sums = [zlib.crc32(data[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
                 n = len(sums)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([name] * n), pa.array(range(n), pa.int32()),
                     pa.array(shard.doc_ids, mask=shard.absent.astype(bool)),
-                    pa.array(shard.starts[:-1].astype(np.int64)), pa.array(np.diff(shard.starts).astype(np.int64)),
+                    pa.array(shard.starts[:-1].astype(np.int64) + before), pa.array(np.diff(shard.starts).astype(np.int64)),
                     pa.array(sums, pa.int64())],
-                    ["shard", "place", "doc_id", "start_in_shard", "n_tokens", "ids_crc32"])
+                    ["shard", "place", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("shard").repartition(F.col("shard")).mapInArrow(read, DECODED)
+    shards = manifest.count()
+    return manifest.select("shard", "shard_start").repartition(
+        min(max(1, shards), 20_000), "shard").mapInArrow(read, DECODED)
 
 
 def token_documents(docs: DataFrame, end_id: int = 2, tokenizer_path: str | None = None,
@@ -235,11 +242,11 @@ def token_documents(docs: DataFrame, end_id: int = 2, tokenizer_path: str | None
     """Write ``docs`` and read them back, with each document's place in the whole output."""
     folder = fresh_folder(docs.sparkSession, "token_shards")
     manifest = write_token_shards(docs, folder, end_id, tokenizer_path=tokenizer_path, **options)
-    # one row per shard of millions of ids; partitions first, so no window sees all shards
+    # one row per shard of millions of ids; summed by partition first, so no window sees all shards
     totals = manifest.groupBy("partition").agg(F.sum("n_ids").alias("n"))
     before = totals.select("partition", (F.sum("n").over(Window.orderBy("partition")) - F.col("n")).alias("before"))
     within = Window.partitionBy("partition").orderBy("part")
     places = manifest.join(before, "partition").select(
         "shard", (F.col("before") + F.sum("n_ids").over(within) - F.col("n_ids")).alias("shard_start"))
-    return read_token_shards(manifest, folder).join(places, "shard").select(
-        "doc_id", (F.col("shard_start") + F.col("start_in_shard")).alias("start"), "n_tokens", "ids_crc32", "shard", "place")
+    return read_token_shards(spill(places, "token_places"), folder).select(
+        "doc_id", "start", "n_tokens", "ids_crc32", "shard", "place")

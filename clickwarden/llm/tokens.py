@@ -38,8 +38,19 @@ class ChunkEncoder:
         self.memo: dict[str, bytes] = {}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.word_end = self.ends_of_words()
         self.tails = {c: self.whole(c) for c in ".,"}
 
+    def ends_of_words(self) -> np.ndarray | None:
+        """Which ids close a word, if the model marks them."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        out = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            out[number] = token.endswith(suffix)
+        return out
+
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -62,16 +73,32 @@ class ChunkEncoder:
         return {chunk: memo[core] + tails[tail] if tail else memo[core] for chunk, core, tail in wanted}
 
     def encode_each(self, chunks: list[str]) -> dict[str, bytes]:
-        """Encoded as one text with marks between."""
-        if self.mark is None:
-            return {c: self.whole(c) for c in chunks}
-        ids = np.array(self.tokenizer.encode(f" {MARK} ".join(chunks), add_special_tokens=False).ids, "<u4")
-        ends = (4 * np.flatnonzero(ids == self.mark)).tolist()
-        if len(ends) != len(chunks) - 1:
-            return {c: self.whole(c) for c in chunks}
+        """Chunks of letters alone end with the next word-end token; others get marks between."""
+        words = [c for c in chunks if c.isalpha()]
+        out = self.split(words, " ", self.word_end) if self.word_end is not None else {}
+        rest = [c for c in chunks if c not in out]
+        if rest and self.mark is not None:
+            out |= self.split(rest, f" {MARK} ", None)
+        for chunk in chunks:
+            if chunk not in out:
+                out[chunk] = self.whole(chunk)
+        return out
+
+    def split(self, chunks: list[str], between: str, word_end: np.ndarray | None) -> dict[str, bytes]:
+        """Ids of ``chunks`` encoded as one text, or nothing if they can't be told apart."""
+        if not chunks:
+            return {}
+        ids = np.array(self.tokenizer.encode_batch_fast([between.join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        if word_end is not None:
+            stops = np.flatnonzero(word_end[ids]) + 1
+            starts = np.r_[0, stops[:-1]]
+        else:
+            marks = np.flatnonzero(ids == self.mark)
+            starts, stops = np.r_[0, marks + 1], np.r_[marks, len(ids)]
+        if len(starts) != len(chunks) or stops[-1] != len(ids):
+            return {}
         data = ids.tobytes()
-        starts = [0, *[end + 4 for end in ends]]
-        return {c: data[a:b] for c, a, b in zip(chunks, starts, [*ends, len(data)], strict=True)}
+        return {c: data[a:b] for c, a, b in zip(chunks, (4 * starts).tolist(), (4 * stops).tolist(), strict=True)}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
