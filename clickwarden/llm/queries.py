@@ -15,7 +15,9 @@ from clickwarden.llm.minhash import near_duplicates
 from clickwarden.llm.packing import pack
 from clickwarden.llm.quality import quality_scores
 from clickwarden.llm.repair import token_documents
+from clickwarden.llm.topk import top_inner_products
 from clickwarden.llm.toxicity import toxicity_scores
+from clickwarden.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +73,43 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_documents(read_table(spark, sf_dir, "documents")).drop("shard", "place")
+
+
+@query("op9_warc_archive")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(read_table(spark, sf_dir, "pages"))
+
+
+@query("op10_norm_bucketed_topk")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op10_norm_bucketed_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+ORACLE["op9_warc_archive"] = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), d AS (
+    SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p
+), k AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM d
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM k
+"""
