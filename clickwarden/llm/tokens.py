@@ -16,6 +16,8 @@ import numpy as np
 
 # The mark between chunks, and white space on which str.split and the tokenizer might differ.
 _UNUSUAL = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+# Letters whose lower case might differ between libraries.
+_WIDE = re.compile("[^\x00-\u012f]")
 MARK = "\x01"
 _encoders: dict[tuple[str, int], ChunkEncoder] = {}
 
@@ -38,67 +40,64 @@ class ChunkEncoder:
         self.memo: dict[str, bytes] = {}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.word_end = self.ends_of_words()
+        self.letters = self.plain_letters()
         self.tails = {c: self.whole(c) for c in ".,"}
 
-    def ends_of_words(self) -> np.ndarray | None:
-        """Which ids close a word, if the model marks them."""
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        if not suffix:
-            return None
-        out = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            out[number] = token.endswith(suffix)
-        return out
+    def plain_letters(self) -> dict[int, str]:
+        """Lower-case letters below U+0130 as the model sees them; empty if it sees words otherwise."""
+        splitter, model, out = self.tokenizer.pre_tokenizer, self.tokenizer.model, {}
+        for number in range(0x130):
+            letter = chr(number)
+            if letter.isalpha() and letter.lower() == letter:
+                seen = splitter.pre_tokenize_str(letter) if splitter else [(letter, None)]
+                if len(seen) != 1 or [t.id for t in model.tokenize(seen[0][0])] != list(memoryview(self.whole(letter)).cast("I")):
+                    return {}
+                out[number] = seen[0][0]
+        every = "".join(map(chr, out))
+        same = [t.id for t in model.tokenize(every.translate(out))] == list(memoryview(self.whole(every)).cast("I"))
+        return out if same and all(out[n] == chr(n) for n in range(97, 123)) else {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def new_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+    def new_chunks(self, chunks: list[str], plain: bool) -> dict[str, bytes]:
         """Ids of chunks that are not known yet.
 
-        A closing stop or comma after a letter is a token of its own and case does not
-        matter, so a chunk is looked up once more without them before it is encoded.
+        A closing stop or comma after a letter is a token of its own, and in ``plain`` texts
+        case does not matter, so a chunk is looked up once more without them before it is encoded.
         """
-        memo, tails, wanted = self.memo, self.tails, []
+        memo, tails, cores, ends = self.memo, self.tails, [], []
         for chunk in chunks:
-            tail = chunk[-1]
-            core, tail = (chunk[:-1], tail) if tail in tails and chunk[-2:-1].isalpha() else (chunk, "")
-            if "<|" not in core and max(core) < "\u0130":
-                core = core.lower()
-            wanted.append((chunk, core, tail))
-        cores = list({core for _, core, _ in wanted}.difference(memo))
-        found = self.encode_each(cores) if cores else {}
-        self.memo.update(found)
-        return {chunk: memo[core] + tails[tail] if tail else memo[core] for chunk, core, tail in wanted}
+            end = chunk[-1]
+            if (end == "." or end == ",") and chunk[-2:-1].isalpha():
+                cores.append(chunk[:-1].lower() if plain else chunk[:-1])
+                ends.append(tails[end])
+            else:
+                cores.append(chunk.lower() if plain else chunk)
+                ends.append(b"")
+        wanted = list(set(cores).difference(memo))
+        if plain and self.letters:
+            memo.update(self.encode_words([w for w in wanted if w.isalpha()]))
+            wanted = [w for w in wanted if not w.isalpha()]
+        if wanted:
+            memo.update(self.encode_each(wanted))
+        return {chunk: memo[core] + end for chunk, core, end in zip(chunks, cores, ends, strict=True)}
+
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Lower-case words of plain letters are one unit for the model, which can be asked directly."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        return {w: array("I", [t.id for t in tokenize(w if w.isascii() else w.translate(letters))]).tobytes() for w in words}
 
     def encode_each(self, chunks: list[str]) -> dict[str, bytes]:
-        """Chunks of letters alone end with the next word-end token; others get marks between."""
-        words = [c for c in chunks if c.isalpha()]
-        out = self.split(words, " ", self.word_end) if self.word_end is not None else {}
-        rest = [c for c in chunks if c not in out]
-        if rest and self.mark is not None:
-            out |= self.split(rest, f" {MARK} ", None)
-        for chunk in chunks:
-            if chunk not in out:
-                out[chunk] = self.whole(chunk)
-        return out
-
-    def split(self, chunks: list[str], between: str, word_end: np.ndarray | None) -> dict[str, bytes]:
-        """Ids of ``chunks`` encoded as one text, or nothing if they can't be told apart."""
-        if not chunks:
-            return {}
-        ids = np.array(self.tokenizer.encode_batch_fast([between.join(chunks)], add_special_tokens=False)[0].ids, "<u4")
-        if word_end is not None:
-            stops = np.flatnonzero(word_end[ids]) + 1
-            starts = np.r_[0, stops[:-1]]
-        else:
-            marks = np.flatnonzero(ids == self.mark)
-            starts, stops = np.r_[0, marks + 1], np.r_[marks, len(ids)]
-        if len(starts) != len(chunks) or stops[-1] != len(ids):
-            return {}
-        data = ids.tobytes()
-        return {c: data[a:b] for c, a, b in zip(chunks, (4 * starts).tolist(), (4 * stops).tolist(), strict=True)}
+        """Encoded as one text with marks between."""
+        if self.mark is not None and len(chunks) > 1:
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [f" {MARK} ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+            stops = [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
+            if len(stops) == len(chunks):
+                data = ids.tobytes()
+                return {c: data[a:b] for c, a, b in zip(chunks, [0, *(a + 4 for a in stops)], stops, strict=False)}
+        return {c: self.whole(c) for c in chunks}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -106,19 +105,21 @@ class ChunkEncoder:
         if not (text.isascii() and text.isprintable()) and _UNUSUAL.search(text):
             return self.whole(text)
         chunks, memo = text.split(), self.memo
-        missing = list(set(chunks).difference(memo))
-        if not missing:
-            return b"".join(map(memo.__getitem__, chunks))
-        if len(memo) + len(missing) > self.max_chunks:
-            memo.clear()
-            missing = list(set(chunks))
-        new = self.new_chunks(missing)
-        memo.update(new)
-        out = b"".join(map(memo.__getitem__, chunks))
-        for chunk in [c for c in missing if len(c) > self.max_chunk_chars]:  # these would fill the memo
-            for key in {chunk, chunk[:-1], chunk.lower(), chunk[:-1].lower()}:
-                memo.pop(key, None)
-        return out
+        parts = list(map(memo.get, chunks))
+        places = [i for i, part in enumerate(parts) if part is None]
+        if places:
+            missing = list({chunks[i] for i in places})
+            if len(memo) + len(missing) > self.max_chunks:
+                memo.clear()
+            plain = "<|" not in text and (text.isascii() or not _WIDE.search(text))
+            new = self.new_chunks(missing, plain)
+            for i in places:
+                parts[i] = new[chunks[i]]
+            memo.update(new)
+            for chunk in [c for c in missing if len(c) > self.max_chunk_chars]:  # these would fill the memo
+                for key in {chunk, chunk[:-1], chunk.lower(), chunk[:-1].lower()}:
+                    memo.pop(key, None)
+        return b"".join(parts)
 
 
 def encoder(path: str, max_chunks: int = 900_000) -> ChunkEncoder:
