@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickwarden.llm.common import column_batches
+from clickwarden.llm.quality import keep_rows
 
 Q = 8
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -245,7 +246,20 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 128, ra
         F.col("best.place").alias("place"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without leaks; a doc_id goes if any of its rows leaks."""
-    leaking = benchmark_leaks(docs, benchmark, **options).filter("leaks > 0").select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 128, rate: float = 0.06,
+                    least: int = 40, block_bytes: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` whose text leaks no item, with all their columns."""
+    for block in benchmark_blocks(benchmark, block_bytes):
+        docs = keep_rows(docs, _leak_free(block, window, rate, least))
+    return docs
+
+
+def _leak_free(block: list[tuple[int, str]], window: int, rate: float, least: int):
+    made: list[Patterns] = []  # once in a task
+
+    def decide(texts: pa.Array) -> list[bool]:
+        if not made:
+            made.append(Patterns.of(block, window, rate, least))
+        return [not leaks_in(t, made[0]) for t in texts.to_pylist()]
+
+    return decide

@@ -1,6 +1,6 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-Statistics of whole texts are taken in one pass and stored. A bounded sample of labelled
+Statistics of whole texts are taken where the texts are read. A bounded sample of labelled
 rows (``max_train_rows``, chosen by hash of the id) trains the trees: features are cut into
 histogram bins at quantiles, every tree grows level by level to a fixed depth by the best
 gain over the histograms of gradients, with logistic loss. Trees of a fixed depth are
@@ -155,24 +155,56 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rat
 
 
 def training_rows(labels: DataFrame, column: str, max_rows: int) -> DataFrame:
-    """Up to about ``max_rows`` labelled rows outside the held-out fold: doc_id, label."""
-    usable = labels.filter(~held_out() & F.col(column).isin(0, 1)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
-    share = min(1.0, max_rows / max(1, usable.count()))
-    return usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    """At most ``max_rows`` labelled rows outside the held-out fold: doc_id, label."""
+    return labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col(column).isin(0, 1)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).orderBy(
+        F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, max_rows: int) -> DataFrame:
+    """doc_id, text and label of the training rows. Two numbers for each of ``max_rows`` rows
+    at most are broadcast, so the texts are not shuffled."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(training_rows(labels, column, max_rows)), "doc_id")
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000, **options) -> BoostedTrees:
+    """Trees on the statistics of at most ``max_train_rows`` labelled documents."""
+    sample = spill(labelled_texts(docs, labels, "quality", max_train_rows).select(
+        "doc_id", "label", "text"), "quality_sample")
+    stats = statistics(sample.select((F.col("doc_id") * 2 + F.col("label")).alias("doc_id"), "text")).toPandas()
+    stats = stats.assign(key=[tuple(v) for v in stats["stats"]]).sort_values(["doc_id", "key"])
+    x = np.array(stats["stats"].tolist(), np.float64).reshape(-1, len(FEATURES))
+    return fit_trees(x, (stats["doc_id"].to_numpy() % 2).astype(np.float64), **options)
+
+
+def text_scores(texts: pa.Array, model: BoostedTrees) -> np.ndarray:
+    return model.score(np.array([document_statistics(t) for t in texts.to_pylist()], np.float64).reshape(-1, len(FEATURES)))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000, **options) -> DataFrame:
     """Score of every row of ``docs``; higher means that label 1 is likelier."""
-    stats = spill(statistics(docs), "quality_stats")
-    sample = stats.join(training_rows(labels, "quality", max_train_rows), "doc_id").orderBy("doc_id", "stats").toPandas()
-    x = np.array(sample["stats"].tolist(), np.float64).reshape(-1, len(FEATURES))
-    model = fit_trees(x, sample["label"].to_numpy(np.float64), **options)
+    model = fit_quality(docs, labels, max_train_rows, **options)
 
     def apply(batches):
-        for batch in column_batches(batches, 5000):
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.score(flat.reshape(-1, len(FEATURES))))], ["doc_id", "score"])
+        for batch in column_batches(batches, 500):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text_scores(batch.column(1), model))], ["doc_id", "score"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(apply, "doc_id long, score double")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
+    model = fit_quality(docs, labels, **options)
+    return keep_rows(docs, lambda texts: text_scores(texts, model) >= threshold)
+
+
+def keep_rows(docs: DataFrame, decide) -> DataFrame:
+    """Rows whose text passes ``decide`` (an array of texts to an array of flags), unchanged."""
+    place = docs.columns.index("text")
+
+    def filtered(batches):
+        for batch in column_batches(batches, 500):
+            yield batch.filter(pa.array(np.asarray(decide(batch.column(place)), bool)))
 
-    return stats.mapInArrow(apply, "doc_id long, score double")
+    return docs.mapInArrow(filtered, docs.schema)

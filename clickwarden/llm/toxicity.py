@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickwarden.llm.common import column_batches, spill
-from clickwarden.llm.quality import training_rows
+from clickwarden.llm.quality import keep_rows, labelled_texts
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:,\n]+")
@@ -187,10 +187,8 @@ class Grammar:
 
 
 def fit_grammar(docs: DataFrame, labels: DataFrame, max_train_rows: int = 12_000) -> Grammar:
-    """Learn from at most about ``max_train_rows`` labelled documents outside the held-out fold."""
-    chosen = training_rows(labels, "toxic", max_train_rows)
-    rows = spill(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        chosen, "doc_id").select("doc_id", "text", "label"), "toxicity_sample")
+    """Learn from at most ``max_train_rows`` labelled documents outside the held-out fold."""
+    rows = spill(labelled_texts(docs, labels, "toxic", max_train_rows), "toxicity_sample")
     insults = learn_insults(rows)
 
     def measure(batches):
@@ -220,3 +218,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, grammar: Grammar | None
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         apply, "doc_id long, score double, clauses long, strongest double")
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    grammar = fit_grammar(docs, labels, **options)
+    return keep_rows(docs, lambda texts: grammar.score(
+        np.array([describe(t, grammar.insults) for t in texts.to_pylist()]).reshape(-1, 4)) < threshold)
