@@ -13,8 +13,8 @@ bound by an alignment inside the band with free ends in the document. A document
 a pattern lies in it within its budget.
 
 The benchmark is a stated query set of any size: it is read in blocks of at most
-``block_bytes`` (a proven bound on what is sent to the tasks), the documents pass once for
-each block, and the blocks' results are combined by document.
+``block_bytes`` (a proven bound on what is sent to the tasks), and the documents pass once for
+each block, carrying what was found so far.
 
 Items with fewer than ``least`` bytes of letters and digits are too short to be evidence and are not
 searched. Null and empty texts leak nothing; a null item is ignored. Rows that repeat get one
@@ -27,10 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches
+from clickwarden.llm.common import column_batches, spill
 from clickwarden.llm.quality import keep_rows
 
 Q = 8
@@ -39,7 +39,8 @@ _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 _BLOCK = 32
-HITS = "doc_id long, leaks long, item_id long, edits int, place long"
+PASSES = 4
+STATE = "doc_id long, text string, leaks long, item_id long, edits int, place long"
 
 
 def folded(text: str | None) -> np.ndarray:
@@ -209,48 +210,49 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int):
         yield block
 
 
-def leak_rows(docs: DataFrame, block: list[tuple[int, str]], window: int, rate: float, least: int) -> DataFrame:
+def search_block(rows: DataFrame, block: list[tuple[int, str]], window: int, rate: float, least: int) -> DataFrame:
+    """``rows`` (STATE) with the leaks of one more block of items."""
+
     def search(batches):
         patterns = Patterns.of(block, window, rate, least)
         for batch in column_batches(batches):
-            ids, n, item, edits, place = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            leaks, item, edits, place = (batch.column(i).to_pylist() for i in range(2, 6))
+            for at, text in enumerate(batch.column(1).to_pylist()):
                 found = leaks_in(text, patterns)
-                best = min(((e, i, p) for i, (e, p) in found.items()), default=(None, None, None))
-                for column, value in zip((ids, n, edits, item, place), (doc_id, len(found), *best), strict=True):
-                    column.append(value)
+                if not found:
+                    continue
+                leaks[at] += len(found)
+                best = min((e, i, p) for i, (e, p) in found.items())
+                if item[at] is None or best[:2] < (edits[at], item[at]):
+                    edits[at], item[at], place[at] = best
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(item, pa.int64()),
-                pa.array(edits, pa.int32()), pa.array(place, pa.int64())], ["doc_id", "leaks", "item_id", "edits", "place"])
+                batch.column(0), batch.column(1), pa.array(leaks, pa.int64()), pa.array(item, pa.int64()),
+                pa.array(edits, pa.int32()), pa.array(place, pa.int64())], batch.schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, HITS)
+    return rows.mapInArrow(search, STATE)
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 128, rate: float = 0.06,
                     least: int = 40, block_bytes: int = 1_000_000) -> DataFrame:
     """For every row of ``docs``: number of leaked items, the nearest of them, its edits and place."""
-    parts = [leak_rows(docs, block, window, rate, least) for block in benchmark_blocks(benchmark, block_bytes)]
-    if not parts:
-        parts = [leak_rows(docs, [], window, rate, least)]
-    if len(parts) == 1:
-        return parts[0]
-    # rows come out of every pass in the order they went in, so equal ids are told apart by number
-    every = None
-    for part in parts:
-        part = part.withColumn("copy", F.row_number().over(
-            Window.partitionBy("doc_id").orderBy(F.desc("leaks"), "edits", "item_id")))
-        every = part if every is None else every.unionByName(part)
-    best = F.min(F.when(F.col("leaks") > 0, F.struct("edits", "item_id", "place")))
-    return every.groupBy("doc_id", "copy").agg(F.sum("leaks").alias("leaks"), best.alias("best")).select(
-        "doc_id", "leaks", F.col("best.item_id").alias("item_id"), F.col("best.edits").alias("edits"),
-        F.col("best.place").alias("place"))
+    none = F.lit(None)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("leaks"),
+        none.cast("long").alias("item_id"), none.cast("int").alias("edits"), none.cast("long").alias("place"))
+    for number, block in enumerate(benchmark_blocks(benchmark, block_bytes), 1):
+        rows = search_block(rows, block, window, rate, least)
+        if number % PASSES == 0:  # so that a task never holds more searches than these
+            rows = spill(rows, "leaks")
+    return rows.drop("text")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 128, rate: float = 0.06,
                     least: int = 40, block_bytes: int = 1_000_000) -> DataFrame:
     """The rows of ``docs`` whose text leaks no item, with all their columns."""
-    for block in benchmark_blocks(benchmark, block_bytes):
+    for number, block in enumerate(benchmark_blocks(benchmark, block_bytes), 1):
         docs = keep_rows(docs, _leak_free(block, window, rate, least))
+        if number % PASSES == 0:
+            docs = spill(docs, "leak_free")
     return docs
 
 

@@ -218,7 +218,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = 32, rows: i
 
 
 def first_of_groups(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` per near-duplicate group: the one with the smallest doc_id."""
+    """One row of ``docs`` per near-duplicate group: that with the smallest doc_id.
+
+    Rows without a doc_id can't be linked and stay. Of rows with one doc_id a single one stays.
+    """
     kept = near_duplicates(docs, **options).filter("kept and doc_id is not null").select("doc_id").distinct()
-    unique = docs.withColumn("_place", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
-    return unique.filter("_place = 1").drop("_place").join(kept, "doc_id", "left_semi")
+    place = "_place"
+    while place in docs.columns:
+        place += "_"
+    with_id = docs.filter("doc_id is not null")
+    unique = with_id.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
+    unique = unique.filter(F.col(place) == 1).drop(place).join(kept, "doc_id", "left_semi")
+    return unique.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -114,7 +114,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rat
     """Histogram boosting with logistic loss."""
     share = float(y.mean()) if len(y) else 0.5
     empty = np.zeros((0, 2 ** depth - 1))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return BoostedTrees(float(np.log((share + 1e-6) / (1 - share + 1e-6))), empty.astype(int), empty, np.zeros((0, 2 ** depth)))
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], 1)
