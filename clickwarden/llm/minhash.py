@@ -9,15 +9,18 @@ element-wise minimum of such slices. Two documents are candidates when they agre
 coordinates of a band.
 
 Documents with equal sets form a class and only the class's smallest doc_id goes on. Copies
-are not expanded into pairs: every member of a band's bucket is first compared with the
-bucket's smallest member it meets most often, which joins groups of any size with one pair a
-document. After that, only buckets whose members still belong to several groups are looked at
-again, and only pairs of different groups. Small buckets give their remaining pairs; members
-of larger ones are dealt again by a second band together with the first, which leaves the
-similar pairs together and scatters chance meetings; what is still large then gives its pairs
-of different groups, by a join that Spark can split. Every link is confirmed on the full sets.
-
-A pair at similarity 0.75 misses all 32 bands of four coordinates with probability 5e-6.
+are not expanded into pairs. First, over a few bands, every member of a bucket is compared
+with the leader it meets most often; rounds with other leaders follow for those that are not
+in their leader's group yet. This joins groups of any size with a pair or two a document. Then
+all bands are looked at, but only in buckets that still hold several groups: again by leaders,
+and at last all pairs of different groups in one bucket whose signatures are alike enough to
+allow a link. Buckets above ``small_bucket`` are dealt by two bands at once first, which leaves
+similar pairs together and scatters chance meetings; what is still larger goes through a join
+that Spark can split. Every link is confirmed on the full sets.
+
+A pair at similarity 0.75 shares none of 40 bands with probability 3e-7, fewer than two with
+5e-6, and has a signature 0.15 below its similarity with about 5e-6; a link is lost only if
+its groups do not meet in any other way either.
 Null ids keep their own class; null texts, empty texts and texts without words have size 0,
 link with nothing and are kept. Fewer than ``width`` words count as one shingle. Rows with
 one doc_id stand for one document. Extra columns are ignored; an empty table gives no rows.
@@ -88,30 +91,34 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = 32, rows: int = 4, width: int = 5) -> DataFrame:
-    """doc_id, number of shingles, a 128-bit name of the set, and the hashes of the bands."""
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "bands"]
+    """doc_id, number of shingles, a 128-bit name of the set, hashes of the bands, and 16 bits of every coordinate."""
+    names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "coordinates"]
 
     def sign(batches):
         weights = np.random.default_rng(5).integers(1, 1 << 62, rows).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in column_batches(batches):
-            sizes, a, b, keys, offsets = [], [], [], [], [0]
+            sizes, a, b, keys, offsets, brief = [], [], [], [], [0], []
             for text in batch.column(1).to_pylist():
                 h = shingle_hashes(text, width)
                 sizes.append(len(h))
                 a.append(h.sum(dtype=np.uint64) if len(h) else np.uint64(0))
                 b.append(mixed(h + _STEP).sum(dtype=np.uint64) if len(h) else np.uint64(0))
+                brief.append(None)
                 if len(h):
-                    s = signature(h, bands * rows).reshape(bands, rows).astype(np.uint64)
+                    s = signature(h, bands * rows)
+                    brief[-1] = s.astype("<u2").tobytes()
+                    s = s.reshape(bands, rows).astype(np.uint64)
                     keys.append(mixed((s * weights).sum(1) + np.arange(bands, dtype=np.uint64) * _STEP))
                 offsets.append(offsets[-1] + (bands if len(h) else 0))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(a, np.uint64).view(np.int64)),
                 pa.array(np.array(b, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64)))], names)
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64))),
+                pa.array(brief, pa.binary())], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, coordinates binary")
 
 
 def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -146,71 +153,164 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "a", "b", "ha", "hb").mapInArrow(verify, "a long, b long")
 
 
-def _leaders(members: DataFrame) -> DataFrame:
-    """One pair a member: the bucket's smallest member that it meets in most buckets."""
-    first = members.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = members.join(first.select("bucket", "a"), "bucket").filter("a < doc_id").groupBy(
-        F.col("doc_id").alias("b"), "a").agg(F.count(F.lit(1)).alias("met"))
-    return met.groupBy("b").agg(F.max(F.struct("met", (-F.col("a")).alias("minus"))).alias("m")).select(
-        (-F.col("m.minus")).alias("a"), "b")
+def _placed(own: DataFrame, groups: DataFrame | None, first: int | None = None) -> DataFrame:
+    """doc_id, its group so far, size, and a row for each of its (first) bands."""
+    rows = own if groups is None else own.join(groups, own.doc_id == groups.node, "left")
+    component = F.col("doc_id") if groups is None else F.coalesce("component", "doc_id")
+    bands = F.col("bands") if first is None else F.slice("bands", 1, first)
+    return rows.select("doc_id", "n_shingles", component.alias("component"), F.explode(bands).alias("bucket"))
 
 
-def _open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of buckets that hold several groups, with group and the bucket's size."""
-    placed = members.join(groups, members.doc_id == groups.node, "left").select(
-        "doc_id", "bucket", "n_shingles", "bands", F.coalesce("component", "doc_id").alias("component"))
-    mixed_ = placed.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    return placed.join(mixed_.select("bucket", "n"), "bucket")
+def _mixed(placed: DataFrame, salt: int) -> DataFrame:
+    """Buckets that hold several groups, each with a leader: its member of least (salted) id."""
+    order = F.col("doc_id") if salt == 0 else F.xxhash64("doc_id", F.lit(salt))
+    return placed.groupBy("bucket").agg(
+        F.min(F.struct(order.alias("o"), "doc_id", "component")).alias("lead"), F.count(F.lit(1)).alias("n"),
+        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(
+        "bucket", "n", F.col("lead.doc_id").alias("leader"), F.col("lead.component").alias("own_group"))
+
+
+def _star_pairs(own: DataFrame, groups: DataFrame | None, salt: int, first: int | None = None) -> DataFrame:
+    """One pair a member outside its bucket's leading group: with the leader it meets most often."""
+    placed = _placed(own, groups, first)
+    met = placed.join(_mixed(placed, salt), "bucket").filter("component <> own_group").groupBy(
+        "doc_id", "leader").agg(F.count(F.lit(1)).alias("met"))
+    return met.groupBy(F.col("doc_id").alias("b")).agg(
+        F.max(F.struct("met", (-F.col("leader")).alias("minus"))).alias("m")).select((-F.col("m.minus")).alias("a"), "b")
+
+
+def _likely_pairs(members: DataFrame, percent: int, margin: float = 0.15) -> DataFrame:
+    """Pairs of different groups in one bucket whose sizes and signatures allow a link.
+
+    The share of equal coordinates estimates the similarity; pairs more than ``margin`` below
+    the threshold are left out. A bucket's rows reach one task, so its size must be bounded.
+    """
+
+    def compare(ids, groups, sizes, marks) -> tuple[np.ndarray, np.ndarray]:
+        width = max((len(m) for m in marks if m is not None), default=0)
+        known = np.array([m is not None for m in marks])
+        table = np.frombuffer(b"".join(m if m is not None else bytes(width) for m in marks), "<u2").reshape(len(ids), -1)
+        least, out_a, out_b = (percent / 100 - margin) * table.shape[1], [], []
+        for at in range(0, len(ids), 32):
+            part = slice(at, at + 32)
+            less = np.minimum(sizes[part, None], sizes)
+            fits = (groups[part, None] != groups) & (ids[part, None] < ids) & (
+                (100 * less >= percent * np.maximum(sizes[part, None], sizes)) | (less == 0))
+            i, j = np.nonzero(fits)
+            if len(i):
+                same = np.concatenate([(table[i[k:k + 20_000] + at] == table[j[k:k + 20_000]]).sum(1) for k in range(0, len(i), 20_000)])
+                keep = (same >= least) | ~known[i + at] | ~known[j]
+                out_a.append(ids[i[keep] + at])
+                out_b.append(ids[j[keep]])
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(out_a or none), np.concatenate(out_b or none)
+
+    def search(batches):
+        held, bucket = [], None
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)] if len(keys) else [0]
+            found: list = []
+            for low, high in zip(edges, edges[1:], strict=False):
+                if keys[low] != bucket and held:
+                    found.append(compare_parts(held))
+                    held = []
+                bucket = keys[low]
+                held.append(batch.slice(low, high - low))
+            yield pairs_of(found)
+        if held:
+            yield pairs_of([compare_parts(held)])
+
+    def compare_parts(parts):
+        column = lambda n: np.concatenate([p.column(n).to_numpy() for p in parts])
+        if sum(p.num_rows for p in parts) < 2:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return compare(column(1), column(2), column(3), [m for p in parts for m in p.column(4).to_pylist()])
+
+    def pairs_of(found):
+        none = np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *(f[k] for f in found)])) for k in (0, 1)], ["a", "b"])
+
+    return members.select("bucket", "doc_id", "component", "n_shingles", "coordinates").repartition("bucket").sortWithinPartitions(
+        "bucket").mapInArrow(search, "a long, b long").distinct()
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups in one bucket whose sizes allow a link."""
+    """All pairs of different groups in one bucket whose sizes allow a link, by a join that Spark can split."""
     x = members.select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
     y = members.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    return x.join(y, "bucket").filter(
-        "a < b and ca <> cb").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
+    return x.join(y, "bucket").filter("a < b and ca <> cb").filter(
+        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) | (F.least("na", "nb") == 0)).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = 32, rows: int = 4, width: int = 5,
-                    small_bucket: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = 40, rows: int = 4, width: int = 5,
+                    first_bands: int = 6, star_rounds: int = 4, small_bucket: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     signed = spill(signatures(docs, bands, rows, width), "minhash")
-    classes = spill(signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "minhash_classes")
-    # a doc_id with several texts is one document: its classes are linked through the id
-    own = classes.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.flatten(F.collect_list("bands")).alias("bands"))
-    members = own.select("doc_id", "n_shingles", "bands", F.explode("bands").alias("bucket"))
-    buckets = spill(members.join(
-        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "bucket", "left_semi").select(
-        "doc_id", "n_shingles", "bucket"), "minhash_buckets")
-    in_buckets = buckets.select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(in_buckets, "doc_id", "left_semi")
-    sets = spill(shingle_sets(texts, width), "minhash_sets")
-
-    found = spill(confirmed(_leaders(buckets), sets, percent), "minhash_links")
-    groups = components(found)
-    with_bands = buckets.join(own.select("doc_id", "bands"), "doc_id")
-    open_ = spill(_open_members(with_bands, groups), "minhash_open")
-    if not open_.isEmpty():
-        again = open_.filter(F.col("n") > small_bucket)
-        pairs = _cross_pairs(open_.filter(F.col("n") <= small_bucket), percent)
-        if not again.isEmpty():
-            dealt = spill(again.select(
-                "doc_id", "n_shingles", F.array().cast("array<long>").alias("bands"), F.explode("bands").alias("other"),
-                F.col("bucket").alias("first")).filter("other <> first").select(
-                "doc_id", "n_shingles", "bands", F.xxhash64(F.least("first", "other"), F.greatest("first", "other")).alias(
-                    "bucket")).distinct(), "minhash_dealt")
-            more = spill(confirmed(_leaders(dealt), sets, percent), "minhash_links")
-            found = found.unionByName(more)
-            groups = components(found)
-            pairs = pairs.unionByName(_cross_pairs(_open_members(dealt, groups), percent)).distinct()
-        last = spill(confirmed(pairs, sets, percent), "minhash_links")
-        if not last.isEmpty():
-            groups = components(found.unionByName(last))
-    known = classes.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("class")).join(
-        groups, F.col("class") == F.col("node"), "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component", "class").alias("component_id"))
+    usable = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    # a doc_id with several texts is one document, without a size or signature to filter by: its
+    # classes are linked through the id
+    first = usable.groupBy("set_a", "set_b", "n_shingles").agg(
+        F.min(F.struct("doc_id", "bands", "coordinates")).alias("m")).select("n_shingles", "m.*")
+    own = spill(first.groupBy("doc_id").agg(
+        F.when(F.count(F.lit(1)) == 1, F.max("n_shingles")).otherwise(0).alias("n_shingles"), F.flatten(F.collect_list("bands")).alias("bands"),
+        F.when(F.count(F.lit(1)) == 1, F.first("coordinates")).alias("coordinates")), "minhash_own")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    # large groups first: a few bands, and whoever is still outside its bucket's leading group
+    placed = _placed(own, None, first_bands)
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    early = spill(placed.join(shared, "bucket", "left_semi").select("doc_id").distinct(), "minhash_ids")
+    sets = spill(shingle_sets(texts.join(early, "doc_id", "left_semi"), width), "minhash_sets")
+    early_own, groups, found = own.join(early, "doc_id", "left_semi"), None, None
+
+    def grown(pairs: DataFrame) -> bool:
+        nonlocal groups, found
+        links = spill(confirmed(pairs, sets, percent), "minhash_links")
+        if links.isEmpty():
+            return False
+        found = links if found is None else found.unionByName(links)
+        groups = components(found)
+        return True
+
+    for salt in range(star_rounds):
+        if not grown(_star_pairs(early_own, groups, salt, first_bands)):
+            break
+
+    # then all bands, in buckets that still hold several groups
+    placed = _placed(own, groups)
+    late = spill(placed.join(_mixed(placed, 0).select("bucket"), "bucket", "left_semi").select("doc_id").distinct(), "minhash_ids")
+    more = spill(shingle_sets(texts.join(late.join(early, "doc_id", "left_anti"), "doc_id", "left_semi"), width), "minhash_sets")
+    sets = sets.unionByName(more)
+    late_own = own.join(late, "doc_id", "left_semi")
+    for salt in range(2):
+        if not grown(_star_pairs(late_own, groups, salt)):
+            break
+    placed = _placed(late_own, groups)
+    mixed_ = _mixed(placed, 0)
+    open_ = spill(placed.join(mixed_.select("bucket", "n"), "bucket").join(
+        own.select("doc_id", "bands", "coordinates"), "doc_id").select(
+        "bucket", "n", "doc_id", "component", "n_shingles", "bands", "coordinates"), "minhash_open")
+    pairs = _likely_pairs(open_.filter(F.col("n") <= small_bucket), percent)
+    if not open_.filter(F.col("n") > small_bucket).isEmpty():
+        dealt = open_.filter(F.col("n") > small_bucket).select(
+            "doc_id", "component", "n_shingles", "coordinates", F.col("bucket").alias("one"), F.explode("bands").alias("other")).filter(
+            "other <> one").withColumn("bucket", F.xxhash64(F.least("one", "other"), F.greatest("one", "other"))).drop(
+            "one", "other").dropDuplicates(["bucket", "doc_id"])
+        again = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max(
+            "component").alias("high")).filter("low < high").select("bucket", "n")
+        dealt = spill(dealt.join(again, "bucket"), "minhash_dealt")
+        pairs = pairs.unionByName(_likely_pairs(dealt.filter(F.col("n") <= small_bucket), percent)).unionByName(
+            _cross_pairs(dealt.filter(F.col("n") > small_bucket), percent)).distinct()
+    grown(pairs)
+
+    known = classes.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("class"))
+    if groups is None:
+        known = known.withColumn("component_id", F.col("class"))
+    else:
+        known = known.join(groups, F.col("class") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "class"))
+    known = known.select("set_a", "set_b", "n_shingles", "component_id")
     out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(known, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
