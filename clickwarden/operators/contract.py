@@ -83,7 +83,8 @@ def parse_clicks(df: DataFrame, value: str = "value", quarantine: bool = False)
     """JSON text to typed click events.
 
     Text that is no JSON object is dropped. With ``quarantine`` it is kept instead, with
-    null fields and the text in ``parse_error``.
+    null fields and the text in ``parse_error``; a record with a time that can't be read is
+    kept with a null time and its text in ``parse_error`` too.
     """
     staged = df.select(F.col(value).alias("_raw"), read_record(value).alias("_records"))
     if quarantine:
@@ -92,18 +93,20 @@ def parse_clicks(df: DataFrame, value: str = "value", quarantine: bool = False)
         # Exploding drops malformed rows without a filter that would read the text twice.
         one = F.when(F.size("_records") == 1, F.col("_records"))
         staged = staged.select(F.explode(one).alias("_f")).where(F.col("_f").isNotNull())
-    typed = []
+    typed, unread = [], F.lit(False)
     for field in schemas.CLICK_EVENT.fields:
         text = F.col("_f").getItem(field.name)
         kind = field.dataType.simpleString()
         if kind == "timestamp":
             typed.append(parse_timestamp(text).alias(field.name))
+            unread = unread | ((F.trim(text) != "") & parse_timestamp(text).isNull())
         elif kind == "string":
             typed.append(text.alias(field.name))
         else:
             typed.append(F.trim(text).try_cast(kind).alias(field.name))
     if quarantine:
-        typed.append(F.when(F.col("_f").isNull(), F.col("_raw")).alias("parse_error"))
+        bad = F.col("_f").isNull() | F.coalesce(unread, F.lit(False))
+        typed.append(F.when(bad, F.col("_raw")).alias("parse_error"))
     return staged.select(*typed)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickwarden.functions import hour_prefix, safe_ratio
 from clickwarden.operators.ingest import ip_stats
+from clickwarden.runtime import spill
 
 
 def click_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -42,20 +43,18 @@ def clicks_per_hour(df: DataFrame, time: str = "click_time") -> DataFrame:
 def clicks_per_minute(df: DataFrame, time: str = "click_time") -> DataFrame:
     """Clicks per minute from the first to the last, empty minutes with zero.
 
-    Only the counted minutes are joined. Hours are laid out first and minutes inside
-    them, so a long range is not unrolled in one task.
+    Counts are taken and stored first. The minutes between their ends come from a range
+    that Spark makes in all tasks.
     """
     minute = F.date_trunc("minute", F.col(time).cast("timestamp"))
-    counts = df.where(F.col(time).isNotNull()).groupBy(minute.alias("minute")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    ends = counts.agg(F.min("minute").alias("_a"), F.max("minute").alias("_b"))
-    hours = ends.select("_a", "_b", F.explode(F.sequence(
-        F.date_trunc("hour", "_a"), F.date_trunc("hour", "_b"), F.expr("interval 1 hour")
-    )).alias("_h"))
-    every = hours.select("_a", "_b", F.explode(F.sequence(
-        "_h", F.expr("_h + interval 59 minutes"), F.expr("interval 1 minute"))).alias("minute"))
-    every = every.where((F.col("minute") >= F.col("_a")) & (F.col("minute") <= F.col("_b")))
-    return every.select("minute").join(counts, "minute", "left").select(
+    counts = spill(df.where(F.col(time).isNotNull()).groupBy(minute.alias("minute")).agg(
+        F.count(F.lit(1)).alias("_n")), "minutes")
+    number = F.expr("unix_seconds(minute) div 60")
+    ends = counts.agg(F.min(number).alias("a"), F.max(number).alias("b")).first()
+    first, last = (0, -1) if ends["a"] is None else (ends["a"], ends["b"])
+    every = df.sparkSession.range(first, last + 1).select(
+        F.timestamp_seconds(F.col("id") * 60).alias("minute"))
+    return every.join(counts, "minute", "left").select(
         "minute", F.coalesce("_n", F.lit(0)).cast("bigint").alias("clicks"))
 
 

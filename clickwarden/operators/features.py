@@ -9,7 +9,7 @@ from clickwarden import schemas
 from clickwarden.functions import click_to_install_seconds, safe_ratio
 from clickwarden.operators import windows as w
 from clickwarden.operators.ordering import before_row, hot_keys, rows_at, same
-from clickwarden.runtime import broadcast_if_small, spill
+from clickwarden.runtime import spill
 
 
 def conversion_snapshots(
@@ -28,7 +28,7 @@ def conversion_snapshots(
 
 
 def snapshot_rate() -> Column:
-    """Rate of a snapshot row; a bare ``rate`` wins over counts when it is given."""
+    """Rate of a snapshot row from its counts."""
     return safe_ratio(F.col("attributed"), F.col("clicks"))
 
 
@@ -37,17 +37,17 @@ def attach_rates(
 ) -> DataFrame:
     """Left join of the snapshot's rate; unknown ids and empty snapshots give zero.
 
-    Pass a stored snapshot: its size is checked before it is broadcast.
+    Rows of one id in the snapshot add up, so a click stays one row; of several bare rates
+    the largest counts. Spark broadcasts the side by its own size threshold.
     """
     if snapshot is None:
         return df.withColumn(name, F.lit(0.0))
-    rate = snapshot_rate()
-    if "rate" in snapshot.columns:
-        rate = F.coalesce(F.col("rate").cast("double"), rate)
-    side = snapshot.select(F.col("id").cast("string").alias("_id"), rate.alias(name))
-    joined = df.join(
-        broadcast_if_small(side), same(F.col(id_column).cast("string"), F.col("_id")), "left"
-    )
+    bare = F.col("rate").cast("double") if "rate" in snapshot.columns else F.lit(None).cast("double")
+    side = snapshot.withColumn("_bare", bare).groupBy(F.col("id").cast("string").alias("_id")).agg(
+        F.sum("clicks").alias("clicks"), F.sum("attributed").alias("attributed"),
+        F.max("_bare").alias("_bare"),
+    ).select("_id", F.coalesce("_bare", snapshot_rate()).alias(name))
+    joined = df.join(side, same(F.col(id_column).cast("string"), F.col("_id")), "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0.0))).drop("_id")
 
 
@@ -85,6 +85,8 @@ def click_features(
         raise ValueError("device_scope is 'global' or 'per_ip'")
     device = ["device_id"] if device_scope == "global" else ["ip", "device_id"]
     widths = {f"device_clicks_{k}": s for k, s in schemas.WINDOW_SECONDS.items()}
+    if time not in df.columns and "click_time" in df.columns:
+        time = "click_time"  # the fallback when there is no time of its own
     # Both key counts read the source, not the features computed so far.
     hot_devices = hot_keys(df, device, hot_rows)
     out = w.apply_by_key(

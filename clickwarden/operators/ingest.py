@@ -14,7 +14,7 @@ from clickwarden.operators.contract import violations
 from clickwarden.operators.ordering import (
     before_row, global_index, lay_out, previous_value, quantiles, rows_at, same,
 )
-from clickwarden.runtime import broadcast_if_small, spill
+from clickwarden.runtime import spill
 
 
 def map_clicks(df: DataFrame) -> DataFrame:
@@ -64,9 +64,9 @@ def normalize_clicks(df: DataFrame, on_error: str = "fail") -> DataFrame:
         events = events.withColumn(flag, F.col(flag).try_cast("int"))
     if on_error == "keep":
         return events
-    stop = F.raise_error(F.array_join("errors", "; ")).cast("string")
-    checked = F.when(F.size("errors") > 0, stop).otherwise(F.col("click_id"))
-    return events.withColumn("click_id", checked).drop("errors")
+    # A filter, so that no choice of columns and no count can leave the check out.
+    stop = F.raise_error(F.array_join("errors", "; ")).cast("boolean")
+    return events.where(F.when(F.size("errors") > 0, stop).otherwise(True)).drop("errors")
 
 
 def from_time(df: DataFrame, start, column: str = "click_time") -> DataFrame:
@@ -127,12 +127,17 @@ def velocity_cutoff(stats: DataFrame, percentile: float, column: str = "clicks")
 
 def fraud_ips(df: DataFrame, percentile: float = 0.999, max_rate: float = 0.001) -> DataFrame:
     """IPs in the velocity tail with next to no attributions, with their counts."""
+    return _velocity_tail(df, percentile, max_rate)[0]
+
+
+def _velocity_tail(df: DataFrame, percentile: float, max_rate: float) -> tuple[DataFrame, int | None]:
+    """The IPs of ``fraud_ips`` and the cutoff, which exists even if no IP is flagged."""
     stats = spill(ip_stats(df.select("ip", "is_attributed")), "ip-stats")
     cutoff = velocity_cutoff(stats, percentile).first()["cutoff"]
     return stats.where(
         (F.col("clicks") >= F.lit(cutoff))
         & (F.col("attributed") / F.col("clicks") <= F.lit(max_rate))
-    ).select("ip", "clicks", "attributed", F.lit(cutoff).cast("bigint").alias("cutoff"))
+    ).select("ip", "clicks", "attributed", F.lit(cutoff).cast("bigint").alias("cutoff")), cutoff
 
 
 def bootstrap_labels(
@@ -144,9 +149,7 @@ def bootstrap_labels(
     later than the one it marks.
     """
     flagged = spill(fraud_ips(df, percentile, max_rate).select(F.col("ip").alias("_f")), "ips")
-    joined = df.join(
-        broadcast_if_small(flagged.withColumn("_hit", F.lit(1))), same(F.col("ip"), F.col("_f")), "left"
-    )
+    joined = df.join(flagged.withColumn("_hit", F.lit(1)), same(F.col("ip"), F.col("_f")), "left")
     label = F.when(F.col("_hit") == 1, 1).otherwise(0)
     return joined.withColumn("is_fraud", label).drop("_f", "_hit")
 
@@ -157,12 +160,13 @@ def union_clicks(organic: DataFrame, added: DataFrame) -> DataFrame:
 
 def labelled_bursts(
     df: DataFrame, every: int, count: int, gap_seconds: int,
-    time: str = "click_time", tie: str = "click_id",
+    time: str = "click_time", tie: str = "click_id", prefix: str = "farm", ips: int = 3, devices: int = 2,
 ) -> DataFrame:
     """Labelled burst clicks after every ``every``-th click in time order.
 
-    Each burst has ``count`` clicks ``gap_seconds`` apart that reuse three IPs and two
-    devices. Only the time and the tie-breaker of the source are read.
+    Each burst has ``count`` clicks ``gap_seconds`` apart that reuse a few IPs and
+    devices. Names of the burst's ids begin with ``prefix``. Only the time and the
+    tie-breaker of the source are read.
     """
     if min(every, count, gap_seconds) < 1:
         raise ValueError("burst arguments must be positive")
@@ -173,16 +177,15 @@ def labelled_bursts(
         F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("_i"),
     )
     at = plus_seconds(F.col("_start"), F.col("_i") * gap_seconds)
-    # Fixed values of the burst rows.
-    ip = padded_id("farm-", F.col("_i") % 3, 2)
-    device = padded_id("farm-device-", F.col("_i") % 2, 2)
+    ip = padded_id(f"{prefix}-", F.col("_i") % ips, 2)
+    device = padded_id(f"{prefix}-device-", F.col("_i") % devices, 2)
     stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
     return burst.select(
-        stable_id(F.lit("synthetic-farm"), ip, device, stamp).alias("click_id"),
-        F.lit("farm-ad-001").alias("ad_id"),
-        F.lit("farm-campaign-001").alias("campaign_id"),
-        F.lit("farm-publisher-001").alias("publisher_id"),
-        device.alias("device_id"), ip.alias("ip"), F.lit("farm-os-1").alias("os"),
+        stable_id(F.lit(f"synthetic-{prefix}"), ip, device, stamp).alias("click_id"),
+        F.lit(f"{prefix}-ad-001").alias("ad_id"),
+        F.lit(f"{prefix}-campaign-001").alias("campaign_id"),
+        F.lit(f"{prefix}-publisher-001").alias("publisher_id"),
+        device.alias("device_id"), ip.alias("ip"), F.lit(f"{prefix}-os-1").alias("os"),
         at.alias("timestamp"), at.alias("click_time"),
         F.lit(None).cast("timestamp").alias("attributed_time"),
         F.lit(0).alias("is_attributed"),
@@ -195,12 +198,11 @@ def sample_metadata(
     df: DataFrame, percentile: float = 0.999, max_rate: float = 0.001, start: int = 0
 ) -> DataFrame:
     """One row that describes a labelled click sample."""
-    flagged = fraud_ips(df, percentile, max_rate)
+    flagged, cutoff = _velocity_tail(df, percentile, max_rate)
     ips = flagged.agg(
         F.count(F.lit(1)).alias("flagged_ips"), F.sum("clicks").alias("_fraud"),
     ).first()
     fraud = ips["_fraud"] or 0
-    cutoff = flagged.select("cutoff").first()
     return df.agg(
         F.count(F.lit(1)).alias("sample_rows"),
         F.min("click_time").alias("click_time_start"),
@@ -209,7 +211,7 @@ def sample_metadata(
         F.lit(start).cast("bigint").alias("sample_start_row"), "sample_rows",
         "click_time_start", "click_time_end",
         F.lit(percentile).alias("velocity_percentile"),
-        F.lit(cutoff["cutoff"] if cutoff else None).cast("bigint").alias("velocity_count_cutoff"),
+        F.lit(cutoff).cast("bigint").alias("velocity_count_cutoff"),
         F.lit(max_rate).alias("max_attribution_rate"),
         F.lit(ips["flagged_ips"]).cast("bigint").alias("flagged_ips"),
         F.lit(fraud).cast("bigint").alias("is_fraud_positive_rows"),

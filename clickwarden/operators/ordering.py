@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwarden.runtime import CHUNK_ROWS, MAX_HOT_KEYS, hot_key_rows, spill
+from clickwarden.runtime import CHUNK_ROWS, hot_key_rows, spill
 
 CHUNK, ROW = "_chunk", "_row"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the low 33 bits
@@ -130,7 +130,7 @@ def previous_value(laid: DataFrame, keys: list[str], value: str, name: str) -> D
 
 
 class HotKeys:
-    """Keys too large for one task: their table (broadcast-sized) and their row count."""
+    """Keys too large for one task: their stored table and their row count."""
 
     def __init__(self, listed: DataFrame, rows: int):
         self.listed, self.rows = listed, rows
@@ -146,23 +146,15 @@ class HotKeys:
 def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> HotKeys | None:
     """Find the keys with more than ``limit`` rows; None when there are none.
 
-    Counts rows per key, combined before the shuffle, and lists at most ``MAX_HOT_KEYS``
-    keys on the driver. All further keys are smaller than these, so each holds less than
-    1 / MAX_HOT_KEYS of the table and may stay whole.
+    Counts rows per key, combined before the shuffle. The list, whatever its length, is a
+    stored table, and Spark chooses how to join it.
     """
     limit = limit or hot_key_rows(df.sparkSession)
-    largest = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_n")
-    )
-    rows = largest.collect()
-    if not rows:
-        return None
-    listed = df.sparkSession.createDataFrame(rows, largest.schema).drop("_n")
-    return HotKeys(F.broadcast(listed), sum(row["_n"] for row in rows))
+    large = spill(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+        .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_n"), "hot-keys")
+    rows = large.agg(F.sum("_n")).first()[0]
+    return HotKeys(large.drop("_n"), rows) if rows else None
 
 
 def chunks_for(spark, rows: int) -> int:
@@ -189,20 +181,25 @@ def _as_integer(df: DataFrame, name: str) -> Column | None:
     return F.col(name).cast("bigint") if isinstance(kind, _INTEGRAL) else None
 
 
-def _histogram(df: DataFrame, value: Column) -> tuple[int, int, list[tuple[int, int]]] | None:
-    """Lowest value, bucket width and row counts of at most ``_BUCKETS`` buckets.
+def _histogram(
+    df: DataFrame, value: Column
+) -> tuple[int, int, int, list[tuple[int, int]]] | None:
+    """Lowest and highest value, bucket width and row counts of at most ``_BUCKETS`` buckets.
 
     Null values sort first and count as bucket -1.
     """
     ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b")).first()
     if ends["a"] is None:
         return None
-    width = (ends["b"] - ends["a"]) // _BUCKETS + 1
-    offset = value - F.lit(ends["a"])
-    bucket = (offset - offset % F.lit(width)) / F.lit(width)
+    span = ends["b"] - ends["a"]
+    width = span // _BUCKETS + 1
+    # Whole-number division. A span beyond a long is reckoned in decimals.
+    kind = "bigint" if span < 1 << 63 else "decimal(20,0)"
+    offset = value.cast(kind) - F.lit(str(ends["a"])).cast(kind)
+    bucket = F.call_function("div", offset, F.lit(str(width)).cast(kind))
     counts = df.groupBy(F.coalesce(bucket.cast("bigint"), F.lit(-1)).alias("b")).agg(
         F.count(F.lit(1)).alias("n")).collect()
-    return ends["a"], width, sorted((row["b"], row["n"]) for row in counts)
+    return ends["a"], ends["b"], width, sorted((row["b"], row["n"]) for row in counts)
 
 
 def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int, tuple]:
@@ -210,7 +207,8 @@ def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int,
 
     A histogram of the first order column, combined before the shuffle, tells which
     buckets hold the positions. Only rows of these buckets are sorted, by their order
-    columns alone. Times come back as microseconds.
+    columns alone. Times come back as microseconds. Positions beyond the table have no
+    entry; a position within it that is not found raises.
     """
     if not positions:
         return {}
@@ -219,7 +217,7 @@ def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int,
     found = _histogram(narrow, value) if value is not None else None
     if found is None:
         return _rows_at_sorted(df, narrow, order, {p: p for p in positions})
-    low, width, counts = found
+    low, high, width, counts = found
     kind, column = df.schema[order[0]].dataType, F.col(order[0])
     keep, inside, start, kept = F.lit(False), {}, 0, 0
     for bucket, rows in counts:
@@ -228,13 +226,17 @@ def rows_at(df: DataFrame, order: list[str], positions: list[int]) -> dict[int,
             # Bucket edges may lie beyond a narrow integer type.
             edge = kind if isinstance(kind, _TIMES) else T.LongType()
             first = _order_literal(low + bucket * width, edge)
-            last = _order_literal(low + (bucket + 1) * width - 1, edge)
+            last = _order_literal(min(low + (bucket + 1) * width - 1, high), edge)
             keep = keep | (column.isNull() if bucket < 0 else (column >= first) & (column <= last))
             # The kept buckets are sorted together, one after the other.
             inside.update({p - start + kept: p for p in hits})
             kept += rows
         start += rows
-    return _rows_at_sorted(df, narrow.where(keep), order, inside) if inside else {}
+    rows = _rows_at_sorted(df, narrow.where(keep), order, inside) if inside else {}
+    lost = [p for p in positions if 0 <= p < start and p not in rows]
+    if lost:
+        raise RuntimeError(f"rows at positions {lost[:5]} of {start} were not found")
+    return rows
 
 
 def _rows_at_sorted(

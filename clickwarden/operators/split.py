@@ -14,7 +14,7 @@ from clickwarden.operators.ordering import before_row, rows_at
 
 
 def split_at(df: DataFrame, order: list[str], position: int) -> tuple[DataFrame, DataFrame]:
-    """The first ``position`` rows in ``order``, and the rest."""
+    """The first ``position`` rows in ``order``, and the rest; all rows when there are fewer."""
     edge = rows_at(df, order, [position]).get(position)
     if edge is None:
         return df, df.limit(0)

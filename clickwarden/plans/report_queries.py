@@ -8,7 +8,7 @@ from clickwarden.operators import eda, features, metrics, reconcile, transaction
 from clickwarden.operators.ordering import quantiles
 from clickwarden.plans import fixtures as fx
 from clickwarden.plans.feature_queries import (
-    COUNT_FEATURES, FEATURES_SQL, LABEL_SQL, TXN_ORDER, all_features, labelled,
+    COUNT_FEATURES, FEATURES_SQL, LABEL_SQL, OTHER_FEATURES, TXN_ORDER, all_features, feature_columns, labelled,
 )
 from clickwarden.plans.registry import big, query, r6, us_of
 from clickwarden.runtime import spill
@@ -266,16 +266,18 @@ def class_weight(spark, sf):
 
 @query("single_feature_auc", f"""WITH {FEATURES_SQL}{LABEL_SQL}, long AS (
   SELECT feature, CAST(v AS DOUBLE) AS v, is_fraud FROM (
-    UNPIVOT (SELECT {', '.join(COUNT_FEATURES)}, is_fraud FROM feat JOIN labelled USING (seq))
-    ON {', '.join(COUNT_FEATURES)} INTO NAME feature VALUE v)),
+    UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in COUNT_FEATURES)},
+                    {', '.join(f'round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}' for c in OTHER_FEATURES)}, is_fraud
+             FROM feat JOIN labelled USING (seq))
+    ON {', '.join(COUNT_FEATURES + OTHER_FEATURES)} INTO NAME feature VALUE v)),
 s AS (SELECT feature, v, sum(is_fraud) AS pos, sum(1 - is_fraud) AS neg FROM long GROUP BY 1, 2),
 c AS (SELECT *, sum(pos) OVER (PARTITION BY feature ORDER BY v DESC) AS tp FROM s)
 SELECT feature, round(sum(neg * (tp - pos / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)), 6) + 0.0
   AS roc_auc FROM c GROUP BY feature""")
 def single_feature_auc(spark, sf):
     marks = labelled(spark, sf).select("seq", F.col("is_fraud").alias("label"))
-    joined = all_features(spark, sf).select("seq", *COUNT_FEATURES).join(marks, "seq")
-    return metrics.single_feature_auc(joined, COUNT_FEATURES).select("feature", r6("roc_auc"))
+    joined = all_features(spark, sf).select("seq", *feature_columns()).join(marks, "seq")
+    return metrics.single_feature_auc(joined, COUNT_FEATURES + OTHER_FEATURES).select("feature", r6("roc_auc"))
 
 
 @query("walk_forward_metrics", f"""WITH {fx.PAIRS_SQL}, b AS (

@@ -1,22 +1,17 @@
-"""Session settings, scratch tables and size checks shared by every operator."""
+"""Session settings, and scratch tables shared by every operator."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A key with more rows than this is split over many tasks (see operators/ordering.py).
 HOT_KEY_ROWS = 1_000_000
-# Only the largest keys are listed on the driver. Every other key then holds less than
-# 1 / MAX_HOT_KEYS of all rows, so one task can take it whole.
-MAX_HOT_KEYS = 10_000
 # Rows per chunk when the number of rows is known.
 CHUNK_ROWS = 5_000_000
-# Side tables up to this many rows are broadcast, larger ones take a shuffle join.
-BROADCAST_ROWS = 200_000
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,7 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="clickwarden-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -87,13 +82,3 @@ def release(spark: SparkSession) -> int:
 
 def hot_key_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("clickwarden.hotKeyRows", str(HOT_KEY_ROWS)))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` has at most ``max_rows`` rows.
-
-    The check reads ``df`` up to the limit, so pass a stored table. Beyond the limit the
-    plan keeps its shuffle join, which AQE splits when it is skewed.
-    """
-    few = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df

@@ -67,10 +67,13 @@ def _commits_path(path: str) -> str:
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where no folder is yet. Any other failure to read it is raised."""
     try:
         return read_scored(spark, path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def distinct_on(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,8 +102,15 @@ def upsert_insert_only(
     rows = distinct_on(df, keys)
     if target is not None:
         rows = spill(rows, "batch")
-        known = target.select(*keys).join(rows.select(*keys), keys, "left_semi").distinct()
-        rows = rows.join(known, keys, "left_anti")
+        # Null keys are equal to null keys, else they would be added by every run.
+        batch = rows.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
+        in_batch, known_to = F.lit(True), F.lit(True)
+        for i, key in enumerate(keys):
+            in_batch = in_batch & F.col(key).eqNullSafe(F.col(f"_b{i}"))
+            known_to = known_to & F.col(key).eqNullSafe(F.col(f"_k{i}"))
+        known = target.select(*keys).join(batch, in_batch, "left_semi").distinct().select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        rows = rows.join(known, known_to, "left_anti")
     rows = spill(rows, "insert")
     added = rows.count()
     if added or target is None:

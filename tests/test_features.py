@@ -21,27 +21,32 @@ def snapshot(spark, rows):
     return spark.createDataFrame(rows, "id string, clicks long, attributed long")
 
 
-def test_farm_signature(make_clicks):
-    rows = by_id(features.click_features(make_clicks([
-        ("a", "2017-11-06 10:00:00", "farm", "same-device", "13"),
-        ("b", "2017-11-06 10:00:10", "farm", "same-device", "13"),
-        ("c", "2017-11-06 10:00:20", "farm", "same-device", "13")])))
-    assert rows["a"]["ip_clicks_1m"] == 1
-    assert rows["c"]["ip_clicks_1m"] == 3
-    assert rows["c"]["ip_inter_click_gap_seconds"] == 10.0
-    assert rows["c"]["ip_fingerprint_entropy_5m"] == 0.0
-
-
 @pytest.mark.parametrize("hot_rows", [None, 1])
-def test_literal_clicks(spark, make_clicks, hot_rows):
-    snap = snapshot(spark, [("7", 100, 2)])
+def test_ties_edges_and_a_shared_device(spark, make_clicks, hot_rows):
+    snap = snapshot(spark, [("spring", 40, 3)])
     rows = by_id(features.click_features(make_clicks(), snap, snap, hot_rows=hot_rows))
-    assert [rows[i]["ip_clicks_1m"] for i in "abcde"] == [1, 2, 3, 1, 2]
-    assert [rows[i]["ip_clicks_5m"] for i in "abcde"] == [1, 2, 3, 1, 2]
-    assert [rows[i]["device_clicks_1h"] for i in "abcde"] == [1, 2, 3, 1, 1]
-    assert [rows[i]["ip_inter_click_gap_seconds"] for i in "abcde"] == [0, 10, 30, 0, 60]
-    assert [rows[i]["ip_fingerprint_entropy_5m"] for i in "abcde"] == [0, 0, 0, 0, 1]
-    assert {rows[i]["campaign_conversion_rate"] for i in "abcde"} == {0.02}
+    ids = ["k1", "k2", "k3", "k4", "k5"]
+
+    def column(name):
+        return [rows[i][name] for i in ids]
+
+    assert column("ip_clicks_1m") == [1, 2, 1, 3, 1]  # k1 lies on the closed edge
+    assert column("ip_clicks_5m") == [1, 2, 1, 3, 2]
+    assert column("device_clicks_1h") == [1, 2, 3, 1, 1]
+    assert column("ip_inter_click_gap_seconds") == [0, 60, 0, 0, 300]
+    assert column("ip_fingerprint_entropy_5m") == pytest.approx([0, 1, 0, math.log2(3), 1])
+    assert set(column("campaign_conversion_rate")) == {0.075}
+
+
+def test_repeated_snapshot_ids_add_up(spark, make_clicks):
+    snap = snapshot(spark, [("spring", 10, 1), ("spring", 30, 2), (None, 5, 5)])
+    out = features.attach_rates(make_clicks(), snap, "campaign_id", "rate").collect()
+    assert len(out) == 5 and {r["rate"] for r in out} == {0.075}
+
+
+def test_click_time_stands_in_for_a_missing_time(make_clicks):
+    rows = by_id(features.click_features(make_clicks().drop("timestamp")))
+    assert rows["k4"]["ip_clicks_1m"] == 3
 
 
 def test_window_edge_is_closed(make_clicks):
@@ -83,17 +88,17 @@ def test_duplicate_ids_keep_all_rows(make_clicks):
 
 def test_rates_and_install_delta(spark, make_clicks):
     clicks = make_clicks().withColumn(
-        "campaign_id", F.when(F.col("click_id") == "a", "none").when(
-            F.col("click_id") == "b", "idle").otherwise("7"))
-    clicks = clicks.withColumn("click_to_install_delta", F.when(F.col("click_id") == "c", -3.0))
+        "campaign_id", F.when(F.col("click_id") == "k1", "none").when(
+            F.col("click_id") == "k2", "idle").otherwise("spring"))
+    clicks = clicks.withColumn("click_to_install_delta", F.when(F.col("click_id") == "k3", -3.0))
     clicks = clicks.withColumn("attributed_time", F.when(
-        F.col("click_id") == "d", F.col("timestamp") + F.expr("interval 9 seconds")).when(
-        F.col("click_id") == "e", F.col("timestamp") - F.expr("interval 9 seconds")))
+        F.col("click_id") == "k4", F.col("timestamp") + F.expr("interval 9 seconds")).when(
+        F.col("click_id") == "k5", F.col("timestamp") - F.expr("interval 9 seconds")))
     rows = by_id(features.click_features(
-        clicks, snapshot(spark, [("7", 4, 1), ("idle", 0, 0)]), None))
-    assert [rows[i]["campaign_conversion_rate"] for i in "abc"] == [0.0, 0.0, 0.25]
-    assert rows["a"]["publisher_conversion_rate"] == 0.0
-    assert [rows[i]["click_to_install_delta_seconds"] for i in "cdea"] == [-3.0, 9.0, 0.0, 0.0]
+        clicks, snapshot(spark, [("spring", 4, 1), ("idle", 0, 0)]), None))
+    assert [rows[i]["campaign_conversion_rate"] for i in ("k1", "k2", "k3")] == [0.0, 0.0, 0.25]
+    assert rows["k1"]["publisher_conversion_rate"] == 0.0
+    assert [rows[i]["click_to_install_delta_seconds"] for i in ("k3", "k4", "k5", "k1")] == [-3.0, 9.0, 0.0, 0.0]
 
 
 def test_vector_order_and_nulls(spark):
@@ -170,7 +175,7 @@ def test_shannon_entropy(spark):
 def test_snapshot_on_first_rows(make_clicks):
     clicks = make_clicks().withColumn("is_attributed", F.lit(1))
     snap = features.conversion_snapshots(clicks, "campaign_id", 3).collect()
-    assert [(r["id"], r["clicks"], r["attributed"]) for r in snap] == [("7", 3, 3)]
+    assert [(r["id"], r["clicks"], r["attributed"]) for r in snap] == [("spring", 3, 3)]
 
 
 def test_ip_windows_share_one_exchange(spark, make_clicks):

@@ -10,8 +10,8 @@ from clickwarden.functions import parse_timestamp, safe_ratio
 from clickwarden.operators import contract, ingest
 from clickwarden.sources import readers, writers
 
-RAW = [("42", "3", "1", "13", "9", "2017-11-06 10:00:00", "", "0"),
-       ("43", "3", "1", "13", "9", "2017-11-06 10:00:05", "2017-11-06 10:00:02", "1")]
+RAW = [("810", "77", "6", "ios", "205", "2021-03-14 09:00:30", "", "0"),
+       ("811", "78", "6", "tvos", "205", "2021-03-14 09:00:33", "2021-03-14 09:00:30", "1")]
 
 
 @pytest.fixture()
@@ -22,7 +22,7 @@ def raw(spark):
 def test_map_clicks(raw):
     rows = ingest.map_clicks(raw).orderBy("ip").collect()
     assert list(rows[0].asDict()) == schemas.CLICK_COLUMNS
-    assert rows[0]["campaign_id"] == rows[0]["publisher_id"] == "9"
+    assert rows[0]["campaign_id"] == rows[0]["publisher_id"] == "205"
     assert rows[0]["click_to_install_delta"] is None and rows[0]["attributed_time"] is None
     assert rows[1]["click_to_install_delta"] == -3.0
     assert len(rows[0]["click_id"]) == 32 and rows[0]["click_id"] != rows[1]["click_id"]
@@ -30,7 +30,7 @@ def test_map_clicks(raw):
 
 def test_normalized_raw_row_is_valid(raw):
     row = ingest.normalize_clicks(raw, "keep").orderBy("ip").first()
-    assert row["errors"] == [] and row["ip"] == "42" and row["campaign_id"] == "9"
+    assert row["errors"] == [] and row["ip"] == "810" and row["campaign_id"] == "205"
     again = ingest.normalize_clicks(ingest.map_clicks(raw)).orderBy("ip").first()
     assert again["click_id"] == row["click_id"]
 
@@ -39,8 +39,9 @@ def test_normalize_fails_on_bad_rows(raw):
     bad = raw.withColumn("is_attributed", F.lit("2"))
     kept = ingest.normalize_clicks(ingest.map_clicks(bad), "keep").first()
     assert kept["errors"] == ["is_attributed must be 0 or 1"]
-    with pytest.raises(Exception, match="must be 0 or 1"):
-        ingest.normalize_clicks(ingest.map_clicks(bad)).collect()
+    for action in ("collect", "count"):
+        with pytest.raises(Exception, match="must be 0 or 1"):
+            getattr(ingest.normalize_clicks(ingest.map_clicks(bad)).select("ip"), action)()
 
 
 VALID = {"click_id": "c", "ad_id": "1", "campaign_id": "2", "publisher_id": "3", "device_id": "4",
@@ -94,7 +95,7 @@ def test_parse_and_quarantine(spark):
     assert kept.where("parse_error is not null").count() == 8
     row = good.where("click_id = 'c' and ip = 'i'").first()
     assert row["timestamp"].isoformat() == "2017-11-06T10:00:00"
-    assert row["is_attributed"] in (0, 2, None) and row["fraud"] if "fraud" in row else True
+    assert row["is_synthetic"] == 1 and "parse_error" not in good.columns
 
 
 def test_parse_timestamp_forms(spark):
@@ -123,16 +124,18 @@ def test_bootstrap_labels(spark):
 
 
 def test_bursts_reuse_fingerprints(make_clicks):
-    out = ingest.labelled_bursts(make_clicks(), 2, 4, 1).collect()
+    clicks = make_clicks([(f"n{i}", f"2021-03-14 09:0{i}:00", f"ip{i}", "tablet", "alpha") for i in range(5)])
+    out = ingest.labelled_bursts(clicks, 2, 4, 1).collect()
     assert len(out) == 2 * 4
     assert all(r["is_synthetic"] == r["is_fraud"] == 1 for r in out)
     assert {r["device_id"] for r in out} == {"farm-device-00", "farm-device-01"}
     assert {r["ip"] for r in out} == {"farm-00", "farm-01", "farm-02"}
     assert len({r["click_id"] for r in out}) == 8
-    both = ingest.union_clicks(make_clicks(), ingest.labelled_bursts(make_clicks(), 2, 4, 1))
-    assert both.count() == 13
+    named = ingest.labelled_bursts(clicks, 2, 3, 1, prefix="bot", ips=1).select("ip", "ad_id").distinct()
+    assert [tuple(r) for r in named.collect()] == [("bot-00", "bot-ad-001")]
+    assert ingest.union_clicks(clicks, ingest.labelled_bursts(clicks, 2, 4, 1)).count() == 13
     with pytest.raises(ValueError):
-        ingest.labelled_bursts(make_clicks(), 0, 4, 1)
+        ingest.labelled_bursts(clicks, 0, 4, 1)
 
 
 def test_csv_round_trip(spark, raw, tmp_path):
@@ -148,5 +151,5 @@ def test_csv_round_trip(spark, raw, tmp_path):
 
 
 def test_from_time_is_inclusive(make_clicks):
-    out = ingest.from_time(make_clicks(), "2017-11-06 10:00:40")
-    assert {r["click_id"] for r in out.collect()} == set("cde")
+    out = ingest.from_time(make_clicks(), "2021-03-14 09:00:30")
+    assert {r["click_id"] for r in out.collect()} == {"k2", "k3", "k4", "k5"}

@@ -138,3 +138,26 @@ def test_broadcast_only_when_small(spark):
     small = broadcast_if_small(spark.range(5), 5)._jdf.queryExecution().logical().toString()
     large = broadcast_if_small(spark.range(6), 5)._jdf.queryExecution().logical().toString()
     assert "broadcast" in small and "broadcast" not in large
+
+
+def wide(spark, rows):
+    return spark.createDataFrame([(v, n) for n, v in enumerate(rows)], "v long, seq long")
+
+
+def test_positions_on_full_range_longs(spark):
+    rng = random.Random(8)
+    values = [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(3000)] + [-2 ** 63, 2 ** 63 - 1, 0, 0, 0]
+    df = wide(spark, values)
+    expected = sorted((v, n) for n, v in enumerate(values))
+    positions = [0, 1, 700, 1500, 2999, len(values) - 1]
+    found = ordering.rows_at(df, ["v", "seq"], positions)
+    assert found == {p: expected[p] for p in positions}
+    assert ordering.rows_at(df, ["v", "seq"], [len(values)]) == {}
+
+
+def test_split_with_sentinel_dates(spark):
+    df = spark.range(2000).selectExpr("timestamp_seconds(1600000000 + id) AS at", "id").union(
+        spark.sql("SELECT timestamp'0001-01-01', -1L UNION ALL SELECT timestamp'9999-12-31', -2L"))
+    for share in (0.1, 0.33):
+        train, test = split.chronological_split(df, share, ["at", "id"])
+        assert (train.count(), test.count()) == (int(2002 * (1 - share)), 2002 - int(2002 * (1 - share)))
