@@ -10,17 +10,18 @@ coordinates of a band.
 
 Documents with equal sets form a class and only the class's smallest doc_id goes on. Copies
 are not expanded into pairs. First, over a few bands, every member of a bucket is compared
-with the leader it meets most often; rounds with other leaders follow for those that are not
-in their leader's group yet. This joins groups of any size with a pair or two a document. Then
-all bands are looked at, but only in buckets that still hold several groups: again by leaders,
-and at last all pairs of different groups in one bucket whose signatures are alike enough to
-allow a link. Buckets above ``small_bucket`` are dealt by two bands at once first, which leaves
-similar pairs together and scatters chance meetings; what is still larger goes through a join
-that Spark can split. Every link is confirmed on the full sets.
-
-A pair at similarity 0.75 shares none of 40 bands with probability 3e-7, fewer than two with
-5e-6, and has a signature 0.15 below its similarity with about 5e-6; a link is lost only if
-its groups do not meet in any other way either.
+with the leader it meets most often; another round with other leaders follows for those that
+are not in their leader's group yet. This joins groups of any size with a few pairs a
+document. Then all bands are looked at, but only in buckets that still hold several groups:
+each member's nearest members of other groups by sketch, and at last all pairs of different
+groups whose sketches are alike enough to allow a link. Buckets above ``small_bucket`` are
+dealt by two bands at once first, which leaves similar pairs together and scatters chance
+meetings; what is still larger goes through a join that Spark can split. Every link is
+confirmed on the full sets.
+
+A sketch is two bits of each of 1024 coordinates. A pair at similarity 0.75 shares none of 40
+bands with probability 3e-7, fewer than two with 5e-6, and is estimated 0.07 too low with
+about 1e-5; a link is lost only if its groups do not meet in any other way either.
 Null ids keep their own class; null texts, empty texts and texts without words have size 0,
 link with nothing and are kept. Fewer than ``width`` words count as one shingle. Rows with
 one doc_id stand for one document. Extra columns are ignored; an empty table gives no rows.
@@ -90,9 +91,9 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, bands: int = 32, rows: int = 4, width: int = 5) -> DataFrame:
-    """doc_id, number of shingles, a 128-bit name of the set, hashes of the bands, and 16 bits of every coordinate."""
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "coordinates"]
+def signatures(docs: DataFrame, bands: int = 40, rows: int = 4, width: int = 5, coordinates: int = 1024) -> DataFrame:
+    """doc_id, number of shingles, a 128-bit name of the set, hashes of the bands, and two bits of every coordinate."""
+    names = ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"]
 
     def sign(batches):
         weights = np.random.default_rng(5).integers(1, 1 << 62, rows).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,9 +106,10 @@ def signatures(docs: DataFrame, bands: int = 32, rows: int = 4, width: int = 5)
                 b.append(mixed(h + _STEP).sum(dtype=np.uint64) if len(h) else np.uint64(0))
                 brief.append(None)
                 if len(h):
-                    s = signature(h, bands * rows)
-                    brief[-1] = s.astype("<u2").tobytes()
-                    s = s.reshape(bands, rows).astype(np.uint64)
+                    s = signature(h, coordinates)
+                    low = (s & 3).astype(np.uint8).reshape(-1, 4)
+                    brief[-1] = (low[:, 0] | low[:, 1] << 2 | low[:, 2] << 4 | low[:, 3] << 6).tobytes()
+                    s = s[:bands * rows].reshape(bands, rows).astype(np.uint64)
                     keys.append(mixed((s * weights).sum(1) + np.arange(bands, dtype=np.uint64) * _STEP))
                 offsets.append(offsets[-1] + (bands if len(h) else 0))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
@@ -118,7 +120,7 @@ def signatures(docs: DataFrame, bands: int = 32, rows: int = 4, width: int = 5)
                 pa.array(brief, pa.binary())], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, coordinates binary")
+        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -170,68 +172,98 @@ def _mixed(placed: DataFrame, salt: int) -> DataFrame:
         "bucket", "n", F.col("lead.doc_id").alias("leader"), F.col("lead.component").alias("own_group"))
 
 
-def _star_pairs(own: DataFrame, groups: DataFrame | None, salt: int, first: int | None = None) -> DataFrame:
-    """One pair a member outside its bucket's leading group: with the leader it meets most often."""
+def _star_pairs(own: DataFrame, groups: DataFrame | None, salts: tuple, first: int | None = None) -> DataFrame:
+    """For each salt a pair for every member outside its bucket's leading group: with the leader it meets most often."""
     placed = _placed(own, groups, first)
-    met = placed.join(_mixed(placed, salt), "bucket").filter("component <> own_group").groupBy(
-        "doc_id", "leader").agg(F.count(F.lit(1)).alias("met"))
-    return met.groupBy(F.col("doc_id").alias("b")).agg(
-        F.max(F.struct("met", (-F.col("leader")).alias("minus"))).alias("m")).select((-F.col("m.minus")).alias("a"), "b")
+    out = None
+    for salt in salts:
+        met = placed.join(_mixed(placed, salt), "bucket").filter("component <> own_group").groupBy(
+            "doc_id", "leader").agg(F.count(F.lit(1)).alias("met"))
+        pairs = met.groupBy(F.col("doc_id").alias("b")).agg(
+            F.max(F.struct("met", (-F.col("leader")).alias("minus"))).alias("m")).select((-F.col("m.minus")).alias("a"), "b")
+        out = pairs if out is None else out.unionByName(pairs)
+    return out.distinct() if len(salts) > 1 else out
 
 
-def _likely_pairs(members: DataFrame, percent: int, margin: float = 0.15) -> DataFrame:
-    """Pairs of different groups in one bucket whose sizes and signatures allow a link.
+# how many of a byte's four two-bit numbers are zero
+_EQUAL = np.array([sum((b >> k & 3) == 0 for k in (0, 2, 4, 6)) for b in range(256)], np.uint8)
+
+
+def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Similarity estimated from rows of sketches; two-bit numbers agree by chance once in four."""
+    share = _EQUAL[x ^ y].sum(1, dtype=np.int64) / (4 * x.shape[1])
+    return (share - 0.25) / 0.75
 
-    The share of equal coordinates estimates the similarity; pairs more than ``margin`` below
-    the threshold are left out. A bucket's rows reach one task, so its size must be bounded.
-    """
 
-    def compare(ids, groups, sizes, marks) -> tuple[np.ndarray, np.ndarray]:
-        width = max((len(m) for m in marks if m is not None), default=0)
-        known = np.array([m is not None for m in marks])
-        table = np.frombuffer(b"".join(m if m is not None else bytes(width) for m in marks), "<u2").reshape(len(ids), -1)
-        least, out_a, out_b = (percent / 100 - margin) * table.shape[1], [], []
-        for at in range(0, len(ids), 32):
-            part = slice(at, at + 32)
-            less = np.minimum(sizes[part, None], sizes)
-            fits = (groups[part, None] != groups) & (ids[part, None] < ids) & (
-                (100 * less >= percent * np.maximum(sizes[part, None], sizes)) | (less == 0))
-            i, j = np.nonzero(fits)
-            if len(i):
-                same = np.concatenate([(table[i[k:k + 20_000] + at] == table[j[k:k + 20_000]]).sum(1) for k in range(0, len(i), 20_000)])
-                keep = (same >= least) | ~known[i + at] | ~known[j]
-                out_a.append(ids[i[keep] + at])
-                out_b.append(ids[j[keep]])
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(out_a or none), np.concatenate(out_b or none)
+def bucket_pairs(bucket: int, ids, groups, sizes, marks, bands, percent: int, margin: float, nearest: int | None):
+    """Pairs of different groups whose sizes and sketches allow a link; the ``nearest`` of each member, or all.
+
+    All pairs come from the bucket of their first common band only.
+    """
+    width = max((len(m) for m in marks if m is not None), default=4)
+    known = np.array([m is not None for m in marks])
+    n_bands = max((len(b) for b, k in zip(bands, known, strict=True) if k and b is not None), default=1)
+    single = known & np.array([b is not None and len(b) == n_bands for b in bands])
+    banded = np.array([b if k else [0] * n_bands for b, k in zip(bands, single, strict=True)], np.int64).reshape(len(ids), n_bands)
+    table = np.frombuffer(b"".join(m if m is not None else bytes(width) for m in marks), np.uint8).reshape(len(ids), -1)
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(ids), 32):
+        part = slice(at, at + 32)
+        less = np.minimum(sizes[part, None], sizes)
+        fits = (groups[part, None] != groups) & ((100 * less >= percent * np.maximum(sizes[part, None], sizes)) | (less == 0))
+        if nearest is None:
+            fits &= ids[part, None] < ids
+        i, j = np.nonzero(fits)
+        if not len(i):
+            continue
+        same = np.concatenate([likeness(table[i[k:k + 20_000] + at], table[j[k:k + 20_000]]) for k in range(0, len(i), 20_000)])
+        same[~known[i + at] | ~known[j]] = 1.0
+        keep = same >= percent / 100 - margin
+        i, j, same = i[keep], j[keep], same[keep]
+        if nearest is None and len(i):
+            x, y = banded[i + at], banded[j]
+            first = x[np.arange(len(i)), (x == y).argmax(1)] == bucket
+            here = first | ~single[i + at] | ~single[j]
+            i, j = i[here], j[here]
+        if nearest is not None and len(i):
+            order = np.lexsort((ids[j], -same, i))
+            i, j = i[order], j[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j = i[rank < nearest], j[rank < nearest]
+        x, y = ids[i + at], ids[j]
+        out_a.append(np.minimum(x, y))
+        out_b.append(np.maximum(x, y))
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def _likely_pairs(members: DataFrame, percent: int, nearest: int | None, margin: float = 0.07) -> DataFrame:
+    """``bucket_pairs`` of every bucket. A bucket's rows reach one task, so its size must be bounded."""
+
+    def pairs_of(bucket, parts) -> tuple[np.ndarray, np.ndarray]:
+        column = lambda n: np.concatenate([p.column(n).to_numpy() for p in parts])
+        marks, bands = ([m for p in parts for m in p.column(n).to_pylist()] for n in (4, 5))
+        a, b = bucket_pairs(bucket, column(1), column(2), column(3), marks, bands, percent, margin, nearest)
+        if len(a):
+            a, b = np.unique(np.stack([a, b]), axis=1)
+        return a, b
 
     def search(batches):
         held, bucket = [], None
         for batch in batches:
             keys = batch.column(0).to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)] if len(keys) else [0]
-            found: list = []
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for low, high in zip(edges, edges[1:], strict=False):
                 if keys[low] != bucket and held:
-                    found.append(compare_parts(held))
+                    found.append(pairs_of(bucket, held))
                     held = []
                 bucket = keys[low]
                 held.append(batch.slice(low, high - low))
-            yield pairs_of(found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], ["a", "b"])
         if held:
-            yield pairs_of([compare_parts(held)])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs_of(bucket, held)], ["a", "b"])
 
-    def compare_parts(parts):
-        column = lambda n: np.concatenate([p.column(n).to_numpy() for p in parts])
-        if sum(p.num_rows for p in parts) < 2:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return compare(column(1), column(2), column(3), [m for p in parts for m in p.column(4).to_pylist()])
-
-    def pairs_of(found):
-        none = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *(f[k] for f in found)])) for k in (0, 1)], ["a", "b"])
-
-    return members.select("bucket", "doc_id", "component", "n_shingles", "coordinates").repartition("bucket").sortWithinPartitions(
+    return members.select("bucket", "doc_id", "component", "n_shingles", "sketch", "bands").repartition("bucket").sortWithinPartitions(
         "bucket").mapInArrow(search, "a long, b long").distinct()
 
 
@@ -243,29 +275,45 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
         (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) | (F.least("na", "nb") == 0)).select("a", "b").distinct()
 
 
+def _open_members(own: DataFrame, groups: DataFrame | None, small_bucket: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that still hold several groups: of bounded buckets, and of larger ones
+    dealt again by two bands at once."""
+    placed = _placed(own, groups)
+    open_ = spill(placed.join(_mixed(placed, 0).select("bucket", "n"), "bucket").join(
+        own.select("doc_id", "bands", "sketch"), "doc_id").select(
+        "bucket", "n", "doc_id", "component", "n_shingles", "sketch", "bands"), "minhash_open")
+    bounded, large = open_.filter(F.col("n") <= small_bucket), open_.filter(F.col("n") > small_bucket)
+    if large.isEmpty():
+        return bounded, bounded.limit(0)
+    none = F.lit(None).cast("array<long>")  # a pair meets in several of the buckets dealt again
+    dealt = large.select("doc_id", "component", "n_shingles", "sketch", F.col("bucket").alias("one"), F.explode("bands").alias(
+        "other")).filter("other <> one").withColumn("bucket", F.xxhash64(F.least("one", "other"), F.greatest("one", "other"))).drop(
+        "one", "other").dropDuplicates(["bucket", "doc_id"])
+    again = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max(
+        "component").alias("high")).filter("low < high").select("bucket", "n")
+    dealt = spill(dealt.join(again, "bucket").withColumn("bands", none).select(*open_.columns), "minhash_dealt")
+    return bounded.unionByName(dealt.filter(F.col("n") <= small_bucket)), dealt.filter(F.col("n") > small_bucket)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = 40, rows: int = 4, width: int = 5,
-                    first_bands: int = 6, star_rounds: int = 4, small_bucket: int = 4096) -> DataFrame:
+                    first_bands: int = 6, small_bucket: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     signed = spill(signatures(docs, bands, rows, width), "minhash")
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    # a doc_id with several texts is one document, without a size or signature to filter by: its
+    # a doc_id with several texts is one document, without a size or sketch to filter by: its
     # classes are linked through the id
     first = usable.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min(F.struct("doc_id", "bands", "coordinates")).alias("m")).select("n_shingles", "m.*")
+        F.min(F.struct("doc_id", "bands", "sketch")).alias("m")).select("n_shingles", "m.*")
     own = spill(first.groupBy("doc_id").agg(
-        F.when(F.count(F.lit(1)) == 1, F.max("n_shingles")).otherwise(0).alias("n_shingles"), F.flatten(F.collect_list("bands")).alias("bands"),
-        F.when(F.count(F.lit(1)) == 1, F.first("coordinates")).alias("coordinates")), "minhash_own")
+        F.when(F.count(F.lit(1)) == 1, F.max("n_shingles")).otherwise(0).alias("n_shingles"),
+        F.flatten(F.collect_list("bands")).alias("bands"),
+        F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "minhash_own")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    # large groups first: a few bands, and whoever is still outside its bucket's leading group
-    placed = _placed(own, None, first_bands)
-    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    early = spill(placed.join(shared, "bucket", "left_semi").select("doc_id").distinct(), "minhash_ids")
-    sets = spill(shingle_sets(texts.join(early, "doc_id", "left_semi"), width), "minhash_sets")
-    early_own, groups, found = own.join(early, "doc_id", "left_semi"), None, None
+    groups = found = None
 
     def grown(pairs: DataFrame) -> bool:
+        """Confirm pairs and merge their groups; whether there were any links."""
         nonlocal groups, found
         links = spill(confirmed(pairs, sets, percent), "minhash_links")
         if links.isEmpty():
@@ -274,36 +322,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = 40, rows: i
         groups = components(found)
         return True
 
-    for salt in range(star_rounds):
-        if not grown(_star_pairs(early_own, groups, salt, first_bands)):
-            break
+    # large groups first: a few bands, then other leaders for who is not in its leader's group yet
+    placed = _placed(own, None, first_bands)
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    early = spill(placed.join(shared, "bucket", "left_semi").select("doc_id").distinct(), "minhash_ids")
+    sets = spill(shingle_sets(texts.join(early, "doc_id", "left_semi"), width), "minhash_sets")
+    early_own = own.join(early, "doc_id", "left_semi")
+    if grown(_star_pairs(early_own, None, (0,), first_bands)):
+        grown(_star_pairs(early_own, groups, (1, 2, 3), first_bands))
 
-    # then all bands, in buckets that still hold several groups
+    # then all bands, in buckets that still hold several groups: nearest members, then all that can be linked
     placed = _placed(own, groups)
     late = spill(placed.join(_mixed(placed, 0).select("bucket"), "bucket", "left_semi").select("doc_id").distinct(), "minhash_ids")
-    more = spill(shingle_sets(texts.join(late.join(early, "doc_id", "left_anti"), "doc_id", "left_semi"), width), "minhash_sets")
-    sets = sets.unionByName(more)
+    sets = sets.unionByName(spill(shingle_sets(texts.join(
+        late.join(early, "doc_id", "left_anti"), "doc_id", "left_semi"), width), "minhash_sets"))
     late_own = own.join(late, "doc_id", "left_semi")
-    for salt in range(2):
-        if not grown(_star_pairs(late_own, groups, salt)):
-            break
-    placed = _placed(late_own, groups)
-    mixed_ = _mixed(placed, 0)
-    open_ = spill(placed.join(mixed_.select("bucket", "n"), "bucket").join(
-        own.select("doc_id", "bands", "coordinates"), "doc_id").select(
-        "bucket", "n", "doc_id", "component", "n_shingles", "bands", "coordinates"), "minhash_open")
-    pairs = _likely_pairs(open_.filter(F.col("n") <= small_bucket), percent)
-    if not open_.filter(F.col("n") > small_bucket).isEmpty():
-        dealt = open_.filter(F.col("n") > small_bucket).select(
-            "doc_id", "component", "n_shingles", "coordinates", F.col("bucket").alias("one"), F.explode("bands").alias("other")).filter(
-            "other <> one").withColumn("bucket", F.xxhash64(F.least("one", "other"), F.greatest("one", "other"))).drop(
-            "one", "other").dropDuplicates(["bucket", "doc_id"])
-        again = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max(
-            "component").alias("high")).filter("low < high").select("bucket", "n")
-        dealt = spill(dealt.join(again, "bucket"), "minhash_dealt")
-        pairs = pairs.unionByName(_likely_pairs(dealt.filter(F.col("n") <= small_bucket), percent)).unionByName(
-            _cross_pairs(dealt.filter(F.col("n") > small_bucket), percent)).distinct()
-    grown(pairs)
+    for nearest in (1, None):
+        bounded, large = _open_members(late_own, groups, small_bucket)
+        pairs = _likely_pairs(bounded, percent, nearest)
+        if nearest is None:
+            pairs = pairs.unionByName(_cross_pairs(large, percent)).distinct()
+        grown(pairs)
 
     known = classes.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("class"))
     if groups is None:
