@@ -7,7 +7,7 @@ import json
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,7 +82,7 @@ def _probability(column: Column) -> Column:
 class ContinuedModel:
     """A boosted model with further trees fitted on its residuals."""
 
-    def __init__(self, base: Model, trees: list[DecisionTreeRegressionModel], rate: float):
+    def __init__(self, base: Model, trees: list[RandomForestRegressionModel], rate: float):
         self.base, self.trees, self.rate = base, trees, rate
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -101,8 +101,9 @@ def continue_gbt(
 ) -> ContinuedModel:
     """Warm start: add trees on newer data to a boosted model.
 
-    Each round fits the gradient of the log loss at the current margin. The margin is
-    stored every few rounds so that the plan does not grow with the trees.
+    Each round fits the gradient of the log loss at the current margin, on the same shares
+    of rows and columns as the first trees. The margin is stored every few rounds so that
+    the plan does not grow with the trees.
     """
     data = weighted(df, positive_weight(df)).select("features", "label", "weight")
     state = spill(margin(model, data), "margin")
@@ -110,7 +111,8 @@ def continue_gbt(
     added = []
     for number in range(trees):
         gradient = 4 * sign / (1 + F.exp(2 * sign * F.col("_margin")))
-        tree = DecisionTreeRegressor(
+        tree = RandomForestRegressor(  # a forest of one tree takes both shares
+            numTrees=1, bootstrap=False, subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE,
             maxDepth=depth, labelCol="_residual", weightCol="weight", seed=SEED + number,
         ).fit(state.withColumn("_residual", gradient))
         added.append(tree)
@@ -158,7 +160,8 @@ def fit_and_compare(
 ) -> tuple[DataFrame, Model]:
     """The training report and the boosted model it describes.
 
-    One row per model: logistic, boosted, warm start and cold, on one time split.
+    One row per model: logistic, boosted, warm start and cold, on one time split, with
+    the sizes and positive rates of both parts and the order of the features.
     ``threshold`` and ``f1`` are the best F1 operating point of the boosted model.
     """
     ready = spill(assemble(df.select(*names, label, *order), list(names), label), "training")
@@ -169,6 +172,13 @@ def fit_and_compare(
     rows = rows.unionByName(_evaluated("boosted_trees", boosted, test))
     # Same rows, trees and seed: the boosted model is the cold one.
     rows = rows.unionByName(warm_vs_cold(train, test, trees, depth, order, boosted))
+    parts = {name: part.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate")).first()
+             for name, part in (("train", train), ("test", test))}
+    for name, part in parts.items():
+        rows = rows.withColumns({
+            f"{name}_rows": F.lit(part["n"]), f"{name}_positive_rate": F.lit(part["rate"])})
+    rows = rows.withColumns({
+        "rows": F.col("train_rows") + F.col("test_rows"), "features": F.lit(json.dumps(list(names)))})
     mine = F.col("model") == "boosted_trees"
     report = rows.withColumns({
         "threshold": F.when(mine, F.lit(round(best["threshold"], 6))),

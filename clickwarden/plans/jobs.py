@@ -63,9 +63,12 @@ def summary_report(clicks: DataFrame) -> dict[str, DataFrame]:
 
 def train_clicks(
     clicks: DataFrame, target: str, test_fraction: float = 0.2, trees: int = 120,
-    max_iter: int = 500, depth: int = models.DEPTH,
+    max_iter: int = 500, depth: int = models.DEPTH, device_scope: str = "global",
 ) -> DataFrame:
-    """Snapshots on the training part, features, all models, artifacts and the report."""
+    """Snapshots on the training part, features, all models, artifacts and the report.
+
+    Train with ``device_scope="per_ip"`` for a model that scores a stream keyed by IP.
+    """
     spark = clicks.sparkSession
     cutoff = int(clicks.count() * (1 - test_fraction))
     writers.write_snapshots(
@@ -73,7 +76,7 @@ def train_clicks(
           for side in ("campaign", "publisher")], f"{target}/snapshots")
     snaps = writers.load_snapshots(spark, f"{target}/snapshots")
     enriched = spill(
-        features.click_features(clicks, snaps["campaign"], snaps["publisher"]).select(
+        features.click_features(clicks, snaps["campaign"], snaps["publisher"], device_scope).select(
             *ORDER, *schemas.CLICK_FEATURES, "is_fraud"), "features")
     report, boosted = models.fit_and_compare(
         enriched, test_fraction=test_fraction, trees=trees, max_iter=max_iter, depth=depth,
