@@ -20,6 +20,15 @@ def txn_key(df: DataFrame, name: str = "txn_key") -> DataFrame:
         F.col("nameOrig"), F.col("nameDest"), F.col("step"), F.col("amount")))
 
 
+def transaction_columns(df: DataFrame) -> DataFrame:
+    """Join key and the features that need no other rows."""
+    return txn_key(df).withColumns({
+        "is_transfer_type": F.lit(1),
+        "amount_to_balance_ratio": F.try_divide(
+            F.col("amount").cast("double"), F.col("oldbalanceOrg").cast("double") + 1),
+    })
+
+
 def transaction_features(
     df: DataFrame, order: list[str] = ("step", "nameOrig"), keep: list[str] = ()
 ) -> DataFrame:
@@ -27,11 +36,7 @@ def transaction_features(
 
     ``order`` should end in a unique column, so that the counts per destination repeat.
     """
-    scorable = txn_key(filter_types(df)).withColumns({
-        "is_transfer_type": F.lit(1),
-        "amount_to_balance_ratio": F.try_divide(
-            F.col("amount").cast("double"), F.col("oldbalanceOrg").cast("double") + 1),
-    })
+    scorable = transaction_columns(filter_types(df))
     wanted = dict.fromkeys([
         *schemas.TRANSACTION_FEATURES, "isFraud", "step", "nameDest", "txn_key", *keep,
     ])

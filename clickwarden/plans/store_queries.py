@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickwarden import schemas
@@ -403,6 +404,43 @@ def score_stream(spark, sf):
         (F.abs(F.col("fraud_probability") - F.col("in_batch")) < 2e-6).alias("as_in_batch"))
 
 
+@query("score_transaction_stream", f"""WITH {fx.TXN_SQL}
+SELECT txn_key, CAST(row_number() OVER (PARTITION BY nameDest ORDER BY {", ".join(TXN_ORDER)}) - 1
+         AS BIGINT) AS dest_txn_count_so_far, true AS sound, true AS as_in_batch FROM txn_keyed""")
+def score_transaction_stream(spark, sf):
+    """Transactions in two runs of a stream: key, count so far, ratio, score, flag, table. Every
+    score is that of the same model on the batch features, matched by key and count."""
+    t = fx.transactions(spark, sf)
+    feats = spill(transactions.transaction_features(t, TXN_ORDER), "features")
+    model = models.train_lr(spill(models.assemble(feats, schemas.TRANSACTION_FEATURES, "isFraud"), "training"), ITERATIONS)
+    source, table, alerts, checkpoint = (folder(spark, n) for n in ("source", "scored", "alerts", "checkpoint"))
+    keys = ["txn_key", "dest_txn_count_so_far"]
+    for part in _halves(t, TXN_ORDER):
+        part.write.mode("append").parquet(source)
+        enriched = scoring.enrich_transactions(spark.readStream.schema(t.schema).parquet(source), TXN_ORDER)
+        scoring.drain(scoring.score_stream(
+            enriched, model, checkpoint, scoring.table_sink(table, keys, scoring.file_alerts(alerts)),
+            schemas.TRANSACTION_FLAG_THRESHOLD, names=schemas.TRANSACTION_FEATURES, trigger={"availableNow": True}))
+    ready = models.assemble(feats, schemas.TRANSACTION_FEATURES, "isFraud")
+    batch = models.score(model, ready, schemas.TRANSACTION_FLAG_THRESHOLD).select(
+        *keys, F.col("fraud_probability").alias("p"), F.col("is_flagged").alias("f"))
+    return readers.read_scored(spark, table).join(batch, keys, "left").select(
+        *keys, sound(schemas.TRANSACTION_FLAG_THRESHOLD).alias("sound"),
+        ((F.abs(F.col("fraud_probability") - F.col("p")) < 2e-6) & (F.col("is_flagged") == F.col("f"))).alias("as_in_batch"))
+
+
+@query("alerts_of_stream", f"""WITH {fx.TXN_SQL}
+SELECT txn_key, count(*) AS n FROM txn_keyed WHERE amount >= 30000 GROUP BY 1""")
+def alerts_of_stream(spark, sf):
+    """Flagged rows of a scored batch as they are read back from the alert files."""
+    rows = transactions.transaction_columns(transactions.filter_types(fx.transactions(spark, sf))).select(
+        "txn_key", F.when(F.col("amount") >= 30000, 1).otherwise(0).alias("is_flagged"), "step", "nameDest", "amount")
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("txn_key").orderBy("step")))
+    alerts = folder(spark, "alerts")
+    scoring.table_sink(folder(spark, "scored"), ["txn_key", "n"], scoring.file_alerts(alerts))(rows, 0)
+    return spark.read.json(alerts).groupBy("txn_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("monitor_stream", f"WITH {MESSAGES_SQL} SELECT value, is_malformed, errors FROM checked "
        "JOIN messages USING (seq)")
 def monitor_stream(spark, sf):

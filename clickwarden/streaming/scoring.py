@@ -16,9 +16,10 @@ from clickwarden.operators.contract import check_contract_batch, read_record, va
 from clickwarden.operators.eda import flagged
 from clickwarden.operators.features import attach_rates, click_features
 from clickwarden.operators.models import score
-from clickwarden.operators.transactions import filter_types
+from clickwarden.operators.transactions import filter_types, transaction_columns
 from clickwarden.runtime import spill
 from clickwarden.sources.writers import click_messages, upsert_insert_only
+from clickwarden.streaming.state import count_so_far_stream
 
 HISTORY_SECONDS = schemas.STATE_TTL_MS // 1000
 EVERY = "10 seconds"
@@ -27,12 +28,15 @@ EVERY = "10 seconds"
 def score_batch(
     batch: DataFrame, model, threshold: float, names: list[str] = tuple(schemas.CLICK_FEATURES)
 ) -> DataFrame:
-    """Probability, flag, scoring time and latency for enriched rows."""
+    """Probability, flag and scoring time for enriched rows, and the latency of rows that
+    carry the time of their event."""
     from clickwarden.operators.models import assemble
 
     vectors = assemble(batch.withColumn("_none", F.lit(0)), list(names), "_none")
     scored = score(model, vectors, threshold).drop("features", "label", "_none")
     scored = scored.withColumn("scored_at", F.current_timestamp())
+    if "event_timestamp" not in batch.columns:
+        return scored
     return scored.withColumn(
         "latency_ms", latency_ms(F.col("event_timestamp").cast("timestamp"), F.col("scored_at")))
 
@@ -147,6 +151,13 @@ def transaction_stream(messages: DataFrame, schema=schemas.TRANSACTION, value: s
     return filter_types(parsed.select("_t.*")), bad
 
 
+def enrich_transactions(rows: DataFrame, order: list[str] = ("step", "nameOrig")) -> DataFrame:
+    """Streaming scorable transactions with join key, ratio and the count of earlier
+    transactions to their destination: what ``transaction_features`` gives a batch."""
+    ready = transaction_columns(filter_types(rows))
+    return count_so_far_stream(ready, "nameDest", list(order))
+
+
 def monitored(messages: DataFrame, name: str = "contract", value: str = "value") -> DataFrame:
     """Contract check on a stream; the totals of each micro-batch are observed metrics."""
     checked = validate_clicks(messages, value)
