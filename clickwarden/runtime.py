@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 _stored: list[str] = []
+_scopes = threading.local()
+
+
+@contextmanager
+def stages(spark: SparkSession):
+    """Tables stored with ``spill`` inside this block are deleted when it ends.
+
+    For jobs and micro-batches whose results are written within the block.
+    """
+    outer = getattr(_scopes, "paths", None)
+    _scopes.paths = mine = []
+    try:
+        yield
+    finally:
+        _scopes.paths = outer
+        _delete(spark, mine)
 
 
 def spill(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -62,7 +80,8 @@ def spill(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _stored.append(path)
+    scope = getattr(_scopes, "paths", None)
+    (_stored if scope is None else scope).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -73,11 +92,15 @@ def release(spark: SparkSession) -> int:
     no longer be computed afterwards.
     """
     count = len(_stored)
+    _delete(spark, _stored)
+    return count
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
-    return count
 
 
 def hot_key_rows(spark: SparkSession) -> int:

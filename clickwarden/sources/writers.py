@@ -89,19 +89,24 @@ def distinct_on(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert_insert_only(
-    df: DataFrame, path: str, keys: list[str], partition_by: list[str] = ()
+    df: DataFrame, path: str, keys: list[str], partition_by: list[str] = (), prune: bool = False,
 ) -> int:
     """Append the rows whose keys the table lacks; returns how many were added.
 
-    Running it again adds nothing. New columns widen the table. The table's keys are cut
-    down to those of the batch first, so the large side is scanned but not shuffled when
-    the batch is small. One writer at a time.
+    Running it again adds nothing. New columns widen the table. With ``prune`` the partition
+    must follow from the key, and only the batch's partitions are looked at. The table's keys are cut down to those of the batch first, so the large side is scanned but
+    not shuffled when the batch is small. One writer at a time.
     """
     spark = df.sparkSession
     target = _existing(spark, path)
     rows = distinct_on(df, keys)
     if target is not None:
         rows = spill(rows, "batch")
+        for column in partition_by if prune else ():
+            # As many values as the batch touches partitions; the scan skips the others.
+            values = [r[0] for r in rows.select(column).distinct().collect()]
+            found = F.col(column).isin([v for v in values if v is not None])
+            target = target.where(found | F.col(column).isNull() if None in values else found)
         # Null keys are equal to null keys, else they would be added by every run.
         batch = rows.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
         in_batch, known_to = F.lit(True), F.lit(True)

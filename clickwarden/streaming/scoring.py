@@ -17,7 +17,7 @@ from clickwarden.operators.eda import flagged
 from clickwarden.operators.features import attach_rates, click_features
 from clickwarden.operators.models import score
 from clickwarden.operators.transactions import filter_types, transaction_columns
-from clickwarden.runtime import spill
+from clickwarden.runtime import spill, stages
 from clickwarden.sources.writers import click_messages, upsert_insert_only
 from clickwarden.streaming.state import count_so_far_stream
 
@@ -53,26 +53,31 @@ def add_static_features(
 
 def table_sink(
     path: str, keys: list[str], alerts: Callable[[DataFrame, int], None] | None = None,
+    partition_by: list[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """Sink for scored micro-batches: idempotent table plus flagged rows as alerts.
 
-    A replayed micro-batch adds no rows to the table; alerts are sent at least once.
+    A replayed micro-batch adds no rows to the table; alerts are sent at least once. Name
+    a column that follows from the key, such as the event's date, in ``partition_by``, so
+    that a batch looks at its own partitions only.
     """
     def write(scored: DataFrame, batch_id: int) -> None:
-        scored = spill(scored, "scored")  # score once for both outputs
-        upsert_insert_only(scored, path, keys)
-        if alerts is not None:
-            alerts(flagged(scored), batch_id)
+        with stages(scored.sparkSession):
+            scored = spill(scored, "scored")  # score once for both outputs
+            upsert_insert_only(scored, path, keys, partition_by, prune=bool(partition_by))
+            if alerts is not None:
+                alerts(flagged(scored), batch_id)
     return write
 
 
 def json_sink(path: str, alerts: Callable[[DataFrame, int], None] | None = None):
     """Sink of JSON files, one folder per micro-batch, overwritten when it is replayed."""
     def write(scored: DataFrame, batch_id: int) -> None:
-        scored = spill(scored, "scored")
-        scored.write.mode("overwrite").json(f"{path}/batch={batch_id}")
-        if alerts is not None:
-            alerts(flagged(scored), batch_id)
+        with stages(scored.sparkSession):
+            scored = spill(scored, "scored")
+            scored.write.mode("overwrite").json(f"{path}/batch={batch_id}")
+            if alerts is not None:
+                alerts(flagged(scored), batch_id)
     return write
 
 

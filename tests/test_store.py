@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +104,41 @@ def test_kafka_source_is_named_in_the_plan_only(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         readers.read_click_stream(
             spark, "kafka", **{"kafka.bootstrap.servers": "none:1", "subscribe": "clicks"})
+
+
+def test_null_keys_are_added_once(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "x"), (None, "x"), ("k", "y"), (None, "z")], "id string, v string")
+    path = str(tmp_path / "nulls")
+    assert [writers.upsert_insert_only(rows, path, ["id", "v"]) for _ in range(3)] == [3, 0, 0]
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        writers.upsert_insert_only(rows, str(tmp_path / "broken"), ["id"])
+
+
+def test_a_sink_leaves_no_stages(spark, tmp_path):
+    from clickwarden import runtime
+    from clickwarden.streaming import scoring
+
+    before = len(runtime._stored)
+    with runtime.stages(spark):
+        kept = runtime.spill(spark.range(3), "stage")
+        path = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path)
+    rows = spark.createDataFrame([("a", 1), ("b", 0)], "click_id string, is_flagged int")
+    scoring.table_sink(str(tmp_path / "t"), ["click_id"], scoring.file_alerts(str(tmp_path / "a")))(rows, 0)
+    assert len(runtime._stored) == before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    assert spark.read.json(str(tmp_path / "a")).count() == 1
+
+
+def test_only_the_partitions_of_the_batch_are_read(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = spark.createDataFrame([(i, f"2021-03-{10 + i % 4}") for i in range(40)] + [(99, None)], "id long, day string")
+    assert writers.upsert_insert_only(rows, path, ["id"], ["day"], prune=True) == 41
+    again = rows.where("day = '2021-03-11' or day is null").unionByName(
+        spark.createDataFrame([(100, "2021-03-11"), (101, "2021-04-01")], "id long, day string"))
+    assert writers.upsert_insert_only(again, path, ["id"], ["day"], prune=True) == 2
+    assert writers.upsert_insert_only(again, path, ["id"], ["day"], prune=True) == 0
+    assert readers.read_scored(spark, path).count() == 43
