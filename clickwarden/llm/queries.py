@@ -42,7 +42,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_benchmark_leaks")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    """The documents that leak, with their number of items and the nearest of them."""
+    found = benchmark_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.filter("leaks > 0")
 
 
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
