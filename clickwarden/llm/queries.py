@@ -115,3 +115,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
 FROM k
 """
+ORACLE["op7_circulant_minhash"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), g AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM w
+), n AS (
+    SELECT w.doc_id, count(g.s) AS n FROM w LEFT JOIN g USING (doc_id) GROUP BY 1
+), p AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), e AS (
+    SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), r AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a
+)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1) c USING (doc_id)
+"""
