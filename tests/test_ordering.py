@@ -133,11 +133,20 @@ def test_stages_live_in_the_shared_folder(spark):
 
 
 def test_broadcast_only_when_small(spark):
-    from clickwarden.runtime import broadcast_if_small
-
-    small = broadcast_if_small(spark.range(5), 5)._jdf.queryExecution().logical().toString()
-    large = broadcast_if_small(spark.range(6), 5)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in small and "broadcast" not in large
+    """Side tables carry no hint: Spark broadcasts them by its own size threshold."""
+    from clickwarden.operators.features import attach_rates
+
+    side = spark.createDataFrame([("a", 4, 1)], "id string, clicks long, attributed long")
+    joined = attach_rates(spark.range(5).selectExpr("cast(id AS string) AS campaign_id"), side, "campaign_id", "rate")
+    assert "hint" not in joined._jdf.queryExecution().logical().toString().lower()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = attach_rates(spark.range(5).selectExpr("cast(id AS string) AS campaign_id"), side, "campaign_id", "rate")
+        assert "Broadcast" not in again._jdf.queryExecution().executedPlan().toString()
+        assert again.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def wide(spark, rows):
