@@ -3,8 +3,9 @@
 Reading plans partitions of whole files, up to ``splitBytes`` together. Equality and IN
 predicates on the record type and the other header columns are pushed down. A record's header
 is parsed first; when it fails a predicate, or the option ``payload`` is false, the reader
-moves past the record's block without decoding it. Plain files are skipped by seeking,
-``.gz`` files by reading on. With ``verify`` the SHA-1 of every payload that is decoded must
+moves past the record's block without decoding it. Files are plain or ``.gz``, with a member
+for each record. Members written here carry their length in an extra field (``sl``), so that
+the reader inflates the header and seeks past the rest; other ``.gz`` files are read on. With ``verify`` the SHA-1 of every payload that is decoded must
 equal the header's.
 
 Writing makes one file per task, rolled at ``rollBytes``. Files appear under their final name
@@ -22,6 +23,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import struct
+import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -80,6 +83,18 @@ def _http_payload(block: bytes) -> tuple[int | None, bytes]:
     return None, payload
 
 
+def row_of(header: dict[str, str]) -> dict:
+    row = {c: header.get(h) for c, h in HEADER_OF.items()}
+    for c in ("record_id", "refers_to"):
+        row[c] = row[c].strip("<>") if row[c] else None
+    row["payload_digest"] = (row["payload_digest"] or "").removeprefix("sha1:") or None
+    return row
+
+
+def matches(row: dict, wanted: dict[str, frozenset]) -> bool:
+    return all(row[c] in values for c, values in wanted.items())
+
+
 def read_records(stream: io.BufferedIOBase, wanted: dict[str, frozenset], payload: bool, verify: bool):
     """Rows of the records whose headers match ``wanted``."""
     seekable = isinstance(stream, io.BufferedReader)
@@ -96,11 +111,8 @@ def read_records(stream: io.BufferedIOBase, wanted: dict[str, frozenset], payloa
             continue
         header = _headers(stream, first)
         length = int(header["content-length"])
-        row = {c: header.get(h) for c, h in HEADER_OF.items()}
-        for c in ("record_id", "refers_to"):
-            row[c] = row[c].strip("<>") if row[c] else None
-        row["payload_digest"] = (row["payload_digest"] or "").removeprefix("sha1:") or None
-        if any(row[c] not in values for c, values in wanted.items()):
+        row = row_of(header)
+        if not matches(row, wanted):
             skip(length + 4)
             continue
         if payload:
@@ -118,6 +130,45 @@ def read_records(stream: io.BufferedIOBase, wanted: dict[str, frozenset], payloa
         yield row
 
 
+def gzip_member(data: bytes, level: int = 4) -> bytes:
+    """A gzip member whose extra field ``sl`` holds its own length and that of the data."""
+    pack = zlib.compressobj(level, zlib.DEFLATED, -15)
+    body = pack.compress(data) + pack.flush()
+    extra = struct.pack("<2sHQQ", b"sl", 16, _FIXED + len(body) + 8, len(data))
+    head = struct.pack("<4sIBBH", b"\x1f\x8b\x08\x04", 0, 0, 255, len(extra))
+    return head + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+_FIXED = 12 + 20  # header and extra field
+_PEEK = 4096
+
+
+def read_gzip_records(raw, wanted: dict[str, frozenset], payload: bool, verify: bool):
+    """Rows of a ``.gz`` file; members that name their length are skipped without inflating them."""
+    at = raw.tell()
+    while (head := raw.read(_FIXED)):
+        if len(head) < _FIXED or head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != b"sl":
+            raw.seek(at)  # of another writer
+            yield from read_records(gzip.GzipFile(fileobj=raw), wanted, payload, verify)
+            return
+        size = struct.unpack_from("<Q", head, 16)[0]
+        inflate, first = zlib.decompressobj(-15), raw.read(min(_PEEK, size - _FIXED - 8))
+        data = inflate.decompress(first, _PEEK)
+        start = io.BytesIO(data)
+        whole = b"\r\n\r\n" not in data
+        if not whole:
+            header = _headers(start, start.readline())
+            if not matches(row_of(header), wanted):
+                at += size
+                raw.seek(at)
+                continue
+        if whole or payload or data.count(b"\r\n\r\n") < 2:
+            data += inflate.decompress(inflate.unconsumed_tail + raw.read(size - _FIXED - 8 - len(first)))
+        yield from read_records(io.BufferedReader(io.BytesIO(data)), wanted, payload, verify)
+        at += size
+        raw.seek(at)
+
+
 @dataclass
 class Files(InputPartition):
     names: list[str]
@@ -158,9 +209,9 @@ class WarcReader(DataSourceReader):
         files, _ = arrow_fs.FileSystem.from_uri(self.path)
         for name in partition.names:
             with files.open_input_file(name) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw, 1 << 20)
+                read = read_gzip_records if name.endswith(".gz") else read_records
                 rows, held = [], 0
-                for row in read_records(stream, self.wanted, self.payload, self.verify):
+                for row in read(io.BufferedReader(raw, 1 << 18), self.wanted, self.payload, self.verify):
                     rows.append(row)
                     held += len(row["payload"] or b"")
                     if len(rows) >= 5000 or held > 16 << 20:
@@ -182,7 +233,7 @@ class WarcWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.roll = int(options.get("rollbytes", options.get("rollBytes", 256 << 20)))
         self.date = options.get("date", "1970-01-01T00:00:00Z")
-        self.gz = str(options.get("gzip", "false")).lower() == "true"
+        self.gz = str(options.get("gzip", "true")).lower() != "false"
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -197,7 +248,7 @@ class WarcWriter(DataSourceArrowWriter):
                 "record_type", "record_id", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload")]
             for row in zip(*columns, strict=True):
                 data = record_bytes(*(v.as_py() for v in row), self.date)
-                data = gzip.compress(data, 6, mtime=0) if self.gz else data
+                data = gzip_member(data) if self.gz else data
                 if out is None or held + len(data) > self.roll:
                     if out is not None:
                         out.close()

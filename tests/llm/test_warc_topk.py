@@ -68,6 +68,49 @@ def test_no_pages(spark, pages):
     assert archived_pages(pages.limit(0)).count() == 0
 
 
+def test_own_members_are_valid_gzip_and_skipped(tmp_path):
+    from clickwarden.llm.warc import gzip_member, read_gzip_records
+
+    bodies = [bytes([65 + n]) * (n * 40_000) for n in range(5)]
+    long_uri = "http://x/" + "u" * 9000
+    one = [record_bytes("response", f"urn:page:{n}", long_uri if n == 2 else "u", None, hashlib.sha1(b).hexdigest(), len(b), b, "d")
+           for n, b in enumerate(bodies)]
+    data = b"".join(map(gzip_member, one))
+    assert gzip.decompress(data) == b"".join(one)
+
+    class Counting(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.taken += len(out)
+            return out
+
+    for payload in (True, False):
+        rows = list(read_gzip_records(io.BytesIO(data), {}, payload, True))
+        assert [(r["record_id"], r["payload_bytes"]) for r in rows] == [(f"urn:page:{n}", len(b)) for n, b in enumerate(bodies)]
+        assert [r["payload"] for r in rows] == (bodies if payload else [None] * 5)
+    noise = random.Random(3).randbytes(500_000)
+    big = gzip_member(record_bytes("response", "urn:page:9", "u", None, "x", len(noise), noise, "d"))
+    stream = Counting(big * 3 + gzip_member(one[1]))
+    rows = list(read_gzip_records(stream, {"record_id": frozenset(["urn:page:1"])}, True, True))
+    assert [r["payload"] for r in rows] == [bodies[1]] and stream.taken < 20_000
+    foreign = gzip.compress(one[0]) + gzip.compress(one[1])
+    assert [r["payload"] for r in read_gzip_records(io.BytesIO(foreign), {}, True, True)] == bodies[:2]
+
+
+@pytest.mark.parametrize("gz", ["true", "false"])
+def test_plain_and_gzip_folders(spark, tmp_path, gz):
+    from clickwarden.llm.warc import page_records, read_archive, register
+
+    register(spark)
+    rows = spark.createDataFrame([(n, "u", "h" * n * 700) for n in range(4)], "page_id long, url string, html string")
+    page_records(rows).write.format("warc").option("gzip", gz).mode("append").save(f"file://{tmp_path}/a")
+    got = read_archive(spark, f"file://{tmp_path}/a", verify="true").collect()
+    assert sorted(len(r.payload) for r in got) == [0, 700, 1400, 2100]
+    assert len([f for f in (tmp_path / "a").iterdir() if f.name.endswith(".gz")]) == (len(list((tmp_path / "a").iterdir())) if gz == "true" else 0)
+
+
 def test_gzip_members_are_skipped_and_read():
     one = [record_bytes("response", f"urn:page:{n}", "u", None, hashlib.sha1(b"x" * n).hexdigest(), n, b"x" * n, "d") for n in range(5)]
     stream = gzip.GzipFile(fileobj=io.BytesIO(b"".join(map(gzip.compress, one))))
