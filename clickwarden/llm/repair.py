@@ -115,6 +115,33 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
         symbols = out
 
 
+def expand_whole(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
+    """As ``expand``, for many symbols: every rule is expanded once, then copied by length."""
+    texts: list[list[int]] = []
+    base = int(BASE)
+    for a, b in rules.tolist():
+        texts.append((texts[a - base] if a >= base else [a]) + (texts[b - base] if b >= base else [b]))
+    lengths = np.array([len(t) for t in texts], np.int64)
+    inner = np.flatnonzero(symbols >= BASE)
+    rule = (symbols[inner] - BASE).astype(np.int64)
+    size = np.ones(len(symbols), np.int64)
+    size[inner] = lengths[rule]
+    first = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint32)
+    plain = symbols < BASE
+    out[first[plain]] = symbols[plain]
+    start, own = first[inner], size[inner]
+    for n in np.unique(lengths).tolist():
+        table = np.zeros((len(texts), n), np.uint32)
+        of_length = np.flatnonzero(lengths == n)
+        table[of_length] = [texts[k] for k in of_length]
+        here = own == n
+        at, which = start[here], rule[here]
+        for k in range(n):
+            out[at + k] = table[which, k]
+    return out
+
+
 def shard_bytes(doc_ids: list, parts: list[bytes], end_id: int, **options) -> tuple[bytes, dict]:
     ids = np.frombuffer(b"".join(parts), "<u4")
     starts = np.r_[0, np.cumsum([len(p) // 4 for p in parts])].astype(np.uint64)
@@ -221,7 +248,7 @@ def read_token_shards(manifest: DataFrame, folder: str) -> DataFrame:
             for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with files.open_input_file(name) as source:
                     shard = Shard(source.read())
-                data = memoryview(expand(shard.symbols, shard.rules).astype("<u4", copy=False).tobytes())
+                data = memoryview(expand_whole(shard.symbols, shard.rules).astype("<u4", copy=False).tobytes())
                 edges = (4 * shard.starts).astype(np.int64).tolist()
                 sums = [zlib.crc32(data[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
                 n = len(sums)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from clickwarden.llm.packing import best_fit_decreasing, pack
-from clickwarden.llm.repair import Shard, expand, repair, shard_bytes, token_documents
+from clickwarden.llm.repair import Shard, expand, expand_whole, repair, shard_bytes, token_documents
 from clickwarden.llm.tokens import default_path, encoder
 
 
@@ -88,7 +88,7 @@ def test_repair_round_trip(docs, rounds):
     shard, flat = Shard(data), b"".join(parts)
     assert counts["n_ids"] == len(flat) // 4
     assert [shard.document(k).tobytes() for k in range(len(docs))] == parts
-    assert expand(shard.symbols, shard.rules).tobytes() == flat
+    assert expand(shard.symbols, shard.rules).tobytes() == flat == expand_whole(shard.symbols, shard.rules).tobytes()
     for a in range(0, counts["n_ids"], 3):
         assert shard.ids(a, a + 5).tobytes() == flat[4 * a:4 * a + 20]
 
