@@ -57,7 +57,7 @@ class Insults:
     """Weighted trie; keys ending in ``$`` are whole words."""
 
     weights: dict[str, float]
-    least: float = 1.5
+    least: float = 2.5
     memo: dict[str, float] = field(default_factory=dict, repr=False)
 
     def weight(self, word: str) -> float:
