@@ -59,7 +59,7 @@ def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
     try:
         codes = list(map(_words.__getitem__, words))
     except KeyError:
-        if len(_words) > 500_000:
+        if len(_words) > 300_000:
             _words.clear()
         for word in set(words).difference(_words):
             _words[word] = xxhash.xxh3_64_intdigest(word)

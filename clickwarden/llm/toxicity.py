@@ -70,7 +70,7 @@ class Insults:
                         out = self.weights[word[:n]]
                         break
             out = out if out is not None and out >= self.least else 0.0
-            if len(self.memo) > 400_000:
+            if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[word] = out
         return out
