@@ -51,17 +51,17 @@ def test_click_time_stands_in_for_a_missing_time(make_clicks):
 
 def test_window_edge_is_closed(make_clicks):
     rows = by_id(features.click_features(make_clicks([
-        ("a", "2017-11-06 10:00:00", "x", "d", "1"),
-        ("b", "2017-11-06 10:01:00", "x", "d", "1"),
-        ("c", "2017-11-06 10:02:00.000001", "x", "d", "1")])))
+        ("a", "2022-09-18 10:00:00", "x", "d", "1"),
+        ("b", "2022-09-18 10:01:00", "x", "d", "1"),
+        ("c", "2022-09-18 10:02:00.000001", "x", "d", "1")])))
     assert rows["b"]["ip_clicks_1m"] == 2
     assert rows["c"]["ip_clicks_1m"] == 1
 
 
 def test_device_scope(make_clicks):
     clicks = make_clicks([
-        ("a", "2017-11-06 10:00:00", "x", "shared", "1"),
-        ("b", "2017-11-06 10:00:05", "y", "shared", "1")])
+        ("a", "2022-09-18 10:00:00", "x", "shared", "1"),
+        ("b", "2022-09-18 10:00:05", "y", "shared", "1")])
     everywhere = by_id(features.click_features(clicks))
     within = by_id(features.click_features(clicks, device_scope="per_ip"))
     assert everywhere["b"]["device_clicks_1m"] == 2
@@ -70,8 +70,8 @@ def test_device_scope(make_clicks):
 
 def test_null_keys_form_one_group(make_clicks):
     clicks = make_clicks([
-        ("a", "2017-11-06 10:00:00", None, None, "1"),
-        ("b", "2017-11-06 10:00:05", None, None, "1")])
+        ("a", "2022-09-18 10:00:00", None, None, "1"),
+        ("b", "2022-09-18 10:00:05", None, None, "1")])
     for hot_rows in (None, 1):
         rows = by_id(features.click_features(clicks, hot_rows=hot_rows))
         assert rows["b"]["ip_clicks_1m"] == 2
@@ -80,7 +80,7 @@ def test_null_keys_form_one_group(make_clicks):
 
 
 def test_duplicate_ids_keep_all_rows(make_clicks):
-    clicks = make_clicks([("a", "2017-11-06 10:00:00", "x", "d", "1")] * 5)
+    clicks = make_clicks([("a", "2022-09-18 10:00:00", "x", "d", "1")] * 5)
     for hot_rows in (None, 1):
         out = features.click_features(clicks, hot_rows=hot_rows).collect()
         assert sorted(r["ip_clicks_1m"] for r in out) == [1, 2, 3, 4, 5]

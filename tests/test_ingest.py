@@ -45,9 +45,9 @@ def test_normalize_fails_on_bad_rows(raw):
 
 
 VALID = {"click_id": "c", "ad_id": "1", "campaign_id": "2", "publisher_id": "3", "device_id": "4",
-         "ip": "i", "os": "5", "timestamp": "2017-11-06 10:00:00",
-         "click_time": "2017-11-06 10:00:00", "is_attributed": 0, "is_synthetic": "1",
-         "event_timestamp": "2017-11-06T10:00:00+00:00"}
+         "ip": "i", "os": "5", "timestamp": "2022-09-18 10:00:00",
+         "click_time": "2022-09-18 10:00:00", "is_attributed": 0, "is_synthetic": "1",
+         "event_timestamp": "2022-09-18T10:00:00+00:00"}
 
 
 def changed(**fields):
@@ -94,19 +94,19 @@ def test_parse_and_quarantine(spark):
     assert kept.count() == len(CASES)
     assert kept.where("parse_error is not null").count() == 8
     row = good.where("click_id = 'c' and ip = 'i'").first()
-    assert row["timestamp"].isoformat() == "2017-11-06T10:00:00"
+    assert row["timestamp"].isoformat() == "2022-09-18T10:00:00"
     assert row["is_synthetic"] == 1 and "parse_error" not in good.columns
 
 
 def test_parse_timestamp_forms(spark):
     df = spark.createDataFrame([
-        ("2017-11-06 10:00:00",), ("2017-11-06T10:00:00Z",), ("2017-11-06T12:00:00+02:00",),
+        ("2022-09-18 10:00:00",), ("2022-09-18T10:00:00Z",), ("2022-09-18T12:00:00+02:00",),
         ("junk",), ("",)], "t string")
     got = [r[0] for r in df.select(F.unix_seconds(parse_timestamp("t"))).collect()]
-    assert got == [1509962400] * 3 + [None, None]
-    numbers = spark.createDataFrame([(1509962400.5,)], "t double")
+    assert got == [1663495200] * 3 + [None, None]
+    numbers = spark.createDataFrame([(1663495200.5,)], "t double")
     kind = numbers.schema["t"].dataType
-    assert numbers.select(F.unix_micros(parse_timestamp("t", kind))).first()[0] == 1509962400500000
+    assert numbers.select(F.unix_micros(parse_timestamp("t", kind))).first()[0] == 1663495200500000
 
 
 def test_safe_ratio(spark):

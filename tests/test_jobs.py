@@ -18,9 +18,9 @@ def log(spark, tmp_path_factory):
     for i in range(400):
         ip = "farm" if i % 4 == 0 else f"ip{rng.randrange(40)}"
         bought = ip != "farm" and rng.random() < 0.1
-        time = f"2017-11-06 10:{i // 60:02d}:{i % 60:02d}"
+        time = f"2022-09-18 10:{i // 60:02d}:{i % 60:02d}"
         rows.append((ip, "3", str(rng.randrange(3)), "13", str(rng.randrange(4)), time,
-                     "2017-11-06 11:00:00" if bought else "", str(int(bought))))
+                     "2022-09-18 11:00:00" if bought else "", str(int(bought))))
     path = str(tmp_path_factory.mktemp("log") / "raw")
     spark.createDataFrame(rows, schemas.RAW_CLICK).orderBy("click_time").write.option(
         "header", True).option("emptyValue", "").csv(path)
@@ -32,7 +32,7 @@ def test_prepare_summarise_train(spark, log, tmp_path):
     meta = jobs.prepare_sample(spark, log, target, rows=300, start=50, percentile=0.99,
                                validate_order=True).first()
     assert (meta["sample_rows"], meta["sample_start_row"], meta["flagged_ips"]) == (300, 50, 1)
-    assert meta["click_time_start"].isoformat() == "2017-11-06T10:00:50"
+    assert meta["click_time_start"].isoformat() == "2022-09-18T10:00:50"
     clicks = readers.read_clicks(spark, f"{target}/clicks")
     assert clicks.where("is_fraud = 1").select("ip").distinct().first()["ip"] == "farm"
     tables = jobs.summary_report(clicks)
