@@ -131,7 +131,8 @@ def describe(text: str | None, insults: Insults) -> list[float]:
 
 
 def learn_insults(rows: DataFrame, min_documents: int = 4, max_states: int = 30_000) -> Insults:
-    """Weights from ``rows`` (text, label), a bounded sample. Counts are taken per task and summed by Spark."""
+    """Weights from ``rows`` (text, label), a bounded sample. Equal texts of one label count once.
+    Counts are taken per task and summed by Spark."""
 
     def count(batches):
         toxic, clean = Counter(), Counter()
@@ -144,10 +145,8 @@ def learn_insults(rows: DataFrame, min_documents: int = 4, max_states: int = 30_
             [pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
              pa.array([clean[k] for k in keys], pa.int64())], ["stem", "toxic", "clean"])
 
-    # near copies would count one author's words many times
-    rows = rows.withColumn("opening", F.xxhash64(F.substring("text", 1, 40))).withColumn(
-        "first", F.struct("doc_id", "text")).groupBy("opening", "label").agg(F.min("first").alias("first")).select(
-        "first.text", "label")
+    # copies would count one author's words many times; only whole texts tell them, since openings may be a source's header
+    rows = rows.select("text", "label").distinct()
     totals = rows.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in totals}
     if not n.get(0) or not n.get(1):

@@ -7,11 +7,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickwarden.llm import decontamination as decon
 from clickwarden.llm.license_scan import base_places, detections, resolve, rules, scan_licenses, scan_text, word_line
 from clickwarden.llm.quality import FEATURES, document_statistics, fit_trees, good_documents, quality_scores
-from clickwarden.llm.toxicity import Insults, clean_documents, clause_strength, fit_logistic, matched_clauses, toxicity_scores
+from clickwarden.llm.toxicity import (
+    Insults, clean_documents, clause_strength, fit_logistic, learn_insults, matched_clauses, toxicity_scores,
+)
 
 from .conftest import prose
 
@@ -169,6 +172,19 @@ def test_toxicity_on_held_out_rows(labelled, odd_docs, odd_rows, no_docs):
     assert {r.doc_id for r in clean.collect()} == {n for n in got if got[n].score < 0.5}
 
 
+def test_toxicity_under_one_header(labelled, spark):
+    rows, docs, labels = labelled
+    header = "Published by the northern garden society, all rights reserved, page one of one. "
+    known = labels.filter("doc_id is not null").join(docs, "doc_id").selectExpr("doc_id", "text", "toxic as label")
+    plain = learn_insults(known)
+    headed = learn_insults(known.withColumn("text", F.concat(F.lit(header), "text")))
+    assert {s for s in plain.weights if s.startswith(("grob", "vex"))} <= headed.weights.keys()
+    assert learn_insults(known.union(known)).weights == plain.weights  # copies count once
+    got = {r.doc_id: r.score for r in toxicity_scores(docs.withColumn("text", F.concat(F.lit(header), "text")), labels).collect()}
+    held = [n for n, _ in rows if zlib.crc32(str(n).encode()) % 5 == 0]
+    assert np.mean([(got[n] >= 0.5) == (n % 5 == 1) for n in held]) > 0.97
+
+
 def test_grammar_registers():
     insults = Insults({"grob": 3.0, "grobian$": 0.1})
     plain = clause_strength("a grobbel here".split(), insults)
