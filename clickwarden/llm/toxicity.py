@@ -4,7 +4,9 @@ Five small transducers read the words of a clause. The insult transducer is a we
 it follows a word's letters from state to state and puts out the weight of the deepest state
 it reaches, or of the whole word where that is known. Its weights are learned: log odds of
 whole words and word beginnings in toxic against other labelled documents of a bounded
-sample, where a beginning keeps a state only if it was seen in enough toxic documents.
+sample, where a beginning keeps a state only if it was seen in enough toxic documents. The
+least weight that counts is relative to the mix of labels (see ``Insults.cut_at``) and chosen
+on an inner fold of the training rows.
 The threat, target, negation and reported-speech transducers are short word lists that switch
 a clause's registers: a threat word before a target adds weight, a target near the insult
 raises it, a negation shortly before the insult and a verb of reported speech earlier in the
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +52,24 @@ REPORTS = frozenset((
 NEGATION_REACH, TARGET_REACH = 3, 4
 NEGATED, REPORTED, TARGETED, THREAT_WEIGHT = 0.6, 0.8, 1.25, 2.0
 STEM_LENGTHS = (3, 4, 5, 6, 7, 8, 9)
+CUTS = (-1.0, -0.5, 0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0)  # log odds of a toxic text, tried on the inner fold
+LEAST = 0.1
+INNER_FOLDS = 5
 
 
 @dataclass
 class Insults:
-    """Weighted trie; keys ending in ``$`` are whole words."""
+    """Weighted trie; keys ending in ``$`` are whole words. Weights below ``least`` give nothing."""
 
     weights: dict[str, float]
     least: float = 2.5
+    prior: float = 0.0  # log odds of a clean text in the rows learned from
     memo: dict[str, float] = field(default_factory=dict, repr=False)
 
+    def cut_at(self, odds: float) -> Insults:
+        """The same trie, where a match must make a toxic text likelier than ``odds`` (log odds) in rows of this mix."""
+        return replace(self, least=max(odds + self.prior, LEAST))
+
     def weight(self, word: str) -> float:
         out = self.memo.get(word)
         if out is None:
@@ -69,11 +79,11 @@ class Insults:
                     if n <= len(word) and word[:n] in self.weights:
                         out = self.weights[word[:n]]
                         break
-            out = out if out is not None and out >= self.least else 0.0
+            out = out if out is not None else 0.0
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[word] = out
-        return out
+        return out if out >= self.least else 0.0
 
 
 def stems(word: str) -> list[str]:
@@ -123,7 +133,21 @@ def matched_clauses(text: str | None, insults: Insults) -> list[tuple[str, float
 
 
 def describe(text: str | None, insults: Insults) -> list[float]:
-    strengths = [s for _, s in matched_clauses(text, insults)]
+    return summary([s for _, s in matched_clauses(text, insults)], text)
+
+
+def describe_at(text: str | None, cuts: list[Insults]) -> list[float]:
+    """Inputs under each of ``cuts``, one trie with rising least weights, one after another.
+    A clause that matches under any of them matches under the first."""
+    clauses = [WORD.findall(c) for c, _ in matched_clauses(text, cuts[0])]
+    out = []
+    for insults in cuts:
+        strengths = [clause_strength(c, insults) for c in clauses]
+        out += summary([s for s in strengths if s > 0], text)
+    return out
+
+
+def summary(strengths: list[float], text: str | None) -> list[float]:
     if not strengths:
         return [0.0] * 4
     return [max(strengths), np.log1p(sum(strengths)), np.log1p(len(strengths)),
@@ -157,7 +181,7 @@ def learn_insults(rows: DataFrame, min_documents: int = 4, max_states: int = 30_
     # a state is worth keeping where words in toxic documents are far above chance, or to overrule such a state
     kept = counted.withColumn("weight", weight).orderBy(
         F.desc(F.col("toxic") * F.abs("weight")), "stem").limit(max_states).select("stem", "weight").collect()
-    return Insults({r["stem"]: r["weight"] for r in kept})
+    return Insults({r["stem"]: r["weight"] for r in kept}, prior=float(np.log((n[0] + 2.0) / (n[1] + 1.0))))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> tuple[np.ndarray, float]:
@@ -185,22 +209,48 @@ class Grammar:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.intercept, -30, 30)))
 
 
-def fit_grammar(docs: DataFrame, labels: DataFrame, max_train_rows: int = 12_000) -> Grammar:
-    """Learn from at most ``max_train_rows`` labelled documents outside the held-out fold."""
-    rows = spill(labelled_texts(docs, labels, "toxic", max_train_rows), "toxicity_sample")
-    insults = learn_insults(rows)
+def measured(rows: DataFrame, cuts: list[Insults]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs (row, cut, 4), labels and inner folds of ``rows`` (doc_id, text, label, fold)."""
 
     def measure(batches):
         for batch in column_batches(batches):
-            values = [describe(t, insults) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(values, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+            values = [describe_at(t, cuts) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(
+                values, pa.list_(pa.float64()))], ["doc_id", "label", "fold", "x"])
+
+    sample = rows.select("doc_id", "text", "label", "fold").mapInArrow(
+        measure, "doc_id long, label int, fold int, x array<double>").orderBy("doc_id", "label", "x").toPandas()
+    x = np.array(sample["x"].tolist(), np.float64).reshape(-1, len(cuts), 4)
+    return x, sample["label"].to_numpy(np.float64), sample["fold"].to_numpy()
+
+
+def choose_cut(rows: DataFrame) -> float:
+    """The one of CUTS under which a grammar learned without the inner fold predicts that fold best (log loss).
+    Equal texts share a fold; equal losses go to the cut nearest 0, which also stands where a side has not both labels."""
+    part = learn_insults(rows.filter("fold != 0"))
+    x, y, fold = measured(rows, [part.cut_at(c) for c in CUTS])
+    inner = fold == 0
+    if min(len(set(y[inner].tolist())), len(set(y[~inner].tolist()))) < 2:
+        return 0.0
+    losses = []
+    for k in range(len(CUTS)):
+        weights, intercept = fit_logistic(x[~inner, k], y[~inner])
+        margin = np.clip(x[inner, k] @ weights + intercept, -30, 30)
+        losses.append(round(float(np.mean(np.logaddexp(0, margin) - y[inner] * margin)), 6))
+    return min(zip(losses, map(abs, CUTS), CUTS, strict=True))[2]
+
 
-    sample = rows.mapInArrow(measure, "doc_id long, label int, x array<double>").orderBy("doc_id", "label", "x").toPandas()
-    y = sample["label"].to_numpy(np.float64)
+def fit_grammar(docs: DataFrame, labels: DataFrame, max_train_rows: int = 12_000) -> Grammar:
+    """Learn from at most ``max_train_rows`` labelled documents outside the held-out fold."""
+    rows = spill(labelled_texts(docs, labels, "toxic", max_train_rows).withColumn(
+        "fold", F.pmod(F.xxhash64("text"), F.lit(INNER_FOLDS)).cast("int")), "toxicity_sample")
+    insults = learn_insults(rows)
+    if insults.weights:
+        insults = insults.cut_at(choose_cut(rows))
+    x, y, _ = measured(rows, [insults])
     if not len(y) or y.min() == y.max():
         return Grammar(insults, np.zeros(4), -30.0)
-    weights, intercept = fit_logistic(np.array(sample["x"].tolist(), np.float64).reshape(-1, 4), y)
+    weights, intercept = fit_logistic(x[:, 0], y)
     return Grammar(insults, weights, intercept)
 
 

@@ -13,7 +13,8 @@ from clickwarden.llm import decontamination as decon
 from clickwarden.llm.license_scan import base_places, detections, resolve, rules, scan_licenses, scan_text, word_line
 from clickwarden.llm.quality import FEATURES, document_statistics, fit_trees, good_documents, quality_scores
 from clickwarden.llm.toxicity import (
-    Insults, clean_documents, clause_strength, fit_logistic, learn_insults, matched_clauses, toxicity_scores,
+    Insults, clean_documents, clause_strength, describe, describe_at, fit_logistic, learn_insults, matched_clauses,
+    toxicity_scores,
 )
 
 from .conftest import prose
@@ -185,6 +186,24 @@ def test_toxicity_under_one_header(labelled, spark):
     assert np.mean([(got[n] >= 0.5) == (n % 5 == 1) for n in held]) > 0.97
 
 
+def test_rare_insults_count_under_even_labels(spark):
+    """With as many toxic as clean rows a word of seven toxic texts is evidence, too."""
+    words = [a + b + c + "ugg" for a in "bdgk" for b in "aeiou" for c in "zx"]
+    rows = [(n, f"{prose(n, 20)} {words[n // 2 % 40]} {prose(n + 900, 20)}" if n % 2 else prose(n, 40), n % 2) for n in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity_scores(docs.drop("toxic"), docs.drop("text")).collect()}
+    held = [n for n, *_ in rows if zlib.crc32(str(n).encode()) % 5 == 0]
+    assert np.mean([(scores[n] >= 0.5) == (n % 2 == 1) for n in held]) > 0.97
+
+
+def test_cut_is_relative_to_the_mix():
+    even, few = Insults({"grob": 2.0}, prior=0.0).cut_at(1.0), Insults({"grob": 2.0}, prior=2.2).cut_at(1.0)
+    assert even.weight("grobbel") == 2.0 and few.weight("grobbel") == 0
+    cuts = [Insults({"grob": 3.0, "vex": 1.0}).cut_at(c) for c in (0.0, 2.0)]
+    for text in ("You grobbel. A vexer, fine words", "vexer", None):
+        assert describe_at(text, cuts) == [*describe(text, cuts[0]), *describe(text, cuts[1])]
+
+
 def test_grammar_registers():
     insults = Insults({"grob": 3.0, "grobian$": 0.1})
     plain = clause_strength("a grobbel here".split(), insults)
