@@ -3,7 +3,9 @@
 Reading plans partitions of whole files, up to ``splitBytes`` together. Equality and IN
 predicates on the record type and the other header columns are pushed down. A record's header
 is parsed first; when it fails a predicate, or the option ``payload`` is false, the reader
-moves past the record's block without decoding it. Files are plain or ``.gz``, with a member
+moves past the record's block without decoding it. Blocks of Content-Type ``application/http``
+are split after their HTTP header; other blocks are whole payloads. Without a Content-Length
+``payload_bytes`` is the length of the bytes that are there (null for a revisit). Files are plain or ``.gz``, with a member
 for each record. Members written here carry their length in an extra field (``sl``), so that
 the reader inflates the header and seeks past the rest; other ``.gz`` files are read on. With ``verify`` the SHA-1 of every payload that is decoded must
 equal the header's.
@@ -74,13 +76,27 @@ def _headers(stream: io.BufferedIOBase, first: bytes) -> dict[str, str]:
     return out
 
 
-def _http_payload(block: bytes) -> tuple[int | None, bytes]:
-    head, _, payload = block.partition(b"\r\n\r\n")
-    for line in head.split(b"\r\n")[1:]:
+def _is_http(header: dict[str, str]) -> bool:
+    return header.get("content-type", "").split(";")[0].strip().lower() == "application/http"
+
+
+def _http_length(head: bytes) -> int | None:
+    for line in head.split(b"\n")[1:]:
         name, _, value = line.partition(b":")
-        if name.strip().lower() == b"content-length":
-            return int(value), payload
-    return None, payload
+        if name.strip().lower() == b"content-length" and value.strip().isdigit():
+            return int(value)
+    return None
+
+
+def _http_head(stream: io.BufferedIOBase, length: int) -> tuple[bytes, int]:
+    """The HTTP header of a block of ``length`` bytes with its empty line, and the bytes read for it."""
+    head, taken = [], 0
+    while taken < length and (line := stream.readline(length - taken)):
+        head.append(line)
+        taken += len(line)
+        if line in (b"\r\n", b"\n"):
+            break
+    return b"".join(head), taken
 
 
 def row_of(header: dict[str, str]) -> dict:
@@ -115,18 +131,19 @@ def read_records(stream: io.BufferedIOBase, wanted: dict[str, frozenset], payloa
         if not matches(row, wanted):
             skip(length + 4)
             continue
-        if payload:
-            row["payload_bytes"], body = _http_payload(stream.read(length))
-            if row["record_type"] == "revisit":
-                body = None
-            elif verify and hashlib.sha1(body).hexdigest() != row["payload_digest"]:
+        # only HTTP blocks have a header before the payload; other blocks are payloads as they are
+        head, taken = _http_head(stream, length) if _is_http(header) else (b"", 0)
+        row["payload_bytes"], row["payload"] = _http_length(head), None
+        if row["payload_bytes"] is None and row["record_type"] != "revisit":
+            row["payload_bytes"] = length - taken
+        if payload and row["record_type"] != "revisit":
+            body = stream.read(length - taken)
+            if verify and hashlib.sha1(body).hexdigest() != row["payload_digest"]:
                 raise ValueError(f"payload of {row['record_id']} does not match its digest")
             row["payload"] = body
             skip(4)
         else:
-            head = stream.read(min(length, 512))  # the HTTP header; the payload is passed over
-            row["payload_bytes"], row["payload"] = _http_payload(head)[0], None
-            skip(length - len(head) + 4)
+            skip(length - taken + 4)
         yield row
 
 

@@ -10,7 +10,9 @@ from collections import Counter
 import pytest
 
 from clickwarden.llm.topk import top_inner_products
-from clickwarden.llm.warc import archive_pages, archived_pages, read_archive, read_records, record_bytes
+from clickwarden.llm.warc import (
+    archive_pages, archived_pages, gzip_member, read_archive, read_gzip_records, read_records, record_bytes,
+)
 
 PAGES = "page_id long, url string, html string, payload string, kept long, n long"
 
@@ -121,6 +123,29 @@ def test_gzip_members_are_skipped_and_read():
         list(read_records(broken, {}, True, True))
 
 
+def foreign_record(kind, content_type, block):
+    return (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{kind}>\r\n" + (f"Content-Type: {content_type}\r\n" if content_type else "")
+            + f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_blocks_of_other_writers():
+    text = b"first part\r\n\r\nsecond part"
+    cookies = b"".join(b"Set-Cookie: a%d=%s\r\n" % (n, b"v" * 90) for n in range(90))
+    http = b"HTTP/1.1 200 OK\r\n" + cookies + b"Content-Length: 28\r\n\r\nbody\r\n\r\n" + b"b" * 20
+    ask = b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"
+    made = [("conversion", "text/plain", text), ("warcinfo", "application/warc-fields", b"software: x\r\n"), ("resource", None, b""),
+            ("metadata", "text/plain", text * 3), ("response", "application/http; msgtype=response", http), ("request", "application/http", ask)]
+    want = [(k, len(b), b) for k, _, b in made[:4]] + [("response", 28, http[-28:]), ("request", 0, b"")]
+    one = [foreign_record(*m) for m in made]
+    streams = [lambda: (read_records, io.BufferedReader(io.BytesIO(b"".join(one)))), lambda: (read_gzip_records, io.BytesIO(b"".join(map(gzip.compress, one)))),
+               lambda: (read_gzip_records, io.BytesIO(b"".join(map(gzip_member, one))))]
+    for make in streams:
+        for payload in (True, False):
+            read, stream = make()
+            rows = [(r["record_type"], r["payload_bytes"], r["payload"]) for r in read(stream, {}, payload, False)]
+            assert rows == [(k, n, b if payload else None) for k, n, b in want]
+
+
 def brute(rows, k):
     ok = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
           if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
