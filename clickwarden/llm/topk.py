@@ -1,7 +1,7 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Vectors are laid out by range of their length, so a batch of them is a bucket of like
-lengths. Queries go to the tasks in blocks of bounded size, together with a bounded seed: the
+lengths. Queries go to the tasks in stored blocks of about equal size, one after another, together with a bounded seed: the
 longest vectors of all, which give every query a first threshold, its k-th best score among
 them. For each bucket and query the threshold turns into a local cosine threshold, threshold
 / (query length * longest vector of the bucket). Above 1 the bucket is skipped. Near 1 the
@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import spill
+from clickwarden.llm.common import fresh_folder, spill
+from clickwarden.runtime import track
 
 FOUND = "query_id long, vec_id long, score long"
 SLACK = 1e-9
@@ -158,23 +159,20 @@ def top_inner_products(vectors: DataFrame, k: int = 20, every: int = 20, scale:
                        block_queries: int = 4000, seed_vectors: int = 2048) -> DataFrame:
     """The k highest inner products of every vector whose id is divisible by ``every``."""
     rows = whole_vectors(vectors, scale)
-    laid = spill(rows.repartitionByRange(F.desc("norm"), F.col("vec_id")), "topk_vectors")
+    laid = spill(rows.repartitionByRange(F.desc("norm"), F.col("vec_id")).sortWithinPartitions(
+        F.desc("norm"), "vec_id"), "topk_vectors")
     seed = [(r["vec_id"], r["vec"]) for r in laid.orderBy(F.desc("norm"), "vec_id").limit(seed_vectors).collect()]
-    queries = laid.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec")).orderBy("vec_id")
-    parts, block = [], []
-
-    def flush() -> None:
-        parts.append(block_hits(laid, list(block), seed, k))
-        block.clear()
-
-    for row in queries.toLocalIterator():
-        block.append((row["vec_id"], row["vec"]))
-        if len(block) == block_queries:
-            flush()
-    if block or not parts:
-        flush()
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
+    spark, folder = vectors.sparkSession, fresh_folder(vectors.sparkSession, "topk")
+    track(folder)
+    queries = spill(laid.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec")), "topk_queries")
+    blocks = max(1, -(-queries.count() // block_queries))
+    # distinct ids spread evenly over the blocks; each has its own folder, so the driver reads one at a time
+    queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).write.partitionBy("block").parquet(
+        f"{folder}/queries")
+    stored = spark.read.schema("vec_id long, vec array<long>, block int").parquet(f"{folder}/queries")
+    for number in range(blocks):
+        block = [(r["vec_id"], r["vec"]) for r in stored.filter(F.col("block") == number).select("vec_id", "vec").collect()]
+        block_hits(laid, block, seed, k).write.mode("append").parquet(f"{folder}/hits")
+    hits = spark.read.schema(FOUND).parquet(f"{folder}/hits")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

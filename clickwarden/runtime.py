@@ -80,9 +80,14 @@ def spill(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    track(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def track(path: str) -> None:
+    """Let ``path`` be deleted with the stored stages."""
     scope = getattr(_scopes, "paths", None)
     (_stored if scope is None else scope).append(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:

@@ -181,3 +181,21 @@ def test_topk_few_rows_and_none(spark):
         [(x.vec_id, x.embedding) for x in vectors.collect()], 20)
     assert top_inner_products(vectors.limit(0)).count() == 0
     assert top_inner_products(vectors.filter("vec_id = 0")).count() == 0
+
+
+def test_topk_holds_one_block_of_queries(spark, monkeypatch):
+    import clickwarden.llm.topk as topk
+
+    vectors = spark.createDataFrame([(n, [float(n % 37), float(n % 11 + 1)]) for n in range(2000)], "vec_id long, embedding array<double>")
+    laid_rows, sizes, real = [], [], topk.block_hits
+
+    def watched(laid, block, *more):
+        laid_rows.append([r["norm"] for r in laid.collect()] if not sizes else None)
+        sizes.append(len(block))
+        return real(laid, block, *more)
+
+    monkeypatch.setattr(topk, "block_hits", watched)
+    out = topk.top_inner_products(vectors, k=3, block_queries=10)
+    assert sum(sizes) == 100 and len(sizes) == 10 and out.count() == 300
+    assert "Union" not in out._jdf.queryExecution().toString()  # the plan does not grow with the queries
+    assert laid_rows[0] == sorted(laid_rows[0], reverse=True)
