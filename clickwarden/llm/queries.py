@@ -11,6 +11,7 @@ from clickwarden.llm.common import held_out, read_table
 from clickwarden.llm.decontamination import benchmark_leaks
 from clickwarden.llm.kd_shards import kd_shards
 from clickwarden.llm.license_scan import scan_licenses
+from clickwarden.llm.merkle import merkle_manifest
 from clickwarden.llm.minhash import near_duplicates
 from clickwarden.llm.packing import pack
 from clickwarden.llm.quality import quality_scores
@@ -87,6 +88,67 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(read_table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(read_table(spark, sf_dir, "documents"))
+
+
+# crc32 is written out bit by bit, as DuckDB has no such function
+ORACLE["op11_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, lang, text) AS r, doc_id, source, lang, n_chars, text,
+           coalesce(~list_reduce(list_prepend(4294967295, list_transform(
+               range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ord(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) & 4294967295, 1) % 7 = 0 AS hit
+    FROM documents
+), f AS (
+    SELECT r, doc_id, lang, hit, n_chars, sha256(concat(
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+        coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+        coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-'),
+        coalesce(strlen(text) || ':' || text, '-'))) AS leaf, sha256(concat(
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+        coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+        coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR), '-'),
+        coalesce(strlen(text) || ':' || text, '-'))) AS changed
+    FROM d
+), p AS (
+    SELECT r, doc_id, leaf, CASE WHEN hit THEN changed ELSE leaf END AS used, lang,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) AS t
+    FROM f
+), below AS (
+    SELECT t, 0 AS l, i, leaf AS h, count(*) OVER (PARTITION BY t) AS n FROM p
+    UNION ALL
+    SELECT t, l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (min(n) + 1) // 2 FROM below WHERE n > 1 GROUP BY t, l, i // 2
+), top AS (
+    SELECT 0 AS l, t - 1 AS i, h, count(*) OVER () AS n FROM below WHERE n = 1
+    UNION ALL
+    SELECT l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (min(n) + 1) // 2 FROM top WHERE n > 1 GROUP BY l, i // 2
+), every_node AS (
+    SELECT t, l, i, h, n FROM below WHERE n > 1
+    UNION ALL SELECT 0, l, i, h, n FROM top
+), depth AS (
+    SELECT t, max(l) AS depth, max(h) FILTER (n = 1) AS subroot FROM below GROUP BY t
+), walk AS (
+    SELECT r, t, 0 AS l, i, used AS h, '' AS proof, false AS upper, t AS t0 FROM p
+    UNION ALL
+    SELECT w.r, CASE WHEN w.upper OR w.l = d.depth THEN 0 ELSE w.t END,
+           CASE WHEN w.upper OR w.l < d.depth THEN w.l + 1 ELSE 0 END,
+           CASE WHEN w.upper OR w.l < d.depth THEN w.i // 2 ELSE w.t0 - 1 END,
+           CASE WHEN NOT w.upper AND w.l = d.depth THEN w.h WHEN s.h IS NULL THEN sha256(w.h)
+                WHEN w.i % 2 = 0 THEN sha256(w.h || s.h) ELSE sha256(s.h || w.h) END,
+           w.proof || CASE WHEN NOT w.upper AND w.l = d.depth THEN '' ELSE coalesce(s.h, '') END,
+           w.upper OR w.l = d.depth, w.t0
+    FROM walk w JOIN depth d ON d.t = w.t0
+    LEFT JOIN every_node s ON s.t = w.t AND s.l = w.l AND s.i = xor(w.i, 1) AND (w.upper OR w.l < d.depth)
+    WHERE NOT (w.upper AND w.l = (SELECT max(l) FROM top))
+)
+SELECT p.doc_id, p.leaf, d.subroot, root.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = root.h AS verified
+FROM p JOIN depth d USING (t) JOIN walk w ON w.r = p.r AND w.upper AND w.l = (SELECT max(l) FROM top)
+JOIN (SELECT h FROM top WHERE n = 1) root ON true
+"""
 ORACLE["op10_norm_bucketed_topk"] = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
