@@ -13,6 +13,7 @@ from clickwarden.llm.kd_shards import kd_shards
 from clickwarden.llm.license_scan import scan_licenses
 from clickwarden.llm.merkle import merkle_manifest
 from clickwarden.llm.minhash import near_duplicates
+from clickwarden.llm.negatives import hard_negatives
 from clickwarden.llm.packing import pack
 from clickwarden.llm.quality import quality_scores
 from clickwarden.llm.repair import token_documents
@@ -149,6 +150,34 @@ SELECT p.doc_id, p.leaf, d.subroot, root.h AS root, sha256(w.proof) AS proof_sha
 FROM p JOIN depth d USING (t) JOIN walk w ON w.r = p.r AND w.upper AND w.l = (SELECT max(l) FROM top)
 JOIN (SELECT h FROM top WHERE n = 1) root ON true
 """
+@query("op13_hard_negatives")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), relabel=label)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+           CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
 ORACLE["op10_norm_bucketed_topk"] = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
