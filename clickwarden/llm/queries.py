@@ -11,6 +11,7 @@ from clickwarden.llm.common import held_out, read_table
 from clickwarden.llm.decontamination import benchmark_leaks
 from clickwarden.llm.kd_shards import kd_shards
 from clickwarden.llm.license_scan import scan_licenses
+from clickwarden.llm.lm_scores import lm_scores
 from clickwarden.llm.merkle import merkle_manifest
 from clickwarden.llm.minhash import near_duplicates
 from clickwarden.llm.negatives import hard_negatives
@@ -150,6 +151,11 @@ SELECT p.doc_id, p.leaf, d.subroot, root.h AS root, sha256(w.proof) AS proof_sha
 FROM p JOIN depth d USING (t) JOIN walk w ON w.r = p.r AND w.upper AND w.l = (SELECT max(l) FROM top)
 JOIN (SELECT h FROM top WHERE n = 1) root ON true
 """
+@query("op12_recurrent_lm")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 @query("op13_hard_negatives")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
