@@ -42,9 +42,9 @@ def rolling_counts_ip_tied(spark, sf):
     return _counts(fx.clicks(spark, sf, tied=True), "ip", "ip")
 
 
-@query("rolling_counts_ip_hot_keys", _counts_sql(fx.TIED_SQL, "ip", "ip"))
+@query("rolling_counts_ip_hot_keys", _counts_sql(fx.HOT_SQL, "ip", "ip"))
 def rolling_counts_ip_hot_keys(spark, sf):
-    return _counts(fx.clicks(spark, sf, tied=True), "ip", "ip", hot_rows=70)
+    return _counts(fx.hot_clicks(spark, sf), "ip", "ip", hot_rows=70)
 
 
 @query("rolling_counts_device", _counts_sql(fx.CLICKS_SQL, "device_id", "device"))
@@ -86,9 +86,9 @@ def rolling_entropy_tied(spark, sf):
     return _entropy(fx.clicks(spark, sf, tied=True))
 
 
-@query("rolling_entropy_hot_keys", _entropy_sql(fx.TIED_SQL))
+@query("rolling_entropy_hot_keys", _entropy_sql(fx.HOT_SQL))
 def rolling_entropy_hot_keys(spark, sf):
-    return _entropy(fx.clicks(spark, sf, tied=True), hot_rows=70)
+    return _entropy(fx.hot_clicks(spark, sf), hot_rows=70)
 
 
 @query("inter_click_gap", f"""WITH {fx.CLICKS_SQL}

@@ -50,6 +50,16 @@ def clicks(spark: SparkSession, sf: str, tied: bool = False) -> DataFrame:
     )
 
 
+def hot_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks of which one IP, one device and one minute hold most, and one moment a fifth."""
+    minute = F.lit(START_US) + F.col("us") % 60_000_000
+    us = F.when(F.col("seq") % 5 == 0, START_US + 30_000_000).when(F.col("seq") % 3 > 0, minute).otherwise(F.col("us"))
+    return clicks(spark, sf).withColumns({
+        "us": us, "ip": F.when(F.col("seq") % 10 < 8, "hot").otherwise(F.col("ip")),
+        "device_id": F.when(F.col("seq") % 7 < 5, "0").otherwise(F.col("device_id")),
+    }).withColumn("timestamp", F.timestamp_micros("us"))
+
+
 def _clicks_sql(us: str) -> str:
     return f"""
 raw_k AS (
@@ -69,6 +79,12 @@ clicks AS (
 
 _US = f"{START_US} + (epoch_us(ts) - {START_US}) // {SQUEEZE}"
 CLICKS_SQL = _clicks_sql(_US)
+HOT_SQL = CLICKS_SQL.replace("clicks AS (", "plain AS (") + f""",
+clicks AS (
+  SELECT * REPLACE (
+    CASE WHEN seq % 5 = 0 THEN {START_US} + 30000000 WHEN seq % 3 > 0 THEN {START_US} + us % 60000000 ELSE us END AS us,
+    CASE WHEN seq % 10 < 8 THEN 'hot' ELSE ip END AS ip, CASE WHEN seq % 7 < 5 THEN '0' ELSE device_id END AS device_id)
+  FROM plain)"""
 TIED_SQL = _clicks_sql(f"(({_US}) // 60000000) * 60000000")
 
 
