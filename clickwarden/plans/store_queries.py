@@ -323,12 +323,22 @@ def _halves(df, order):
     return split.split_history(df, order)
 
 
-def _replayed(spark, df, order, build):
-    """Write each half to the source and run the bounded stream on from its checkpoint."""
+def _replayed(spark, df, order, build, copies=1, files=None):
+    """Write each half to the source and run the bounded stream on from its checkpoint.
+
+    With ``files`` each half lies in so many files by time, and each is a micro-batch.
+    """
     source, sink, checkpoint = (folder(spark, n) for n in ("source", "sink", "checkpoint"))
     for part in _halves(df, order):
-        part.write.mode("append").parquet(source)
-        stream = spark.readStream.schema(df.schema).parquet(source)
+        for _ in range(copies):
+            if files is None:
+                part.write.mode("append").parquet(source)
+        if files is not None:
+            # one write after the other: the source takes files by the time of their writing
+            tiles = spill(part.withColumn("_tile", F.ntile(files).over(Window.orderBy(*order))), "tiles")
+            for tile in range(1, files + 1):
+                tiles.where(F.col("_tile") == tile).drop("_tile").coalesce(1).write.mode("append").parquet(source)
+        stream = scoring.read_file_stream(spark, source, df.schema, files_per_batch=1 if files else 1000)
         scoring.drain(scoring.to_files(build(stream), sink, checkpoint, "parquet"))
     return spark.read.parquet(sink)
 
@@ -345,6 +355,25 @@ def enrich_stream(spark, sf):
     return out.select("seq", *feature_columns()[:8])
 
 
+@query("enrich_stream_watermark", f"WITH {FEATURES_PER_IP_SQL} SELECT seq, {_STATE_COLUMNS} FROM feat")
+def enrich_stream_watermark(spark, sf):
+    """Every click comes twice in each run; a watermark drops replays and the state of idle IPs
+    (idle for longer than the clicks last here, so that gaps match the batch)."""
+    c = fx.clicks(spark, sf)
+    out = _replayed(spark, c, ["us", "seq"], lambda s: state.enrich_stream(
+        s, clock="event", tie="seq", delay="1 hour", once=True, ttl_ms=30 * 86_400_000), copies=2)
+    return out.select("seq", *feature_columns()[:8])
+
+
+@query("enrich_stream_own_clock", f"WITH {FEATURES_PER_IP_SQL} SELECT seq, {_STATE_COLUMNS} FROM feat")
+def enrich_stream_own_clock(spark, sf):
+    """Twenty micro-batches on a clock that is read for every click."""
+    c = fx.clicks(spark, sf)
+    out = _replayed(spark, c, ["us", "seq"], lambda s: state.enrich_stream(
+        s, clock=lambda click: click["us"], tie="seq", ttl_ms=None), files=10)
+    return out.select("seq", *feature_columns()[:8])
+
+
 @query("count_so_far_stream", f"""WITH {fx.TXN_SQL}
 SELECT {", ".join(fx.TIE)}, nameDest, CAST(row_number() OVER (
   PARTITION BY nameDest ORDER BY {", ".join(TXN_ORDER)}) - 1 AS BIGINT) AS dest_txn_count_so_far

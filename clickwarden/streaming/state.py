@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time as wall
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 from math import log2
 
@@ -15,6 +17,7 @@ from clickwarden import schemas
 
 MICROS = 1_000_000
 US = "_us"
+BLOCK = 64  # clicks per entry of the stored trail
 STATE_FEATURES = [name for name in schemas.CLICK_FEATURES if name.startswith(("ip_", "device_"))]
 
 
@@ -47,9 +50,12 @@ class Trail:
 
 
 class IpState:
-    """Features of one IP's clicks, rebuilt from the stored recent clicks."""
+    """Features of one IP's clicks, rebuilt from the stored recent clicks.
 
-    def __init__(self, recent: list[tuple[int, str, str]], last: int | None):
+    ``first`` is the place of the first recent click in the stored trail, at a block's start.
+    """
+
+    def __init__(self, recent: list[tuple[int, str, str]], last: int | None, first: int = 0):
         self.widths = list(schemas.WINDOW_SECONDS.values())
         self.recent: list[tuple[int, str, str]] = []
         self.ip = Trail(self.widths)
@@ -57,9 +63,10 @@ class IpState:
         self.prints: Counter = Counter()
         self.weight = 0
         self.oldest_print = 0
-        self.last = last
+        self.last, self.first = last, first
         for click in recent:
             self._take(*click)
+        self.stored = len(self.recent)
 
     def _take(self, now: int, device: str, os: str) -> tuple[dict, dict]:
         self.recent.append((now, device, os))
@@ -96,42 +103,93 @@ class IpState:
         """Clicks that a later click can still see."""
         return self.recent[self.ip.heads[max(self.widths)]:]
 
+    def changes(self) -> tuple[dict[int, list[tuple[int, str, str]]], list[int]]:
+        """Blocks of ``BLOCK`` places to write, and blocks to remove, since the state was read.
+
+        Written are the blocks that new clicks fall into; removed those that lie wholly before
+        the widest window. All others stay as they are.
+        """
+        head = self.first + self.ip.heads[max(self.widths)]
+        written = {}
+        for block in range((self.first + self.stored) // BLOCK, -(-(self.first + len(self.recent)) // BLOCK)):
+            if (block + 1) * BLOCK > head:
+                written[block] = self.recent[max(0, block * BLOCK - self.first):(block + 1) * BLOCK - self.first]
+        stored = range(self.first // BLOCK, -(-(self.first + self.stored) // BLOCK))
+        return written, [block for block in stored if (block + 1) * BLOCK <= head]
+
 
 def _ordered(rows, order: list[str]) -> list[dict]:
     return sorted((r.asDict() for r in rows), key=lambda r: tuple(r[c] for c in order))
 
 
+_TRAIL = T.StructType([
+    T.StructField("us", T.ArrayType(T.LongType())), T.StructField("device", T.ArrayType(T.StringType())),
+    T.StructField("os", T.ArrayType(T.StringType())),
+])
+
+
 class ClickFeatureProcessor(StatefulProcessor):
     """Adds the IP and per-IP device features to every click of one IP.
 
-    ``clock="processing"`` takes the processing time of the micro-batch, as a live scorer
-    does; ``clock="event"`` takes the click time, so that a replay gives the same values.
+    ``clock="event"`` takes the click time, so that a replay gives the same values.
+    ``clock="processing"`` reads the wall clock for every click, as a live scorer does; it never
+    runs backwards within an IP. A function from the click (a dict) to microseconds is a clock
+    of one's own.
+
+    The trail of recent clicks lies in a map of blocks in arrival order: a micro-batch writes
+    the blocks its clicks fall into and removes those that have left the widest window. With
+    ``idle_us`` an event-time timer drops the whole state of an IP that has had no click for so
+    long when the watermark passes.
     """
 
-    def __init__(self, out: T.StructType, clock: str, tie: str, ttl_ms: int | None):
-        self.fields, self.clock, self.tie, self.ttl_ms = out.fieldNames(), clock, tie, ttl_ms
+    def __init__(self, out: T.StructType, clock: str | Callable[[dict], int], tie: str, ttl_ms: int | None,
+                 idle_us: int | None = None):
+        self.fields, self.clock, self.tie, self.ttl_ms, self.idle_us = out.fieldNames(), clock, tie, ttl_ms, idle_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        clicks = T.StructType([
-            T.StructField("us", T.LongType()), T.StructField("device", T.StringType()),
-            T.StructField("os", T.StringType()),
-        ])
+        self.handle = handle
+        place = T.StructType([T.StructField("block", T.LongType())])
         last = T.StructType([T.StructField("us", T.LongType())])
-        self.recent = handle.getListState("recent", clicks, self.ttl_ms)
+        self.trail = handle.getMapState("trail", place, _TRAIL, self.ttl_ms)
         self.last = handle.getValueState("last", last, self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues):
+    def _read(self) -> IpState:
         last = self.last.get()
-        state = IpState([tuple(r) for r in self.recent.get()], last[0] if last else None)
+        # the oldest blocks may have expired already
+        blocks = sorted((key[0], value) for key, value in self.trail.iterator())
+        recent = [click for _, block in blocks for click in zip(*block)]
+        return IpState(recent, last[0] if last else None, blocks[0][0] * BLOCK if blocks else 0)
+
+    def _now(self, row: dict, last: int | None) -> int:
+        if self.clock == "event":
+            return row[US]
+        now = wall.time_ns() // 1000 if self.clock == "processing" else self.clock(row)
+        return now if last is None else max(now, last)
+
+    def handleInputRows(self, key, rows, timerValues):
+        state = self._read()
+        latest = None
         # Micro-batches do not promise an order inside one key.
         for row in _ordered(rows, [US, self.tie]):
-            now = row[US]
-            if self.clock == "processing":
-                now = timerValues.getCurrentProcessingTimeInMs() * 1000
-            row.update(state.click(now, str(row["device_id"]), str(row["os"])))
+            latest = row[US]
+            row.update(state.click(self._now(row, state.last), str(row["device_id"]), str(row["os"])))
             yield Row(**{name: row[name] for name in self.fields})
-        self.recent.put(state.kept())
+        written, removed = state.changes()
+        for block, clicks in written.items():
+            self.trail.updateValue((block,), tuple(list(column) for column in zip(*clicks)))
+        for block in removed:
+            self.trail.removeKey((block,))
         self.last.update((state.last,))
+        if self.idle_us is not None and latest is not None:
+            for timer in list(self.handle.listTimers()):
+                latest = max(latest, (timer - 1) * 1000 - self.idle_us)
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((latest + self.idle_us) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.trail.clear()
+        self.last.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
@@ -161,24 +219,40 @@ class CountProcessor(StatefulProcessor):
 
 
 def enrich_stream(
-    clicks: DataFrame, clock: str = "processing", time: str = "timestamp",
-    tie: str = "click_id", ttl_ms: int = schemas.STATE_TTL_MS,
+    clicks: DataFrame, clock: str | Callable[[dict], int] = "processing", time: str = "timestamp",
+    tie: str = "click_id", ttl_ms: int | None = schemas.STATE_TTL_MS, delay: str | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """Streaming clicks with the IP, per-IP device, entropy and gap features.
 
-    State expires ``ttl_ms`` after its last write in processing mode. Event mode keeps it
-    trimmed by the widest window and terminates under ``availableNow``.
+    With the processing clock or one of your own, state expires ``ttl_ms`` after its last
+    write; such a stream runs until it is stopped, and ends with its source only when
+    ``ttl_ms`` is None. The event clock trims state by the widest window. With ``delay`` it also sets a
+    watermark on the click time: clicks later than the delay are dropped, others join the
+    windows as they arrive, and an IP without clicks for ``ttl_ms`` of event time loses its
+    state when the watermark passes. ``once`` drops replays of a ``tie`` within the delay first.
     """
+    if delay is not None and clock != "event":
+        raise ValueError("a watermark needs clock='event'")
+    if delay is not None and ttl_ms is None:
+        raise ValueError("a watermark needs ttl_ms, the time after which an IP is idle")
+    if once and delay is None:
+        raise ValueError("replays are dropped within a delay")
+    if delay is not None:
+        clicks = clicks.withWatermark(time, delay)
+    if once:
+        clicks = clicks.dropDuplicatesWithinWatermark([tie])
     timed = clicks.withColumn(US, F.unix_micros(F.col(time).cast("timestamp")))
     kinds = {
         n: T.DoubleType() if n.endswith(("entropy_5m", "seconds")) else T.LongType()
         for n in STATE_FEATURES
     }
     out = T.StructType(clicks.schema.fields + [T.StructField(n, k) for n, k in kinds.items()])
-    live = clock == "processing"
+    live = clock != "event" and ttl_ms is not None
+    mode = "ProcessingTime" if live else "None" if delay is None else "EventTime"
     return timed.groupBy("ip").transformWithState(
-        ClickFeatureProcessor(out, clock, tie, ttl_ms if live else None),
-        out, "Append", "ProcessingTime" if live else "None",
+        ClickFeatureProcessor(out, clock, tie, ttl_ms if live else None, None if delay is None else ttl_ms * 1000),
+        out, "Append", mode,
     )
 
 

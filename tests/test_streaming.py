@@ -79,6 +79,113 @@ def test_state_drops_clicks_beyond_the_widest_window():
     assert len(ip.kept()) == 7
 
 
+@pytest.mark.parametrize("late", [(0,), (0, 0, 0, 200, 3000)])
+def test_stored_blocks_give_the_same_features(late):
+    """State put away in blocks after every batch and read again. With late clicks a device may
+    miss rows that have left the IP's widest window."""
+    names = [n for n in SEEN if late == (0,) or n.startswith("ip_")]
+    rng, now, whole, blocks, last = random.Random(4), 0, state.IpState([], None), {}, None
+    for _ in range(200):
+        batch = []
+        for _ in range(rng.randrange(1, 30)):
+            now += rng.randrange(0, 40) * 1_000_000
+            batch.append((now - rng.choice(late) * 1_000_000, rng.choice("pq"), rng.choice("xyz")))
+        read = state.IpState([c for b in sorted(blocks) for c in blocks[b]], last, min(blocks, default=0) * state.BLOCK)
+        for click in batch:
+            got, want = read.click(*click), whole.click(*click)
+            assert [got[n] for n in names] == [want[n] for n in names]
+        written, removed = read.changes()
+        assert len(written) <= len(batch) // state.BLOCK + 2  # by the batch, not by the hour
+        blocks.update(written)
+        for block in removed:
+            blocks.pop(block, None)
+        last = read.last
+        assert len(blocks) <= len(read.kept()) // state.BLOCK + 2
+    assert min(blocks) > 10
+
+
+def stream_of(spark, tmp_path, schema, **options):
+    """Feeds clicks to a stream that goes on from one checkpoint; gives its rows and progress."""
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def feed(rows):
+        rows.coalesce(1).write.mode("append").parquet(source)
+        query = scoring.to_files(state.enrich_stream(readers_stream(spark, source, schema), **options), sink, checkpoint, "parquet")
+        scoring.drain(query)
+        return {r["click_id"]: r for r in spark.read.parquet(sink).collect()}, query.recentProgress
+    return feed
+
+
+def test_idle_state_falls_away_behind_the_watermark(spark, make_clicks, tmp_path):
+    at = "2024-01-01 {}".format
+    first = make_clicks([(f"a{i}", at(f"08:{i:02d}:00"), f"ip{i % 7}", "d", "x") for i in range(30)])
+    feed = stream_of(spark, tmp_path, first.schema, clock="event", delay="10 minutes", once=True, ttl_ms=3_600_000)
+    rows, progress = feed(first.unionByName(first))
+    assert len(rows) == 30 and spark.read.parquet(str(tmp_path / "out")).count() == 30  # a replay adds nothing
+    assert progress[-1].stateOperators[0].numRowsTotal > 0
+    rows, _ = feed(make_clicks([("b", at("08:31:00"), "ip1", "d", "x"), ("late", at("08:15:00"), "ip1", "d", "x"),
+                                ("later", at("08:24:30"), "ip1", "d", "x")]))
+    assert "late" not in rows and rows["later"]["ip_inter_click_gap_seconds"] == 0.0
+    assert rows["b"]["ip_clicks_1h"] >= 6
+    rows, progress = feed(make_clicks([("c", at("12:00:00"), "new", "d", "x")]))
+    rows, progress = feed(make_clicks([("d", at("12:00:01"), "new", "d", "x"), ("e", at("12:00:02"), "ip1", "d", "x")]))
+    assert rows["e"]["ip_inter_click_gap_seconds"] == 0.0 and rows["e"]["ip_clicks_1h"] == 1
+    rows, progress = feed(make_clicks([("f", at("18:00:00"), "last", "d", "x")]))
+    rows, progress = feed(make_clicks([("g", at("23:00:00"), "last", "d", "x")]))
+    held = [p.stateOperators[0] for p in progress if p.stateOperators]
+    # of all IPs only the one with the latest clicks is left: its trail, last click and timer
+    assert {r["ip"] for r in rows.values()} > {"ip1", "new"} and held[-1].numRowsTotal <= 6
+
+
+def minutes():
+    """A clock that reads the place of a click in its id: a minute a click, and once back again."""
+    def clock(row: dict) -> int:
+        number = int(row["click_id"][1:])
+        return (number if number != 3 else 0) * 60_000_000
+    return clock
+
+
+def test_every_click_has_its_own_time(spark, make_clicks, tmp_path):
+    rows = make_clicks([(f"m{i}", f"2024-01-01 08:00:{i:02d}", "one", "d", "x") for i in range(6)])
+    got, _ = stream_of(spark, tmp_path, rows.schema, clock=minutes(), ttl_ms=None)(rows)
+    gaps = [got[f"m{i}"]["ip_inter_click_gap_seconds"] for i in range(6)]
+    assert gaps == [0, 60, 60, 0, 120, 60]  # one batch, no going back
+    assert [got[f"m{i}"]["ip_clicks_1m"] for i in range(6)] == [1, 2, 2, 3, 1, 2]
+
+
+def test_state_expires_after_its_last_write(spark, make_clicks, tmp_path):
+    """Written again within the time it lives on; left alone it is gone."""
+    def click(number):
+        return make_clicks([(f"m{number}", f"2024-01-01 08:00:{number:02d}", "one", "d", "x")])
+
+    source, seen = str(tmp_path / "source"), []
+    click(0).limit(0).write.parquet(source)
+    stream = state.enrich_stream(readers_stream(spark, source, click(0).schema), clock=minutes(), ttl_ms=12_000)
+    query = stream.writeStream.format("memory").queryName("expiring").option(
+        "checkpointLocation", str(tmp_path / "cp")).outputMode("append").start()
+    rows = spark.table("expiring")
+    try:
+        for number, wait in ((1, 7), (2, 7), (4, 14), (5, 0)):
+            click(number).write.mode("append").parquet(source)
+            deadline = time.monotonic() + 40
+            while rows.where(F.col("click_id") == f"m{number}").isEmpty() and time.monotonic() < deadline:
+                time.sleep(0.2)
+            row = rows.where(F.col("click_id") == f"m{number}").first()
+            seen.append((row["ip_inter_click_gap_seconds"], row["ip_clicks_1h"]))
+            time.sleep(wait)
+    finally:
+        query.stop()
+    # the third click comes when the first write alone would have expired
+    assert seen == [(0, 1), (60, 2), (120, 3), (0, 1)]
+
+
+def test_a_watermark_needs_the_event_clock(make_clicks):
+    with pytest.raises(ValueError):
+        state.enrich_stream(make_clicks(), clock="processing", delay="1 hour")
+    with pytest.raises(ValueError):
+        state.enrich_stream(make_clicks(), clock="event", once=True)
+
+
 def test_processing_clock_with_ttl(spark, clicks, tmp_path):
     """Smoke test: this clock keeps running empty batches, so it is polled and stopped."""
     source = str(tmp_path / "source")
@@ -94,7 +201,7 @@ def test_processing_clock_with_ttl(spark, clicks, tmp_path):
     finally:
         query.stop()
     assert rows.count() == 240
-    # Within one micro-batch the clock barely moves: all clicks of an IP fall together.
+    # All clicks are read within a minute: those of an IP fall together.
     most = {r["ip"]: r["n"] for r in rows.groupBy("ip").agg(F.max("ip_clicks_1h").alias("n")).collect()}
     total = {r["ip"]: r["count"] for r in clicks.groupBy("ip").count().collect()}
     assert most == total
