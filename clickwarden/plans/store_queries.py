@@ -458,18 +458,42 @@ def score_transaction_stream(spark, sf):
         ((F.abs(F.col("fraud_probability") - F.col("p")) < 2e-6) & (F.col("is_flagged") == F.col("f"))).alias("as_in_batch"))
 
 
+def _flagged_payments(spark, sf):
+    rows = transactions.transaction_columns(transactions.filter_types(fx.transactions(spark, sf))).select(
+        "txn_key", F.when(F.col("amount") >= 30000, 1).otherwise(0).alias("is_flagged"), "step", "nameDest", "amount")
+    return rows.withColumn("n", F.row_number().over(Window.partitionBy("txn_key").orderBy("step")))
+
+
+def _sunk(spark, rows, sink):
+    """Each half of the rows goes through a stream into the sink, on from one checkpoint."""
+    source, checkpoint = folder(spark, "source"), folder(spark, "checkpoint")
+    for part in _halves(spill(rows, "payments"), ["step", "txn_key", "n"]):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        scoring.drain(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start())
+
+
 @query("alerts_of_stream", f"""WITH {fx.TXN_SQL}
 SELECT txn_key, count(*) AS n FROM txn_keyed WHERE amount >= 30000 GROUP BY 1""")
 def alerts_of_stream(spark, sf):
-    """Flagged rows of a scored batch as they are read back from the alert files."""
-    rows = transactions.transaction_columns(transactions.filter_types(fx.transactions(spark, sf))).select(
-        "txn_key", F.when(F.col("amount") >= 30000, 1).otherwise(0).alias("is_flagged"), "step", "nameDest", "amount")
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("txn_key").orderBy("step")))
+    """Flagged rows of a stream as they are read back from its alert files."""
     alerts = folder(spark, "alerts")
-    scoring.table_sink(folder(spark, "scored"), ["txn_key", "n"], scoring.file_alerts(alerts))(rows, 0)
+    _sunk(spark, _flagged_payments(spark, sf),
+          scoring.table_sink(folder(spark, "scored"), ["txn_key", "n"], scoring.file_alerts(alerts)))
     return spark.read.json(alerts).groupBy("txn_key").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("json_of_stream", f"""WITH {fx.TXN_SQL}
+SELECT txn_key, count(*) AS n, count(*) FILTER (WHERE amount >= 30000) AS flagged FROM txn_keyed GROUP BY 1""")
+def json_of_stream(spark, sf):
+    """All rows of a stream as they are read back from its JSON lines."""
+    target = folder(spark, "lines")
+    _sunk(spark, _flagged_payments(spark, sf), scoring.json_sink(target))
+    return spark.read.json(target).groupBy("txn_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_flagged").alias("flagged"))
+
+
 @query("monitor_stream", f"WITH {MESSAGES_SQL} SELECT value, is_malformed, errors FROM checked "
        "JOIN messages USING (seq)")
 def monitor_stream(spark, sf):
