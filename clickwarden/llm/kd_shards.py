@@ -12,8 +12,8 @@ over a stored table of ids, sizes and keys.
 Law ``bytes``: the sizes of leaves differ by tolerance times the number of levels at most, or
 by a single row that is larger. Null texts weigh one byte and have checksum 0, as empty ones
 have. Null metadata form a value of their own. Copies of a row are told apart by a number
-given when the narrow table is stored; equal texts have equal size and lie together unless a
-cut has to divide them. Extra columns are ignored; an empty table gives no rows.
+given when the narrow table is stored; a cut through rows of one source or language divides
+copies of a text as it does other rows. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
