@@ -505,6 +505,19 @@ def monitor_stream(spark, sf):
         "value", "is_malformed", F.array_join("errors", "; ").alias("errors"))
 
 
+@query("contract_of_stream", f"""WITH {MESSAGES_SQL}
+SELECT count(*) FILTER (WHERE NOT is_malformed AND errors = '') AS valid,
+       count(*) FILTER (WHERE NOT is_malformed AND errors <> '') AS invalid,
+       count(*) FILTER (WHERE is_malformed) AS malformed_json, count(*) AS total FROM checked""")
+def contract_of_stream(spark, sf):
+    """Totals of a stream that is stopped when all messages have been read, over several batches."""
+    source, checkpoint = folder(spark, "source"), folder(spark, "checkpoint")
+    messages(spark, sf).select("value").repartition(4).write.text(source)
+    stream = readers.read_click_stream(spark, "text", path=source, maxFilesPerTrigger=1)
+    found = scoring.check_contract_stream(stream, checkpoint, spark.read.text(source).count(), 600.0)
+    return found.drop("messages_per_second")
+
+
 @query("transaction_stream", f"""WITH {fx.TXN_SQL}
 SELECT nameDest, count(*) AS n, CAST(sum(isFraud) AS BIGINT) AS fraud FROM txn_keyed GROUP BY 1""")
 def transaction_stream(spark, sf):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clickwarden import schemas
 from clickwarden.functions import click_to_install_seconds, latency_ms
@@ -173,25 +174,56 @@ def monitored(messages: DataFrame, name: str = "contract", value: str = "value")
         F.count_if(F.col("is_malformed")).alias("malformed_json"))
 
 
+class _Ended(StreamingQueryListener):
+    """Sets an event when the query of one run has ended, by itself or by a failure."""
+
+    def __init__(self, over: threading.Event):
+        self.over, self.run = over, None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if self.run is not None and str(event.runId) == self.run:
+            self.over.set()
+
+
 def check_contract_stream(
     messages: DataFrame, checkpoint: str, max_rows: int = 100, seconds: float = 20.0,
     value: str = "value",
 ) -> DataFrame:
-    """Contract totals of a stream until ``max_rows`` messages or ``seconds`` have passed."""
-    totals, started = Counter(), time.monotonic()
+    """Contract totals of a stream until ``max_rows`` messages or ``seconds`` have passed.
+
+    The micro-batch that fills the number wakes the driver, which sleeps until then.
+    """
+    totals, started, over = Counter(), time.monotonic(), threading.Event()
+    manager, listener = messages.sparkSession.streams, _Ended(over)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         room = max_rows - totals["total"]
         if room > 0:
             totals.update(check_contract_batch(batch, room, value).first().asDict())
+        if totals["total"] >= max_rows:
+            over.set()
 
+    manager.addListener(listener)
     query = messages.writeStream.foreachBatch(handle).option(
         "checkpointLocation", checkpoint).start()
+    listener.run = str(query.runId)
     try:
-        while totals["total"] < max_rows and time.monotonic() - started < seconds:
-            query.awaitTermination(0.2)
+        if query.isActive:
+            over.wait(max(0.0, seconds - (time.monotonic() - started)))
+        if query.exception() is not None:
+            raise query.exception()
     finally:
         query.stop()
+        manager.removeListener(listener)
     spent = max(time.monotonic() - started, 1e-9)
     names = ["valid", "invalid", "malformed_json", "total"]
     row = (*[totals[n] for n in names], round(totals["total"] / spent, 2))

@@ -280,3 +280,13 @@ def test_bounded_contract_check(spark, tmp_path):
     assert (row["total"], row["valid"]) == (2, 0) and row["messages_per_second"] > 0
     row = scoring.check_contract_stream(stream, str(tmp_path / "cp2"), 100, 4.0).first()
     assert (row["invalid"], row["malformed_json"]) == (2, 1)
+
+
+def test_bounded_contract_read_raises_what_the_stream_raised(spark, tmp_path):
+    source = str(tmp_path / "source")
+    spark.createDataFrame([("{}",)], "value string").write.text(source)
+    stream = readers.read_click_stream(spark, "text", path=source)
+    started = time.monotonic()
+    with pytest.raises(Exception, match="no_such_column"):
+        scoring.check_contract_stream(stream, str(tmp_path / "cp"), 2, 60.0, value="no_such_column")
+    assert time.monotonic() - started < 50
