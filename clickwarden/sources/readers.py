@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,9 +83,27 @@ def read_staging(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``upsert_insert_only``; older files lack newer columns."""
+    stored = stored_schema(spark, path)
+    if stored is not None:
+        return spark.read.schema(stored).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def schema_path(path: str) -> str:
+    return path.rstrip("/") + ".schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema that the table's writer keeps beside it, None where there is none."""
+    try:
+        row = spark.read.schema("value string").text(schema_path(path), wholetext=True).where("value != ''").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return T.StructType.fromJson(json.loads(row["value"])) if row else None
+
+
 def read_table(spark: SparkSession, name: str = schemas.BATCH_TABLE,
                database: str = schemas.DATABASE) -> DataFrame:
     return spark.table(f"{database}.{name}")

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from clickwarden import schemas
 from clickwarden.operators.eda import head_sample
 from clickwarden.runtime import spill
-from clickwarden.sources.readers import read_scored
+from clickwarden.sources.readers import read_scored, schema_path, stored_schema
 
 CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 
@@ -119,11 +119,30 @@ def upsert_insert_only(
     rows = spill(rows, "insert")
     added = rows.count()
     if added or target is None:
+        _keep_schema(rows, path)
         rows.write.mode("append").partitionBy(*partition_by).parquet(path)
     _log_commit(spark, path, "MERGE" if target is not None else "CREATE", added)
     return added
 
 
+def _keep_schema(rows: DataFrame, path: str) -> None:
+    """Store the table's schema, widened by new columns, before rows that have them: a reader
+    then looks into no footers. Where the file is missing, readers merge the footers."""
+    spark = rows.sparkSession
+    known = stored_schema(spark, path)
+    if known is None:
+        table = _existing(spark, path)
+        known = table.schema if table is not None else T.StructType([])
+        wider = None
+    else:
+        wider = known
+    fields = [T.StructField(f.name, f.dataType) for f in known.fields]
+    fields += [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in known.fieldNames()]
+    schema = T.StructType(fields)
+    if schema != wider:
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path(path))
+
+
 def _log_commit(spark: SparkSession, path: str, operation: str, rows: int) -> None:
     log = _existing(spark, _commits_path(path))
     last = log.agg(F.max("version")).first()[0] if log is not None else None

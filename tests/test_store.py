@@ -142,3 +142,19 @@ def test_only_the_partitions_of_the_batch_are_read(spark, tmp_path):
     assert writers.upsert_insert_only(again, path, ["id"], ["day"], prune=True) == 2
     assert writers.upsert_insert_only(again, path, ["id"], ["day"], prune=True) == 0
     assert readers.read_scored(spark, path).count() == 43
+
+
+def test_schema_is_kept_beside_the_table(spark, tmp_path):
+    """Widened with the table; without the file the footers are merged."""
+    path = str(tmp_path / "table")
+    writers.upsert_insert_only(spark.createDataFrame([(1, "a")], "id long, v string"), path, ["id"])
+    assert readers.stored_schema(spark, path).fieldNames() == ["id", "v"]
+    writers.upsert_insert_only(spark.createDataFrame([(2, "b", 0.5)], "id long, v string, p double"), path, ["id"])
+    writers.upsert_insert_only(spark.createDataFrame([(3, "c")], "id long, v string"), path, ["id"])
+    want = [(1, "a", None), (2, "b", 0.5), (3, "c", None)]
+    assert sorted(map(tuple, readers.read_scored(spark, path).collect())) == want
+    import shutil
+    shutil.rmtree(readers.schema_path(path))
+    assert sorted(map(tuple, readers.read_scored(spark, path).select("id", "v", "p").collect())) == want
+    writers.upsert_insert_only(spark.createDataFrame([(4, "d")], "id long, v string"), path, ["id"])
+    assert set(readers.stored_schema(spark, path).fieldNames()) == {"id", "v", "p"}
