@@ -7,7 +7,8 @@ already accepted is suppressed, and so is one that overlaps an accepted one of h
 priority. The score is 1 - product of (1 - confidence) over the accepted detections' labels.
 
 Base phrases are counted wherever their words stand one after the other, whether or not a
-longer detection covers them, and their labels always stay.
+longer detection covers them, and their labels always stay. The work of a text is linear in its
+length and, but for sorting, in its detections.
 
 Null texts are empty: no words, null first and last word, no labels (empty strings), score 0.
 Rows that repeat get equal results. Extra columns are ignored; an empty table gives no rows.
@@ -15,6 +16,9 @@ Rows that repeat get equal results. Extra columns are ignored; an empty table gi
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,25 +49,55 @@ def word_line(text: str | None) -> tuple[bytes, int]:
     return b" " + b" ".join(words) + b" ", len(words)
 
 
+def word_numbers(line: bytes, places: list[int]) -> list[int]:
+    """The number of spaces before each place, from one pass over the line."""
+    if not places:
+        return []
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    return np.searchsorted(spaces, places).tolist()
+
+
 def base_places(line: bytes) -> list[tuple[int, str]]:
     """(word number, label) of every place of a base phrase."""
-    out = []
+    found = []
     for phrase, label in BASE.items():
         at = line.find(b" " + phrase + b" ")
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+            found.append((at, label))
             at = line.find(b" " + phrase + b" ", at + 1)
-    return sorted(out)
+    return sorted(zip(word_numbers(line, [at for at, _ in found]), [label for _, label in found], strict=True))
+
+
+def _union(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and stops of the stretches that the spans cover."""
+    starts, stops = [], []
+    for start, stop in sorted(spans):
+        if stops and start <= stops[-1]:
+            stops[-1] = max(stops[-1], stop)
+        else:
+            starts.append(start)
+            stops.append(stop)
+    return starts, stops
 
 
 def resolve(found: list[tuple[int, int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Accepted detections of (start, stop, order, rule), by place."""
+    """Accepted detections of (start, stop, order, rule), by place.
+
+    One sweep a priority, highest first: what touches a stretch accepted before goes, and so
+    does what lies inside a detection of its own priority (of equal ones the first rule stays).
+    """
     kept: list[tuple[int, int, Rule]] = []
-    for start, stop, _, rule in sorted(found, key=lambda d: (-d[3].priority, d[0] - d[1], d[0], d[2])):
-        inside = any(a <= start and stop <= b for a, b, _ in kept)
-        beaten = any(start < b and a < stop and rule.priority < r.priority for a, b, r in kept)
-        if not inside and not beaten:
-            kept.append((start, stop, rule))
+    by_priority: dict[int, list] = {}
+    for detection in found:
+        by_priority.setdefault(detection[3].priority, []).append(detection)
+    for priority in sorted(by_priority, reverse=True):
+        starts, stops = _union([(a, b) for a, b, _ in kept])
+        reach = -1
+        for start, stop, _, rule in sorted(by_priority[priority], key=lambda d: (d[0], -d[1], d[2])):
+            at = bisect_right(stops, start)  # the first stretch that ends after the start
+            if stop > reach and not (at < len(starts) and starts[at] < stop):
+                kept.append((start, stop, rule))
+                reach = stop
     return sorted(kept, key=lambda d: (d[0], d[1], d[2].label))
 
 
@@ -88,11 +122,15 @@ def scan_text(text: str | None) -> tuple:
     base, found = base_places(line), detections(line)
     base_labels = sorted({label for _, label in base})
     labels = sorted({*base_labels, *(rule.label for *_, rule in found)})
+    best: dict[str, float] = {}
+    for *_, rule in found:
+        best[rule.label] = max(best.get(rule.label, 0.0), rule.confidence)
     doubt = 1.0
     for label in labels:
-        doubt *= 1 - max([rule.confidence for *_, rule in found if rule.label == label], default=0.5)
-    spans = [{"label": r.label, "rule": r.kind, "start": line.count(b" ", 0, a) - 1, "stop": line.count(b" ", 0, b)}
-             for a, b, r in found]
+        doubt *= 1 - best.get(label, 0.5)
+    numbers = word_numbers(line, [at for a, b, _ in found for at in (a, b)])
+    spans = [{"label": r.label, "rule": r.kind, "start": start - 1, "stop": stop}
+             for (*_, r), start, stop in zip(found, numbers[::2], numbers[1::2], strict=True)]
     return (n_words, len(base), base[0][0] if base else None, base[-1][0] if base else None,
             ",".join(base_labels), ",".join(labels), 1 - doubt if labels else 0.0, spans)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -50,6 +51,28 @@ def test_license_base_equals_brute_force(spark, odd_docs, odd_rows, no_docs):
     assert base_places(word_line("cc by cc by")[0]) == [(0, "cc-by"), (2, "cc-by")]
 
 
+def test_license_resolve_equals_pairwise_comparison():
+    pool = sorted(rules(), key=lambda r: r.priority)[::40]
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        found = []
+        for k, a, n in zip(rng.integers(0, len(pool), 12), rng.integers(0, 30, 12), rng.integers(1, 10, 12), strict=True):
+            found.append((int(a), int(a + n), int(k), pool[k]))
+        kept = []
+        for a, b, order, rule in sorted(found, key=lambda d: (-d[3].priority, d[0] - d[1], d[0], d[2])):
+            if not any((c <= a and b <= d) or (a < d and c < b and rule.priority < r.priority) for c, d, r in kept):
+                kept.append((a, b, rule))
+        assert Counter(resolve(found)) == Counter(kept)
+
+
+def test_license_scan_of_five_megabytes_is_linear():
+    started = time.monotonic()
+    got = scan_text("see cc by terms and words " * 200_000)
+    assert got[1] == 200_000 and got[2:4] == (1, 6 * 199_999 + 1) and len(got[-1]) == 200_000
+    assert time.monotonic() - started < 10  # about 2 s; all pairs took over an hour
+
+
+
 def test_license_rules_and_suppression():
     assert len(rules()) > 250
     line = word_line("Licensed under the Apache License, Version 2.0 (the 'License')")[0]
