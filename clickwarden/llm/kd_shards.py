@@ -1,19 +1,25 @@
 """K-d tree sharding by distributed weighted medians, with DataFrame functions only.
 
 A row's metadata are its size in bytes, source, language and id. Each becomes an ordered
-whole-number key, whose lower bits are a hash of the row, so that a source or language with
-a third of all rows can be cut anywhere. Starting with one node, every node that should give
-several leaves is split along the dimension in which its rows spread widest, at the weighted
-median of bytes. Medians of all nodes of a level come from one histogram: bytes per (node,
-bucket), summed before the shuffle, then a finer histogram of the bucket that holds the cut
-until that bucket weighs less than ``tolerance`` of a leaf. Text is read once; the levels run
-over a stored table of ids, sizes and keys.
+whole number: the size by its logarithm, source and language by their place in the sorted list
+of values (null first), the id by its place between the least and the greatest. Copies of a text
+take the metadata of the copy with the smallest id, so they are one point of the space. Rows
+of equal value are ordered by a hash of the text and then of the row, so that a source,
+language or text with a third of all rows can be cut anywhere, and a cut divides the copies of
+one text only (of several texts where their 24-bit hashes agree as well).
+
+Starting with one node, every node that should give several leaves is split along the
+dimension in which its values spread widest, at the weighted median of bytes. Medians of all
+nodes of a level come from one histogram: bytes per (node, bucket), summed before the shuffle,
+then a finer histogram of the bucket that holds the cut until that bucket weighs less than
+``tolerance`` of a leaf. Text is read once; the levels run over a stored table of ids, sizes
+and keys.
 
 Law ``bytes``: the sizes of leaves differ by tolerance times the number of levels at most, or
 by a single row that is larger. Null texts weigh one byte and have checksum 0, as empty ones
-have. Null metadata form a value of their own. Copies of a row are told apart by a number
-given when the narrow table is stored; a cut through rows of one source or language divides
-copies of a text as it does other rows. Extra columns are ignored; an empty table gives no rows.
+have, and are copies of these. Null ids, sources and languages come before all others. Copies
+of a row are told apart by a number given when the narrow table is stored. Extra columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,8 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickwarden.llm.common import spill
+from clickwarden.operators.ordering import global_index
 
-VALUE_BITS, TIE_BITS, FINE_BITS = 24, 36, 12
+VALUE_BITS, TEXT_BITS, ROW_BITS, FINE_BITS = 20, 24, 18, 12
+TIE_BITS = TEXT_BITS + ROW_BITS
+TOP = (1 << VALUE_BITS) - 1
 DIMENSIONS = ("size", "source", "lang", "doc_id")
 
 
@@ -33,26 +42,48 @@ def _metadata(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("string") if column in df.columns else F.lit(None).cast("string")
 
 
+def _ranked(rows: DataFrame, column: str) -> DataFrame:
+    """Add ``r_<column>``: the place of the value in the sorted list of all values, as a key."""
+    values = global_index(rows.select(column).distinct(), [column], "place")
+    last = values.agg(F.max("place")).first()[0] or 0
+    place = F.col("place") if last <= TOP else F.floor(F.col("place") / F.lit((last + 1) / (TOP + 1)))
+    values = values.filter(F.col(column).isNotNull()).select(column, place.cast("long").alias(f"r_{column}"))
+    return rows.join(values, column, "left").withColumn(f"r_{column}", F.coalesce(f"r_{column}", F.lit(0)))
+
+
 def narrow(docs: DataFrame) -> DataFrame:
     """Ids, sizes, checksums and the ordered keys k_<dimension>, stored."""
     body = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     base = spill(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body).alias("text_crc32"), _metadata(docs, "source").alias("source"),
-        _metadata(docs, "lang").alias("lang")), "shard_rows")
-    tie = F.shiftrightunsigned(F.xxhash64("text_crc32", "doc_id", F.monotonically_increasing_id()), 64 - TIE_BITS)
+        F.crc32(body).alias("text_crc32"), F.xxhash64(body).alias("text_hash"),
+        _metadata(docs, "source").alias("source"), _metadata(docs, "lang").alias("lang")), "shard_rows")
+    row = F.shiftrightunsigned(F.xxhash64("doc_id", F.monotonically_increasing_id()), 64 - ROW_BITS)
+    rows = base.withColumn("row", row)
+    # the point of texts with several copies, combined before the shuffle; a hot text's join is split by AQE
+    point = F.struct("doc_id", "source", "lang")
+    copied = base.groupBy("text_hash", "size").agg(F.min(point).alias("point"), F.count(F.lit(1)).alias("copies")).filter(
+        "copies > 1").drop("copies")
+    own = F.coalesce("point", point)
+    rows = rows.join(copied, ["text_hash", "size"], "left").select(
+        "doc_id", "size", "text_crc32", "text_hash", "row", own["doc_id"].alias("first_id"),
+        own["source"].alias("source"), own["lang"].alias("lang"))
+    for column in ("source", "lang"):
+        rows = _ranked(rows, column)
+    ends = base.agg(F.min("doc_id").cast("double").alias("a"), F.max("doc_id").cast("double").alias("b")).first()
+    low, width = ends["a"] or 0.0, max((ends["b"] or 0.0) - (ends["a"] or 0.0), 1.0)
+    text = F.shiftrightunsigned(F.xxhash64("text_hash", "size"), 64 - TEXT_BITS)
+    tie = F.shiftleft(text, ROW_BITS).bitwiseOR(F.col("row"))
 
     def key(value: Column) -> Column:
-        return F.shiftleft(value.cast("long"), TIE_BITS).bitwiseOR(F.col("tie"))
+        return F.shiftleft(F.least(value.cast("long"), F.lit(TOP)), TIE_BITS).bitwiseOR(tie)
 
-    top = (1 << VALUE_BITS) - 1
-    ordinal = F.shiftrightunsigned  # text keys take the order of their hash
-    return spill(base.withColumn("tie", tie).select(
+    return spill(rows.select(
         "doc_id", "size", "text_crc32",
-        key(F.least(F.round(F.log2("size") * (1 << 18)), F.lit(top))).alias("k_size"),
-        key(ordinal(F.xxhash64(F.coalesce("source", F.lit(""))), 64 - VALUE_BITS)).alias("k_source"),
-        key(ordinal(F.xxhash64(F.coalesce("lang", F.lit(""))), 64 - VALUE_BITS)).alias("k_lang"),
-        key(ordinal(F.xxhash64("doc_id"), 64 - VALUE_BITS)).alias("k_doc_id")), "shard_keys")
+        key(F.round(F.log2("size") * (1 << (VALUE_BITS - 6)))).alias("k_size"),
+        key(F.col("r_source")).alias("k_source"), key(F.col("r_lang")).alias("k_lang"),
+        key(F.coalesce(F.floor((F.col("first_id").cast("double") - low) * (TOP / width)), F.lit(0))).alias("k_doc_id")),
+        "shard_keys")
 
 
 def _cuts(rows: DataFrame, nodes: DataFrame, tolerance_bytes: float) -> DataFrame:
@@ -94,9 +125,10 @@ def kd_leaves(rows: DataFrame, leaves: int, tolerance: float = 0.0005) -> DataFr
     """``rows`` with ``shard`` from 0 to leaves - 1."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     per_leaf = total / leaves
-    span = {d: (F.max(f"k_{d}") - F.min(f"k_{d}")) / float(1 << TIE_BITS) for d in DIMENSIONS}
+    value = {d: F.shiftright(f"k_{d}", TIE_BITS) for d in DIMENSIONS}
+    span = {d: F.max(value[d]) - F.min(value[d]) for d in DIMENSIONS}
     # a dimension's spread counts as a share of its spread over the whole table
-    base = rows.agg(*[F.greatest(span[d], F.lit(1.0)).alias(d) for d in DIMENSIONS]).first()
+    base = rows.agg(*[F.greatest(span[d], F.lit(1)).alias(d) for d in DIMENSIONS]).first()
     placed = rows.withColumn("node", F.lit(0).cast("long")).withColumn("first", F.lit(0)).withColumn(
         "count", F.lit(leaves))
     for _ in range(math.ceil(math.log2(leaves)) if leaves > 1 else 0):
