@@ -5,7 +5,7 @@ order. A task streams its range: it encodes documents, closes each with the end
 writes a shard whenever the ids reach ``shard_ids``, so memory does not grow with the range.
 Each shard is compressed by Re-Pair: in every round the most frequent pairs of neighbouring
 symbols become nonterminals and are replaced from left to right; rounds go on until no pair
-is frequent enough or ``rounds`` is reached. Pairs never reach over a document's end, so a
+stands in ``least`` places. Pairs never reach over a document's end, so a
 document can be decoded alone. Nonterminals carry their expansion lengths, which lead any
 range of ids to the symbols that hold it.
 
@@ -46,7 +46,8 @@ def frequent_pairs(seq: np.ndarray, end_id: int, most: int, least: int) -> tuple
     """The commonest pairs (codes), the places where they stand, and which pair stands there.
 
     Pairs are counted in hashed bins. One pair stands for each of the fullest bins and is then
-    counted exactly; another pair in its bin has its turn in a later round.
+    counted exactly; another pair in its bin has its turn in a later round. Where no standing
+    pair is frequent enough, all pairs of the full bins are counted.
     """
     code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
     bins = (code * _MIX >> np.uint64(64 - _BITS)).view(np.int64)
@@ -55,10 +56,20 @@ def frequent_pairs(seq: np.ndarray, end_id: int, most: int, least: int) -> tuple
     full = np.bincount(bins, minlength=(1 << _BITS) + 1)
     full[-1] = 0
     at = np.flatnonzero((full >= max(least, np.partition(full, -2 * most)[-2 * most]))[bins])
+    if not len(at):
+        return np.zeros(0, np.uint64), at, at
     stands = np.zeros(1 << _BITS, np.uint64)
     own, code = bins[at], code[at]
     stands[own] = code
     same = stands[own] == code
+    if np.bincount(own[same]).max() < least:
+        alike, place, count = np.unique(code, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")[:most]
+        order = np.sort(order[count[order] >= least])
+        number = np.full(len(alike), -1, np.int64)
+        number[order] = np.arange(len(order))
+        which = number[place]
+        return alike[order], at[which >= 0], which[which >= 0]
     at, own = at[same], own[same]
     count = np.bincount(own, minlength=1 << _BITS)
     chosen = np.flatnonzero(count >= least)
@@ -70,13 +81,11 @@ def frequent_pairs(seq: np.ndarray, end_id: int, most: int, least: int) -> tuple
     return stands[chosen], at[which >= 0], which[which >= 0]
 
 
-def repair(ids: np.ndarray, end_id: int, rounds: int = 4, pairs_per_round: int = 1024,
+def repair(ids: np.ndarray, end_id: int, pairs_per_round: int = 1024,
            least: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rule pairs and expansion lengths of the rules."""
     seq, rules, lengths = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         pairs, at, rule = frequent_pairs(seq, end_id, pairs_per_round, least)
         if not len(pairs):
             break
@@ -117,28 +126,35 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
 
 def expand_whole(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     """As ``expand``, for many symbols: every rule is expanded once, then copied by length."""
-    texts: list[list[int]] = []
     base = int(BASE)
+    lengths: list[int] = []
     for a, b in rules.tolist():
-        texts.append((texts[a - base] if a >= base else [a]) + (texts[b - base] if b >= base else [b]))
-    lengths = np.array([len(t) for t in texts], np.int64)
+        lengths.append((lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1))
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    flat = np.empty(ends[-1] if ends else 0, np.uint32)
+    for k, (a, b) in enumerate(rules.tolist()):
+        at = ends[k] - lengths[k]
+        for part in (a, b):
+            if part >= base:
+                size, stop = lengths[part - base], ends[part - base]
+                flat[at:at + size] = flat[stop - size:stop]
+                at += size
+            else:
+                flat[at] = part
+                at += 1
     inner = np.flatnonzero(symbols >= BASE)
     rule = (symbols[inner] - BASE).astype(np.int64)
+    own = np.array(lengths, np.int64)[rule] if len(rule) else np.zeros(0, np.int64)
     size = np.ones(len(symbols), np.int64)
-    size[inner] = lengths[rule]
+    size[inner] = own
     first = np.cumsum(size) - size
     out = np.empty(int(size.sum()), np.uint32)
     plain = symbols < BASE
     out[first[plain]] = symbols[plain]
-    start, own = first[inner], size[inner]
-    for n in np.unique(lengths).tolist():
-        table = np.zeros((len(texts), n), np.uint32)
-        of_length = np.flatnonzero(lengths == n)
-        table[of_length] = [texts[k] for k in of_length]
-        here = own == n
-        at, which = start[here], rule[here]
-        for k in range(n):
-            out[at + k] = table[which, k]
+    # place k of an expansion comes from place k of its rule
+    step = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+    source = np.repeat(np.array(ends, np.int64)[rule] - own if len(rule) else own, own) + step
+    out[np.repeat(first[inner], own) + step] = flat[source]
     return out
 
 

@@ -81,10 +81,10 @@ def test_pack_odd_rows(odd_docs, odd_rows, no_docs):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.sampled_from([1, 1, 1, 5, 6, 7]), max_size=60), min_size=1, max_size=8), st.integers(1, 5))
-def test_repair_round_trip(docs, rounds):
+@given(st.lists(st.lists(st.sampled_from([1, 1, 1, 5, 6, 7]), max_size=60), min_size=1, max_size=8), st.integers(2, 5))
+def test_repair_round_trip(docs, least):
     parts = [np.array([*d, 2], "<u4").tobytes() for d in docs]
-    data, counts = shard_bytes(list(range(len(docs))), parts, 2, rounds=rounds, least=2, pairs_per_round=4)
+    data, counts = shard_bytes(list(range(len(docs))), parts, 2, least=least, pairs_per_round=4)
     shard, flat = Shard(data), b"".join(parts)
     assert counts["n_ids"] == len(flat) // 4
     assert [shard.document(k).tobytes() for k in range(len(docs))] == parts
@@ -95,10 +95,21 @@ def test_repair_round_trip(docs, rounds):
 
 def test_repair_shortens_repeats():
     ids = np.array(([3, 4, 5, 6] * 200 + [2]) * 3, np.uint32)
-    symbols, rules, lengths = repair(ids, 2, rounds=6, least=4)
+    symbols, rules, lengths = repair(ids, 2, least=4)
     assert len(symbols) < len(ids) / 8 and lengths.max() >= 8 and len(rules) == len(lengths)
 
 
+def test_repair_ends_when_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(3, 40_000, 700)
+    ids = np.concatenate([np.r_[rng.integers(3, 900, 300), passage, 2] for _ in range(80)]).astype(np.uint32)
+    symbols, rules, lengths = repair(ids, 2)
+    assert (expand_whole(symbols, rules) == ids).all()
+    pairs = Counter((a, b) for a, b in zip(symbols.tolist(), symbols[1:].tolist(), strict=False) if 2 not in (a, b))
+    assert max(pairs.values()) < 32
+    assert lengths.max() >= 512  # a passage that repeats becomes a few symbols
+
+
 def test_token_documents_odd_rows(odd_docs, odd_rows, no_docs):
     got = token_documents(odd_docs, shard_ids=3000).collect()
     assert sorted((r.doc_id is not None, r.doc_id, r.n_tokens, r.ids_crc32) if r.doc_id is not None else (False, 0, r.n_tokens, r.ids_crc32) for r in got) == sorted(
