@@ -42,51 +42,58 @@ MANIFEST = "shard string, partition int, part int, n_docs long, n_ids long, n_sy
 DECODED = "shard string, place int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def frequent_pairs(seq: np.ndarray, end_id: int, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The commonest pairs (codes), the places where they stand, and which pair stands there.
-
-    Pairs are counted in hashed bins. One pair stands for each of the fullest bins and is then
-    counted exactly; another pair in its bin has its turn in a later round. Where no standing
-    pair is frequent enough, all pairs of the full bins are counted.
+def frequent_pairs(seq: np.ndarray, live: np.ndarray, most: int,
+                   least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The commonest pairs (codes), the places where they stand, which pair stands there, and
+    the places that may still hold a frequent pair.
+
+    Pairs at the ``live`` places are counted in hashed bins. One pair stands for each of the
+    fullest bins and is then counted exactly; another pair in its bin has its turn in a later
+    round. Where no standing pair is frequent enough, all pairs of the full bins are counted.
     """
-    code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+    code = seq[live].astype(np.uint64) << np.uint64(32) | seq[live + 1]
     bins = (code * _MIX >> np.uint64(64 - _BITS)).view(np.int64)
-    ends = seq == end_id
-    bins[ends[:-1] | ends[1:]] = 1 << _BITS  # no pair reaches over a document's end
-    full = np.bincount(bins, minlength=(1 << _BITS) + 1)
-    full[-1] = 0
-    at = np.flatnonzero((full >= max(least, np.partition(full, -2 * most)[-2 * most]))[bins])
-    if not len(at):
-        return np.zeros(0, np.uint64), at, at
+    full = np.bincount(bins, minlength=1 << _BITS)
+    held = np.flatnonzero((full >= least)[bins])
+    live, bins, code = live[held], bins[held], code[held]
+    none = np.zeros(0, np.int64)
+    if not len(live):
+        return none, none, none, live
+    fullest = np.sort(full[full >= least])[-2 * most:]
+    at = np.flatnonzero((full >= fullest[0])[bins])
     stands = np.zeros(1 << _BITS, np.uint64)
-    own, code = bins[at], code[at]
-    stands[own] = code
-    same = stands[own] == code
-    if np.bincount(own[same]).max() < least:
-        alike, place, count = np.unique(code, return_inverse=True, return_counts=True)
-        order = np.argsort(-count, kind="stable")[:most]
-        order = np.sort(order[count[order] >= least])
-        number = np.full(len(alike), -1, np.int64)
-        number[order] = np.arange(len(order))
-        which = number[place]
-        return alike[order], at[which >= 0], which[which >= 0]
+    own, pair = bins[at], code[at]
+    stands[own] = pair
+    same = stands[own] == pair
     at, own = at[same], own[same]
     count = np.bincount(own, minlength=1 << _BITS)
     chosen = np.flatnonzero(count >= least)
+    codes = stands[chosen]
+    if not len(chosen):
+        codes, own, count = np.unique(code, return_inverse=True, return_counts=True)
+        at, chosen = np.arange(len(code)), np.flatnonzero(count >= least)
+        codes = codes[chosen]
     if len(chosen) > most:
-        chosen = np.sort(chosen[np.argsort(-count[chosen], kind="stable")[:most]])
-    number = np.full(1 << _BITS, -1, np.int64)
+        best = np.sort(np.argsort(-count[chosen], kind="stable")[:most])
+        chosen, codes = chosen[best], codes[best]
+    number = np.full(len(count), -1, np.int64)
     number[chosen] = np.arange(len(chosen))
     which = number[own]
-    return stands[chosen], at[which >= 0], which[which >= 0]
+    return codes, live[at[which >= 0]], which[which >= 0], live
 
 
-def repair(ids: np.ndarray, end_id: int, pairs_per_round: int = 1024,
+def repair(ids: np.ndarray, end_id: int, pairs_per_round: int = 4096,
            least: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, rule pairs and expansion lengths of the rules."""
+    """Symbols, rule pairs and expansion lengths of the rules.
+
+    A pair of symbols only grows rarer once both are there, so places of pairs found rare
+    are not looked at again; a round adds those next to its new symbols.
+    """
     seq, rules, lengths = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    while len(seq) > 1:
-        pairs, at, rule = frequent_pairs(seq, end_id, pairs_per_round, least)
+    ends = seq == end_id
+    live = np.flatnonzero(~(ends[:-1] | ends[1:]))  # no pair reaches over a document's end
+    while True:
+        pairs, at, rule, live = frequent_pairs(seq, live, pairs_per_round, least)
         if not len(pairs):
             break
         # of pairs that overlap, every second one counted from the left of its run is kept
@@ -95,9 +102,20 @@ def repair(ids: np.ndarray, end_id: int, pairs_per_round: int = 1024,
         at, rule = at[in_run % 2 == 0], rule[in_run % 2 == 0]
         new = np.stack([(pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)], 1)
         seq[at] = BASE + np.uint32(len(rules)) + rule.astype(np.uint32)
+        touched = np.zeros(len(seq), bool)
+        touched[at] = touched[at + 1] = True
+        live = live[~(touched[live] | touched[live + 1])]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
+        place = np.cumsum(keep, dtype=np.int32) - 1
         seq = seq[keep]
+        mark = np.zeros(len(seq) + 1, bool)
+        at = place[at]
+        mark[at] = mark[at - 1] = True  # before the first symbol: the spare last place
+        near = np.flatnonzero(mark[:len(seq) - 1])
+        mark[near[(seq[near] == end_id) | (seq[near + 1] == end_id)]] = False
+        mark[place[live]] = True
+        live = np.flatnonzero(mark[:len(seq) - 1])
         rules = np.concatenate([rules, new])
         lengths = np.concatenate([lengths, lengths_of(new[:, 0], lengths) + lengths_of(new[:, 1], lengths)])
     return seq, rules, lengths
