@@ -8,10 +8,11 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwarden import schemas
+from clickwarden.operators.ensembles import TreeEnsemble
 from clickwarden.operators.features import vectorize
 from clickwarden.operators.metrics import (
     apply_threshold, best_f1_threshold, class_weight, ranking_metrics,
@@ -75,31 +76,22 @@ def margin(model: Model, df: DataFrame, out: str = "_margin") -> DataFrame:
     return scored.withColumn(out, vector_to_array("rawPrediction")[1]).select(*df.columns, out)
 
 
-def _probability(column: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * column))
-
-
-class ContinuedModel:
-    """A boosted model with further trees fitted on its residuals."""
-
-    def __init__(self, base: Model, trees: list[RandomForestRegressionModel], rate: float):
-        self.base, self.trees, self.rate = base, trees, rate
+def continue_gbt(
+    model: Model, df: DataFrame, trees: int = 60, rate: float = RATE, depth: int = DEPTH,
+    store_every: int = 10,
+) -> TreeEnsemble:
+    """Warm start: a boosted model with further trees fitted on newer data.
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = margin(self.base, df)
-        for tree in self.trees:
-            leaf = tree.transform(out).withColumn(
-                "_margin", F.col("_margin") + F.lit(self.rate) * F.col("prediction"))
-            out = leaf.drop("prediction")
-        p = _probability(F.col("_margin"))
-        return out.withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("_margin")
+    The result can be stored, loaded, scored and continued again like its base.
+    """
+    return TreeEnsemble.of(model, further_trees(model, df, trees, rate, depth, store_every), rate)
 
 
-def continue_gbt(
+def further_trees(
     model: Model, df: DataFrame, trees: int = 60, rate: float = RATE, depth: int = DEPTH,
     store_every: int = 10,
-) -> ContinuedModel:
-    """Warm start: add trees on newer data to a boosted model.
+) -> list[RandomForestRegressionModel]:
+    """Trees that follow a boosted model, to be added with the weight ``rate`` each.
 
     Each round fits the gradient of the log loss at the current margin, on the same shares
     of rows and columns as the first trees. The margin is stored every few rounds so that
@@ -120,7 +112,7 @@ def continue_gbt(
         state = tree.transform(state).withColumn("_margin", step).drop("prediction")
         if (number + 1) % store_every == 0 and number + 1 < trees:
             state = spill(state, "margin")
-    return ContinuedModel(model, added, rate)
+    return added
 
 
 def score(model, df: DataFrame, threshold: float | None = None) -> DataFrame:

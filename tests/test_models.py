@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickwarden.operators import metrics, models, split
+from clickwarden.operators import ensembles, metrics, models, split
 from clickwarden.runtime import spill
 
 NAMES = ["a", "b"]
@@ -59,11 +59,56 @@ def test_warm_start_lowers_the_loss(data):
         return models.score(model, newer).agg(F.avg(term)).first()[0]
 
     assert loss(warm) < loss(base)
-    untouched = models.ContinuedModel(base, [], 0.1)
+    untouched = models.TreeEnsemble.of(base)
     rows = models.score(untouched, models.score(base, newer).withColumnRenamed("score", "p"))
     assert all(math.isclose(r["score"], r["p"], abs_tol=1e-9) for r in rows.collect())
 
 
+def test_warm_model_is_stored_and_continued(spark, data, tmp_path):
+    older, newer = split.split_history(data, ["id"])
+    base = models.train_gbt(older, 3, depth=3)
+    added = models.further_trees(base, newer, 4, depth=3, store_every=2)
+    warm = models.TreeEnsemble.of(base, added, models.RATE)
+    chained = models.margin(base, data)
+    for tree in added:
+        chained = tree.transform(chained).withColumn(
+            "_margin", F.col("_margin") + models.RATE * F.col("prediction")).drop("prediction")
+    want = {r["id"]: 1 / (1 + math.exp(-2 * r["_margin"])) for r in chained.collect()}
+
+    path = str(tmp_path / "warm")
+    models.save_model(warm, path, NAMES, spark)
+    loaded = models.load_model(path, NAMES, spark)
+    assert loaded.stages[0].nodes == warm.nodes and loaded.stages[0].uid == warm.uid
+    got = {r["id"]: r["score"] for r in models.score(loaded, data).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-12 for i in got)
+    again = models.continue_gbt(loaded.stages[0], newer, 1, depth=2)
+    assert len({row[0] for row in again.nodes}) == 8
+    assert models.score(warm, data.limit(0)).count() == 0
+
+
+def test_tree_nodes_walk_left_first():
+    class Printed:
+        toDebugString = """model
+  Tree 0 (weight 0.5):
+    If (feature 1 <= 2.5E-3)
+     If (feature 0 <= 1.0)
+      Predict: -1.0
+     Else (feature 0 > 1.0)
+      Predict: 3.0
+    Else (feature 1 > 2.5E-3)
+     Predict: 7.0
+  Tree 1 (weight 2.0):
+    Predict: 0.25
+"""
+
+    assert ensembles.tree_nodes(Printed(), 2.0, 4) == [
+        (4, 0, 1.0, 1, 0.0025, 1, 4, 0.0), (4, 1, 1.0, 0, 1.0, 2, 3, 0.0), (4, 2, 1.0, 0, 0.0, 2, 2, -1.0),
+        (4, 3, 1.0, 0, 0.0, 3, 3, 3.0), (4, 4, 1.0, 0, 0.0, 4, 4, 7.0), (5, 0, 4.0, 0, 0.0, 0, 0, 0.25)]
+    Printed.toDebugString = "Tree 0 (weight 1.0):\n If (feature 0 in {1.0})"
+    with pytest.raises(ValueError):
+        ensembles.tree_nodes(Printed())
+
+
 def test_comparison_report(data):
     clicks = data.select("id", "a", "b", F.col("y").alias("is_fraud"))
     report = models.training_report(
