@@ -54,6 +54,33 @@ def train_lr(df: DataFrame, max_iter: int = 500) -> Model:
     ).fit(df.withColumn("weight", balanced))
 
 
+def lr_gradient(model: Model, df: DataFrame) -> DataFrame:
+    """The balanced objective's gradient at a logistic model: one row (position, gradient, scale).
+
+    The last position is the intercept, which has no penalty. ``scale`` is the sum of the
+    absolute terms, so gradient / scale tells how far the terms are from balance. One
+    aggregate over the rows; labels of one class only give no rows.
+    """
+    counts = class_weight(df).first()
+    pos, neg = counts["positives"], counts["negatives"]
+    if not pos or not neg:
+        return df.sparkSession.createDataFrame([], "position int, gradient double, scale double")
+    share = F.when(F.col("label") == 1, (pos + neg) / (2 * pos)).otherwise((pos + neg) / (2 * neg))
+    weights = [float(c) for c in model.coefficients]
+    values = vector_to_array("features")
+    z = F.lit(float(model.intercept))
+    for at, c in enumerate(weights):
+        z = z + F.lit(c) * F.col("_x")[at]
+    terms = df.select(values.alias("_x"), "label", share.alias("_w")).select(
+        "_x", (F.col("_w") * (1 / (1 + F.exp(-z)) - F.col("label"))).alias("_r"))
+    sums = []
+    for at, c in enumerate([*weights, 0.0]):
+        term = F.col("_r") * (F.col("_x")[at] if at < len(weights) else F.lit(1.0))
+        sums.append(F.struct(F.lit(at).alias("position"), (F.sum(term) + c).alias("gradient"),
+                             (F.sum(F.abs(term)) + abs(c)).alias("scale")))
+    return terms.agg(F.array(*sums).alias("g")).select(F.inline("g"))
+
+
 def train_gbt(
     df: DataFrame, trees: int = 120, weight: float | None = None, depth: int = DEPTH
 ) -> Model:

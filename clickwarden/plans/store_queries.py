@@ -155,6 +155,7 @@ def snapshot_json(spark, sf):
 
 # The settings that the jobs have by default.
 TREES, RETRAIN_TREES, DEPTH, ITERATIONS, FOLDS = 120, 200, 6, 500, 5
+WARM_TREES = 10
 
 
 def _training(spark, sf, scope="global"):
@@ -316,6 +317,39 @@ def model_store(spark, sf):
     return both.select("seq", (F.col("score") == F.col("p")).alias("same"))
 
 
+@query("warm_model_store", f"{_TEST_SQL} SELECT seq, true AS as_chained, true AS as_stored FROM test")
+def warm_model_store(spark, sf):
+    """A warm-started model stored and loaded: its scores against those of MLlib's own trees, one
+    after the other, and against those before it was stored. A changed leaf shows in both."""
+    train, test = _assembled(spark, sf)
+    older, newer = split.split_history(train, ["us", "seq"])
+    base = models.train_gbt(older, TREES // 2, depth=DEPTH)
+    added = models.further_trees(base, newer, WARM_TREES, depth=DEPTH)
+    warm = models.TreeEnsemble.of(base, added, models.RATE)
+    path = folder(spark, "warm_model")
+    models.save_model(warm, path, schemas.CLICK_FEATURES, spark)
+    loaded = models.load_model(path, schemas.CLICK_FEATURES, spark)
+    both = spill(models.score(warm, models.margin(base, test)).withColumnRenamed("score", "before"), "scored")
+    for tree in added:
+        step = F.col("_margin") + F.lit(models.RATE) * F.col("prediction")
+        both = tree.transform(both).withColumn("_margin", step).drop("prediction")
+    both = models.score(loaded, both)
+    chained = 1 / (1 + F.exp(-2 * F.col("_margin")))
+    return both.select("seq", (F.abs(F.col("score") - chained) < 1e-9).alias("as_chained"),
+                       (F.col("score") == F.col("before")).alias("as_stored"))
+
+
+@query("lr_gradient", "SELECT CAST(11 AS BIGINT) AS coefficients, true AS balanced")
+def lr_gradient(spark, sf):
+    """The balanced, penalised objective's gradient at the trained logistic model is zero but for
+    a share of its terms."""
+    train, _ = _assembled(spark, sf)
+    gradient = models.lr_gradient(models.train_lr(train, ITERATIONS), train)
+    return gradient.agg(
+        (F.count(F.lit(1)) - 1).alias("coefficients"),
+        (F.max(F.abs("gradient") / F.col("scale")) < 0.001).alias("balanced"))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 def _halves(df, order):

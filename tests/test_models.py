@@ -39,6 +39,19 @@ def test_logistic_regression_solves_the_balanced_problem(data):
     assert np.allclose([*model.coefficients, model.intercept], beta, atol=1e-4)
 
 
+def test_gradient_tells_a_solution_from_a_perturbed_one(data):
+    model = models.train_lr(data)
+    rows = models.lr_gradient(model, data).collect()
+    assert [r["position"] for r in rows] == [0, 1, 2]
+    assert all(abs(r["gradient"]) < 1e-4 * r["scale"] for r in rows)
+
+    class Perturbed:
+        coefficients, intercept = [model.coefficients[0] + 0.05, model.coefficients[1]], model.intercept
+
+    assert max(abs(r["gradient"]) / r["scale"] for r in models.lr_gradient(Perturbed, data).collect()) > 1e-3
+    assert models.lr_gradient(model, data.filter("label = 1")).count() == 0
+
+
 def test_boosting_repeats_and_separates(data):
     train, test = split.split_at(data, ["id"], 450)
     first = models.score(models.train_gbt(train, 5, depth=3), test)
