@@ -59,12 +59,10 @@ def lr_gradient(model: Model, df: DataFrame) -> DataFrame:
 
     The last position is the intercept, which has no penalty. ``scale`` is the sum of the
     absolute terms, so gradient / scale tells how far the terms are from balance. One
-    aggregate over the rows; labels of one class only give no rows.
+    aggregate over the rows; labels of one class only raise, as in training.
     """
     counts = class_weight(df).first()
     pos, neg = counts["positives"], counts["negatives"]
-    if not pos or not neg:
-        return df.sparkSession.createDataFrame([], "position int, gradient double, scale double")
     share = F.when(F.col("label") == 1, (pos + neg) / (2 * pos)).otherwise((pos + neg) / (2 * neg))
     weights = [float(c) for c in model.coefficients]
     values = vector_to_array("features")
