@@ -15,14 +15,15 @@ from clickwarden.operators.ingest import (
     map_clicks, normalize_clicks, order_violations, sample_metadata, union_clicks,
     velocity_cutoff,
 )
+from clickwarden.operators.ensembles import TreeEnsemble
 from clickwarden.operators.metrics import (
     apply_threshold, average_precision, best_f1_threshold, class_weight, latency_report,
     pr_curve, ranking_metrics, roc_auc, score_histogram, single_feature_auc,
     walk_forward_metrics,
 )
 from clickwarden.operators.models import (
-    continue_gbt, fit_and_compare, load_model, retrain, save_model, score, train_gbt, train_lr,
-    training_report, walk_forward_scores, warm_vs_cold,
+    continue_gbt, fit_and_compare, load_model, lr_gradient, retrain, save_model, score, train_gbt,
+    train_lr, training_report, walk_forward_scores, warm_vs_cold,
 )
 from clickwarden.operators.ordering import global_index, quantiles, running
 from clickwarden.operators.reconcile import (

@@ -155,7 +155,7 @@ def snapshot_json(spark, sf):
 
 # The settings that the jobs have by default.
 TREES, RETRAIN_TREES, DEPTH, ITERATIONS, FOLDS = 120, 200, 6, 500, 5
-WARM_TREES = 10
+WARM_TREES = 10  # trees added to half the others, fewer than the default so that the query stays short
 
 
 def _training(spark, sf, scope="global"):
@@ -442,15 +442,11 @@ def enrich_with_history(spark, sf):
     return spark.read.parquet(sink).select("seq", *feature_columns())
 
 
-@query("score_stream", f"""WITH {fx.CLICKS_SQL}
-SELECT click_id, true AS sound, true AS timed, true AS as_in_batch FROM clicks""")
-def score_stream(spark, sf):
-    """Keyed features, static rates, boosted score, table and alerts; each score is that of
-    the same model on the features of a batch in the scope of an IP."""
+def _scored_stream(spark, sf, model):
+    """Keyed features, static rates, score, table and alerts; each score beside that of the same
+    model on the features of a batch in the scope of an IP."""
     c = fx.clicks(spark, sf).withColumn("event_timestamp", F.current_timestamp())
     campaign, publisher = snapshots(c)
-    train, _ = _assembled(spark, sf, "per_ip")
-    model = models.train_gbt(train, TREES, depth=DEPTH)
     source, table, alerts, checkpoint = (
         folder(spark, n) for n in ("source", "scored", "alerts", "checkpoint"))
     c.write.parquet(source)
@@ -467,6 +463,26 @@ def score_stream(spark, sf):
         (F.abs(F.col("fraud_probability") - F.col("in_batch")) < 2e-6).alias("as_in_batch"))
 
 
+@query("score_stream", f"""WITH {fx.CLICKS_SQL}
+SELECT click_id, true AS sound, true AS timed, true AS as_in_batch FROM clicks""")
+def score_stream(spark, sf):
+    """A boosted model on a running stream."""
+    train, _ = _assembled(spark, sf, "per_ip")
+    return _scored_stream(spark, sf, models.train_gbt(train, TREES, depth=DEPTH))
+
+
+@query("score_stream_warm", f"""WITH {fx.CLICKS_SQL}
+SELECT click_id, true AS sound, true AS timed, true AS as_in_batch FROM clicks""")
+def score_stream_warm(spark, sf):
+    """A warm-started model, stored and loaded, on a running stream."""
+    train, _ = _assembled(spark, sf, "per_ip")
+    older, newer = split.split_history(train, ["us", "seq"])
+    warm = models.continue_gbt(models.train_gbt(older, TREES // 2, depth=DEPTH), newer, WARM_TREES, depth=DEPTH)
+    path = folder(spark, "warm_model")
+    models.save_model(warm, path, schemas.CLICK_FEATURES, spark)
+    return _scored_stream(spark, sf, models.load_model(path, schemas.CLICK_FEATURES, spark))
+
+
 @query("score_transaction_stream", f"""WITH {fx.TXN_SQL}
 SELECT txn_key, CAST(row_number() OVER (PARTITION BY nameDest ORDER BY {", ".join(TXN_ORDER)}) - 1
          AS BIGINT) AS dest_txn_count_so_far, true AS sound, true AS as_in_batch FROM txn_keyed""")
