@@ -48,9 +48,13 @@ from clickwarden.sources.writers import (
     commit_history, load_snapshots, publish_batch_table, upsert_insert_only,
     write_click_stream, write_clicks, write_head, write_report, write_snapshots,
 )
+from clickwarden.streaming.labels import late_labels, live_drift
 from clickwarden.streaming.scoring import (
     check_contract_stream, enrich_with_history, monitored, score_stream, table_sink, transaction_stream,
 )
+from clickwarden.streaming.sketches import (
+    merge_sketches, read_sketches, sketch, sketch_sink, sketched_histogram, sketched_report,
+)
 from clickwarden.streaming.state import count_so_far_stream, enrich_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]
