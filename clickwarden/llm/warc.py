@@ -312,20 +312,29 @@ def register(spark: SparkSession) -> None:
 
 
 def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """One record per page, with repeated payloads as revisits."""
+    """One record per page, with repeated payloads of at least ``least`` bytes as revisits.
+
+    Pages are shuffled without their payloads. Payloads go beside them, one of each digest: copies
+    are combined where they are read, so a payload that a third of all pages share moves once a task.
+    Smaller pages are not shuffled at all.
+    """
     body = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"), body.alias("payload"))
-    rows = rows.withColumn("payload_digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    # one row per payload that repeats; counted before the shuffle
-    kept = rows.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(
-        F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("payload_digest", "kept")
-    joined = rows.join(kept, "payload_digest", "left")
+    rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    digest = F.sha1("payload").alias("payload_digest")
+    large, small = rows.filter(F.col("payload_bytes") >= least), rows.filter(F.col("payload_bytes") < least)
+    payloads = large.select("page_id", "payload", digest).groupBy("payload_digest").agg(
+        F.max("page_id").alias("kept"), F.first("payload").alias("payload"))
+    joined = large.select("page_id", "target_uri", "payload_bytes", digest).join(payloads, "payload_digest")
     again = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")))
-    return joined.select(
+    told = joined.select(
         F.when(again, "revisit").otherwise("response").alias("record_type"), name("page_id").alias("record_id"), "target_uri",
         F.when(again, name("kept")).alias("refers_to"), "payload_digest", "payload_bytes",
         F.when(~again, F.col("payload")).alias("payload"))
+    return told.unionByName(small.select(
+        F.lit("response").alias("record_type"), name("page_id").alias("record_id"), "target_uri",
+        F.lit(None).cast("string").alias("refers_to"), digest, "payload_bytes", "payload"))
 
 
 def archive_pages(pages: DataFrame, folder: str, least: int = 1000) -> None:

@@ -11,7 +11,7 @@ import pytest
 
 from clickwarden.llm.topk import top_inner_products
 from clickwarden.llm.warc import (
-    archive_pages, archived_pages, gzip_member, read_archive, read_gzip_records, read_records, record_bytes,
+    archive_pages, archived_pages, gzip_member, page_records, read_archive, read_gzip_records, read_records, record_bytes,
 )
 
 PAGES = "page_id long, url string, html string, payload string, kept long, n long"
@@ -50,6 +50,13 @@ def test_round_trip(pages):
     assert got == expected()
 
 
+def test_only_pages_without_payloads_and_one_payload_a_digest_are_shuffled(pages):
+    plan = page_records(pages)._jdf.queryExecution().executedPlan().toString()
+    joined = plan.split("Join", 1)[1]
+    assert "partial_first(payload" in joined and "partial_max(page_id" in joined
+    assert page_records(pages).filter("record_type = 'revisit' and payload is not null").isEmpty()
+
+
 def test_pushed_predicates_and_payloads(spark, pages, tmp_path):
     folder = f"file://{tmp_path}/w"
     archive_pages(pages, folder)
@@ -103,7 +110,7 @@ def test_own_members_are_valid_gzip_and_skipped(tmp_path):
 
 @pytest.mark.parametrize("gz", ["true", "false"])
 def test_plain_and_gzip_folders(spark, tmp_path, gz):
-    from clickwarden.llm.warc import page_records, read_archive, register
+    from clickwarden.llm.warc import register
 
     register(spark)
     rows = spark.createDataFrame([(n, "u", "h" * n * 700) for n in range(4)], "page_id long, url string, html string")
