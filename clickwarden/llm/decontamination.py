@@ -16,8 +16,10 @@ The benchmark is a stated query set of any size: it is read in blocks of at most
 ``block_bytes`` (a proven bound on what is sent to the tasks), and the documents pass once for
 each block, carrying what was found so far.
 
-Items with fewer than ``least`` bytes of letters and digits are too short to be evidence and are not
-searched. Null and empty texts leak nothing; a null item is ignored. Rows that repeat get one
+Items with fewer than ``least`` bytes of letters and digits leave no room for edits: a document leaks
+one where all its words stand one after the other, as whole words and in any case (one automaton a
+block finds all of them in one pass of a text). Items without a letter or digit are in no document.
+Null and empty texts leak nothing; a null item is ignored. Rows that repeat get one
 result each. Extra columns are ignored.
 """
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +40,7 @@ Q = 8
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                   for b in range(256)], np.uint8)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BITS = 20
+_BITS = 20  # least; the filter has eight slots for a gram
 _BLOCK = 32
 PASSES = 4
 STATE = "doc_id long, text string, leaks long, item_id long, edits int, place long"
@@ -59,13 +62,18 @@ def grams(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - Q + 1,), "<u8", data, 0, (1,)).copy()
 
 
-def slots(codes: np.ndarray) -> np.ndarray:
-    return (codes * _MIX >> np.uint64(64 - _BITS)).view(np.int64)
+def slots(codes: np.ndarray, bits: int) -> np.ndarray:
+    return (codes * _MIX >> np.uint64(64 - bits)).view(np.int64)
+
+
+def phrase(data: np.ndarray) -> str:
+    """The words of a folded text, one byte a character, with a space on either side."""
+    return f" {data.tobytes().decode('latin-1').strip(' ')} "
 
 
 @dataclass
 class Patterns:
-    """Patterns of a block of items, and their q-grams in sorted order."""
+    """Patterns of a block of items, and their q-grams in sorted order; short items as ``phrases``."""
 
     texts: list[np.ndarray]
     items: list[int]
@@ -76,14 +84,18 @@ class Patterns:
     owner: np.ndarray
     place: np.ndarray
     flags: np.ndarray
+    bits: int
     classes: list[tuple[int, int]]
+    phrases: ahocorasick.Automaton | None = None
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], window: int, rate: float, least: int) -> Patterns:
-        texts, ids = [], []
+        texts, ids, short = [], [], {}
         for item, text in items:
             data = folded(text)
-            if int((data != 32).sum()) < least:
+            if (symbols := int((data != 32).sum())) < least:
+                if symbols:
+                    short.setdefault(phrase(data), set()).add(item)
                 continue
             starts = [0] if len(data) <= window else [*range(0, len(data) - window, window // 2), len(data) - window]
             for at in starts:
@@ -97,14 +109,20 @@ class Patterns:
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
         unique, first = np.unique(flat[order], return_index=True)
-        flags = np.zeros(1 << _BITS, bool)
-        flags[slots(unique)] = True
+        bits = max(_BITS, (8 * len(unique)).bit_length())
+        flags = np.zeros(1 << bits, bool)
+        flags[slots(unique, bits)] = True
         bound = length - Q + 1 - Q * budget
         # patterns of like length share the longest stretch and the least number of hits
         classes = [(int((length + budget)[kind == k].max()), int(max(1, bound[kind == k].min())))
                    for kind in [length // 16] for k in np.unique(kind)]
+        phrases = ahocorasick.Automaton() if short else None
+        for words, ids_of in short.items():
+            phrases.add_word(words, (len(words) - 2, tuple(sorted(ids_of))))
+        if short:
+            phrases.make_automaton()
         return cls(texts, ids, budget, bound, unique,
-                   np.append(first, len(flat)), owner[order], place[order], flags, classes)
+                   np.append(first, len(flat)), owner[order], place[order], flags, bits, classes, phrases)
 
 
 def edits_in_band(pattern: np.ndarray, text: np.ndarray, low: int, width: int, budget: int) -> int:
@@ -134,14 +152,29 @@ def edits_in_band(pattern: np.ndarray, text: np.ndarray, low: int, width: int, b
 
 
 def leaks_in(text: str | None, patterns: Patterns) -> dict[int, tuple[int, int]]:
-    """item -> (edits, place) of the items that have a pattern in the text."""
+    """item -> (edits, place) of the items that have a pattern in the text, or all of whose words stand there."""
+    data = folded(text)
+    return {**short_leaks(data, patterns), **long_leaks(data, patterns)}
+
+
+def short_leaks(data: np.ndarray, patterns: Patterns) -> dict[int, tuple[int, int]]:
+    out: dict[int, tuple[int, int]] = {}
+    if patterns.phrases is None:
+        return out
+    padded = f" {data.tobytes().decode('latin-1')} "
+    for last, (size, items) in patterns.phrases.iter(padded):  # places rise, the first one counts
+        for item in items:
+            out.setdefault(item, (0, last - 1 - size))
+    return out
+
+
+def long_leaks(data: np.ndarray, patterns: Patterns) -> dict[int, tuple[int, int]]:
     if not patterns.texts:
         return {}
-    data = folded(text)
     codes = grams(data)
     if not len(codes):
         return {}
-    hit = patterns.flags[slots(codes)]
+    hit = patterns.flags[slots(codes, patterns.bits)]
     # first by blocks: a stretch of ``reach`` lies in ``span`` of them
     blocks = np.add.reduceat(hit, np.arange(0, len(hit), _BLOCK), dtype=np.int32)
     sums, dense, ends = None, [], []

@@ -132,6 +132,41 @@ def test_leaks_of_rows(spark, odd_docs, odd_rows, no_docs):
     assert decon.benchmark_leaks(no_docs, benchmark).count() == 0 and decon.clean_documents(no_docs, benchmark).count() == 0
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "Red fox"), (2, "fox, and hen!"), (3, "e"), (4, " ... "), (5, "RED FOX"), (6, "Größe 7"), (7, "7 7"), (8, prose(3, 30))]
+    texts = ["A red -- fox and hen.", "red foxes", "e", "the red", "große größe: 7", "7 7 7", "", None, "fox and hen" * 2, prose(3, 30) + " e",
+             "redfox red fo x", " ".join(["red fox"] * 50_000)]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def words(text):
+        return decon.folded(text).tobytes().split()
+
+    def leaked(text):
+        have = b" " + b" ".join(words(text)) + b" "
+        return [i for i, t in items if words(t) and b" " + b" ".join(words(t)) + b" " in have]
+
+    for block_bytes in (1_000_000, 10):
+        got = {r.doc_id: r for r in decon.benchmark_leaks(docs, benchmark, block_bytes=block_bytes).collect()}
+        for n, text in enumerate(texts):
+            assert got[n].leaks == len(leaked(text)) and got[n].item_id == min(leaked(text), default=None), text
+        kept = {r.doc_id for r in decon.clean_documents(docs, benchmark, block_bytes=block_bytes).collect()}
+        assert kept == {n for n, text in enumerate(texts) if not leaked(text)}
+    assert (got[0].edits, got[0].place) == (0, 2)
+
+
+def test_filter_grows_with_its_block():
+    """Few slots are taken even by a megabyte of items, so that clean texts are passed over."""
+    def item(n):
+        r = random.Random(n)
+        return " ".join(f"{r.getrandbits(32):x}" for _ in range(12))
+
+    big = decon.Patterns.of([(n, item(n)) for n in range(8000)], 128, 0.06, 40)
+    assert big.flags.mean() <= 1 / 8 and len(big.flags) > 1 << 20
+    assert decon.leaks_in(f"see {item(17)}, as said", big) == {17: (0, 4)}
+    assert decon.leaks_in(item(9000), big) == {}
+
+
 def test_trees_learn_and_walk_as_one_by_one():
     r = np.random.default_rng(0)
     x = r.normal(size=(3000, 5))
