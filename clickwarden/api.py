@@ -50,7 +50,8 @@ from clickwarden.sources.writers import (
 )
 from clickwarden.streaming.labels import late_labels, live_drift
 from clickwarden.streaming.scoring import (
-    check_contract_stream, enrich_with_history, monitored, score_stream, table_sink, transaction_stream,
+    RunningTotals, check_contract_stream, enrich_with_history, monitor_totals, monitored, score_stream, table_sink,
+    transaction_stream,
 )
 from clickwarden.streaming.sketches import (
     merge_sketches, read_sketches, sketch, sketch_sink, sketched_histogram, sketched_report,

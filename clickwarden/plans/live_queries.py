@@ -1,14 +1,15 @@
-"""Queries on running streams: labels that arrive late, and reports from sketches that merge."""
+"""Queries on running streams: late labels, totals of a monitor, and reports from sketches that merge."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from clickwarden.plans import fixtures as fx
-from clickwarden.plans.feature_queries import LABEL_SQL, labelled
+from clickwarden.plans.feature_queries import LABEL_SQL, MESSAGES_SQL, labelled, messages
 from clickwarden.plans.registry import query, r6, us_of
 from clickwarden.plans.store_queries import folder
 from clickwarden.runtime import spill
+from clickwarden.sources import readers
 from clickwarden.streaming import labels, scoring, sketches
 
 # A label comes up to 49 minutes after its click; the wait is half an hour.
@@ -86,6 +87,24 @@ def live_drift_batch(spark, sf):
     return _drift_columns(labels.live_drift(labels.late_labels(scored, late, wait=_WAIT)))
 
 
+@query("monitor_totals", f"""WITH {MESSAGES_SQL}
+SELECT count(*) FILTER (WHERE NOT is_malformed AND errors = '') AS valid,
+       count(*) FILTER (WHERE NOT is_malformed AND errors <> '') AS invalid,
+       count(*) FILTER (WHERE is_malformed) AS malformed_json, count(*) AS total,
+       CAST(4 AS BIGINT) AS batches, count(*) AS stored FROM checked""")
+def monitor_totals(spark, sf):
+    """Totals that a listener adds up over the micro-batches of two runs, and the messages that were stored."""
+    source, sink, checkpoint = (folder(spark, n) for n in ("source", "sink", "checkpoint"))
+    rows = spill(messages(spark, sf).select("value"), "messages")
+    found = []
+    for half in (0, 1):
+        rows.where(F.pmod(F.hash("value"), F.lit(2)) == half).repartition(2).write.mode("append").text(source)
+        stream = readers.read_click_stream(spark, "text", path=source, maxFilesPerTrigger=1)
+        found.append(scoring.monitor_totals(stream, sink, checkpoint))
+    sums = found[0].unionByName(found[1]).agg(*[F.sum(c).alias(c) for c in found[0].columns])
+    return sums.withColumn("stored", F.lit(spark.read.parquet(sink).count()).cast("long"))
+
+
 # --- sketches ------------------------------------------------------------------------------
 
 def _latencies(spark, sf):

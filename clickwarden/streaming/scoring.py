@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from collections import Counter
 from collections.abc import Callable
 
@@ -231,6 +232,78 @@ def check_contract_stream(
         [row], ", ".join(f"{n} long" for n in names) + ", messages_per_second double")
 
 
+class RunningTotals(StreamingQueryListener):
+    """Adds up the observed metrics ``name`` over the micro-batches of all runs of the session.
+
+    ``totals`` holds the sums and ``batches`` their number. A micro-batch that is told again, as after
+    a restart, replaces its own figures, so each counts once. Add it with ``spark.streams.addListener``.
+    """
+
+    def __init__(self, name: str = "contract", enough: int | None = None):
+        self.name, self.enough, self.batches = name, enough, 0
+        self.totals: Counter = Counter()
+        self.full, self.ended = threading.Event(), threading.Event()
+        self._last: dict[str, tuple[int, dict]] = {}  # of each query only its newest batch
+
+    def add(self, query: str, batch: int, figures: dict) -> None:
+        number, before = self._last.get(query, (-1, {}))
+        if batch < number:
+            return
+        if batch == number:
+            self.totals.subtract(before)
+        else:
+            self.batches += 1
+        self.totals.update(figures)
+        self._last[query] = batch, figures
+        if self.enough is not None and sum(self.totals.values()) >= self.enough:
+            self.full.set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None and event.progress.numInputRows > 0:
+            self.add(str(event.progress.id), event.progress.batchId, {k: int(v or 0) for k, v in row.asDict().items()})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+        self.full.set()
+
+
+def monitor_totals(
+    messages: DataFrame, path: str, checkpoint: str, max_rows: int | None = None, seconds: float = 300.0,
+    value: str = "value", trigger: dict | None = None,
+) -> DataFrame:
+    """Store the checked messages and return the totals over all micro-batches of this run.
+
+    It ends when the stream does, after the micro-batch with which ``max_rows`` messages are reached, or
+    after ``seconds``. The driver sleeps until one of them; whole micro-batches are counted.
+    """
+    spark, name = messages.sparkSession, f"contract-{uuid.uuid4().hex}"
+    totals = RunningTotals(name, max_rows)
+    spark.streams.addListener(totals)
+    try:
+        query = monitored(messages, name, value).writeStream.format("parquet").option("path", path).option(
+            "checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+        try:
+            if query.isActive:
+                totals.full.wait(seconds)
+            if query.exception() is not None:
+                raise query.exception()
+        finally:
+            query.stop()
+        totals.ended.wait(60)  # the events of a query come in order, its end last
+    finally:
+        spark.streams.removeListener(totals)
+    names = ["valid", "invalid", "malformed_json"]
+    row = (*[totals.totals[n] for n in names], sum(totals.totals[n] for n in names), totals.batches)
+    return spark.createDataFrame([row], ", ".join(f"{n} long" for n in [*names, "total", "batches"]))
+
+
 def drain(query: StreamingQuery, seconds: int = 300) -> None:
     """Wait for a bounded stream to end; fails when it does not in time."""
     if not query.awaitTermination(seconds):

@@ -104,3 +104,26 @@ def test_sketches_of_odd_values(spark):
     assert sketches.sketched_report(sketches.sketch(df.limit(0))).count() == 0
     with pytest.raises(ValueError):
         sketches.sketched_histogram(whole, [1.0, 1.0])
+
+
+def test_totals_count_each_batch_once():
+    totals = scoring.RunningTotals("contract", enough=10)
+    totals.add("q", 0, {"valid": 3, "invalid": 1})
+    totals.add("q", 1, {"valid": 2, "invalid": 0})
+    totals.add("q", 1, {"valid": 1, "invalid": 1})  # told again after a restart
+    totals.add("q", 0, {"valid": 3, "invalid": 1})
+    assert (totals.totals["valid"], totals.totals["invalid"], totals.batches) == (4, 2, 2)
+    assert not totals.full.is_set()
+    totals.add("other", 0, {"valid": 4})
+    assert totals.full.is_set() and totals.batches == 3
+
+
+def test_monitor_stops_at_its_number_and_raises_failures(spark, tmp_path):
+    source = str(tmp_path / "source")
+    spark.range(40).selectExpr("'{broken' as value").repartition(4).write.text(source)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source)
+    out = scoring.monitor_totals(stream, str(tmp_path / "a"), str(tmp_path / "ca"), 15, trigger={"processingTime": "2 seconds"}).first()
+    assert out["malformed_json"] == out["total"] and 20 <= out["total"] < 40 and out["batches"] == out["total"] // 10
+    bad = stream.select(F.raise_error(F.col("value")).cast("string").alias("value"))
+    with pytest.raises(Exception, match="broken"):
+        scoring.monitor_totals(bad, str(tmp_path / "b"), str(tmp_path / "cb"))
