@@ -86,5 +86,5 @@ def test_stages_on_empty_tables(spark, tables, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES) and corpus_pipeline.ORACLE_SQL is None
