@@ -56,6 +56,9 @@ def load_snapshots(spark: SparkSession, path: str) -> dict[str, DataFrame]:
             for side in ("campaign", "publisher")}
 
 
+# Partition values of a batch that reach the driver; with more of them their range stands for all.
+PARTITION_VALUES = 1000
+
 _COMMIT = T.StructType([
     T.StructField("version", T.LongType()), T.StructField("committed_at", T.TimestampType()),
     T.StructField("operation", T.StringType()), T.StructField("rows", T.LongType()),
@@ -103,10 +106,15 @@ def upsert_insert_only(
     if target is not None:
         rows = spill(rows, "batch")
         for column in partition_by if prune else ():
-            # As many values as the batch touches partitions; the scan skips the others.
-            values = [r[0] for r in rows.select(column).distinct().collect()]
-            found = F.col(column).isin([v for v in values if v is not None])
-            target = target.where(found | F.col(column).isNull() if None in values else found)
+            # The scan skips the partitions the batch does not touch; of a backfill, those outside its range.
+            values = [r[0] for r in rows.select(column).distinct().limit(PARTITION_VALUES + 1).collect()]
+            if len(values) > PARTITION_VALUES:
+                low, high, nulls = rows.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull())).first()
+                found = F.col(column).between(low, high)
+            else:
+                nulls, known = None in values, [v for v in values if v is not None]
+                found = F.col(column).isin(known)
+            target = target.where(found | F.col(column).isNull() if nulls else found)
         # Null keys are equal to null keys, else they would be added by every run.
         batch = rows.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
         in_batch, known_to = F.lit(True), F.lit(True)

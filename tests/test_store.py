@@ -158,3 +158,14 @@ def test_schema_is_kept_beside_the_table(spark, tmp_path):
     assert sorted(map(tuple, readers.read_scored(spark, path).select("id", "v", "p").collect())) == want
     writers.upsert_insert_only(spark.createDataFrame([(4, "d")], "id long, v string"), path, ["id"])
     assert set(readers.stored_schema(spark, path).fieldNames()) == {"id", "v", "p"}
+
+
+def test_backfills_are_pruned_by_range(spark, tmp_path, monkeypatch):
+    """Beyond the bound on partition values the range of the batch is looked at; replays and nulls stay single."""
+    monkeypatch.setattr(writers, "PARTITION_VALUES", 2)
+    path = str(tmp_path / "backfill")
+    rows = spark.createDataFrame([(n, n % 5 if n % 6 else None) for n in range(24)], "id long, day int")
+    assert writers.upsert_insert_only(rows.where("id < 12"), path, ["id"], ["day"], prune=True) == 12
+    assert writers.upsert_insert_only(rows, path, ["id"], ["day"], prune=True) == 12
+    assert writers.upsert_insert_only(rows.unionByName(rows), path, ["id"], ["day"], prune=True) == 0
+    assert spark.read.parquet(path).groupBy("id").count().where("count > 1").isEmpty()
