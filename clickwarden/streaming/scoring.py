@@ -304,9 +304,14 @@ def monitor_totals(
     return spark.createDataFrame([row], ", ".join(f"{n} long" for n in [*names, "total", "batches"]))
 
 
-def drain(query: StreamingQuery, seconds: int = 300) -> None:
-    """Wait for a bounded stream to end; fails when it does not in time."""
-    if not query.awaitTermination(seconds):
+def drain(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for a bounded stream to end, however long its source is; its own failure is raised.
+
+    With ``seconds`` it is stopped and fails when it does not end in time.
+    """
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream did not end within {seconds} s")
 

@@ -261,6 +261,24 @@ def test_count_so_far_stream(spark, tmp_path):
         i: i // 2 for i in range(20)}
 
 
+def test_drain_waits_for_a_long_stream():
+    class Long:
+        """Ends only when nobody limits the wait, as a stream that takes ten minutes does."""
+        stopped = False
+
+        def awaitTermination(self, timeout=None):
+            return timeout is None
+
+        def stop(self):
+            self.stopped = True
+
+    scoring.drain(Long())
+    limited = Long()
+    with pytest.raises(TimeoutError):
+        scoring.drain(limited, 1)
+    assert limited.stopped
+
+
 def test_monitor_reports_totals(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"ip":"1"}\nnot json\n')
