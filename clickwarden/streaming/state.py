@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time as wall
 from collections import Counter
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 from math import log2
 
@@ -118,8 +120,66 @@ class IpState:
         return written, [block for block in stored if (block + 1) * BLOCK <= head]
 
 
-def _ordered(rows, order: list[str]) -> list[dict]:
-    return sorted((r.asDict() for r in rows), key=lambda r: tuple(r[c] for c in order))
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.BooleanType)
+_REAL = (T.FloatType, T.DoubleType)
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+class Packing:
+    """Carries the plain columns of a row through Python as one JSON text.
+
+    Python reads a row column by column, so many columns cost more than the work on them. Text,
+    whole numbers, floats, flags and times (as microseconds) are packed; columns of other types and
+    those in ``keep`` travel beside the text. ``restore`` gives back the columns as they were.
+    """
+
+    NAME = "_packed"
+
+    def __init__(self, schema: T.StructType, keep: list[str] = ()):
+        self.names = schema.fieldNames()
+        self.packed = [f for f in schema.fields if f.name not in keep and isinstance(
+            f.dataType, (*_WHOLE, *_REAL, T.TimestampType))]
+        inside = {f.name for f in self.packed}
+        self.beside = [f for f in schema.fields if f.name not in inside]
+        self.fields = [*self.beside, T.StructField(self.NAME, T.StringType())]
+        self.reals = [(f"c{i}", f.name) for i, f in enumerate(self.packed) if isinstance(f.dataType, _REAL)]
+        self.times = [(f"c{i}", f.name) for i, f in enumerate(self.packed) if isinstance(f.dataType, T.TimestampType)]
+
+    def pack(self, df: DataFrame, *extra: str) -> DataFrame:
+        values = [(F.unix_micros(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(f"c{i}")
+                  for i, f in enumerate(self.packed)]
+        text = F.to_json(F.struct(*values)) if values else F.lit("{}")
+        return df.select(*[f.name for f in self.beside], text.alias(self.NAME), *extra)
+
+    def read(self, row: Row) -> dict:
+        """The row as a dict with the values of its columns."""
+        out = row.asDict()
+        found = json.loads(out[self.NAME])
+        for i, field in enumerate(self.packed):
+            out[field.name] = found.get(f"c{i}")
+        for short, name in self.reals:  # NaN and the infinities are texts
+            if short in found:
+                out[name] = float(found[short])
+        for short, name in self.times:
+            if short in found:
+                out[name] = _EPOCH + timedelta(microseconds=found[short])
+        return out
+
+    def restore(self, df: DataFrame, added: list[str]) -> DataFrame:
+        if not self.packed:
+            return df.select(*self.names, *added)
+        kinds = T.StructType([
+            T.StructField(f"c{i}", T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
+            for i, f in enumerate(self.packed)])
+        # a generator, so that the text is parsed once for all columns
+        opened = df.select("*", F.inline(F.array(F.from_json(self.NAME, kinds))))
+        back = {f.name: (F.timestamp_micros(f"c{i}") if isinstance(f.dataType, T.TimestampType) else F.col(f"c{i}")).alias(f.name)
+                for i, f in enumerate(self.packed)}
+        return opened.select(*[back.get(name, name) for name in self.names], *added)
+
+
+def _ordered(rows, packing: Packing, order: list[str]) -> list[dict]:
+    return sorted(map(packing.read, rows), key=lambda r: tuple(r[c] for c in order))
 
 
 _TRAIL = T.StructType([
@@ -142,8 +202,9 @@ class ClickFeatureProcessor(StatefulProcessor):
     long when the watermark passes.
     """
 
-    def __init__(self, out: T.StructType, clock: str | Callable[[dict], int], tie: str, ttl_ms: int | None,
-                 idle_us: int | None = None):
+    def __init__(self, out: T.StructType, packing: Packing, clock: str | Callable[[dict], int], tie: str,
+                 ttl_ms: int | None, idle_us: int | None = None):
+        self.packing = packing
         self.fields, self.clock, self.tie, self.ttl_ms, self.idle_us = out.fieldNames(), clock, tie, ttl_ms, idle_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -170,7 +231,7 @@ class ClickFeatureProcessor(StatefulProcessor):
         state = self._read()
         latest = None
         # Micro-batches do not promise an order inside one key.
-        for row in _ordered(rows, [US, self.tie]):
+        for row in _ordered(rows, self.packing, [US, self.tie]):
             latest = row[US]
             row.update(state.click(self._now(row, state.last), str(row["device_id"]), str(row["os"])))
             yield Row(**{name: row[name] for name in self.fields})
@@ -198,8 +259,8 @@ class ClickFeatureProcessor(StatefulProcessor):
 class CountProcessor(StatefulProcessor):
     """Adds the number of the key's earlier rows."""
 
-    def __init__(self, out: T.StructType, name: str, order: list[str]):
-        self.fields, self.name, self.order = out.fieldNames(), name, order
+    def __init__(self, out: T.StructType, packing: Packing, name: str, order: list[str]):
+        self.fields, self.packing, self.name, self.order = out.fieldNames(), packing, name, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState(
@@ -208,7 +269,7 @@ class CountProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         stored = self.count.get()
         count = stored[0] if stored else 0
-        for row in _ordered(rows, self.order):
+        for row in _ordered(rows, self.packing, self.order):
             row[self.name] = count
             count += 1
             yield Row(**{name: row[name] for name in self.fields})
@@ -247,19 +308,24 @@ def enrich_stream(
         n: T.DoubleType() if n.endswith(("entropy_5m", "seconds")) else T.LongType()
         for n in STATE_FEATURES
     }
-    out = T.StructType(clicks.schema.fields + [T.StructField(n, k) for n, k in kinds.items()])
+    packing = Packing(clicks.schema, ["ip", *([time] if delay is not None else [])])
+    out = T.StructType([*packing.fields, *[T.StructField(n, k) for n, k in kinds.items()]])
     live = clock != "event" and ttl_ms is not None
     mode = "ProcessingTime" if live else "None" if delay is None else "EventTime"
-    return timed.groupBy("ip").transformWithState(
-        ClickFeatureProcessor(out, clock, tie, ttl_ms if live else None, None if delay is None else ttl_ms * 1000),
+    enriched = packing.pack(timed, US).groupBy("ip").transformWithState(
+        ClickFeatureProcessor(
+            out, packing, clock, tie, ttl_ms if live else None, None if delay is None else ttl_ms * 1000),
         out, "Append", mode,
     )
+    return packing.restore(enriched, list(kinds))
 
 
 def count_so_far_stream(
     df: DataFrame, key: str, order: list[str], name: str = "dest_txn_count_so_far"
 ) -> DataFrame:
     """Streaming rows with the number of earlier rows of their key."""
-    out = T.StructType(df.schema.fields + [T.StructField(name, T.LongType())])
-    return df.groupBy(key).transformWithState(
-        CountProcessor(out, name, order), out, "Append", "None")
+    packing = Packing(df.schema, [key])
+    out = T.StructType([*packing.fields, T.StructField(name, T.LongType())])
+    counted = packing.pack(df).groupBy(key).transformWithState(
+        CountProcessor(out, packing, name, order), out, "Append", "None")
+    return packing.restore(counted, [name])

@@ -279,6 +279,25 @@ def test_drain_waits_for_a_long_stream():
     assert limited.stopped
 
 
+def test_packed_columns_come_back_as_they_were(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("source", "sink", "checkpoint"))
+    df = spark.sql("""SELECT * FROM VALUES
+      (1, 'm', 9007199254740993, double('NaN'), 'a "quoted" \\n text', timestamp'9999-12-31 23:59:59.999999', array(1), 1.50BD),
+      (2, 'm', null, double('-Infinity'), '', null, null, null), (3, null, -1, 0.1, null, timestamp'0001-01-01 00:00:00', array(), 2.25BD),
+      (4, null, 5, null, 'ü', timestamp'2024-01-01 00:00:00.000001', array(null), 0.00BD)
+      AS t(i, dest, wide, `a real`, text, at, list, money)""")
+    df.write.parquet(source)
+    counted = state.count_so_far_stream(readers_stream(spark, source, df.schema), "dest", ["i"], "n")
+    packing = state.Packing(df.schema, ["dest"])
+    assert [f.name for f in packing.fields] == ["dest", "list", "money", state.Packing.NAME]  # six columns in one
+    scoring.drain(scoring.to_files(counted, sink, checkpoint, "parquet"))
+    out = spark.read.parquet(sink)
+    assert out.dtypes == [*df.dtypes, ("n", "bigint")]
+    text = lambda d: sorted(map(repr, d.withColumn("at", F.unix_micros("at")).collect()))
+    assert text(out.drop("n")) == text(df)
+    assert {r["i"]: r["n"] for r in out.select("i", "n").collect()} == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
 def test_monitor_reports_totals(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"ip":"1"}\nnot json\n')
