@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickwarden import schemas
-from clickwarden.operators import ingest, metrics, models, split, transactions
+from clickwarden.operators import ingest, metrics, models, ordering, split, transactions
 from clickwarden.plans import fixtures as fx
 from clickwarden.plans.feature_queries import (
     COUNT_FEATURES, FEATURES_PER_IP_SQL, FEATURES_SQL, LABEL_SQL, MAPPED_SQL, MESSAGES_SQL, TXN_ORDER,
@@ -369,8 +369,10 @@ def _replayed(spark, df, order, build, copies=1, files=None):
                 part.write.mode("append").parquet(source)
         if files is not None:
             # one write after the other: the source takes files by the time of their writing
-            tiles = spill(part.withColumn("_tile", F.ntile(files).over(Window.orderBy(*order))), "tiles")
-            for tile in range(1, files + 1):
+            indexed = ordering.global_index(part, order, "_index")
+            share = F.expr(f"cast(_index * {files} div {max(1, indexed.count())} as int)")
+            tiles = spill(indexed.withColumn("_tile", share).drop("_index"), "tiles")
+            for tile in range(files):
                 tiles.where(F.col("_tile") == tile).drop("_tile").coalesce(1).write.mode("append").parquet(source)
         stream = scoring.read_file_stream(spark, source, df.schema, files_per_batch=1 if files else 1000)
         scoring.drain(scoring.to_files(build(stream), sink, checkpoint, "parquet"))
