@@ -15,8 +15,8 @@ document ends in one end token. Words over 64 bytes are held by their SHA-256.
    of the other words with their numbers, in a stored table.
 4. The network is trained where the ids lie: in every round each task reads its share of the
    training documents chosen for it, from the common weights, by truncated backpropagation;
-   the weights are averaged by tokens in two steps in Spark. The rounds together read one training row
-   in ``share`` (by hash of the row), so what is learned from grows with the input. The driver
+   the weights are averaged by tokens in two steps in Spark. The rounds together read every training row
+   once, or one in ``share`` where a larger ``share`` is asked for (by hash of the row). The driver
    holds one network (0.3 MB) and the list of words.
 5. Tasks score every document whole, in lanes of many documents. The words that were not looked
    up join the counts, and sums per document complete both scores.
@@ -236,14 +236,19 @@ def mean_weights(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part", "team").applyInPandas(mean, schema).groupBy("part").applyInPandas(mean, schema)
 
 
+def training_rows(encoded: DataFrame, share: int, rounds: int, number: int) -> DataFrame:
+    """The training rows of one round; with a ``share`` of 1 every row has its round."""
+    mine = F.pmod(F.xxhash64("row"), F.lit(share * rounds)) == number
+    return encoded.filter(~F.col("held_out") & mine)
+
+
 def train(encoded: DataFrame, vocab: Vocabulary, share: int, rounds: int, rate: float, teams: int = 64,
           parts: int = 16, buffer_tokens: int = 200_000) -> np.ndarray:
     """Flat weights of the network after all rounds."""
     shape = vocab.shape
     weights = flat(initial(shape, vocab.word_weights, vocab.band_weights))
     for number in range(rounds):
-        mine = F.pmod(F.xxhash64("row"), F.lit(share * rounds)) == number
-        chosen = encoded.filter(~F.col("held_out") & mine).select("ids")
+        chosen = training_rows(encoded, share, rounds, number).select("ids")
 
         def learn(batches, common=weights, speed=rate / (1 + number)):
             trainer = Trainer(unflat(common, shape), shape, speed)
@@ -281,7 +286,7 @@ def network_scores(encoded: DataFrame, vocab: Vocabulary, weights: np.ndarray, b
               "network double")
 
 
-def lm_scores(docs: DataFrame, words: int = 1024, listed: int = 131_072, share: int = 32, rounds: int = 4,
+def lm_scores(docs: DataFrame, words: int = 1024, listed: int = 131_072, share: int = 1, rounds: int = 4,
               rate: float = 0.02) -> DataFrame:
     """Unigram and network log10 probabilities of every document; the model learns from the rows
     that are not held out."""

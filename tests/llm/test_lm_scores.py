@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from clickwarden.llm import recurrent as net
-from clickwarden.llm.lm_scores import key_of, lm_scores, vocabulary, word_counts
+from clickwarden.llm.lm_scores import key_of, lm_scores, training_rows, vocabulary, word_counts
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -133,3 +133,13 @@ def test_gradients_equal_differences():
 
 def test_long_words_are_held_by_digest():
     assert key_of(b"x" * 64) == b"x" * 64 and len(key_of(b"x" * 65)) == 33
+
+
+def test_every_training_row_has_its_round(spark):
+    import inspect
+
+    given = {n: p.default for n, p in inspect.signature(lm_scores).parameters.items()}
+    rows = spark.range(400).selectExpr("id as row", "id % 5 = 1 as held_out")
+    read = [r["row"] for n in range(given["rounds"])
+            for r in training_rows(rows, given["share"], given["rounds"], n).collect()]
+    assert sorted(read) == [i for i in range(400) if i % 5 != 1]
