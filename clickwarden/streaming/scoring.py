@@ -123,7 +123,8 @@ def enrich_with_history(
     """Features of one micro-batch from a stored history of recent clicks.
 
     For use in ``foreachBatch`` when single IPs or devices are too heavy for keyed state:
-    the batch operators split hot keys, and devices can be counted over all IPs. The
+    the batch operators split hot keys, and devices can be counted over all IPs. Of clicks of
+    one time those of earlier micro-batches come first, whatever their ids. The
     history holds only the feature columns, in folders by hour, so that old hours are not
     read. A replayed micro-batch overwrites its own folder.
     """
@@ -144,8 +145,9 @@ def enrich_with_history(
         & (F.col("timestamp") >= F.lit(since["t"])))
     both = batch.withColumn("_fresh", F.lit(1)).unionByName(
         older.select(*columns).withColumn("_fresh", F.lit(0)), allowMissingColumns=True)
-    out = click_features(both, campaign, publisher, device_scope)
-    return out.where(F.col("_fresh") == 1).drop("_fresh")
+    both = both.withColumn("_order", F.struct("_fresh", "click_id"))
+    out = click_features(both, campaign, publisher, device_scope, tie="_order")
+    return out.where(F.col("_fresh") == 1).drop("_fresh", "_order")
 
 
 def transaction_stream(messages: DataFrame, schema=schemas.TRANSACTION, value: str = "value"

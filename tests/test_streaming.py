@@ -261,6 +261,15 @@ def test_count_so_far_stream(spark, tmp_path):
         i: i // 2 for i in range(20)}
 
 
+def test_history_comes_before_clicks_of_its_time(spark, make_clicks, tmp_path):
+    first = make_clicks([("z", "2024-01-01 00:00:10", "a", "d", "x")])
+    then = make_clicks([("b", "2024-01-01 00:00:10", "a", "d", "x"), ("c", "2024-01-01 00:00:10", "a", "d", "x")])
+    history = str(tmp_path / "history")
+    seen = [scoring.enrich_with_history(part, number, history).select("click_id", "ip_clicks_1m", "device_clicks_1m").collect()
+            for number, part in enumerate((first, then))]
+    assert sorted(map(tuple, seen[0] + seen[1])) == [("b", 2, 2), ("c", 3, 3), ("z", 1, 1)]
+
+
 def test_drain_waits_for_a_long_stream():
     class Long:
         """Ends only when nobody limits the wait, as a stream that takes ten minutes does."""
