@@ -5,9 +5,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from clickwarden.operators import ensembles, metrics, models, split
+from clickwarden.operators import binning, ensembles, metrics, models, split
 from clickwarden.runtime import spill
 
 NAMES = ["a", "b"]
@@ -151,3 +152,54 @@ def test_walk_forward(data):
     assert scores.count() == 450
     row = metrics.walk_forward_metrics(scores, "fold").first()
     assert row["folds"] == 3 and row["roc_auc_mean"] > 0.7 and row["roc_auc_std"] < 0.2
+
+
+def test_trees_are_fitted_on_rows_counted_by_bins(spark, data, monkeypatch):
+    """Repeated rows cost no more to train on, and the trees on values are MLlib's on bins."""
+    fitted = []
+
+    class Recorded(models.GBTClassifier):
+        def fit(self, df):
+            model = super().fit(df)
+            fitted.append((df.count(), df.agg(F.sum("weight")).first()[0], model))
+            return model
+
+    monkeypatch.setattr(models, "GBTClassifier", Recorded)
+    coarse = spill(models.assemble(data.selectExpr("id", "round(a) a", "round(b) b", "y"), NAMES, "y"))
+    repeated = spill(coarse.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(20)))))
+    rows = {}
+    for df in (coarse, repeated):
+        model = models.train_gbt(df, 3, 2.0, depth=3)
+        n, weight, own = fitted.pop()
+        assert math.isclose(weight, df.agg(F.sum(1 + F.col("label"))).first()[0], rel_tol=1e-9)
+        edges = binning.bin_edges(df)
+        groups = binning.binned(df, edges)
+        assert groups.agg(F.sum("n")).first()[0] == df.count()
+        assert n < 10 * groups.count() or n < 2 * binning.PIECES
+        rows[df] = groups.count()
+        bins = df.select("a", "b", "label").rdd.map(lambda r: (
+            r["a"], r["b"], DenseVector([sum(e < r[c] for e in edges[i]) for i, c in enumerate(NAMES)]))).toDF(
+            ["a", "b", "features"]).dropDuplicates(["a", "b"])
+        want = {(r["a"], r["b"]): r["score"] for r in models.score(own, bins).collect()}
+        got = {(r["a"], r["b"]): r["score"] for r in models.score(model, df).select("a", "b", "score").collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    assert rows[coarse] == rows[repeated] < 150
+
+
+def test_heavy_groups_are_cut_for_the_share_of_rows(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 5000.0), (1.0, 1.0, 3.0)], "x double, label double, n double").selectExpr(
+        "array(x) x", "label", "n", "cast(cast(x as string) as binary) codes")
+    cut = binning.in_pieces(df)
+    assert cut.agg(F.sum("n")).first()[0] == 5003.0 and cut.agg(F.max("n")).first()[0] <= 1.0
+    assert cut.count() == 5003
+
+
+def test_bin_edges_keep_rare_and_heavy_values(spark):
+    assert binning.chosen_edges([0.0] * 4095 + [1.0, 2.0]) == [0.0, 1.0]
+    some = binning.chosen_edges([0.0] * 3000 + [float(i) for i in range(1, 1097)])
+    assert some[0] == 0.0 and len(some) == 31 and max(b - a for a, b in zip(some, some[1:])) < 50
+    nan = spark.createDataFrame([(float(i), 0.0) for i in range(100)] + [(float("nan"), 1.0)], "x double, label double")
+    edges = binning.bin_edges(models.assemble(nan, ["x"], "label"))
+    assert len(edges[0]) == 31 and not any(math.isnan(e) for e in edges[0])
+    last = binning.binned(models.assemble(nan, ["x"], "label"), edges).where("label = 1").first()
+    assert last["features"][0] == 31.0
