@@ -15,6 +15,7 @@ from clickwarden.functions.times import micros
 from clickwarden.operators.ordering import (
     CHUNK, ROW, HotKeys, chunks_for, hot_keys, lay_out, previous_value, running,
 )
+from clickwarden.runtime import spill
 
 US = "_us"
 SECOND = 1_000_000
@@ -234,9 +235,17 @@ def count_so_far(
     df: DataFrame, key: str | list[str], order: list[str],
     name: str = "dest_txn_count_so_far", hot_rows: int | None = None,
 ) -> DataFrame:
-    """Add the number of the key's rows before this one in ``order`` (unique within it)."""
+    """Add the number of the key's rows before this one in ``order`` (unique within it).
+
+    With hot keys the rows are read several times, so they are stored: before the keys are
+    counted where ``hot_rows`` is given, else once hot keys have been found.
+    """
     keys = _keys(key)
+    if hot_rows is not None:
+        df = spill(df, "counted")
     hot = hot_keys(df, keys, hot_rows)
+    if hot and hot_rows is None:
+        df = spill(df, "counted")
     cold, large = hot.split(df, keys) if hot else (df, None)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = cold.withColumn(name, (F.row_number().over(window) - 1).cast("bigint"))

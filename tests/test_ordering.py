@@ -170,3 +170,24 @@ def test_split_with_sentinel_dates(spark):
     for share in (0.1, 0.33):
         train, test = split.chronological_split(df, share, ["at", "id"])
         assert (train.count(), test.count()) == (int(2002 * (1 - share)), 2002 - int(2002 * (1 - share)))
+
+
+def test_count_so_far_reads_its_input_once(spark):
+    """The plans for ordinary and hot keys read stored rows, not the input's plan over again."""
+    from clickwarden.operators import windows
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, "hot" if i % 2 else f"k{i % 10}") for i in range(400)]
+    source = spark.createDataFrame(rows, "i long, k string").mapInArrow(noted, "i long, k string")
+    out = windows.count_so_far(source, "k", ["i"], "n", hot_rows=100).collect()
+    so_far = {}
+    for i, k in rows:
+        so_far[k, i] = sum(1 for j, other in rows[:i] if other == k)
+    assert {(r["k"], r["i"]): r["n"] for r in out} == so_far
+    assert seen.value == 400
