@@ -8,11 +8,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickwarden.runtime import scratch_root, spill
+from clickwarden import runtime
+from clickwarden.runtime import scratch_root
 
 __all__ = ["column_batches", "crc_of_id", "fresh_folder", "held_out", "read_table", "scratch_root", "spill"]
 
 
+def spill(df: DataFrame, name: str = "stage") -> DataFrame:
+    """A stored stage in the codec that costs least time."""
+    return runtime.spill(df, name, "snappy")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -84,8 +84,16 @@ def distinct_on(df: DataFrame, keys: list[str]) -> DataFrame:
 
     An aggregate, combined before the shuffle: many copies of one key stay cheap.
     """
-    plain = [f.name for f in df.schema.fields
-             if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    nested = (T.MapType, T.ArrayType, T.StructType)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
+    # grouping makes one value of the zeros, so such keys stay in the row
+    outside = [k for k in keys if not isinstance(df.schema[k].dataType, (*nested, T.FloatType, T.DoubleType))]
+    rest = [c for c in df.columns if c not in outside]
+    if len(plain) == len(df.columns) and rest and len(set(outside)) == len(outside):
+        # all columns are plain: each travels once, keys beside the row
+        row = df.groupBy(*outside, *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys) if k not in outside]).agg(
+            F.min(F.struct(*rest)).alias("_row"))
+        return row.select(*[F.col(c) if c in outside else F.col("_row")[c].alias(c) for c in df.columns])
     picked = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(
         F.min_by(F.struct(*df.columns), F.struct(*plain)).alias("_row"))
     return picked.select("_row.*")
@@ -124,11 +132,16 @@ def upsert_insert_only(
         known = target.select(*keys).join(batch, in_batch, "left_semi").distinct().select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
         rows = rows.join(known, known_to, "left_anti")
-    rows = spill(rows, "insert")
-    added = rows.count()
-    if added or target is None:
+    if target is None:  # all rows are new, and the table's own files tell their number
         _keep_schema(rows, path)
-        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        added = spark.read.schema(rows.schema).parquet(path).count()
+    else:
+        rows = spill(rows, "insert")
+        added = rows.count()
+        if added:
+            _keep_schema(rows, path)
+            rows.write.mode("append").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     _log_commit(spark, path, "MERGE" if target is not None else "CREATE", added)
     return added
 

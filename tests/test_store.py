@@ -169,3 +169,23 @@ def test_backfills_are_pruned_by_range(spark, tmp_path, monkeypatch):
     assert writers.upsert_insert_only(rows, path, ["id"], ["day"], prune=True) == 12
     assert writers.upsert_insert_only(rows.unionByName(rows), path, ["id"], ["day"], prune=True) == 0
     assert spark.read.parquet(path).groupBy("id").count().where("count > 1").isEmpty()
+
+
+def test_distinct_rows_carry_each_column_once(spark):
+    from clickwarden.sources.writers import distinct_on
+
+    rows = [(k, i % 3, float(-i % 7), None if i % 4 else "t") for k in ("a", None) for i in range(12)]
+    df = spark.createDataFrame(rows, "k string, n long, x double, t string")
+    found = distinct_on(df, ["k", "n"])
+    want = {}
+    for row in rows:
+        order = (row[2], row[3] is not None, row[3] or "")
+        if (row[0], row[1]) not in want or order < want[row[0], row[1]][0]:
+            want[row[0], row[1]] = order, row
+    assert found.columns == df.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted((r for _, r in want.values()), key=str)
+    # the aggregate holds the other columns once, and no copy of the keys
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in plan and "struct(x" in plan and "struct(k" not in plan
+    zeros = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "x double, v long")
+    assert [r["v"] for r in distinct_on(zeros, ["x"]).collect()] == [1]
