@@ -10,7 +10,9 @@ from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 from math import log2
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +22,7 @@ from clickwarden import schemas
 MICROS = 1_000_000
 US = "_us"
 BLOCK = 64  # clicks per entry of the stored trail
+BUCKETS = 4096  # of keys counted together; a checkpoint depends on it
 STATE_FEATURES = [name for name in schemas.CLICK_FEATURES if name.startswith(("ip_", "device_"))]
 
 
@@ -279,6 +282,56 @@ class CountProcessor(StatefulProcessor):
         pass
 
 
+class BucketCountProcessor(StatefulProcessor):
+    """As ``CountProcessor``, for all keys of one bucket at once, column by column.
+
+    Rows come as ``columns``: ``_key``, the key as a text, the ``orders`` columns, of which the null ones
+    are bits in ``_nulls``, and those that pass through.
+    """
+
+    def __init__(self, out: T.StructType, name: str, columns: list[str], orders: list[str]):
+        self.fields, self.name, self.columns, self.orders = out.fieldNames(), name, columns, orders
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState(
+            "counts", T.StructType([T.StructField("key", T.StringType())]), T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        part = pd.concat(list(rows), ignore_index=True)
+        part.columns = self.columns  # pandas may have renamed them on the way
+        codes, keys = pd.factorize(part["_key"])
+        nulls, by = part["_nulls"].to_numpy(), []
+        for i in reversed(range(len(self.orders))):  # the last counts most
+            values = part[self.orders[i]].to_numpy()
+            by += [pd.factorize(values, sort=True)[0] if values.dtype == object else values, (nulls >> i & 1) == 0]
+        at = np.lexsort([*by, codes])
+        sizes = np.bincount(codes, minlength=len(keys))
+        stored = [self.counts.getValue((k,)) for k in keys]
+        before = np.array([s[0] if s else 0 for s in stored], np.int64)
+        part = part.iloc[at]
+        part[self.name] = np.arange(len(at)) + np.repeat(before - (np.cumsum(sizes) - sizes), sizes)
+        yield part[self.fields]
+        for k, n in zip(keys, (before + sizes).tolist(), strict=True):
+            self.counts.updateValue((k,), (n,))
+
+    def close(self) -> None:
+        pass
+
+
+def _sort_value(field: T.StructField) -> Column | None:
+    """A value that pandas sorts as Spark sorts the column; nulls become one value. None if there is none."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType):
+        return F.coalesce(column, F.lit(""))
+    if isinstance(kind, (*_WHOLE, T.TimestampType, T.DateType)):
+        whole = F.unix_micros(column) if isinstance(kind, T.TimestampType) else F.unix_date(column) if isinstance(
+            kind, T.DateType) else column
+        return F.coalesce(whole.cast("long"), F.lit(0).cast("long"))
+    if isinstance(kind, _REAL):
+        return F.coalesce(column.cast("double"), F.lit(0.0))
+    return None
+
+
 def enrich_stream(
     clicks: DataFrame, clock: str | Callable[[dict], int] = "processing", time: str = "timestamp",
     tie: str = "click_id", ttl_ms: int | None = schemas.STATE_TTL_MS, delay: str | None = None,
@@ -323,9 +376,28 @@ def enrich_stream(
 def count_so_far_stream(
     df: DataFrame, key: str, order: list[str], name: str = "dest_txn_count_so_far"
 ) -> DataFrame:
-    """Streaming rows with the number of earlier rows of their key."""
-    packing = Packing(df.schema, [key])
-    out = T.StructType([*packing.fields, T.StructField(name, T.LongType())])
-    counted = packing.pack(df).groupBy(key).transformWithState(
-        CountProcessor(out, packing, name, order), out, "Append", "None")
+    """Streaming rows with the number of earlier rows of their key.
+
+    Keys are counted in buckets, so that Python takes many rows at once. Rows with columns of other
+    than plain types go one by one, key by key.
+    """
+    packing = Packing(df.schema)
+    sorting = [_sort_value(df.schema[c]) for c in order]
+    if packing.beside or any(s is None for s in sorting):
+        packing = Packing(df.schema, [key])
+        out = T.StructType([*packing.fields, T.StructField(name, T.LongType())])
+        counted = packing.pack(df).groupBy(key).transformWithState(
+            CountProcessor(out, packing, name, order), out, "Append", "None")
+        return packing.restore(counted, [name])
+    orders, nulls = [f"_o{i}" for i in range(len(order))], F.lit(0).cast("long")
+    for i, c in enumerate(order):
+        nulls = nulls + F.when(F.col(f"`{c}`").isNull(), 1 << i).otherwise(0)
+    value = F.col(f"`{key}`")  # the zeros are one key
+    text = F.to_json(F.struct((value + 0.0 if isinstance(df.schema[key].dataType, _REAL) else value).alias("k")))
+    ready = df.withColumns({"_key": text, "_nulls": nulls, **dict(zip(orders, sorting, strict=True))})
+    ready = ready.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)).cast("int"))
+    out = T.StructType([T.StructField(Packing.NAME, T.StringType()), T.StructField(name, T.LongType())])
+    packed = packing.pack(ready, "_bucket", "_key", "_nulls", *orders)
+    counted = packed.groupBy("_bucket").transformWithStateInPandas(
+        BucketCountProcessor(out, name, packed.columns, orders), out, "Append", "None")
     return packing.restore(counted, [name])

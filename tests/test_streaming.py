@@ -261,6 +261,27 @@ def test_count_so_far_stream(spark, tmp_path):
         i: i // 2 for i in range(20)}
 
 
+def test_counts_of_plain_rows_pass_python_by_the_bucket(spark, tmp_path):
+    """Keys share buckets, ties are broken by all order columns, nulls come first, and wide numbers stay exact."""
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("source", "sink", "checkpoint"))
+    wide = (1 << 53) + 1
+    rows = [(None if i % 11 == 0 else wide + i % 4, f"t{i % 3}" if i % 5 else None, float(i % 2), None if i % 7 == 0 else f"k{i % 300}", i)
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "at long, text string, `a real` double, dest string, i long")
+    order = ["at", "text", "a real", "i"]
+    seen, want = {}, {}
+    for part in (rows[:500], rows[500:]):
+        # nulls before all others
+        for r in sorted(part, key=lambda r: [(v is not None, v if v is not None else 0) for v in (r[0], r[1], r[2], r[4])]):
+            want[r[4]] = seen[r[3]] = seen.get(r[3], -1) + 1
+        spark.createDataFrame(part, df.schema).write.mode("append").parquet(source)
+        counted = state.count_so_far_stream(readers_stream(spark, source, df.schema), "dest", order, "n")
+        scoring.drain(scoring.to_files(counted, sink, checkpoint, "parquet"))
+    out = spark.read.parquet(sink)
+    assert {r["i"]: r["n"] for r in out.select("i", "n").collect()} == want
+    assert sorted(map(repr, out.drop("n").collect())) == sorted(map(repr, df.collect()))
+
+
 def test_history_comes_before_clicks_of_its_time(spark, make_clicks, tmp_path):
     first = make_clicks([("z", "2024-01-01 00:00:10", "a", "d", "x")])
     then = make_clicks([("b", "2024-01-01 00:00:10", "a", "d", "x"), ("c", "2024-01-01 00:00:10", "a", "d", "x")])
