@@ -54,6 +54,18 @@ def test_late_labels_of_streams_and_their_state(spark, tmp_path):
     assert held <= 6  # the last row of each stream only: join sides with their keys, and copies
 
 
+def test_a_stream_join_stores_changes_in_one_store_a_partition(spark, tmp_path):
+    scored, came = minutes(spark, SCORED, "timestamp", "is_flagged"), minutes(spark, CAME, "label_time", "is_fraud")
+    rows, labels_at, sink, checkpoint = (tmp_path / n for n in ("rows", "labels", "sink", "checkpoint"))
+    scored.write.parquet(str(rows))
+    came.write.parquet(str(labels_at))
+    joined = labels.late_labels(scoring.read_file_stream(spark, str(rows), scored.schema, files_per_batch=100),
+                                scoring.read_file_stream(spark, str(labels_at), came.schema, files_per_batch=100))
+    scoring.drain(scoring.to_files(joined, str(sink), str(checkpoint), "parquet"))
+    assert not list((checkpoint / "state").glob("*/*/left-*"))
+    assert len(list((checkpoint / "state").glob("*/*/*.changelog"))) >= 8  # of both operators, in four partitions
+
+
 def test_live_drift_counts_only_labelled_rows(spark):
     rows = minutes(spark, SCORED, "timestamp", "is_flagged")
     out = labels.live_drift(labels.late_labels(rows, minutes(spark, CAME, "label_time", "is_fraud")), "1 hour").first()
