@@ -202,7 +202,8 @@ class ClickFeatureProcessor(StatefulProcessor):
     The trail of recent clicks lies in a map of blocks in arrival order: a micro-batch writes
     the blocks its clicks fall into and removes those that have left the widest window. With
     ``idle_us`` an event-time timer drops the whole state of an IP that has had no click for so
-    long when the watermark passes.
+    long when the watermark passes. An IP has one timer, set by its first click: clicks that come
+    since are noted beside the last one and only looked at when the timer is due, which then moves on.
     """
 
     def __init__(self, out: T.StructType, packing: Packing, clock: str | Callable[[dict], int], tie: str,
@@ -213,16 +214,18 @@ class ClickFeatureProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         place = T.StructType([T.StructField("block", T.LongType())])
-        last = T.StructType([T.StructField("us", T.LongType())])
+        last = T.StructType([T.StructField(n, T.LongType()) for n in ("us", "newest", "timer")])
         self.trail = handle.getMapState("trail", place, _TRAIL, self.ttl_ms)
         self.last = handle.getValueState("last", last, self.ttl_ms)
 
-    def _read(self) -> IpState:
-        last = self.last.get()
+    def _read(self, last: int | None) -> IpState:
         # the oldest blocks may have expired already
         blocks = sorted((key[0], value) for key, value in self.trail.iterator())
         recent = [click for _, block in blocks for click in zip(*block)]
-        return IpState(recent, last[0] if last else None, blocks[0][0] * BLOCK if blocks else 0)
+        return IpState(recent, last, blocks[0][0] * BLOCK if blocks else 0)
+
+    def _due(self, newest: int) -> int:
+        return (newest + self.idle_us) // 1000 + 1
 
     def _now(self, row: dict, last: int | None) -> int:
         if self.clock == "event":
@@ -231,11 +234,11 @@ class ClickFeatureProcessor(StatefulProcessor):
         return now if last is None else max(now, last)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = self._read()
-        latest = None
+        last, newest, timer = self.last.get() or (None, None, None)
+        state = self._read(last)
         # Micro-batches do not promise an order inside one key.
         for row in _ordered(rows, self.packing, [US, self.tie]):
-            latest = row[US]
+            newest = row[US] if newest is None else max(newest, row[US])
             row.update(state.click(self._now(row, state.last), str(row["device_id"]), str(row["os"])))
             yield Row(**{name: row[name] for name in self.fields})
         written, removed = state.changes()
@@ -243,14 +246,18 @@ class ClickFeatureProcessor(StatefulProcessor):
             self.trail.updateValue((block,), tuple(list(column) for column in zip(*clicks)))
         for block in removed:
             self.trail.removeKey((block,))
-        self.last.update((state.last,))
-        if self.idle_us is not None and latest is not None:
-            for timer in list(self.handle.listTimers()):
-                latest = max(latest, (timer - 1) * 1000 - self.idle_us)
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((latest + self.idle_us) // 1000 + 1)
+        if self.idle_us is not None and timer is None and newest is not None:
+            timer = self._due(newest)
+            self.handle.registerTimer(timer)
+        self.last.update((state.last, newest, timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, newest, _ = self.last.get()
+        due = self._due(newest)
+        if due > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(due)
+            self.last.update((last, newest, due))
+            return
         self.trail.clear()
         self.last.clear()
         yield from ()

@@ -137,6 +137,24 @@ def test_idle_state_falls_away_behind_the_watermark(spark, make_clicks, tmp_path
     assert {r["ip"] for r in rows.values()} > {"ip1", "new"} and held[-1].numRowsTotal <= 6
 
 
+def test_clicks_of_a_known_ip_leave_its_timer_alone(spark, make_clicks, tmp_path):
+    """The timer moves on when it is due, and the state falls away behind the newest click."""
+    at = "2024-01-01 {}".format
+    first = make_clicks([("a", at("08:00:00"), "ip", "d", "x")])
+    feed = stream_of(spark, tmp_path, first.schema, clock="event", delay="1 minute", ttl_ms=3_600_000)
+    total = lambda progress, name: sum(
+        o.customMetrics[name] for p in progress for o in p.stateOperators if name in o.customMetrics)
+    assert total(feed(first)[1], "numRegisteredTimers") == 1
+    _, progress = feed(make_clicks([("b", at("08:30:00"), "ip", "d", "x")]))
+    assert total(progress, "numRegisteredTimers") == total(progress, "numDeletedTimers") == 0
+    feed(make_clicks([("c", at("09:05:00"), "other", "d", "x")]))  # due, but not idle for so long
+    rows, _ = feed(make_clicks([("d", at("09:20:00"), "ip", "d", "x")]))
+    assert rows["d"]["ip_inter_click_gap_seconds"] == 3000.0 and rows["d"]["ip_clicks_1h"] == 2
+    feed(make_clicks([("e", at("11:00:00"), "other", "d", "x")]))
+    rows, _ = feed(make_clicks([("f", at("11:00:10"), "ip", "d", "x")]))
+    assert rows["f"]["ip_inter_click_gap_seconds"] == 0.0
+
+
 def minutes():
     """A clock that reads the place of a click in its id: a minute a click, and once back again."""
     def clock(row: dict) -> int:
