@@ -38,6 +38,7 @@ HEAD = struct.Struct("<4sIIIQQQ")
 BASE = np.uint32(1 << 31)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 19
+SHARDS_PER_TASK = 4  # read one after the other where there are many
 MANIFEST = "shard string, partition int, part int, n_docs long, n_ids long, n_symbols long, n_rules long"
 DECODED = "shard string, place int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -293,9 +294,9 @@ def read_token_shards(manifest: DataFrame, folder: str) -> DataFrame:
                     pa.array(sums, pa.int64())],
                     ["shard", "place", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    shards = manifest.count()
-    return manifest.select("shard", "shard_start").repartition(
-        min(max(1, shards), 20_000), "shard").mapInArrow(read, DECODED)
+    shards, cores = manifest.count(), manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(shards, 2 * cores), -(-shards // SHARDS_PER_TASK))
+    return manifest.select("shard", "shard_start").repartition(min(tasks, 20_000), "shard").mapInArrow(read, DECODED)
 
 
 def token_documents(docs: DataFrame, end_id: int = 2, tokenizer_path: str | None = None,

@@ -19,6 +19,8 @@ _UNUSUAL = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    
 # Letters whose lower case might differ between libraries.
 _WIDE = re.compile("[^\x00-\u012f]")
 MARK = "\x01"
+# As many as a dict holds before its table of 2^21 places doubles.
+MOST_CHUNKS = 1_390_000
 _encoders: dict[tuple[str, int], ChunkEncoder] = {}
 
 
@@ -31,7 +33,7 @@ def default_path() -> str:
 class ChunkEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, max_chunks: int = 900_000, max_chunk_chars: int = 64):
+    def __init__(self, path: str, max_chunks: int = MOST_CHUNKS, max_chunk_chars: int = 64):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -122,7 +124,7 @@ class ChunkEncoder:
         return b"".join(parts)
 
 
-def encoder(path: str, max_chunks: int = 900_000) -> ChunkEncoder:
+def encoder(path: str, max_chunks: int = MOST_CHUNKS) -> ChunkEncoder:
     """This process's encoder for a tokenizer file."""
     key = (path, max_chunks)
     if key not in _encoders:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 import tempfile
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from clickwarden.llm import tokens
 from clickwarden.llm.packing import best_fit_decreasing, pack
 from clickwarden.llm.repair import Shard, expand, expand_whole, repair, shard_bytes, token_documents
 from clickwarden.llm.tokens import default_path, encoder
@@ -129,3 +131,19 @@ def test_scratch_is_not_needed_to_read_a_shard(tmp_path):
         f.seek(0)
         shard = Shard(f.read())
     assert shard.doc_ids.tolist() == [9] and shard.document(0).tobytes() == parts[0]
+
+
+def test_the_memo_fills_its_table():
+    """More chunks would double the dict's table, fewer are forgotten although there is room."""
+    held = dict.fromkeys(range(tokens.MOST_CHUNKS))
+    size = sys.getsizeof(held)
+    held.update(dict.fromkeys(range(tokens.MOST_CHUNKS + 20_000)))
+    assert tokens.encoder(tokens.default_path()).max_chunks == tokens.MOST_CHUNKS
+    assert sys.getsizeof(held) > size == sys.getsizeof(dict.fromkeys(range(tokens.MOST_CHUNKS - 400_000)))
+
+
+def test_a_task_reads_several_of_many_shards(spark):
+    rows = [(i, "one two three") for i in range(100)]
+    cores = spark.sparkContext.defaultParallelism
+    out = token_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), shard_ids=1)
+    assert out.rdd.getNumPartitions() == max(2 * cores, 25) and out.count() == 100
