@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from clickwarden import runtime
 from clickwarden.runtime import scratch_root
 
-__all__ = ["column_batches", "crc_of_id", "fresh_folder", "held_out", "read_table", "scratch_root", "spill"]
+__all__ = ["column_batches", "crc_of_id", "fresh_folder", "held_out", "memo_of", "read_table", "scratch_root", "spill"]
 
 
 def spill(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -41,6 +42,19 @@ def fresh_folder(spark: SparkSession, name: str, *key: object) -> str:
     return f"{scratch_root(spark)}/{name}-{salt}"
 
 
+_memos: dict[str, Callable[[], None]] = {}
+
+
+def memo_of(operator: str, forget: Callable[[], None] | None = None) -> None:
+    """Called where a task of an operator begins. A Python worker serves the stages of a job one after
+    the other; what it remembers for other operators is forgotten, so that memos do not add up."""
+    for other in [name for name in _memos if name != operator]:
+        _memos.pop(other)()
+        pa.default_memory_pool().release_unused()
+    if forget is not None:
+        _memos[operator] = forget
+
+
 def column_batches(batches, rows: int = 1000):
     """Arrow batches cut into pieces of at most ``rows`` rows, so Python objects stay few."""
     for batch in batches:

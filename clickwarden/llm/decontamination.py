@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, spill
+from clickwarden.llm.common import column_batches, memo_of, spill
 from clickwarden.llm.quality import keep_rows
 
 Q = 8
@@ -248,6 +248,7 @@ def search_block(rows: DataFrame, block: list[tuple[int, str]], window: int, rat
 
     def search(batches):
         patterns = Patterns.of(block, window, rate, least)
+        memo_of("decontamination")
         for batch in column_batches(batches):
             leaks, item, edits, place = (batch.column(i).to_pylist() for i in range(2, 6))
             for at, text in enumerate(batch.column(1).to_pylist()):

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, spill
+from clickwarden.llm.common import column_batches, memo_of, spill
 from clickwarden.llm.components import components
 
 RING_BITS = 18
@@ -44,6 +44,11 @@ _words: dict[bytes, int] = {}
 _rings: dict[int, np.ndarray] = {}
 
 
+def _forget() -> None:
+    _words.clear()
+    _rings.clear()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A permutation of 64-bit numbers."""
     h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -97,6 +102,7 @@ def signatures(docs: DataFrame, bands: int = 40, rows: int = 4, width: int = 5,
 
     def sign(batches):
         weights = np.random.default_rng(5).integers(1, 1 << 62, rows).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        memo_of("minhash", _forget)
         for batch in column_batches(batches):
             sizes, a, b, keys, offsets, brief = [], [], [], [], [0], []
             for text in batch.column(1).to_pylist():
@@ -127,6 +133,7 @@ def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id and the bytes of its sorted shingle hashes."""
 
     def gather(batches):
+        memo_of("minhash", _forget)
         for batch in column_batches(batches):
             sets = [shingle_hashes(t, width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
@@ -139,6 +146,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union, on the full sets."""
 
     def verify(batches):
+        memo_of("minhash", _forget)
         for batch in column_batches(batches, 500):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -248,6 +256,7 @@ def _likely_pairs(members: DataFrame, percent: int, nearest: int | None, margin:
         return a, b
 
     def search(batches):
+        memo_of("minhash", _forget)
         held, bucket = [], None
         for batch in batches:
             keys = batch.column(0).to_numpy()

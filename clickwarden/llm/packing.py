@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, spill
+from clickwarden.llm.common import column_batches, memo_of, spill
 from clickwarden.llm.tokens import default_path, encoder
 
+# Fewer than an operator on its own remembers: in the pipeline its stage comes last, when executors are fullest.
+MOST_CHUNKS = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -90,7 +92,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer_path: str | None = None, en
     def cut(batches):
         from pyspark import TaskContext
 
-        encode, seen = encoder(path).encode, TaskContext.get().partitionId() * 2654435761
+        encode, seen = encoder(path, MOST_CHUNKS).encode, TaskContext.get().partitionId() * 2654435761
         for batch in column_batches(batches):
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -115,6 +117,7 @@ def pack(docs: DataFrame, capacity: int = 2048, group_pieces: int = 50_000,
     groups = max(1, -(-stored.count() // group_pieces))
 
     def place(key, group: pd.DataFrame) -> pd.DataFrame:
+        memo_of("packing")
         group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
         bins, offsets = best_fit_decreasing(group["length"].to_numpy(np.int64), capacity)
         return group.assign(sequence_id=bins + (int(key[0]) << 32), offset=offsets)[

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, held_out, spill
+from clickwarden.llm.common import column_batches, held_out, memo_of, spill
 
 FEATURES = (
     "log_bytes", "log_words", "letters", "upper", "digits", "spaces", "punctuation", "symbols", "wide",
@@ -73,6 +73,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """doc_id and an array of document statistics for every row."""
 
     def measure(batches):
+        memo_of("quality")
         for batch in column_batches(batches, 500):
             values = [document_statistics(t) for t in batch.column(1).to_pylist()]
             flat = pa.array(np.array(values, np.float64).ravel())
@@ -187,6 +188,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_
     model = fit_quality(docs, labels, max_train_rows, **options)
 
     def apply(batches):
+        memo_of("quality")
         for batch in column_batches(batches, 500):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text_scores(batch.column(1), model))], ["doc_id", "score"])
 
@@ -204,6 +206,7 @@ def keep_rows(docs: DataFrame, decide) -> DataFrame:
     place = docs.columns.index("text")
 
     def filtered(batches):
+        memo_of("quality")
         for batch in column_batches(batches, 500):
             yield batch.filter(pa.array(np.asarray(decide(batch.column(place)), bool)))
 

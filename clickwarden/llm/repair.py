@@ -31,7 +31,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, fresh_folder, spill
+from clickwarden.llm.common import column_batches, fresh_folder, memo_of, spill
 from clickwarden.llm.tokens import default_path, encoder
 
 HEAD = struct.Struct("<4sIIIQQQ")
@@ -278,6 +278,7 @@ def read_token_shards(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document of the shards (shard, shard_start): id, start, length and checksum of the decoded ids."""
 
     def read(batches):
+        memo_of("token_reader")
         files, _ = arrow_fs.FileSystem.from_uri(folder)
         for batch in batches:
             for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

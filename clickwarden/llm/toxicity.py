@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwarden.llm.common import column_batches, spill
+from clickwarden.llm.common import column_batches, memo_of, spill
 from clickwarden.llm.quality import keep_rows, labelled_texts
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -160,6 +160,7 @@ def learn_insults(rows: DataFrame, min_documents: int = 4, max_states: int = 30_
 
     def count(batches):
         toxic, clean = Counter(), Counter()
+        memo_of("toxicity")
         for batch in column_batches(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = {s for w in set(WORD.findall((text or "").lower())) if len(w) > 2 for s in stems(w)}
@@ -213,6 +214,7 @@ def measured(rows: DataFrame, cuts: list[Insults]) -> tuple[np.ndarray, np.ndarr
     """Inputs (row, cut, 4), labels and inner folds of ``rows`` (doc_id, text, label, fold)."""
 
     def measure(batches):
+        memo_of("toxicity")
         for batch in column_batches(batches):
             values = [describe_at(t, cuts) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(
@@ -259,6 +261,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, grammar: Grammar | None
     grammar = grammar or fit_grammar(docs, labels, **options)
 
     def apply(batches):
+        memo_of("toxicity")
         for batch in column_batches(batches):
             x = np.array([describe(t, grammar.insults) for t in batch.column(1).to_pylist()]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
