@@ -6,10 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickwarden.llm import tokens
+from clickwarden.llm import minhash, tokens
+from clickwarden.llm.common import memo_of
 from clickwarden.llm.packing import best_fit_decreasing, pack
 from clickwarden.llm.repair import Shard, expand, expand_whole, repair, shard_bytes, token_documents
 from clickwarden.llm.tokens import default_path, encoder
@@ -147,3 +149,34 @@ def test_a_task_reads_several_of_many_shards(spark):
     cores = spark.sparkContext.defaultParallelism
     out = token_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), shard_ids=1)
     assert out.rdd.getNumPartitions() == max(2 * cores, 25) and out.count() == 100
+
+
+def test_a_worker_keeps_the_memo_of_one_operator():
+    """In a job of several operators a Python worker held the memos of all of them."""
+    encoder = tokens.encoder(tokens.default_path())
+    encoder.encode("some words")
+    memo_of("tokens")
+    assert encoder.memo
+    memo_of("minhash", minhash._forget)
+    assert not encoder.memo and not encoder.older
+    minhash.shingle_hashes("some words")
+    assert encoder.encode("some words") and tokens.encoder(tokens.default_path()).memo
+    assert not minhash._words
+
+
+def test_a_full_memo_keeps_what_is_met_again():
+    encoder, asked = tokens.ChunkEncoder(tokens.default_path(), 40), []
+    words = encoder.encode_words
+    encoder.encode_words = lambda found: asked.extend(found) or words(found)
+    texts = ["usual words " + " ".join(f"rare{chr(97 + i % 26)}{chr(97 + k)}," for k in range(9)) for i in range(40)]
+    assert [encoder.encode(t) for t in texts] == [encoder.whole(t) for t in texts]
+    assert asked.count("usual") == asked.count("words") == 1
+    assert len(encoder.memo) + len(encoder.older) <= 40
+
+
+@pytest.mark.parametrize("text", [
+    "done... done.%%% It's$$$ it'%%% A1%%% a+b=c; $$$ x$$$y (x) <|endoftext|> <|endoftext|>. <|x|>! e\u0301!? \u00df## \u03a3. \u00bd%",
+    "a'$$$'s 's's' don't!! WON'T?! caf\u00e9*** na\u00efve,., 12%% 1.2.3.", "\u7f8e\u3002 \u0130.. \u01c5!! \u2126$ 3\u20ac$ \u0130. \u0958, \ufb1d.."])
+def test_closing_punctuation_is_encoded_for_itself(text):
+    encoder = tokens.ChunkEncoder(tokens.default_path())
+    assert encoder.encode(text) == encoder.whole(text) and encoder.encode(text) == encoder.whole(text)
