@@ -357,12 +357,17 @@ def _halves(df, order):
     return split.split_history(df, order)
 
 
+TILE_FILE_ROWS = 100_000
+
+
 def _replayed(spark, df, order, build, copies=1, files=None):
     """Write each half to the source and run the bounded stream on from its checkpoint.
 
-    With ``files`` each half lies in so many files by time, and each is a micro-batch.
+    With ``files`` each half lies in so many tiles by time, and each is a micro-batch, of one file or
+    of as many as its rows need.
     """
     source, sink, checkpoint = (folder(spark, n) for n in ("source", "sink", "checkpoint"))
+    per_tile = 1000
     for part in _halves(df, order):
         for _ in range(copies):
             if files is None:
@@ -370,11 +375,15 @@ def _replayed(spark, df, order, build, copies=1, files=None):
         if files is not None:
             # one write after the other: the source takes files by the time of their writing
             indexed = ordering.global_index(part, order, "_index")
-            share = F.expr(f"cast(_index * {files} div {max(1, indexed.count())} as int)")
+            rows = indexed.count()
+            share = F.expr(f"cast(_index * {files} div {max(1, rows)} as int)")
+            per_tile = max(1, rows // files // TILE_FILE_ROWS)
             tiles = spill(indexed.withColumn("_tile", share).drop("_index"), "tiles")
             for tile in range(files):
-                tiles.where(F.col("_tile") == tile).drop("_tile").coalesce(1).write.mode("append").parquet(source)
-        stream = scoring.read_file_stream(spark, source, df.schema, files_per_batch=1 if files else 1000)
+                rows = tiles.where(F.col("_tile") == tile).drop("_tile")
+                rows = rows.coalesce(1) if per_tile == 1 else rows.repartition(per_tile)
+                rows.write.mode("append").parquet(source)
+        stream = scoring.read_file_stream(spark, source, df.schema, files_per_batch=per_tile)
         scoring.drain(scoring.to_files(build(stream), sink, checkpoint, "parquet"))
     return spark.read.parquet(sink)
 

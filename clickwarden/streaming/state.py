@@ -12,6 +12,7 @@ from math import log2
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ MICROS = 1_000_000
 US = "_us"
 BLOCK = 64  # clicks per entry of the stored trail
 BUCKETS = 4096  # of keys counted together; a checkpoint depends on it
+CLICK_BUCKETS = 1024  # of IPs whose clicks are kept together; a checkpoint depends on it
+LOOK_CHUNKS, MOST_CHUNKS = 8, 32  # of one bucket's kept clicks, before old ones are looked for and all become one
 STATE_FEATURES = [name for name in schemas.CLICK_FEATURES if name.startswith(("ip_", "device_"))]
 
 
@@ -156,7 +159,10 @@ class Packing:
 
     def read(self, row: Row) -> dict:
         """The row as a dict with the values of its columns."""
-        out = row.asDict()
+        return self.opened(row.asDict())
+
+    def opened(self, out: dict) -> dict:
+        """The same for a row that is a dict."""
         found = json.loads(out[self.NAME])
         for i, field in enumerate(self.packed):
             out[field.name] = found.get(f"c{i}")
@@ -266,6 +272,210 @@ class ClickFeatureProcessor(StatefulProcessor):
         pass
 
 
+def _starts(codes: np.ndarray) -> np.ndarray:
+    """True at the first row of each run of one code."""
+    return np.r_[True, codes[1:] != codes[:-1]] if len(codes) else np.zeros(0, bool)
+
+
+def _paced(codes: np.ndarray, times: np.ndarray, widest: int) -> np.ndarray:
+    """Times of runs of one code, ascending in each, on one axis: steps longer than the ``widest`` window are
+    cut to just beyond it, and runs lie as far apart. So no window over the axis reaches another run, and
+    nothing overflows."""
+    steps = np.clip(np.diff(times, prepend=times[:1]), 0, widest + 1)
+    return np.cumsum(np.where(_starts(codes), widest + 1, steps))
+
+
+def _window_counts(codes: np.ndarray, times: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of the code in each window that ends with the row; in runs as ``_paced`` takes them."""
+    axis = _paced(codes, times, max(schemas.WINDOW_SECONDS.values()) * MICROS)
+    at = np.arange(1, len(axis) + 1)
+    return {name: at - np.searchsorted(axis, axis - width * MICROS, "left")
+            for name, width in schemas.WINDOW_SECONDS.items()}
+
+
+def _entropies(codes: np.ndarray, times: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Entropy of the fingerprints in the window of each click.
+
+    As ``IpState`` adds it up: a click arrives, then those that have left the window depart, and each changes
+    the sum of the weights by whole numbers.
+    """
+    n, at = len(codes), np.arange(len(codes))
+    width = schemas.ENTROPY_SECONDS * MICROS
+    axis = _paced(codes, times, width)
+    head = np.searchsorted(axis, axis - width, "left")
+    start = np.maximum.accumulate(np.where(_starts(codes), at, 0))
+    kinds = pd.factorize(codes * (prints.max() + 1) + prints)[0]
+    order = np.argsort(kinds, kind="stable")
+    place = np.empty(n, np.int64)
+    place[order] = at
+    keys = kinds[order] * n + order  # the clicks of one kind in order, one kind after the other
+    weight = np.array([_weight(c) for c in range(int(np.bincount(kinds).max()) + 2)], np.int64)
+    before = np.where(at == start, at, np.r_[0, head[:-1]])  # the window's first click when this one arrives
+    there = place - np.searchsorted(keys, kinds * n + before, "left")
+    arrived = np.cumsum(weight[there + 1] - weight[there])
+    leaves = np.searchsorted(head, at, "right")  # the click with which this one departs
+    gone = np.flatnonzero(leaves < n)
+    gone = gone[codes[leaves[gone]] == codes[gone]]
+    there = np.searchsorted(keys, kinds[gone] * n + leaves[gone], "right") - place[gone]
+    departed = np.zeros(n + 1, np.int64)
+    departed[gone + 1] = weight[there - 1] - weight[there]
+    departed = np.cumsum(departed)
+    total = at - head + 1
+    held = arrived - np.r_[0, arrived][start] + departed[head] - departed[start]
+    whole = np.array([_weight(c) for c in range(int(total.max()) + 1)], np.int64)[total]
+    return np.maximum(0.0, (whole - held) / (total * 1e8))
+
+
+class BucketClickProcessor(StatefulProcessor):
+    """As ``ClickFeatureProcessor`` without expiry, for all IPs of one bucket at once, column by column.
+
+    Rows come as ``columns``: the packed text, ``_us``, ``_key`` (the IP as a text), ``_device``, ``_os`` and
+    ``_tie``, with nulls of the first and the last marked in ``_nulls``. The kept clicks of a bucket are a list
+    of chunks in arrival order: a micro-batch reads them all, uses those of its IPs and adds one of its own.
+    Once more than half of them can be dropped, or the chunks are many, they become one chunk.
+    IPs whose clicks are not in the order of time go through ``IpState``.
+    """
+
+    def __init__(self, out: T.StructType, packing: Packing, clock: str | Callable[[dict], int], columns: list[str]):
+        self.fields, self.packing, self.clock, self.columns = out.fieldNames(), packing, clock, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.chunks = handle.getListState("chunks", T.StructType([T.StructField("data", T.BinaryType())]))
+
+    def _now(self, part: dict[str, np.ndarray]) -> np.ndarray:
+        if self.clock == "processing":
+            return np.array([wall.time_ns() // 1000 for _ in part[US]], np.int64)
+        timed = part["_nulls"] & 1 == 0
+        if self.clock == "event":
+            if not timed.all():
+                raise ValueError("a click without a time needs another clock")
+            return part[US]
+        return np.array([self.clock(self.packing.opened({self.packing.NAME: text, US: us if known else None}))
+                         for text, us, known in zip(part[self.packing.NAME], part[US].tolist(), timed)], np.int64)
+
+    def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
+        rows = rows[0] if len(rows) == 1 else pd.concat(rows, ignore_index=True)
+        part = {name: rows.iloc[:, i].to_numpy() for i, name in enumerate(self.columns)}  # pandas may have renamed them
+        stored = [pa.ipc.open_stream(row[0]).read_all() for row in self.chunks.get()]
+        codes, ips = pd.factorize(part["_key"])
+        nulls, tie = part["_nulls"], part["_tie"]
+        tie = pd.factorize(tie, sort=True)[0] if tie.dtype == object else tie
+        at = np.lexsort([tie, (nulls >> 1 & 1) == 0, part[US], (nulls & 1) == 0, codes])
+        part, codes = {name: values[at] for name, values in part.items()}, codes[at]
+        fresh = {"ip": part["_key"], "us": self._now(part), "device": part["_device"], "os": part["_os"]}
+        kept = _columns(pa.concat_tables(stored)) if stored else {name: values[:0] for name, values in fresh.items()}
+        of = pd.Index(ips).get_indexer(kept["ip"]) if stored else codes[:0]
+        mine, of = {name: values[of >= 0] for name, values in kept.items()}, of[of >= 0]
+        if self.clock != "event":  # never runs backwards within an IP
+            last = np.full(len(ips), np.iinfo(np.int64).min)
+            last[of] = mine["us"]
+            times = np.maximum(fresh["us"], last[codes])
+            if len(_backwards(codes, times)):
+                times = pd.Series(times).groupby(codes).cummax().to_numpy()
+            fresh["us"] = times
+        by = np.r_[of, codes]
+        order = np.argsort(by, kind="stable")
+        both = {name: np.concatenate([mine[name], fresh[name]])[order] for name in fresh}
+        found = _trail_features(by[order], both, order >= len(of))
+        yield pd.DataFrame({self.packing.NAME: part[self.packing.NAME], **found})[self.fields]
+        self._store(len(stored), kept, fresh)
+
+    def _store(self, chunks: int, kept: dict[str, np.ndarray], fresh: dict[str, np.ndarray]) -> None:
+        if chunks >= LOOK_CHUNKS:
+            whole = {name: np.concatenate([kept[name], fresh[name]]) for name in fresh}
+            needed = _needed(whole["ip"], whole["us"])
+            if chunks >= MOST_CHUNKS or 2 * int(needed.sum()) < len(needed):
+                self.chunks.put([(_chunk({name: values[needed] for name, values in whole.items()}),)])
+                return
+        self.chunks.appendValue((_chunk(fresh),))
+
+    def close(self) -> None:
+        pass
+
+
+def _chunk(clicks: dict[str, np.ndarray]) -> bytes:
+    batch = pa.RecordBatch.from_arrays([pa.array(values) for values in clicks.values()], list(clicks))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
+def _backwards(codes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The codes, which lie in runs, of rows that are older than the one before in their run."""
+    return codes[1:][(codes[1:] == codes[:-1]) & (times[1:] < times[:-1])]
+
+
+def _places(codes: np.ndarray) -> np.ndarray:
+    """The place of each row in its run."""
+    at = np.arange(len(codes))
+    return at - np.maximum.accumulate(np.where(_starts(codes), at, 0))
+
+
+def _heads(codes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """For runs of one code each: the place of the first row that a later one can still see."""
+    ends = np.flatnonzero(np.r_[codes[1:] != codes[:-1], True])
+    widest = max(schemas.WINDOW_SECONDS.values())
+    axis = _paced(codes, times, widest * MICROS)
+    head = np.searchsorted(axis, axis[ends] - widest * MICROS, "left") - np.flatnonzero(_starts(codes))
+    for run in np.unique(_backwards(codes, times)):
+        mine = np.flatnonzero(codes == run)
+        trail = Trail([widest])
+        for now in times[mine].tolist():
+            trail.add(now)
+        head[np.searchsorted(codes[ends], run)] = trail.heads[widest]
+    return head
+
+
+def _needed(ips: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """False for clicks, given in arrival order, in blocks of ``BLOCK`` that lie wholly before their IP's widest window."""
+    codes = pd.factorize(ips)[0]
+    order = np.argsort(codes, kind="stable")
+    runs = codes[order]
+    head = _heads(runs, times[order])
+    needed = np.zeros(len(codes), bool)
+    needed[order] = _places(runs) >= (head // BLOCK * BLOCK)[runs]
+    return needed
+
+
+def _trail_features(codes: np.ndarray, clicks: dict[str, np.ndarray], fresh: np.ndarray) -> dict[str, np.ndarray]:
+    """The features of the ``fresh`` clicks; the clicks of an IP, as ``codes`` has it, lie together in arrival order."""
+    times = clicks["us"]
+    kinds = {name: pd.factorize(clicks[name])[0] for name in ("device", "os")}
+    out = {name: np.zeros(len(codes), float if name.endswith(("entropy_5m", "seconds")) else np.int64) for name in STATE_FEATURES}
+    back = np.zeros(int(codes.max()) + 1, bool)
+    back[_backwards(codes, times)] = True
+    plain = np.flatnonzero(~back[codes])
+    if len(plain):
+        c, t = codes[plain], times[plain]
+        device = kinds["device"][plain]
+        for name, values in _window_counts(c, t).items():
+            out[f"ip_clicks_{name}"][plain] = values
+        pairs = pd.factorize(c * (device.max() + 1) + device)[0]
+        order = np.argsort(pairs, kind="stable")
+        for name, values in _window_counts(pairs[order], t[order]).items():
+            out[f"device_clicks_{name}"][plain[order]] = values
+        out["ip_fingerprint_entropy_5m"][plain] = _entropies(c, t, device * (kinds["os"].max() + 1) + kinds["os"][plain])
+        out["ip_inter_click_gap_seconds"][plain] = np.where(_starts(c), 0.0, np.diff(t, prepend=t[:1]) / MICROS)
+    for run in np.flatnonzero(back):
+        mine = np.flatnonzero(codes == run)
+        trail = [(now, *pair) for now, *pair in zip(
+            times[mine].tolist(), kinds["device"][mine].tolist(), kinds["os"][mine].tolist())]
+        old = int(len(mine) - fresh[mine].sum())
+        # of the stored clicks those that are still kept
+        first = int(_heads(codes[mine[:old]], times[mine[:old]])[0]) // BLOCK * BLOCK if old else 0
+        state = IpState(trail[first:old], trail[old - 1][0] if old else None)
+        for place, click in zip(mine[old:].tolist(), trail[old:]):
+            for name, value in state.click(*click).items():
+                out[name][place] = value
+    return {name: values[fresh] for name, values in out.items()}
+
+
 class CountProcessor(StatefulProcessor):
     """Adds the number of the key's earlier rows."""
 
@@ -339,6 +549,15 @@ def _sort_value(field: T.StructField) -> Column | None:
     return None
 
 
+_BUCKET_COLUMNS = {"_bucket", "_key", "_device", "_os", "_tie", "_nulls"}
+
+
+def _key_text(field: T.StructField) -> Column:
+    """A text for each key, as groups have them."""
+    value = F.col(f"`{field.name}`")  # the zeros are one key
+    return F.to_json(F.struct((value + 0.0 if isinstance(field.dataType, _REAL) else value).alias("k")))
+
+
 def enrich_stream(
     clicks: DataFrame, clock: str | Callable[[dict], int] = "processing", time: str = "timestamp",
     tie: str = "click_id", ttl_ms: int | None = schemas.STATE_TTL_MS, delay: str | None = None,
@@ -368,9 +587,13 @@ def enrich_stream(
         n: T.DoubleType() if n.endswith(("entropy_5m", "seconds")) else T.LongType()
         for n in STATE_FEATURES
     }
+    live = clock != "event" and ttl_ms is not None
+    order = _sort_value(clicks.schema[tie]) if tie in clicks.columns else None
+    plain = not Packing(clicks.schema).beside and not _BUCKET_COLUMNS & set(clicks.columns)
+    if not live and delay is None and order is not None and plain:
+        return _enrich_buckets(clicks, timed, clock, order, tie, kinds)
     packing = Packing(clicks.schema, ["ip", *([time] if delay is not None else [])])
     out = T.StructType([*packing.fields, *[T.StructField(n, k) for n, k in kinds.items()]])
-    live = clock != "event" and ttl_ms is not None
     mode = "ProcessingTime" if live else "None" if delay is None else "EventTime"
     enriched = packing.pack(timed, US).groupBy("ip").transformWithState(
         ClickFeatureProcessor(
@@ -380,6 +603,23 @@ def enrich_stream(
     return packing.restore(enriched, list(kinds))
 
 
+def _enrich_buckets(clicks: DataFrame, timed: DataFrame, clock: str | Callable[[dict], int], order: Column, tie: str,
+                    kinds: dict[str, T.DataType]) -> DataFrame:
+    """``enrich_stream`` where no state expires and all columns are plain: IPs in buckets, which Python takes at once."""
+    packing = Packing(clicks.schema)
+    out = T.StructType([T.StructField(Packing.NAME, T.StringType()), *[T.StructField(n, k) for n, k in kinds.items()]])
+    ready = timed.withColumns({
+        "_key": _key_text(clicks.schema["ip"]), US: F.coalesce(US, F.lit(0).cast("long")), "_tie": order,
+        "_nulls": F.when(F.col(US).isNull(), 1).otherwise(0) + F.when(F.col(f"`{tie}`").isNull(), 2).otherwise(0),
+        **{name: F.coalesce(F.col(column).cast("string"), F.lit("None"))
+           for name, column in (("_device", "device_id"), ("_os", "os"))}})
+    ready = ready.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(CLICK_BUCKETS)).cast("int"))
+    packed = packing.pack(ready, "_bucket", US, "_key", "_device", "_os", "_tie", "_nulls")
+    enriched = packed.groupBy("_bucket").transformWithStateInPandas(
+        BucketClickProcessor(out, packing, clock, packed.columns), out, "Append", "None")
+    return packing.restore(enriched, list(kinds))
+
+
 def count_so_far_stream(
     df: DataFrame, key: str, order: list[str], name: str = "dest_txn_count_so_far"
 ) -> DataFrame:
@@ -399,9 +639,7 @@ def count_so_far_stream(
     orders, nulls = [f"_o{i}" for i in range(len(order))], F.lit(0).cast("long")
     for i, c in enumerate(order):
         nulls = nulls + F.when(F.col(f"`{c}`").isNull(), 1 << i).otherwise(0)
-    value = F.col(f"`{key}`")  # the zeros are one key
-    text = F.to_json(F.struct((value + 0.0 if isinstance(df.schema[key].dataType, _REAL) else value).alias("k")))
-    ready = df.withColumns({"_key": text, "_nulls": nulls, **dict(zip(orders, sorting, strict=True))})
+    ready = df.withColumns({"_key": _key_text(df.schema[key]), "_nulls": nulls, **dict(zip(orders, sorting, strict=True))})
     ready = ready.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)).cast("int"))
     out = T.StructType([T.StructField(Packing.NAME, T.StringType()), T.StructField(name, T.LongType())])
     packed = packing.pack(ready, "_bucket", "_key", "_nulls", *orders)

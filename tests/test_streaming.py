@@ -3,8 +3,11 @@ from __future__ import annotations
 import random
 import time
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickwarden import schemas
 from clickwarden.operators import features, models
@@ -104,6 +107,69 @@ def test_stored_blocks_give_the_same_features(late):
     assert min(blocks) > 10
 
 
+class Chunks:
+    """A list state in memory."""
+
+    def __init__(self):
+        self.rows, self.puts = [], 0
+
+    def get(self):
+        return iter(list(self.rows))
+
+    def appendValue(self, row):
+        self.rows.append(row)
+
+    def put(self, rows):
+        self.rows, self.puts = list(rows), self.puts + 1
+
+
+@pytest.mark.parametrize("late", [(0,), (0, 0, 0, 200, 3000)])
+def test_a_bucket_of_ips_gives_what_each_ip_gives_alone(late):
+    """All IPs of a bucket at once against ``IpState`` over blocks, also when what has left the window is dropped."""
+    columns = ["_packed", "_bucket", state.US, "_key", "_device", "_os", "_tie", "_nulls"]
+    one = state.BucketClickProcessor(
+        T.StructType([T.StructField(n, T.StringType()) for n in ("_packed", *SEEN)]), state.Packing(T.StructType([])), "event", columns)
+    one.chunks = Chunks()
+    rng, now, number, alone = random.Random(5), 0, 0, {}
+    for _ in range(90):
+        rows = []
+        for _ in range(rng.choice([1, 5, 60])):
+            now, number = now + rng.choice([0, 0, 1, 20_000_000, 200_000_000]), number + 1
+            rows.append((str(number), 0, now - rng.choice(late) * 1_000_000, rng.choice("abc"), rng.choice("xyz"), rng.choice("pq"), number, 0))
+        parts = pd.DataFrame(rng.sample(rows, len(rows)), columns=columns)
+        got = pd.concat(one.handleInputRows((0,), iter([parts[:2], parts[2:]]), None)).set_index("_packed")
+        for ip in "abc":
+            blocks, last = alone.get(ip, ({}, None))
+            ip_state = state.IpState([c for b in sorted(blocks) for c in blocks[b]], last, min(blocks, default=0) * state.BLOCK)
+            for row in sorted((r for r in rows if r[3] == ip), key=lambda r: (r[2], r[6])):
+                want = ip_state.click(row[2], row[4], row[5])
+                assert got.loc[row[0], list(want)].to_dict() == want
+            written, removed = ip_state.changes()
+            alone[ip] = {b: c for b, c in (blocks | written).items() if b not in removed}, ip_state.last
+    held = sum(len(pa.ipc.open_stream(row[0]).read_all()) for row in one.chunks.rows)
+    assert 0 < one.chunks.puts < 20 and held < number / 2
+
+
+def test_clicks_of_plain_columns_pass_python_by_the_bucket(spark, make_clicks, tmp_path):
+    """Many IPs, one of them null, with null devices, on a clock read for every click, over two runs."""
+    rng = random.Random(12)
+    seconds = sorted(rng.choices(range(7000), k=700))
+    rows = [(f"c{i:04d}", f"2024-01-01 {t // 3600:02d}:{t // 60 % 60:02d}:{t % 60:02d}",
+             rng.choice([None, "hot", "hot", *[f"ip{k}" for k in range(90)]]), rng.choice([None, "d1", "d2"]), rng.choice("xy"))
+            for i, t in enumerate(seconds)]
+    clicks = make_clicks(rows)
+    assert "_bucket" in state.enrich_stream(clicks, clock="event")._jdf.queryExecution().analyzed().toString()
+    feed = stream_of(spark, tmp_path, clicks.schema, clock=lambda c: c[state.US], ttl_ms=None)
+    feed(clicks.where("click_id < 'c0300'"))
+    got, _ = feed(clicks.where("click_id >= 'c0300'"))
+    want = {r["click_id"]: r for r in features.click_features(
+        clicks.fillna("None", ["device_id"]), device_scope="per_ip").collect()}
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        for name in SEEN:
+            assert got[key][name] == pytest.approx(row[name], abs=1e-9), (key, name)
+
+
 def stream_of(spark, tmp_path, schema, **options):
     """Feeds clicks to a stream that goes on from one checkpoint; gives its rows and progress."""
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
