@@ -19,7 +19,7 @@ from clickwarden.plans.feature_queries import (
     all_features, feature_columns, labelled, mapped_columns, messages, snapshots,
 )
 from clickwarden.plans.registry import big, query, r6
-from clickwarden.runtime import scratch_root, spill
+from clickwarden.runtime import scratch_root, spill, stages
 from clickwarden.sources import readers, writers
 from clickwarden.streaming import scoring, state
 
@@ -500,18 +500,20 @@ SELECT txn_key, CAST(row_number() OVER (PARTITION BY nameDest ORDER BY {", ".joi
 def score_transaction_stream(spark, sf):
     """Transactions in two runs of a stream: key, count so far, ratio, score, flag, table. Every
     score is that of the same model on the batch features, matched by key and count."""
-    t = fx.transactions(spark, sf)
-    feats = spill(transactions.transaction_features(t, TXN_ORDER), "features")
-    model = models.train_lr(spill(models.assemble(feats, schemas.TRANSACTION_FEATURES, "isFraud"), "training"), ITERATIONS)
+    t = spill(fx.transactions(spark, sf), "payments")
+    feats = spill(transactions.transaction_features(t, TXN_ORDER).select(
+        "txn_key", *schemas.TRANSACTION_FEATURES, "isFraud"), "features")
+    ready = models.assemble(feats, schemas.TRANSACTION_FEATURES, "isFraud")
+    with stages(spark):
+        model = models.train_lr(spill(ready.select("features", "label"), "training"), ITERATIONS)
     source, table, alerts, checkpoint = (folder(spark, n) for n in ("source", "scored", "alerts", "checkpoint"))
     keys = ["txn_key", "dest_txn_count_so_far"]
     for part in _halves(t, TXN_ORDER):
-        part.write.mode("append").parquet(source)
+        part.write.mode("append").option("compression", "zstd").parquet(source)
         enriched = scoring.enrich_transactions(spark.readStream.schema(t.schema).parquet(source), TXN_ORDER)
         scoring.drain(scoring.score_stream(
-            enriched, model, checkpoint, scoring.table_sink(table, keys, scoring.file_alerts(alerts)),
+            enriched, model, checkpoint, scoring.table_sink(table, keys, scoring.file_alerts(alerts, "gzip")),
             schemas.TRANSACTION_FLAG_THRESHOLD, names=schemas.TRANSACTION_FEATURES, trigger={"availableNow": True}))
-    ready = models.assemble(feats, schemas.TRANSACTION_FEATURES, "isFraud")
     batch = models.score(model, ready, schemas.TRANSACTION_FLAG_THRESHOLD).select(
         *keys, F.col("fraud_probability").alias("p"), F.col("is_flagged").alias("f"))
     return readers.read_scored(spark, table).join(batch, keys, "left").select(

@@ -131,13 +131,15 @@ def upsert_insert_only(
             known_to = known_to & F.col(key).eqNullSafe(F.col(f"_k{i}"))
         known = target.select(*keys).join(batch, in_batch, "left_semi").distinct().select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        rows = rows.join(known, known_to, "left_anti")
+        # Stored, so that Spark knows that they are few and leaves the rows where they lie.
+        known = spill(known, "known")
+        if not known.isEmpty():
+            rows = spill(rows.join(known, known_to, "left_anti"), "insert")
     if target is None:  # all rows are new, and the table's own files tell their number
         _keep_schema(rows, path)
         rows.write.mode("append").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         added = spark.read.schema(rows.schema).parquet(path).count()
     else:
-        rows = spill(rows, "insert")
         added = rows.count()
         if added:
             _keep_schema(rows, path)

@@ -19,7 +19,7 @@ from clickwarden.operators.eda import flagged
 from clickwarden.operators.features import attach_rates, click_features
 from clickwarden.operators.models import score
 from clickwarden.operators.transactions import filter_types, transaction_columns
-from clickwarden.runtime import spill, stages
+from clickwarden.runtime import short_shuffles, spill, stages
 from clickwarden.sources.writers import click_messages, upsert_insert_only
 from clickwarden.streaming.state import count_so_far_stream
 
@@ -90,10 +90,10 @@ def message_alerts(fmt: str = "kafka", key: str = "ip", **options):
     return send
 
 
-def file_alerts(path: str):
+def file_alerts(path: str, compression: str = "none"):
     """Alert writer for JSON files, one folder per micro-batch."""
     def send(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").json(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").option("compression", compression).json(f"{path}/batch={batch_id}")
     return send
 
 
@@ -110,9 +110,10 @@ def score_stream(
             batch = add_static_features(batch, campaign, publisher)
         sink(score_batch(batch, model, threshold, names), batch_id)
 
-    return enriched.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint
-    ).trigger(**(trigger or {"processingTime": EVERY})).start()
+    with short_shuffles(enriched.sparkSession):
+        return enriched.writeStream.foreachBatch(handle).option(
+            "checkpointLocation", checkpoint
+        ).trigger(**(trigger or {"processingTime": EVERY})).start()
 
 
 def enrich_with_history(
@@ -163,8 +164,13 @@ def transaction_stream(messages: DataFrame, schema=schemas.TRANSACTION, value: s
 def enrich_transactions(rows: DataFrame, order: list[str] = ("step", "nameOrig")) -> DataFrame:
     """Streaming scorable transactions with join key, ratio and the count of earlier
     transactions to their destination: what ``transaction_features`` gives a batch."""
-    ready = transaction_columns(filter_types(rows))
-    return count_so_far_stream(ready, "nameDest", list(order))
+    scorable = filter_types(rows)
+    ready = transaction_columns(scorable)
+    if not set(order) <= set(rows.columns):
+        return count_so_far_stream(ready, "nameDest", list(order))
+    # what follows from a row need not travel with it
+    counted = count_so_far_stream(scorable, "nameDest", list(order))
+    return transaction_columns(counted).select(*[f"`{c}`" for c in ready.columns], counted.columns[-1])
 
 
 def monitored(messages: DataFrame, name: str = "contract", value: str = "value") -> DataFrame:

@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from clickwarden import runtime
 from clickwarden.sources import readers, writers
+from clickwarden.streaming import scoring
 
 
 def table(spark, ids, extra=None):
@@ -189,3 +192,44 @@ def test_distinct_rows_carry_each_column_once(spark):
     assert "min_by" not in plan and "struct(x" in plan and "struct(k" not in plan
     zeros = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "x double, v long")
     assert [r["v"] for r in distinct_on(zeros, ["x"]).collect()] == [1]
+
+
+def test_a_stored_stage_leaves_no_shuffle_files(spark, tmp_path):
+    """They fill the disk until the driver's memory is cleared, which may be never in a long job."""
+    def files():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before, setting = files(), spark.conf.get(runtime.CLEANUP, None)
+    stored = runtime.spill(spark.range(20000).repartition(7, "id").groupBy((F.col("id") % 5000).alias("k")).count(), "shuffled")
+    deadline = time.monotonic() + 20
+    while files() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not files() - before
+    assert stored.count() == 5000
+    assert spark.conf.get(runtime.CLEANUP, None) == setting
+
+
+def test_a_batch_without_known_keys_is_stored_once(spark, tmp_path):
+    path, names, plain = str(tmp_path / "table"), [], runtime.spill
+
+    def noted(df, name="stage", codec="zstd"):
+        names.append(name)
+        return plain(df, name, codec)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(writers, "spill", noted)
+        for keys, added in (((0, 3), 3), ((3, 6), 3), ((4, 8), 2), ((0, 8), 0)):
+            assert writers.upsert_insert_only(spark.range(*keys).withColumn("v", F.lit("x")), path, ["id"]) == added
+    assert names == ["batch", "known", "batch", "known", "insert", "batch", "known", "insert"]
+    assert sorted(r["id"] for r in readers.read_scored(spark, path).collect()) == list(range(8))
+
+
+def test_alert_files_can_be_compressed(spark, tmp_path):
+    rows = spark.range(3000).withColumn("text", F.lit("x" * 100))
+    for codec in ("none", "gzip"):
+        scoring.file_alerts(str(tmp_path / codec), codec)(rows, 0)
+        assert spark.read.json(str(tmp_path / codec)).select("id", "text").exceptAll(rows).isEmpty()
+    size = {c: sum(f.stat().st_size for f in (tmp_path / c).rglob("part-*")) for c in ("none", "gzip")}
+    assert size["gzip"] < size["none"] / 5
