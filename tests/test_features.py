@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickwarden import schemas
 from clickwarden.operators import features, windows
+from clickwarden.plans import feature_queries, store_queries
 from clickwarden.runtime import spill
 
 
@@ -187,3 +189,26 @@ def test_ip_windows_share_one_exchange(spark, make_clicks):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Python" not in plan
+
+
+def test_training_carries_only_what_its_features_read(spark, tmp_path, monkeypatch):
+    """The same features as of whole clicks, also where devices are hot and the rows are stored on the way."""
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=7 * (i % 90)), i % 5, ("view", "purchase")[i % 2], i % 3 + 0.5,
+             None if i % 13 == 0 else f'{{"k": {i % 30}}}') for i in range(120)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    stored, plain = [], features.spill
+
+    def noted(df, *args):
+        stored.append(df.columns)
+        return plain(df, *args)
+
+    monkeypatch.setattr(features, "spill", noted)
+    spark.conf.set("clickwarden.hotKeyRows", "10")
+    try:
+        got = store_queries._training(spark, str(tmp_path)).drop("is_fraud").collect()
+        assert stored and not {"click_id", "ad_id", "click_time"} & {c for columns in stored for c in columns}
+        want = feature_queries.all_features(spark, str(tmp_path)).select("seq", "us", *schemas.CLICK_FEATURES).collect()
+    finally:
+        spark.conf.unset("clickwarden.hotKeyRows")
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 120
